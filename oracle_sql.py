@@ -211,7 +211,7 @@ kpis AS (
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n"
 
 
 LAKEHOUSE = with_(SITES, DRIVES, ITEMS, SILVER)
@@ -236,3 +236,237 @@ FROM gold_in GROUP BY extension, extension_category"""
 QUERIES["archive_candidates"] = LAKEHOUSE + f"""
 SELECT site_name, file_name, extension, {gb('size_bytes')} AS size_gb, days_since_modified
 FROM gold_in WHERE usage_status = 'Archive Candidate'"""
+
+
+# --------------------------------------------------------------------------- hierarchy & inventory
+
+ROLLUP = """
+live_folders AS (SELECT drive_id, id, parent_id FROM items WHERE item_type = 'folder' AND status <> 'deleted'),
+walk(drive_id, folder_id, n, b) AS (
+  SELECT f.drive_id, f.parent_id, CAST(1 AS BIGINT), f.size_bytes
+  FROM items f JOIN live_folders p ON p.drive_id = f.drive_id AND p.id = f.parent_id
+  WHERE f.item_type = 'file' AND f.status <> 'deleted'
+  UNION ALL
+  SELECT w.drive_id, c.parent_id, w.n, w.b
+  FROM walk w JOIN live_folders c ON c.drive_id = w.drive_id AND c.id = w.folder_id
+       JOIN live_folders p ON p.drive_id = c.drive_id AND p.id = c.parent_id
+),
+folder_tot AS (SELECT drive_id, folder_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(b) AS BIGINT) AS b FROM walk GROUP BY drive_id, folder_id),
+folder_final AS (
+  SELECT lf.drive_id, lf.id, coalesce(t.n, 0) AS file_count, coalesce(t.b, 0) AS folder_total_size_bytes
+  FROM live_folders lf LEFT JOIN folder_tot t ON t.drive_id = lf.drive_id AND t.folder_id = lf.id
+),
+rolled AS (
+  SELECT i.id, i.drive_id, i.site_id, i.library_name, i.parent_id, i.parent_path, i.full_path, i.name, i.item_type,
+         i.extension, i.mime_type, i.size_bytes, i.formatted_size, i.created_at, i.modified_at, i.last_accessed_at,
+         coalesce(ff.file_count, i.file_count) AS file_count,
+         coalesce(ff.folder_total_size_bytes, i.folder_total_size_bytes) AS folder_total_size_bytes,
+         CASE WHEN ff.id IS NULL THEN i.folder_total_size_formatted ELSE FMT_FF END AS folder_total_size_formatted,
+         i.web_url, i.status, i.collected_at
+  FROM items i LEFT JOIN folder_final ff ON ff.drive_id = i.drive_id AND ff.id = i.id AND i.item_type = 'folder'
+)""".replace("FMT_FF", fmt_size("ff.folder_total_size_bytes"))
+
+
+def _inv(name: str, src: str) -> str:
+    return f"""
+{name} AS (
+  SELECT s.host_name AS tenant_site, s.name AS site_name, s.web_url AS site_url, d.name AS biblioteca,
+         i.parent_path AS caminho_completo_da_pasta, i.name AS nome_arquivo_ou_pasta, i.item_type AS tipo_item,
+         i.extension AS extensao, i.mime_type AS tipo_mime, i.size_bytes AS tamanho_bytes,
+         i.formatted_size AS tamanho_formatado, i.created_at AS data_criacao, i.modified_at AS data_modificacao,
+         i.last_accessed_at AS data_ultimo_uso_acesso, i.file_count AS quantidade_arquivos_dentro_da_pasta,
+         i.folder_total_size_bytes AS volume_total_pasta_bytes,
+         i.folder_total_size_formatted AS volume_total_pasta_formatado, i.id AS id_item, i.drive_id AS id_drive,
+         i.status AS status_leitura, i.collected_at AS data_hora_coleta, i.full_path AS caminho_item
+  FROM {src} i JOIN sites s ON s.id = i.site_id JOIN drives d ON d.id = i.drive_id
+  WHERE i.status <> 'deleted'
+)"""
+
+
+INV = with_(SITES, DRIVES, ITEMS, _inv("inv", "items"))
+INV_ROLLED = with_(SITES, DRIVES, ITEMS, ROLLUP, _inv("inv", "rolled"))
+ROLLED = with_(SITES, DRIVES, ITEMS, ROLLUP)
+
+QUERIES["folder_rollup"] = ROLLED + f"""
+SELECT ff.drive_id, ff.id, i.full_path, ff.file_count, ff.folder_total_size_bytes,
+       {fmt_size('ff.folder_total_size_bytes')} AS folder_total_size_formatted
+FROM folder_final ff JOIN items i ON i.drive_id = ff.drive_id AND i.id = ff.id AND i.item_type = 'folder'"""
+
+QUERIES["inventory"] = INV_ROLLED + "SELECT * FROM inv"
+
+FILE_BYTES = "CASE WHEN tipo_item = 'file' THEN tamanho_bytes ELSE 0 END"
+EXT_LABEL = "coalesce(nullif(extensao, ''), '(sem extensao)')"
+
+QUERIES["client_site_summary"] = INV + f"""
+SELECT site_name AS "Site", site_url AS "URL do site", count(DISTINCT biblioteca) AS "Bibliotecas",
+       count(*) FILTER (WHERE tipo_item = 'file') AS "Arquivos", count(*) FILTER (WHERE tipo_item = 'folder') AS "Pastas",
+       {round_ratio(f'coalesce(sum({FILE_BYTES}), 0)', '1073741824', 2)} AS "Armazenamento GB",
+       max(data_modificacao) AS "Ultima modificacao identificada"
+FROM inv GROUP BY site_name, site_url"""
+
+QUERIES["client_extension_summary"] = INV + f"""
+SELECT {EXT_LABEL} AS "Extensao", count(*) AS "Arquivos",
+       {round_ratio('sum(tamanho_bytes)', '1073741824', 2)} AS "Armazenamento GB",
+       {round_ratio('sum(tamanho_bytes)', 'count(tamanho_bytes) * 1048576', 2)} AS "Tamanho medio MB",
+       {round_ratio('max(tamanho_bytes)', '1073741824', 4)} AS "Maior arquivo GB"
+FROM inv WHERE tipo_item = 'file' GROUP BY 1"""
+
+BRIEF = f"""site_name AS "Site", site_url AS "URL do site", biblioteca AS "Biblioteca", nome_arquivo_ou_pasta AS "Arquivo",
+       {EXT_LABEL} AS "Extensao", tamanho_formatado AS "Tamanho", {round_ratio('tamanho_bytes', '1073741824', 4)} AS "Tamanho GB",
+       data_modificacao AS "Modificado em", caminho_item AS "Caminho completo\""""
+
+QUERIES["client_largest_files"] = INV + f"""
+SELECT {BRIEF} FROM inv WHERE tipo_item = 'file' ORDER BY tamanho_bytes DESC NULLS LAST, id_item LIMIT 1000"""
+
+QUERIES["client_old_files"] = INV + f"""
+SELECT {BRIEF} FROM inv
+WHERE tipo_item = 'file' AND TRY_CAST(data_modificacao AS TIMESTAMP) < CAST({AS_OF} - INTERVAL 365 DAY AS TIMESTAMP)
+ORDER BY tamanho_bytes DESC NULLS LAST, id_item LIMIT 1000"""
+
+QUERIES["client_file_list"] = INV + f"""
+SELECT site_name AS "Site", site_url AS "URL do site", biblioteca AS "Biblioteca", caminho_completo_da_pasta AS "Pasta",
+       nome_arquivo_ou_pasta AS "Arquivo", {EXT_LABEL} AS "Extensao", tipo_mime AS "Tipo MIME",
+       tamanho_formatado AS "Tamanho", {round_ratio('tamanho_bytes', '1048576', 2)} AS "Tamanho MB",
+       {round_ratio('tamanho_bytes', '1073741824', 4)} AS "Tamanho GB", data_criacao AS "Criado em",
+       data_modificacao AS "Modificado em", data_ultimo_uso_acesso AS "Ultimo acesso/uso",
+       caminho_item AS "Caminho completo", status_leitura AS "Status da leitura"
+FROM inv WHERE tipo_item = 'file'"""
+
+QUERIES["profile_sites"] = INV + f"""
+SELECT site_name, site_url, tenant_site, count(DISTINCT biblioteca) AS bibliotecas,
+       count_if(tipo_item = 'file') AS arquivos, count_if(tipo_item = 'folder') AS pastas,
+       CAST(coalesce(sum({FILE_BYTES}), 0) AS BIGINT) AS total_bytes_arquivos,
+       {round_ratio(f'coalesce(sum({FILE_BYTES}), 0)', '1073741824', 2)} AS total_gb_arquivos
+FROM inv GROUP BY site_name, site_url, tenant_site"""
+
+QUERIES["profile_totals"] = INV + f"""
+SELECT count(*) AS total_linhas, count_if(tipo_item = 'file') AS arquivos, count_if(tipo_item = 'folder') AS pastas,
+       count(DISTINCT site_url) AS sites, count(DISTINCT id_drive) AS drives, count(DISTINCT biblioteca) AS bibliotecas,
+       CAST(sum({FILE_BYTES}) AS BIGINT) AS total_bytes_arquivos,
+       min(data_modificacao) AS menor_data_modificacao, max(data_modificacao) AS maior_data_modificacao
+FROM inv"""
+
+QUERIES["profile_type_status"] = INV + """
+SELECT tipo_item, status_leitura, count(*) AS quantidade FROM inv GROUP BY tipo_item, status_leitura"""
+
+QUERIES["profile_latest_files"] = INV + """
+SELECT site_name, biblioteca, caminho_item, nome_arquivo_ou_pasta, tipo_item, extensao, tipo_mime, tamanho_bytes,
+       data_criacao, data_modificacao, data_ultimo_uso_acesso, caminho_completo_da_pasta
+FROM inv WHERE tipo_item = 'file' ORDER BY data_modificacao DESC NULLS LAST, id_drive, id_item LIMIT 30"""
+
+QUERIES["profile_sample"] = INV + """
+SELECT * FROM inv WHERE tipo_item = 'file' ORDER BY data_modificacao DESC NULLS LAST, id_drive, id_item LIMIT 1000"""
+
+QUERIES["profile_extensions"] = INV + f"""
+SELECT {EXT_LABEL} AS extensao, count(*) AS arquivos, CAST(sum(tamanho_bytes) AS BIGINT) AS total_bytes,
+       {round_ratio('sum(tamanho_bytes)', '1073741824', 2)} AS total_gb
+FROM inv WHERE tipo_item = 'file' GROUP BY 1 ORDER BY arquivos DESC, extensao LIMIT 50"""
+
+QUERIES["profile_libraries"] = INV + f"""
+SELECT site_name, site_url, biblioteca, count(*) AS arquivos, CAST(sum(tamanho_bytes) AS BIGINT) AS total_bytes,
+       {round_ratio('sum(tamanho_bytes)', '1073741824', 2)} AS total_gb
+FROM inv WHERE tipo_item = 'file' GROUP BY site_name, site_url, biblioteca
+ORDER BY total_bytes DESC NULLS LAST, site_url NULLS LAST, biblioteca NULLS LAST LIMIT 50"""
+
+QUERIES["profile_folders"] = INV_ROLLED + f"""
+SELECT site_name, site_url, biblioteca, caminho_item AS pasta, quantidade_arquivos_dentro_da_pasta AS arquivos_na_pasta,
+       volume_total_pasta_bytes, {round_ratio('volume_total_pasta_bytes', '1073741824', 2)} AS total_gb, data_modificacao
+FROM inv WHERE tipo_item = 'folder' ORDER BY volume_total_pasta_bytes DESC NULLS LAST, id_drive, id_item LIMIT 50"""
+
+QUERIES["profile_missing"] = INV + """
+SELECT count(*) AS arquivos,
+       count_if(data_ultimo_uso_acesso IS NULL OR data_ultimo_uso_acesso = '') AS sem_ultimo_acesso,
+       count_if(data_modificacao IS NULL OR data_modificacao = '') AS sem_data_modificacao,
+       min(data_modificacao) AS menor_data_modificacao, max(data_modificacao) AS maior_data_modificacao
+FROM inv WHERE tipo_item = 'file'"""
+
+QUERIES["dash_site_names"] = INV + """
+SELECT DISTINCT site_name FROM inv WHERE site_name IS NOT NULL AND site_name <> ''"""
+
+OVERVIEW = f"""
+SELECT count(DISTINCT site_url) AS sites, count(DISTINCT biblioteca) AS libraries,
+       count_if(tipo_item = 'file') AS files, count_if(tipo_item = 'folder') AS folders,
+       CAST(coalesce(sum({FILE_BYTES}), 0) AS BIGINT) AS total_bytes
+FROM inv WHERE 1=1"""
+QUERIES["dash_overview"] = INV + OVERVIEW
+QUERIES["dash_overview_selected"] = INV + OVERVIEW + """
+  AND site_name IN ('Supplier#000000001', 'Supplier#000000002', 'Supplier#000000003')"""
+
+TOP_SITES = f"""
+top_sites AS (
+  SELECT site_name, site_url, count_if(tipo_item = 'file') AS file_count,
+         CAST(coalesce(sum({FILE_BYTES}), 0) AS BIGINT) AS storage_bytes
+  FROM inv GROUP BY site_name, site_url
+  ORDER BY storage_bytes DESC, site_name NULLS LAST, site_url NULLS LAST LIMIT 25
+)"""
+QUERIES["dash_top_sites"] = INV + "," + TOP_SITES + f"SELECT *, {gb('storage_bytes')} AS storage_gb FROM top_sites"
+
+TOP_EXT = f"""
+top_ext AS (
+  SELECT {EXT_LABEL} AS extension, count(*) AS file_count, CAST(coalesce(sum(tamanho_bytes), 0) AS BIGINT) AS storage_bytes
+  FROM inv WHERE tipo_item = 'file' GROUP BY 1 ORDER BY storage_bytes DESC, extension LIMIT 20
+)"""
+QUERIES["dash_top_extensions"] = INV + "," + TOP_EXT + f"SELECT *, {gb('storage_bytes')} AS storage_gb FROM top_ext"
+
+QUERIES["dash_extension_table"] = INV + "," + TOP_EXT + f""",
+tot AS (SELECT *, CAST(sum(storage_bytes) OVER () AS BIGINT) AS total FROM top_ext)
+SELECT extension, {round_ratio('storage_bytes', '1073741824', 2, True)} AS storage_gb,
+       CASE WHEN total > 0 THEN {round_ratio('storage_bytes * 100', 'total', 2, True)} ELSE 0.0 END AS storage_percent,
+       file_count,
+       CASE WHEN file_count > 0 THEN {round_ratio('storage_bytes', 'file_count * 1048576', 2, True)} ELSE 0.0 END AS avg_file_size_mb
+FROM tot"""
+
+OLD = f"tipo_item = 'file' AND TRY_CAST(data_modificacao AS TIMESTAMP) < CAST({AS_OF} - INTERVAL 1 YEAR AS TIMESTAMP)"
+
+QUERIES["dash_unused_by_site"] = INV + f"""
+SELECT *, {gb('storage_bytes')} AS storage_gb FROM (
+  SELECT site_name, site_url, count(*) AS old_file_count, CAST(coalesce(sum(tamanho_bytes), 0) AS BIGINT) AS storage_bytes
+  FROM inv WHERE {OLD} GROUP BY site_name, site_url
+  ORDER BY storage_bytes DESC, site_name NULLS LAST, site_url NULLS LAST LIMIT 25)"""
+
+QUERIES["dash_unused_sample"] = INV + f"""
+SELECT site_name, biblioteca, nome_arquivo_ou_pasta, extensao, tamanho_bytes, data_modificacao, caminho_item,
+       {gb('tamanho_bytes')} AS storage_gb
+FROM inv WHERE {OLD} ORDER BY tamanho_bytes DESC NULLS LAST, id_item LIMIT 100"""
+
+QUERIES["dash_unused_kpis"] = INV + f"""
+SELECT unused_bytes, unused_files,
+       CASE WHEN total_bytes > 0 THEN {round_ratio('unused_bytes * 100', 'total_bytes', 2, True)} ELSE 0.0 END AS unused_percent
+FROM (SELECT CAST(coalesce(sum(CASE WHEN {OLD} THEN tamanho_bytes ELSE 0 END), 0) AS BIGINT) AS unused_bytes,
+             count_if({OLD}) AS unused_files,
+             CAST(coalesce(sum({FILE_BYTES}), 0) AS BIGINT) AS total_bytes FROM inv)"""
+
+
+def display_name(name: str, url: str) -> str:
+    nm = f"trim(coalesce({name}, ''))"
+    u = f"trim(coalesce({url}, ''))"
+    rest = f"regexp_replace({u}, '^[A-Za-z][A-Za-z0-9+.-]*:', '')"
+    path = f"regexp_extract({rest}, '^(?://[^/?#]*)?([^?#]*)', 1)"
+    seg = f"regexp_extract(rtrim({path}, '/'), '([^/]*)$', 1)"
+    host = f"regexp_extract({rest}, '^//([^/?#]*)', 1)"
+    return (
+        f"(CASE WHEN {nm} <> '' AND NOT contains({nm}, ',') THEN {nm} "
+        f"WHEN {u} <> '' THEN coalesce(nullif({seg}, ''), nullif({host}, ''), nullif({nm}, ''), '(sem nome)') "
+        f"ELSE coalesce(nullif({nm}, ''), '(sem nome)') END)"
+    )
+
+
+def shorten(v: str, n: int = 32) -> str:
+    return (
+        f"(CASE WHEN {v} IS NULL OR {v} = '' THEN '(sem nome)' WHEN length(trim({v})) <= {n} THEN trim({v}) "
+        f"ELSE substr(trim({v}), 1, {n - 1}) || '...' END)"
+    )
+
+
+QUERIES["dash_site_chart"] = INV + "," + TOP_SITES + f""",
+ranked AS (
+  SELECT *, {gb('storage_bytes')} AS storage_gb,
+         row_number() OVER (ORDER BY storage_bytes DESC, site_name NULLS LAST, site_url NULLS LAST) AS rank,
+         {display_name('site_name', 'site_url')} AS site_display_name
+  FROM (SELECT * FROM top_sites ORDER BY storage_bytes DESC, site_name NULLS LAST, site_url NULLS LAST LIMIT 10)
+)
+SELECT *, lpad(CAST(rank AS VARCHAR), 2, '0') || '. ' || {shorten('site_display_name')} AS site_label FROM ranked"""
+
+QUERIES["gold_totals"] = LAKEHOUSE + """
+SELECT sum(storage_gb) AS storage_gb, count(DISTINCT site_name) AS sites, CAST(sum(total_files) AS BIGINT) AS files,
+       sum(archive_candidate_gb) AS archive_candidate_gb FROM kpis"""

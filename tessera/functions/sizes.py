@@ -67,20 +67,21 @@ def round_ratio(num, den, scale: int = 2, half_even: bool = False) -> Column:
 _EXACT_DOUBLE = 2**53
 
 
-def _scaled_quotient(num: Column, den: int, scale: int, half_even: bool) -> Column:
-    """Integer q = round(num * 10**scale / den) for num >= 0 and den a power
-    of two.  Small values take an exact double path (a power-of-two division
-    of an integer below 2**53 is exact); larger ones the decimal path."""
+def _scaled_quotient(num: Column, den, scale: int, half_even: bool) -> Column:
+    """Integer q = round(num * 10**scale / den) for num >= 0 and ``den`` a
+    power of two (int or Column).  Small values take an exact double path (a
+    power-of-two division of an integer below 2**53 is exact); larger ones
+    the decimal path."""
     factor = 10**scale
+    den_col = as_col(den)
+    den_d = den_col.cast("double")
     mag_d = num.cast("double") * F.lit(float(factor))
-    q_d = F.floor(mag_d / F.lit(float(den)))
-    r_d = mag_d - q_d * F.lit(float(den))
-    bump_d = (r_d * 2 > F.lit(float(den))) | (
-        (r_d * 2 == F.lit(float(den))) & (F.lit(not half_even) | (q_d % 2 == 1))
-    )
+    q_d = F.floor(mag_d / den_d)
+    r_d = mag_d - q_d * den_d
+    bump_d = (r_d * 2 > den_d) | ((r_d * 2 == den_d) & (F.lit(not half_even) | (q_d % 2 == 1)))
     fast = F.when(bump_d, q_d + 1).otherwise(q_d).cast(_WIDE)
     mag = _wide(num) * F.lit(factor).cast(_WIDE)
-    den_c = F.lit(den).cast(_WIDE)
+    den_c = _wide(den_col)
     q, r = _quot_rem(mag, den_c)
     slow = _round_q(q, r, den_c, half_even)
     return F.when(num < F.lit(_EXACT_DOUBLE // factor), fast).otherwise(slow)
@@ -95,27 +96,21 @@ def _fixed2(q: Column) -> Column:
 
 def format_size(size) -> Column:
     """Human-readable size: ``0 B`` for null/0, ``n B`` below 1 KiB, else
-    two decimals in KB..PB with ties to even (Python ``'.2f'``)."""
+    two decimals in KB..PB with ties to even (Python ``'.2f'``).
+
+    The unit index is picked once, so a single quotient is evaluated per row
+    (keeps the generated code small)."""
     n = as_col(size).cast("long")
-    small = F.concat(n.cast("string"), F.lit(" B"))
+    k = F.lit(len(SIZE_UNITS) - 1)
+    for i in range(len(SIZE_UNITS) - 2, 0, -1):
+        k = F.when(n < F.lit(BYTES_IN_KB ** (i + 1)), F.lit(i)).otherwise(k)
+    den = F.pow(F.lit(float(BYTES_IN_KB)), k).cast("long")
+    unit = F.element_at(F.array(*[F.lit(u) for u in SIZE_UNITS[1:]]), k)
+    rendered = F.concat(_fixed2(_scaled_quotient(n, den, 2, half_even=True)), F.lit(" "), unit)
     return (
         F.when(n.isNull() | (n == 0), F.lit("0 B"))
-        .when(n < F.lit(BYTES_IN_KB), small)
-        .otherwise(
-            F.coalesce(
-                *[
-                    F.when(
-                        (n < F.lit(BYTES_IN_KB ** (k + 1))) | F.lit(unit == SIZE_UNITS[-1]),
-                        F.concat(
-                            _fixed2(_scaled_quotient(n, BYTES_IN_KB**k, 2, half_even=True)),
-                            F.lit(" " + unit),
-                        ),
-                    )
-                    for k, unit in enumerate(SIZE_UNITS)
-                    if k > 0
-                ]
-            )
-        )
+        .when(n < F.lit(BYTES_IN_KB), F.concat(n.cast("string"), F.lit(" B")))
+        .otherwise(rendered)
     )
 
 
@@ -126,9 +121,13 @@ def bytes_to(size, unit: str) -> Column:
 
 
 def rounded_units(size, unit: str, scale: int) -> Column:
-    """``ROUND(size / unit, scale)`` computed exactly from the byte count."""
+    """``ROUND(size / unit, scale)`` (ties away from zero) computed exactly
+    from the byte count; per-row values take the exact double fast path."""
     factor = {"KB": BYTES_IN_KB, "MB": BYTES_IN_MB, "GB": BYTES_IN_GB, "TB": BYTES_IN_TB}[unit]
-    return round_ratio(as_col(size), F.lit(factor), scale)
+    n = as_col(size).cast("long")
+    q = _scaled_quotient(F.abs(n), factor, scale, half_even=False)
+    signed = F.when(n < 0, -q).otherwise(q)
+    return signed.cast("double") / F.lit(float(10**scale))
 
 
 def format_gb(size) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans import lakehouse as lh
 from tessera.sources import testdata as td
@@ -62,3 +63,171 @@ def q_top_extensions(spark, sf_dir):
 @register("archive_candidates")
 def q_archive_candidates(spark, sf_dir):
     return lh.archive_candidates(silver(spark, sf_dir)["files"])
+
+
+# --------------------------------------------------------------------------- hierarchy & inventory
+
+from tessera.operators.hierarchy import folder_totals, recalculate_folders  # noqa: E402
+from tessera.plans import inventory as inv_plan  # noqa: E402
+from tessera.plans import reports as rp  # noqa: E402
+
+
+def inventory_df(spark: SparkSession, sf_dir: str, rollup: bool = False) -> DataFrame:
+    cat = td.catalog(spark, sf_dir)
+    items = recalculate_folders(cat.items) if rollup else cat.items
+    return inv_plan.inventory(items, cat.sites, cat.drives)
+
+
+@register("folder_rollup")
+def q_folder_rollup(spark, sf_dir):
+    cat = td.catalog(spark, sf_dir)
+    totals = folder_totals(cat.items)
+    paths = cat.items.filter("item_type = 'folder'").select("drive_id", "id", "full_path")
+    from tessera.functions import format_size
+
+    return totals.join(paths, ["drive_id", "id"]).select(
+        "drive_id", "id", "full_path", "file_count", "folder_total_size_bytes",
+        format_size("folder_total_size_bytes").alias("folder_total_size_formatted"),
+    )
+
+
+@register("inventory")
+def q_inventory(spark, sf_dir):
+    return inventory_df(spark, sf_dir, rollup=True).orderBy(
+        *[F.col(c).asc_nulls_first() for c in inv_plan.EXPORT_ORDER]
+    )
+
+
+# --------------------------------------------------------------------------- client report
+
+@register("client_site_summary")
+def q_client_sites(spark, sf_dir):
+    return rp.client_site_summary(inventory_df(spark, sf_dir))
+
+
+@register("client_extension_summary")
+def q_client_ext(spark, sf_dir):
+    return rp.client_extension_summary(inventory_df(spark, sf_dir))
+
+
+@register("client_largest_files")
+def q_client_largest(spark, sf_dir):
+    return rp.client_largest_files(inventory_df(spark, sf_dir))
+
+
+@register("client_old_files")
+def q_client_old(spark, sf_dir):
+    return rp.client_old_files(inventory_df(spark, sf_dir), td.AS_OF)
+
+
+@register("client_file_list")
+def q_client_files(spark, sf_dir):
+    return rp.client_file_list(inventory_df(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- profile
+
+@register("profile_sites")
+def q_profile_sites(spark, sf_dir):
+    return rp.profile_sites(inventory_df(spark, sf_dir))
+
+
+@register("profile_totals")
+def q_profile_totals(spark, sf_dir):
+    return rp.profile_totals(inventory_df(spark, sf_dir))
+
+
+@register("profile_type_status")
+def q_profile_type_status(spark, sf_dir):
+    return rp.profile_type_status(inventory_df(spark, sf_dir))
+
+
+@register("profile_latest_files")
+def q_profile_latest(spark, sf_dir):
+    return rp.profile_latest_files(inventory_df(spark, sf_dir))
+
+
+@register("profile_sample")
+def q_profile_sample(spark, sf_dir):
+    return rp.profile_sample(inventory_df(spark, sf_dir))
+
+
+@register("profile_extensions")
+def q_profile_ext(spark, sf_dir):
+    return rp.profile_extensions(inventory_df(spark, sf_dir))
+
+
+@register("profile_libraries")
+def q_profile_libs(spark, sf_dir):
+    return rp.profile_libraries(inventory_df(spark, sf_dir))
+
+
+@register("profile_folders")
+def q_profile_folders(spark, sf_dir):
+    return rp.profile_folders(inventory_df(spark, sf_dir, rollup=True))
+
+
+@register("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    return rp.profile_missing(inventory_df(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- dashboard
+
+# The site selection used by the filtered dashboard query.
+DASH_SELECTED_SITES = ["Supplier#000000001", "Supplier#000000002", "Supplier#000000003"]
+
+
+@register("dash_site_names")
+def q_dash_names(spark, sf_dir):
+    return rp.dash_site_names(inventory_df(spark, sf_dir))
+
+
+@register("dash_overview")
+def q_dash_overview(spark, sf_dir):
+    return rp.dash_overview(inventory_df(spark, sf_dir))
+
+
+@register("dash_overview_selected")
+def q_dash_overview_sel(spark, sf_dir):
+    return rp.dash_overview(inventory_df(spark, sf_dir), DASH_SELECTED_SITES)
+
+
+@register("dash_top_sites")
+def q_dash_top_sites(spark, sf_dir):
+    return rp.dash_top_sites(inventory_df(spark, sf_dir))
+
+
+@register("dash_top_extensions")
+def q_dash_top_ext(spark, sf_dir):
+    return rp.dash_top_extensions(inventory_df(spark, sf_dir))
+
+
+@register("dash_extension_table")
+def q_dash_ext_table(spark, sf_dir):
+    return rp.dash_extension_table(rp.dash_top_extensions(inventory_df(spark, sf_dir)))
+
+
+@register("dash_unused_by_site")
+def q_dash_unused(spark, sf_dir):
+    return rp.dash_unused_by_site(inventory_df(spark, sf_dir), td.AS_OF)
+
+
+@register("dash_unused_sample")
+def q_dash_unused_sample(spark, sf_dir):
+    return rp.dash_unused_sample(inventory_df(spark, sf_dir), td.AS_OF)
+
+
+@register("dash_unused_kpis")
+def q_dash_unused_kpis(spark, sf_dir):
+    return rp.dash_unused_kpis(inventory_df(spark, sf_dir), td.AS_OF)
+
+
+@register("dash_site_chart")
+def q_dash_chart(spark, sf_dir):
+    return rp.site_chart(rp.dash_top_sites(inventory_df(spark, sf_dir)))
+
+
+@register("gold_totals")
+def q_gold_totals(spark, sf_dir):
+    return rp.gold_totals(lh.storage_kpis(lh.site_storage(silver(spark, sf_dir)["files"])))
