@@ -470,3 +470,115 @@ SELECT *, lpad(CAST(rank AS VARCHAR), 2, '0') || '. ' || {shorten('site_display_
 QUERIES["gold_totals"] = LAKEHOUSE + """
 SELECT sum(storage_gb) AS storage_gb, count(DISTINCT site_name) AS sites, CAST(sum(total_files) AS BIGINT) AS files,
        sum(archive_candidate_gb) AS archive_candidate_gb FROM kpis"""
+
+
+# --------------------------------------------------------------------------- site priority
+
+TIB = 1024**4
+
+PRIORITY = f"""
+ord AS (
+  SELECT o_custkey AS c_custkey, max(o_orderdate) AS last_order, count(*) AS n_orders,
+         count_if(o_orderstatus = 'O') AS n_open
+  FROM orders GROUP BY o_custkey
+),
+rep AS (
+  SELECT c.c_custkey AS rr, CAST(c.c_custkey AS VARCHAR) AS site_id,
+         CASE WHEN c.c_custkey % 11 = 0 THEN '' ELSE 'https://h.example/sites/c' || CAST(c.c_custkey AS VARCHAR) END AS site_url0,
+         CASE WHEN c.c_custkey % 7 = 0 THEN lower(replace(c.c_name, '#', '.') || '@h.example') ELSE c.c_name END AS owner,
+         CASE WHEN c.c_custkey % 19 = 0 THEN '' ELSE strftime(o.last_order, '%Y-%m-%d') END AS last_activity_date,
+         coalesce(o.n_orders, 0) AS file_count, coalesce(o.n_open, 0) AS active_file_count,
+         CAST(greatest(floor(c.c_acctbal), 0) AS BIGINT) * 268435456 AS storage_used_bytes,
+         CAST(CASE c.c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN {25 * TIB} ELSE {TIB} END AS BIGINT) AS storage_allocated_bytes,
+         c.c_mktsegment AS root_web_template, '2001-12-01' AS report_refresh_date, '180' AS report_period
+  FROM customer c LEFT JOIN ord o ON o.c_custkey = c.c_custkey
+  WHERE c.c_custkey % 13 <> 0
+),
+site_list AS (
+  SELECT 'h.example,sc' || CAST(c_custkey AS VARCHAR) || ',' || CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
+         'https://h.example/sites/cat-' || CAST(c_custkey AS VARCHAR) AS web_url,
+         'sid-' || CAST(c_custkey AS VARCHAR) AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
+  FROM customer WHERE c_custkey % 3 <> 0
+),
+url_keys AS (
+  SELECT id, web_url, 0 AS pos, lower(id) AS k FROM site_list
+  UNION ALL SELECT id, web_url, 1, lower(string_split(id, ',')[-1]) FROM site_list
+  UNION ALL SELECT id, web_url, 2, lower(sp1) FROM site_list
+  UNION ALL SELECT id, web_url, 3, lower(sp2) FROM site_list
+),
+url_lookup AS (
+  SELECT k, web_url FROM (
+    SELECT k, web_url, row_number() OVER (PARTITION BY k ORDER BY id DESC, pos DESC) AS rn FROM url_keys WHERE k <> ''
+  ) WHERE rn = 1
+),
+ranked AS (
+  SELECT row_number() OVER (ORDER BY r.storage_used_bytes DESC, r.rr) AS rank, r.*,
+         CASE WHEN r.site_url0 <> '' THEN r.site_url0 ELSE coalesce(u.web_url, '') END AS site_url
+  FROM rep r LEFT JOIN url_lookup u ON u.k = lower(r.site_id)
+),
+priority AS (
+  SELECT rank, site_id, site_url, owner, last_activity_date, file_count, active_file_count, storage_used_bytes,
+         {fmt_size('storage_used_bytes')} AS storage_used_formatted, storage_allocated_bytes,
+         {fmt_size('storage_allocated_bytes')} AS storage_allocated_formatted, root_web_template,
+         report_refresh_date, report_period,
+         CASE WHEN storage_used_bytes >= {TIB} THEN 'over_1tb'
+              WHEN storage_used_bytes >= {500 * 1024**3} THEN 'over_500gb_to_1tb'
+              WHEN storage_used_bytes >= {100 * 1024**3} THEN 'over_100gb_to_500gb'
+              ELSE 'under_100gb' END AS tier
+  FROM ranked
+),
+variants AS (
+  SELECT v, arg_min(name, id) AS site_name, arg_min(web_url, id) AS site_url_lookup FROM (
+    SELECT id, coalesce(name, '') AS name, coalesce(web_url, '') AS web_url,
+           unnest(list_concat([lower(trim(id))], list_filter(list_transform(string_split(lower(trim(id)), ','), lambda x: trim(x)), lambda x: x <> ''))) AS v
+    FROM site_list
+  ) GROUP BY v
+),
+dash_priority AS (
+  SELECT p.* EXCLUDE (site_url),
+         CASE WHEN p.site_url IS NULL OR p.site_url IN ('', 'nan', 'None') THEN coalesce(v.site_url_lookup, '') ELSE p.site_url END AS site_url,
+         coalesce(v.site_name, '') AS site_name
+  FROM priority p LEFT JOIN variants v ON v.v = lower(trim(p.site_id))
+)"""
+
+PRI = with_(PRIORITY)
+
+QUERIES["site_priority"] = PRI + "SELECT * FROM priority"
+
+QUERIES["priority_tiers"] = PRI + """
+SELECT t.name, t.label, coalesce(a.site_count, 0) AS site_count, CAST(coalesce(a.b, 0) AS BIGINT) AS storage_used_bytes,
+       FMT AS storage_used_formatted
+FROM (VALUES (0, 'over_1tb', '>= 1 TB'), (1, 'over_500gb_to_1tb', '>= 500 GB e < 1 TB'),
+             (2, 'over_100gb_to_500gb', '>= 100 GB e < 500 GB'), (3, 'under_100gb', '< 100 GB')) t(o, name, label)
+LEFT JOIN (SELECT tier, count(*) AS site_count, sum(storage_used_bytes) AS b FROM priority GROUP BY tier) a ON a.tier = t.name
+""".replace("FMT", fmt_size("CAST(coalesce(a.b, 0) AS BIGINT)"))
+
+QUERIES["priority_summary"] = PRI + f"""
+SELECT *, {fmt_size('total_storage_used_bytes')} AS total_storage_used_formatted FROM (
+  SELECT count(*) AS sites, count_if(site_url <> '') AS sites_with_url, count_if(site_url = '') AS sites_without_url,
+         count_if(tier = 'over_1tb') AS over_1tb_sites, count_if(tier = 'over_500gb_to_1tb') AS over_500gb_to_1tb_sites,
+         count_if(tier = 'over_100gb_to_500gb') AS over_100gb_to_500gb_sites, count_if(tier = 'under_100gb') AS under_100gb_sites,
+         CAST(coalesce(sum(storage_used_bytes), 0) AS BIGINT) AS total_storage_used_bytes
+  FROM priority)"""
+
+QUERIES["storage_limits"] = PRI + f"""
+SELECT {display_name('site_name', 'site_url')} AS site_display_name, owner,
+       {gb('storage_used_bytes')} AS storage_used_gb, {gb('storage_allocated_bytes')} AS storage_allocated_gb,
+       coalesce(CAST(storage_used_bytes AS DOUBLE) / nullif(CAST(storage_allocated_bytes AS DOUBLE), 0.0) * 100.0, 0.0) AS quota_usage_percent,
+       CASE WHEN storage_allocated_bytes IS NULL OR storage_allocated_bytes <= 0 THEN 'Sem limite reportado'
+            WHEN storage_allocated_bytes >= {25 * TIB} THEN 'Limite alto/padrao reportado'
+            ELSE 'Limite especifico aparente' END AS limit_status,
+       site_url
+FROM dash_priority"""
+
+QUERIES["quota_kpis"] = PRI + f"""
+SELECT count_if(storage_allocated_bytes > 0) AS sites_with_limit, count_if(storage_allocated_bytes <= 0) AS sites_without_limit,
+       count_if(storage_allocated_bytes > 0 AND storage_allocated_bytes < {25 * TIB}) AS sites_specific_limit
+FROM dash_priority"""
+
+QUERIES["inactive_priority_sites"] = PRI + f"""
+SELECT rank, site_name, owner, site_url, last_activity_date,
+       CASE WHEN d IS NULL THEN 'Sem atividade registrada' WHEN d > 180 THEN 'Inativo' WHEN d > 90 THEN 'Pouco ativo'
+            ELSE 'Ativo' END AS activity_status,
+       storage_used_formatted, file_count, active_file_count
+FROM (SELECT *, date_diff('day', CAST(TRY_CAST(last_activity_date AS TIMESTAMP) AS DATE), {AS_OF}) AS d FROM dash_priority)"""

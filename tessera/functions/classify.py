@@ -66,7 +66,8 @@ def storage_tier(
 
 
 def activity_class(last_activity, as_of) -> Column:
-    days = F.datediff(as_col(as_of), F.to_date(as_col(last_activity)))
+    parsed = as_col(last_activity).cast("string").try_cast("timestamp")
+    days = F.datediff(as_col(as_of), F.to_date(parsed))
     return (
         F.when(days.isNull(), F.lit(ACTIVITY_NONE))
         .when(days > INACTIVE_AFTER_DAYS, F.lit(ACTIVITY_INACTIVE))

@@ -231,3 +231,49 @@ def q_dash_chart(spark, sf_dir):
 @register("gold_totals")
 def q_gold_totals(spark, sf_dir):
     return rp.gold_totals(lh.storage_kpis(lh.site_storage(silver(spark, sf_dir)["files"])))
+
+
+# --------------------------------------------------------------------------- site priority
+
+from tessera.plans import priority as pr  # noqa: E402
+from tessera.schemas import PRIORITY_COLUMNS  # noqa: E402
+
+
+def priority_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = td.Tables(spark, sf_dir)
+    return pr.prioritize(td.usage_report(t), td.site_list(t))
+
+
+def dashboard_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = td.Tables(spark, sf_dir)
+    return pr.load_priority(priority_df(spark, sf_dir), td.site_list(t))
+
+
+@register("site_priority")
+def q_site_priority(spark, sf_dir):
+    return priority_df(spark, sf_dir).select(*PRIORITY_COLUMNS, "tier").orderBy("rank")
+
+
+@register("priority_tiers")
+def q_priority_tiers(spark, sf_dir):
+    return pr.tier_summary(priority_df(spark, sf_dir))
+
+
+@register("priority_summary")
+def q_priority_summary(spark, sf_dir):
+    return pr.priority_summary(priority_df(spark, sf_dir))
+
+
+@register("storage_limits")
+def q_storage_limits(spark, sf_dir):
+    return pr.storage_limits(dashboard_priority(spark, sf_dir))
+
+
+@register("quota_kpis")
+def q_quota_kpis(spark, sf_dir):
+    return pr.quota_kpis(dashboard_priority(spark, sf_dir))
+
+
+@register("inactive_priority_sites")
+def q_inactive_priority(spark, sf_dir):
+    return pr.inactive_sites(dashboard_priority(spark, sf_dir), td.AS_OF)

@@ -242,3 +242,56 @@ class Catalog:
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     t = Tables(spark, sf_dir)
     return Catalog(sites=sites(t), drives=drives(t), items=items(t))
+
+
+# --------------------------------------------------------------------------- usage report & site list
+
+TIB = 1024**4
+# Storage allocated per market segment (bytes, as report text).
+SEGMENT_ALLOCATION = {"BUILDING": 0, "MACHINERY": 25 * TIB}
+DEFAULT_ALLOCATION = TIB
+
+
+def usage_report(t: Tables) -> DataFrame:
+    """A usage report with the report's own header names; one row per
+    customer, in customer-key order (``_report_row``)."""
+    o = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.max("o_orderdate").alias("last_order"),
+        F.count(F.lit(1)).alias("n_orders"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("n_open"),
+    )
+    c = t.customer.join(o, "c_custkey", "left")
+    k = F.col("c_custkey")
+    seg = F.col("c_mktsegment")
+    alloc = F.lit(DEFAULT_ALLOCATION).cast("long")
+    for name, value in SEGMENT_ALLOCATION.items():
+        alloc = F.when(seg == name, F.lit(value).cast("long")).otherwise(alloc)
+    return c.select(
+        F.lit(AS_OF).alias("Report Refresh Date"),
+        k.cast("string").alias("Site Id"),
+        F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(SITE_URL_PREFIX + "c"), k.cast("string"))).alias("Site URL"),
+        F.when(k % 7 == 0, F.lit("")).otherwise(F.col("c_name")).alias("Owner Display Name"),
+        F.lower(F.concat(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")), F.lit("@" + HOST))).alias("Owner Principal Name"),
+        F.when(k % 13 == 0, F.lit("True")).otherwise(F.lit("False")).alias("Is Deleted"),
+        F.when(k % 19 == 0, F.lit("")).otherwise(F.date_format("last_order", "yyyy-MM-dd")).alias("Last Activity Date"),
+        F.coalesce(F.col("n_orders"), F.lit(0)).cast("string").alias("File Count"),
+        F.coalesce(F.col("n_open"), F.lit(0)).cast("string").alias("Active File Count"),
+        (F.greatest(F.floor(F.col("c_acctbal")), F.lit(0)) * F.lit(268435456)).cast("string").alias("Storage Used (Byte)"),
+        alloc.cast("string").alias("Storage Allocated (Byte)"),
+        seg.alias("Root Web Template"),
+        F.lit("180").alias("Report Period"),
+        k.alias("_report_row"),
+    )
+
+
+def site_list(t: Tables) -> DataFrame:
+    """The tenant's site list: composite ids ``host,sc<k>,<k>`` for two of
+    every three customers, with SharePoint ids and a catalogue URL."""
+    k = F.col("c_custkey")
+    return t.customer.filter(k % 3 != 0).select(
+        F.concat(F.lit(HOST + ",sc"), k.cast("string"), F.lit(","), k.cast("string")).alias("id"),
+        F.col("c_name").alias("name"),
+        F.concat(F.lit(SITE_URL_PREFIX + "cat-"), k.cast("string")).alias("web_url"),
+        F.concat(F.lit("sid-"), k.cast("string")).alias("sharepoint_site_id"),
+        F.concat(F.lit("col-"), F.col("c_nationkey").cast("string")).alias("sharepoint_site_collection_id"),
+    )
