@@ -582,3 +582,80 @@ SELECT rank, site_name, owner, site_url, last_activity_date,
             ELSE 'Ativo' END AS activity_status,
        storage_used_formatted, file_count, active_file_count
 FROM (SELECT *, date_diff('day', CAST(TRY_CAST(last_activity_date AS TIMESTAMP) AS DATE), {AS_OF}) AS d FROM dash_priority)"""
+
+
+# --------------------------------------------------------------------------- change feed, sync state, stats
+
+CHANGES = f"""
+ch AS (
+  SELECT json_extract_string(props, '$.k') AS id, CAST(user_id AS VARCHAR) AS drive_id,
+         CAST(user_id % 20 AS VARCHAR) AS site_id, 'item-' || json_extract_string(props, '$.k') AS name,
+         CAST(floor(value * 100) AS BIGINT) AS size_bytes, {iso('ts')} AS modified_at, {iso('ts')} AS collected_at,
+         CAST(floor(event_id / 100) AS BIGINT) AS page_seq, event_id AS row_idx, event_type = 'error' AS tomb
+  FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL
+),
+cho AS (SELECT *, page_seq * 20000000 + CASE WHEN tomb THEN 10000000 ELSE 0 END + row_idx AS o FROM ch),
+lastu AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY drive_id, id ORDER BY o DESC) AS rn FROM cho WHERE NOT tomb)
+  WHERE rn = 1
+),
+lastany AS (SELECT drive_id, id, arg_max(collected_at, o) AS collected_at, max(CASE WHEN tomb THEN o END) AS dead FROM cho GROUP BY drive_id, id)"""
+
+QUERIES["apply_changes"] = with_(CHANGES) + f"""
+SELECT u.drive_id, u.id, u.site_id, u.name, u.size_bytes, {fmt_size('u.size_bytes')} AS formatted_size, u.modified_at,
+       CASE WHEN a.dead > u.o THEN 'deleted' ELSE 'ok' END AS status, a.collected_at,
+       CASE WHEN a.dead > u.o THEN '{{}}' ELSE NULL END AS raw_json
+FROM lastu u JOIN lastany a ON a.drive_id = u.drive_id AND a.id = u.id"""
+
+PAGES = f"""
+pg AS (SELECT user_id AS u, CAST(floor(event_id / 100) AS BIGINT) AS page_seq, max(ts) AS ts FROM events GROUP BY 1, 2),
+lastpg AS (SELECT u, max(page_seq) AS last_page FROM pg GROUP BY u),
+plog AS (
+  SELECT CAST(p.u AS VARCHAR) AS drive_id, CAST(p.u % 20 AS VARCHAR) AS site_id, 'lib-' || CAST(p.u AS VARCHAR) AS library_name,
+         p.page_seq, {iso('p.ts')} AS collected_at,
+         CASE WHEN p.page_seq = l.last_page AND p.u % 10 <> 0 THEN NULL
+              ELSE 'next:' || CAST(p.u AS VARCHAR) || ':' || CAST(p.page_seq + 1 AS VARCHAR) END AS next_link,
+         CASE WHEN p.page_seq = l.last_page AND p.u % 10 <> 0
+              THEN 'delta:' || CAST(p.u AS VARCHAR) || ':' || CAST(p.page_seq AS VARCHAR) END AS delta_link
+  FROM pg p JOIN lastpg l ON l.u = p.u
+),
+sync AS (
+  SELECT drive_id, site_id, library_name, CAST(NULL AS VARCHAR) AS mode,
+         CASE WHEN delta_link IS NOT NULL THEN 'done' WHEN next_link IS NOT NULL THEN 'in_progress' ELSE 'pending' END AS status,
+         CAST(0 AS INTEGER) AS attempts,
+         CASE WHEN delta_link IS NOT NULL THEN NULL ELSE next_link END AS next_link, delta_link,
+         CASE WHEN delta_link IS NULL AND next_link IS NULL THEN 'Resposta delta sem @odata.nextLink nem @odata.deltaLink' END AS last_error,
+         collected_at AS created_at, collected_at AS updated_at, CAST(NULL AS VARCHAR) AS last_started_at,
+         CASE WHEN delta_link IS NOT NULL THEN collected_at END AS last_completed_at
+  FROM plog WHERE (drive_id, page_seq) IN (SELECT drive_id, max(page_seq) FROM plog GROUP BY drive_id)
+)"""
+
+QUERIES["sync_state"] = with_(PAGES) + "SELECT * FROM sync"
+QUERIES["sync_status_counts"] = with_(PAGES) + "SELECT status, count(*) AS total FROM sync GROUP BY status"
+
+ERRORS = """
+errs AS (
+  SELECT event_id AS id, CAST(user_id % 20 AS VARCHAR) AS site_id,
+         ([401, 403, 404, 410, 423, 429, 503])[event_id % 7 + 1] AS status_code, false AS resolved
+  FROM events WHERE event_type = 'error'
+)"""
+
+STATS_BASE = with_(SITES, DRIVES, ITEMS, PAGES, ERRORS)
+
+QUERIES["catalog_stats"] = STATS_BASE + f"""
+SELECT *, {fmt_size('total_bytes')} AS total_formatted FROM (
+  SELECT (SELECT count(*) FROM sites) AS sites, (SELECT count(*) FROM drives) AS drives,
+         (SELECT count(*) FROM items WHERE item_type = 'folder' AND status <> 'deleted') AS folders,
+         (SELECT count(*) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS files,
+         (SELECT CAST(coalesce(sum(size_bytes), 0) AS BIGINT) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS total_bytes,
+         (SELECT count(*) FROM errs WHERE NOT resolved AND coalesce(status_code, 0) <> 423) AS open_errors,
+         (SELECT count(DISTINCT site_id) FROM errs WHERE NOT resolved AND status_code = 423) AS blocked_sites,
+         (SELECT max(updated_at) FROM sync) AS last_delta_checkpoint)"""
+
+QUERIES["export_summary"] = STATS_BASE + f"""
+SELECT *, {fmt_size('total_bytes')} AS total_formatted FROM (
+  SELECT (SELECT count(*) FROM sites) AS sites, (SELECT count(*) FROM drives) AS drives,
+         (SELECT count(*) FROM items WHERE item_type = 'folder' AND status <> 'deleted') AS folders,
+         (SELECT count(*) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS files,
+         (SELECT CAST(coalesce(sum(size_bytes), 0) AS BIGINT) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS total_bytes,
+         (SELECT count(*) FROM errs WHERE NOT resolved) AS open_errors)"""

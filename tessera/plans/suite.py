@@ -277,3 +277,42 @@ def q_quota_kpis(spark, sf_dir):
 @register("inactive_priority_sites")
 def q_inactive_priority(spark, sf_dir):
     return pr.inactive_sites(dashboard_priority(spark, sf_dir), td.AS_OF)
+
+
+# --------------------------------------------------------------------------- change feed, sync state, catalogue stats
+
+from tessera.operators.changes import apply_changes  # noqa: E402
+from tessera.operators.sync import sync_from_pages  # noqa: E402
+from tessera.plans import catalog as cg  # noqa: E402
+
+APPLIED_COLUMNS = ["drive_id", "id", "site_id", "name", "size_bytes", "formatted_size", "modified_at", "status", "collected_at", "raw_json"]
+
+
+@register("apply_changes")
+def q_apply_changes(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    return apply_changes(None, td.change_records(t)).select(*APPLIED_COLUMNS)
+
+
+@register("sync_state")
+def q_sync_state(spark, sf_dir):
+    return sync_from_pages(td.page_log(td.Tables(spark, sf_dir)))
+
+
+@register("sync_status_counts")
+def q_sync_counts(spark, sf_dir):
+    return cg.sync_counts(sync_from_pages(td.page_log(td.Tables(spark, sf_dir))))
+
+
+@register("catalog_stats")
+def q_catalog_stats(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    cat = td.catalog(spark, sf_dir)
+    return cg.catalog_stats(cat.sites, cat.drives, cat.items, td.errors(t), sync_from_pages(td.page_log(t)))
+
+
+@register("export_summary")
+def q_export_summary(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    cat = td.catalog(spark, sf_dir)
+    return cg.summary(cat.sites, cat.drives, cat.items, td.errors(t))

@@ -295,3 +295,74 @@ def site_list(t: Tables) -> DataFrame:
         F.concat(F.lit("sid-"), k.cast("string")).alias("sharepoint_site_id"),
         F.concat(F.lit("col-"), F.col("c_nationkey").cast("string")).alias("sharepoint_site_collection_id"),
     )
+
+
+# --------------------------------------------------------------------------- change feed & errors
+
+def change_records(t: Tables) -> DataFrame:
+    """Change records from events: drive = user, item = props.k, 100 events
+    per page, error events are tombstones."""
+    e = t.events
+    k = F.get_json_object(F.col("props"), "$.k")
+    size = F.floor(F.col("value") * 100).cast("long")
+    return e.select(
+        k.alias("id"),
+        F.col("user_id").cast("string").alias("drive_id"),
+        (F.col("user_id") % 20).cast("string").alias("site_id"),
+        F.concat(F.lit("item-"), k).alias("name"),
+        F.lit("file").alias("item_type"),
+        size.alias("size_bytes"),
+        format_size(size).alias("formatted_size"),
+        iso_utc(F.col("ts")).alias("modified_at"),
+        iso_utc(F.col("ts")).alias("collected_at"),
+        F.floor(F.col("event_id") / 100).cast("long").alias("page_seq"),
+        F.col("event_id").cast("long").alias("row_idx"),
+        (F.col("event_type") == "error").alias("is_tombstone"),
+    )
+
+
+def page_log(t: Tables) -> DataFrame:
+    """One row per (drive, page): the drive's last page carries the delta
+    link unless ``user_id % 10 = 0`` (an interrupted sync)."""
+    pages = t.events.groupBy(
+        F.col("user_id").alias("u"), F.floor(F.col("event_id") / 100).cast("long").alias("page_seq")
+    ).agg(F.max("ts").alias("ts"))
+    last = pages.groupBy("u").agg(F.max("page_seq").alias("last_page"))
+    j = pages.join(last, "u")
+    drive = F.col("u").cast("string")
+    is_last = F.col("page_seq") == F.col("last_page")
+    finished = is_last & (F.col("u") % 10 != 0)
+    return j.select(
+        drive.alias("drive_id"),
+        (F.col("u") % 20).cast("string").alias("site_id"),
+        F.concat(F.lit("lib-"), drive).alias("library_name"),
+        "page_seq",
+        iso_utc(F.col("ts")).alias("collected_at"),
+        F.when(finished, F.lit(None).cast("string")).otherwise(
+            F.concat(F.lit("next:"), drive, F.lit(":"), (F.col("page_seq") + 1).cast("string"))
+        ).alias("next_link"),
+        F.when(finished, F.concat(F.lit("delta:"), drive, F.lit(":"), F.col("page_seq").cast("string"))).alias("delta_link"),
+    )
+
+
+def errors(t: Tables) -> DataFrame:
+    """Error rows from error events: status code by event id modulo 7,
+    site = user_id % 20; drive sync errors."""
+    from tessera.operators.sync import drive_error_retryable
+
+    e = t.events.filter(F.col("event_type") == "error")
+    code = F.element_at(F.array(*[F.lit(c) for c in ERROR_CODES]), (F.col("event_id") % 7 + 1).cast("int"))
+    return e.select(
+        F.col("event_id").alias("id"),
+        F.lit("drive").alias("entity_type"),
+        F.col("user_id").cast("string").alias("entity_id"),
+        F.col("user_id").cast("string").alias("drive_id"),
+        (F.col("user_id") % 20).cast("string").alias("site_id"),
+        F.lit("drive_delta").alias("operation"),
+        code.cast("int").alias("status_code"),
+        F.concat(F.lit("error "), F.col("event_id").cast("string")).alias("message"),
+        drive_error_retryable(code).alias("retryable"),
+        F.lit(False).alias("resolved"),
+        iso_utc(F.col("ts")).alias("created_at"),
+        iso_utc(F.col("ts")).alias("updated_at"),
+    )
