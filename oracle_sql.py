@@ -659,3 +659,150 @@ SELECT *, {fmt_size('total_bytes')} AS total_formatted FROM (
          (SELECT count(*) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS files,
          (SELECT CAST(coalesce(sum(size_bytes), 0) AS BIGINT) FROM items WHERE item_type = 'file' AND status <> 'deleted') AS total_bytes,
          (SELECT count(*) FROM errs WHERE NOT resolved) AS open_errors)"""
+
+
+# --------------------------------------------------------------------------- audit, storage metrics, URLs, layers
+
+def norm_url(x: str) -> str:
+    return f"rtrim(lower(trim(coalesce({x}, ''))), '/')"
+
+
+COLLECTED = """
+coll AS (
+  SELECT s.id AS site_id, s.name AS site_name, s.web_url AS site_url, coalesce(d.drives, 0) AS drives,
+         coalesce(i.files, 0) AS files, CAST(coalesce(i.b, 0) AS BIGINT) AS collected_storage_bytes
+  FROM sites s
+  LEFT JOIN (SELECT site_id, count(DISTINCT id) AS drives FROM drives GROUP BY site_id) d ON d.site_id = s.id
+  LEFT JOIN (SELECT site_id, count(*) AS files, sum(size_bytes) AS b FROM items
+             WHERE item_type = 'file' AND status <> 'deleted' GROUP BY site_id) i ON i.site_id = s.id
+)"""
+
+AUDIT = COLLECTED + f""",
+by_url AS (
+  SELECT * FROM (
+    SELECT *, {norm_url('site_url')} AS u, row_number() OVER (PARTITION BY {norm_url('site_url')} ORDER BY site_id DESC) AS rn
+    FROM coll WHERE site_url IS NOT NULL AND site_url <> '') WHERE rn = 1
+),
+expected AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS site_id,
+         CASE WHEN s_suppkey % 10 = 0 THEN 'https://h.example/sites/missing-' || CAST(s_suppkey AS VARCHAR)
+              WHEN s_suppkey % 3 = 1 THEN upper('https://h.example/sites/' || CAST(s_suppkey AS VARCHAR) || CASE WHEN s_suppkey % 2 = 0 THEN '/' ELSE '' END) || '/'
+              ELSE 'https://h.example/sites/' || CAST(s_suppkey AS VARCHAR) || CASE WHEN s_suppkey % 2 = 0 THEN '/' ELSE '' END END AS site_url,
+         s_name AS site_name,
+         CAST(greatest(floor(s_acctbal), 0) AS BIGINT) * 4294967296 AS expected_storage_bytes
+  FROM supplier
+),
+audit AS (
+  SELECT e.site_id, e.site_url, e.site_name, e.expected_storage_bytes, {fmt_size('e.expected_storage_bytes')} AS expected_storage_formatted,
+         CASE WHEN c.u IS NULL THEN 'missing'
+              WHEN e.expected_storage_bytes <> 0 AND CAST(coalesce(c.collected_storage_bytes, 0) AS DOUBLE) / CAST(e.expected_storage_bytes AS DOUBLE) < 0.8 THEN 'under_collected'
+              ELSE 'ok' END AS status,
+         CASE WHEN c.u IS NULL THEN '' ELSE c.site_id END AS collected_site_id,
+         CASE WHEN c.u IS NULL THEN '' ELSE c.site_name END AS collected_site_name,
+         coalesce(c.drives, 0) AS drives, coalesce(c.files, 0) AS files,
+         coalesce(c.collected_storage_bytes, 0) AS collected_storage_bytes,
+         {fmt_size('coalesce(c.collected_storage_bytes, 0)')} AS collected_storage_formatted,
+         CASE WHEN e.expected_storage_bytes = 0 THEN 1.0
+              ELSE {round_ratio('coalesce(c.collected_storage_bytes, 0)', 'e.expected_storage_bytes', 4, True)} END AS collected_vs_expected_ratio,
+         greatest(e.expected_storage_bytes - coalesce(c.collected_storage_bytes, 0), 0) AS missing_storage_bytes,
+         {fmt_size('greatest(e.expected_storage_bytes - coalesce(c.collected_storage_bytes, 0), 0)')} AS missing_storage_formatted
+  FROM expected e LEFT JOIN by_url c ON c.u = {norm_url('e.site_url')}
+)"""
+
+AUDIT_BASE = with_(SITES, DRIVES, ITEMS, AUDIT)
+QUERIES["collected_per_site"] = AUDIT_BASE + "SELECT * FROM coll"
+QUERIES["site_audit"] = AUDIT_BASE + "SELECT * FROM audit"
+QUERIES["audit_rollup"] = AUDIT_BASE + """
+SELECT count(*) AS expected_sites, count_if(status = 'missing') AS missing_sites,
+       count_if(status = 'under_collected') AS under_collected_sites, count_if(status = 'ok') AS ok_sites FROM audit"""
+
+METRICS = """
+per AS (
+  SELECT l_suppkey AS s_suppkey, sum(sz) AS used, count(*) AS versions, sum(CASE WHEN l_returnflag = 'R' THEN sz ELSE 0 END) AS vb
+  FROM (SELECT l_suppkey, l_returnflag, CASE WHEN l_quantity = 1 THEN 0 ELSE CAST(floor(l_extendedprice) AS BIGINT) * 1048576 END AS sz FROM lineitem)
+  GROUP BY 1
+),
+metrics AS (
+  SELECT CAST(s.s_suppkey AS VARCHAR) AS site_id,
+         'https://h.example/sites/' || CAST(s.s_suppkey AS VARCHAR) || CASE WHEN s.s_suppkey % 2 = 0 THEN '/' ELSE '' END AS site_url,
+         CASE WHEN s.s_suppkey % 9 = 0 THEN NULL ELSE CAST(p.used AS BIGINT) END AS storage_used_bytes,
+         CASE WHEN s.s_suppkey % 9 = 0 THEN NULL ELSE CAST(p.versions AS BIGINT) END AS version_count,
+         CASE WHEN s.s_suppkey % 9 = 0 THEN NULL ELSE CAST(p.vb AS BIGINT) END AS version_size_bytes,
+         CASE WHEN s.s_suppkey % 9 = 0 THEN 'failed' ELSE 'ok' END AS status,
+         CASE WHEN s.s_suppkey % 9 = 0 THEN 'Access denied' END AS message,
+         '2001-12-01T00:00:00Z' AS collected_at
+  FROM supplier s LEFT JOIN per p ON p.s_suppkey = s.s_suppkey
+),
+okm AS (
+  SELECT m.site_id, coalesce(s.name, m.site_url) AS site_name, m.site_url, m.storage_used_bytes, m.version_count, m.version_size_bytes
+  FROM metrics m LEFT JOIN sites s ON s.id = m.site_id WHERE m.status = 'ok'
+)"""
+
+MET = with_(SITES, METRICS)
+QUERIES["storage_metrics_report"] = MET + """
+SELECT m.site_id, s.name AS site_name, m.site_url, m.storage_used_bytes, m.version_count, m.version_size_bytes,
+       m.status, m.message, m.collected_at
+FROM metrics m LEFT JOIN sites s ON s.id = m.site_id"""
+QUERIES["storage_ingest_counts"] = MET + """
+SELECT count_if(status = 'ok') AS ok, count_if(status <> 'ok') AS failed, count(*) AS total FROM metrics"""
+QUERIES["version_kpis"] = MET + f"""
+SELECT *, CASE WHEN storage_used_bytes <> 0 THEN {round_ratio('version_size_bytes * 100', 'storage_used_bytes', 1, True)} ELSE 0.0 END AS version_percent
+FROM (SELECT CAST(coalesce(sum(storage_used_bytes), 0) AS BIGINT) AS storage_used_bytes,
+             CAST(coalesce(sum(version_count), 0) AS BIGINT) AS version_count,
+             CAST(coalesce(sum(version_size_bytes), 0) AS BIGINT) AS version_size_bytes FROM okm)"""
+QUERIES["version_table"] = MET + f"""
+SELECT site_name, {round_ratio('storage_used_bytes', '1073741824', 2, True)} AS storage_gb,
+       {round_ratio('version_size_bytes', '1073741824', 2, True)} AS versoes_gb, version_count,
+       CASE WHEN storage_used_bytes > 0 THEN {round_ratio('version_size_bytes * 100', 'storage_used_bytes', 1, True)} END AS pct_versoes,
+       site_url
+FROM okm"""
+
+
+def url_parts(u: str) -> dict:
+    rest = f"regexp_replace({u}, '^[A-Za-z][A-Za-z0-9+.-]*:', '')"
+    path = f"regexp_extract({rest}, '^(?://[^/?#]*)?([^?#]*)', 1)"
+    seg = f"regexp_extract(rtrim({path}, '/'), '([^/]*)$', 1)"
+    host = f"regexp_extract({rest}, '^//([^/?#]*)', 1)"
+    ext = f"nullif(lower(regexp_extract(coalesce({seg}, ''), '(?s)^.+\\.([^.]+)$', 1)), '')"
+    return {"seg": seg, "host": host, "ext": ext}
+
+
+_P = url_parts("url")
+PAGE_PROFILE = f"""
+prof AS (
+  SELECT page_id, url, {norm_url('url')} AS normalized_url, {_P['host']} AS host, {_P['seg']} AS path_segment,
+         {_P['ext']} AS path_extension, {display_name('NULL', 'url')} AS display_name
+  FROM pages
+)"""
+QUERIES["page_urls"] = with_(PAGE_PROFILE) + f"SELECT *, {shorten('display_name')} AS label FROM prof"
+QUERIES["page_hosts"] = with_(PAGE_PROFILE) + """
+SELECT host, count(*) AS pages, count(DISTINCT normalized_url) AS distinct_urls,
+       count_if(path_extension IS NOT NULL) AS pages_with_extension FROM prof GROUP BY host"""
+
+QUERIES["bronze_sites"] = with_(SITES) + """
+SELECT id AS site_id, name AS site_name, web_url AS site_url, host_name, discovered_at, processed_at,
+       CAST(json_object('id', id, 'displayName', s_name, 'webUrl', web_url, 'siteCollection', json_object('hostname', 'h.example')) AS VARCHAR) AS raw_json,
+       s_name AS raw_displayName, id AS raw_id, 'h.example' AS raw_siteCollection_hostname, web_url AS raw_webUrl
+FROM (SELECT s.*, x.s_name FROM sites s JOIN supplier x ON CAST(x.s_suppkey AS VARCHAR) = s.id)"""
+
+SILVER_DIMS = """
+sil_sites AS (
+  SELECT id AS site_id, trim(coalesce(name, '(sem nome)')) AS site_name, trim(coalesce(web_url, '')) AS site_url,
+         trim(coalesce(host_name, '')) AS host_name, TRY_CAST(discovered_at AS TIMESTAMP) AS discovered_at,
+         TRY_CAST(processed_at AS TIMESTAMP) AS processed_at, processed_at IS NOT NULL AS is_processed
+  FROM sites
+)"""
+QUERIES["silver_sites"] = with_(SITES, SILVER_DIMS) + "SELECT * FROM sil_sites"
+QUERIES["silver_drives"] = with_(SITES, DRIVES, SILVER_DIMS) + """
+SELECT d.id AS drive_id, d.site_id, s.site_name, trim(coalesce(d.name, '(sem nome)')) AS drive_name,
+       lower(trim(coalesce(d.drive_type, 'unknown'))) AS drive_type, trim(coalesce(d.web_url, '')) AS drive_url,
+       TRY_CAST(d.discovered_at AS TIMESTAMP) AS discovered_at, TRY_CAST(d.processed_at AS TIMESTAMP) AS processed_at,
+       d.processed_at IS NOT NULL AS is_processed
+FROM drives d LEFT JOIN sil_sites s ON s.site_id = d.site_id"""
+QUERIES["silver_files"] = LAKEHOUSE + """
+SELECT file_id, drive_id, site_id, site_name, site_url, drive_name, drive_type, library_name, parent_id, parent_path, full_path,
+       file_name, extension, extension_category, mime_type, size_bytes, size_bytes / 1024.0 AS size_kb,
+       size_bytes / 1048576.0 AS size_mb, size_bytes / 1073741824.0 AS size_gb, created_at, CAST(created_at AS DATE) AS created_date,
+       modified_at, CAST(modified_at AS DATE) AS modified_date, last_accessed_at, days_since_modified, usage_status, web_url,
+       status, collected_at
+FROM silver_files2"""

@@ -316,3 +316,90 @@ def q_export_summary(spark, sf_dir):
     t = td.Tables(spark, sf_dir)
     cat = td.catalog(spark, sf_dir)
     return cg.summary(cat.sites, cat.drives, cat.items, td.errors(t))
+
+
+# --------------------------------------------------------------------------- audit, storage metrics, URLs, layers
+
+from tessera.plans import audit as au  # noqa: E402
+from tessera.plans import urls as ur  # noqa: E402
+
+
+def audit_df(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    cat = td.catalog(spark, sf_dir)
+    collected = au.collected_per_site(cat.sites, cat.drives, cat.items)
+    return au.audit_sites(au.expected_sites(td.expected_usage(t)), collected)
+
+
+@register("collected_per_site")
+def q_collected(spark, sf_dir):
+    cat = td.catalog(spark, sf_dir)
+    return au.collected_per_site(cat.sites, cat.drives, cat.items)
+
+
+@register("site_audit")
+def q_site_audit(spark, sf_dir):
+    return audit_df(spark, sf_dir)
+
+
+@register("audit_rollup")
+def q_audit_rollup(spark, sf_dir):
+    return au.audit_rollup(audit_df(spark, sf_dir))
+
+
+def metrics_df(spark, sf_dir):
+    return au.metric_rows(td.storage_metric_results(td.Tables(spark, sf_dir)), td.COLLECTED_AT)
+
+
+@register("storage_metrics_report")
+def q_metrics_report(spark, sf_dir):
+    return au.metrics_report(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites)
+
+
+@register("storage_ingest_counts")
+def q_ingest_counts(spark, sf_dir):
+    return au.ingest_counts(metrics_df(spark, sf_dir))
+
+
+@register("version_kpis")
+def q_version_kpis(spark, sf_dir):
+    return au.version_kpis(au.ok_metrics(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites))
+
+
+@register("version_table")
+def q_version_table(spark, sf_dir):
+    return au.version_table(au.ok_metrics(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites))
+
+
+@register("page_urls")
+def q_page_urls(spark, sf_dir):
+    pages = td.Tables(spark, sf_dir).pages.select("page_id", "url")
+    return ur.url_profile(pages)
+
+
+@register("page_hosts")
+def q_page_hosts(spark, sf_dir):
+    pages = td.Tables(spark, sf_dir).pages.select("page_id", "url")
+    return ur.host_summary(ur.url_profile(pages))
+
+
+@register("bronze_sites")
+def q_bronze_sites(spark, sf_dir):
+    from tessera.operators.flatten import flatten_json_column
+
+    return flatten_json_column(lh.bronze_sites(td.sites(td.Tables(spark, sf_dir))), "raw_json", "raw_")
+
+
+@register("silver_sites")
+def q_silver_sites(spark, sf_dir):
+    return silver(spark, sf_dir)["sites"]
+
+
+@register("silver_drives")
+def q_silver_drives(spark, sf_dir):
+    return silver(spark, sf_dir)["drives"]
+
+
+@register("silver_files")
+def q_silver_files(spark, sf_dir):
+    return silver(spark, sf_dir)["files"]

@@ -366,3 +366,49 @@ def errors(t: Tables) -> DataFrame:
         iso_utc(F.col("ts")).alias("created_at"),
         iso_utc(F.col("ts")).alias("updated_at"),
     )
+
+
+# --------------------------------------------------------------------------- audit & storage metrics
+
+def expected_usage(t: Tables) -> DataFrame:
+    """Expected sites as a ranked usage list would give them: the collected
+    site URL, upper-cased with a trailing '/' for ``s_suppkey % 3 = 1``,
+    unknown for ``s_suppkey % 10 = 0``; bytes from the account balance."""
+    k = F.col("s_suppkey")
+    url = _site_url(k)
+    shown = (
+        F.when(k % 10 == 0, F.concat(F.lit(SITE_URL_PREFIX + "missing-"), k.cast("string")))
+        .when(k % 3 == 1, F.concat(F.upper(url), F.lit("/")))
+        .otherwise(url)
+    )
+    used = (F.greatest(F.floor(F.col("s_acctbal")), F.lit(0)) * F.lit(4294967296)).cast("string")
+    return t.supplier.select(
+        k.cast("string").alias("site_id"), shown.alias("site_url"), F.col("s_name").alias("owner"),
+        used.alias("storage_used_bytes"),
+    )
+
+
+def storage_metric_results(t: Tables) -> DataFrame:
+    """Collector results per supplier site: used MB from the file bytes,
+    version bytes of the 'R' library, one version per line item; every
+    ninth site failed (no numbers)."""
+    li = t.lineitem.select("l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice")
+    size = F.when(F.col("l_quantity") == 1, F.lit(0).cast("long")).otherwise(F.floor(F.col("l_extendedprice")) * F.lit(1048576))
+    per = li.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
+        F.sum(size).alias("used"),
+        F.count(F.lit(1)).alias("versions"),
+        F.sum(F.when(F.col("l_returnflag") == "R", size).otherwise(F.lit(0))).alias("version_bytes"),
+    )
+    s = t.supplier.select("s_suppkey").join(per, "s_suppkey", "left")
+    k = F.col("s_suppkey")
+    failed = k % 9 == 0
+    null = F.lit(None).cast("string")
+    return s.select(
+        k.cast("string").alias("site_id"),
+        _site_url(k).alias("site_url"),
+        F.when(failed, F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+        F.when(failed, F.lit(None).cast("double")).otherwise(F.col("used") / F.lit(1048576.0)).alias("storage_used_mb"),
+        F.when(failed, null).otherwise(F.col("versions").cast("string")).alias("version_count"),
+        F.when(failed, null).otherwise(F.col("version_bytes").cast("string")).alias("version_size_bytes"),
+        F.when(failed, F.lit("Access denied")).otherwise(null).alias("message"),
+    )
