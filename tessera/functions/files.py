@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.common import as_col, ltrim_chars, py_strip
+from tessera.functions.common import reusable, as_col, ltrim_chars, py_strip
 
 # Extension sets of the five named categories, in natural order.
 OFFICE_EXTENSIONS = [
@@ -47,6 +47,7 @@ USAGE_UNKNOWN = "Unknown"
 _SUFFIX_RE = r"(?s)^.+\.([^.]+)$"
 
 
+@reusable
 def extension_from_name(name, item_type=None) -> Column:
     """Lower-cased suffix without the dot; null when there is none or when the
     item is not a file."""
@@ -58,12 +59,14 @@ def extension_from_name(name, item_type=None) -> Column:
     return F.when(as_col(item_type) == "file", ext).otherwise(F.lit(None).cast("string"))
 
 
+@reusable
 def normalize_extension(value) -> Column:
     """null → '', lower, strip whitespace, strip every leading '.'."""
     v = F.lower(F.coalesce(as_col(value).cast("string"), F.lit("")))
     return ltrim_chars(py_strip(v), ".")
 
 
+@reusable
 def extension_category(value) -> Column:
     """Category of an (un-normalised) extension."""
     ext = normalize_extension(value)
@@ -74,6 +77,7 @@ def extension_category(value) -> Column:
     return expr.otherwise(F.lit(OTHER_CATEGORY))
 
 
+@reusable
 def parse_timestamp(value) -> Column:
     """ISO-8601 text → timestamp (UTC session); '' and garbage → null."""
     return as_col(value).cast("string").try_cast("timestamp")
@@ -84,6 +88,7 @@ def days_since(ts, as_of) -> Column:
     return F.datediff(as_col(as_of), F.to_date(as_col(ts)))
 
 
+@reusable
 def usage_status(days) -> Column:
     d = as_col(days)
     return (
@@ -95,6 +100,7 @@ def usage_status(days) -> Column:
     )
 
 
+@reusable
 def iso_utc(ts) -> Column:
     """Timestamp → ``YYYY-MM-DDTHH:MM:SSZ`` text (the catalogue's format)."""
     return F.date_format(as_col(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -1,10 +1,10 @@
 """Byte sizes: units, human-readable formatting and exact decimal rounding.
 
-All rounding here is done in integer arithmetic on the byte counts, so the
-result is the exact mathematical rounding of ``bytes / 1024**k`` and does not
-depend on how an engine rounds binary doubles.  Byte sums can exceed 64 bits
-once they are multiplied by a power of ten, so those paths run on
-``decimal(38,0)``.
+Rounding is done in integer arithmetic on byte counts, so results are the
+exact rounding of ``bytes / 1024**k`` and do not depend on how an engine
+rounds binary doubles.  Power-of-two divisors use shift/mask arithmetic on
+longs (small expressions that stay inside whole-stage codegen); general
+divisors (aggregated ratios) use ``decimal(38,0)``.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.common import as_col
+from tessera.functions.common import reusable, as_col
 
 BYTES_IN_KB = 1024
 BYTES_IN_MB = 1024**2
@@ -23,6 +23,7 @@ BYTES_IN_TB = 1024**4
 SIZE_UNITS = ["B", "KB", "MB", "GB", "TB", "PB"]
 
 _WIDE = "decimal(38,0)"
+_SHIFT = {"KB": 10, "MB": 20, "GB": 30, "TB": 40}
 
 
 def _wide(c: Column) -> Column:
@@ -42,105 +43,112 @@ def _quot_rem(mag: Column, den: Column):
     return q, r
 
 
-def _round_q(q: Column, r: Column, den: Column, half_even: bool) -> Column:
-    twice = r * 2
-    bump = (twice > den) | ((twice == den) & (F.lit(not half_even) | (q % 2 == 1)))
-    return F.when(bump, q + 1).otherwise(q)
-
-
+@reusable
 def round_ratio(num, den, scale: int = 2, half_even: bool = False) -> Column:
     """Round the exact rational ``num / den`` to ``scale`` decimals.
 
     ``num`` and ``den`` are integral columns (or ints); ``den`` must be > 0.
     Ties go away from zero (SQL ROUND) or to even (Python ``round``/``format``).
     Returns a double equal to ``q / 10**scale`` for the rounded integer ``q``.
+    Meant for aggregated values (few rows); per-row byte values use the
+    shift-based helpers below.
     """
     num_c = _wide(as_col(num))
     den_c = _wide(as_col(den))
     mag = F.abs(num_c) * F.lit(10**scale).cast(_WIDE)
     q, r = _quot_rem(mag, den_c)
-    q_rounded = _round_q(q, r, den_c, half_even)
+    twice = r * 2
+    bump = (twice > den_c) | ((twice == den_c) & (F.lit(not half_even) | (q % 2 == 1)))
+    q_rounded = F.when(bump, q + 1).otherwise(q)
     signed = F.when(num_c < 0, -q_rounded).otherwise(q_rounded)
     return signed.cast("double") / F.lit(float(10**scale))
 
 
-_EXACT_DOUBLE = 2**53
-
-
-def _scaled_quotient(num: Column, den, scale: int, half_even: bool) -> Column:
-    """Integer q = round(num * 10**scale / den) for num >= 0 and ``den`` a
-    power of two (int or Column).  Small values take an exact double path (a
-    power-of-two division of an integer below 2**53 is exact); larger ones
-    the decimal path."""
-    factor = 10**scale
-    den_col = as_col(den)
-    den_d = den_col.cast("double")
-    mag_d = num.cast("double") * F.lit(float(factor))
-    q_d = F.floor(mag_d / den_d)
-    r_d = mag_d - q_d * den_d
-    bump_d = (r_d * 2 > den_d) | ((r_d * 2 == den_d) & (F.lit(not half_even) | (q_d % 2 == 1)))
-    fast = F.when(bump_d, q_d + 1).otherwise(q_d).cast(_WIDE)
-    mag = _wide(num) * F.lit(factor).cast(_WIDE)
-    den_c = _wide(den_col)
-    q, r = _quot_rem(mag, den_c)
-    slow = _round_q(q, r, den_c, half_even)
-    return F.when(num < F.lit(_EXACT_DOUBLE // factor), fast).otherwise(slow)
+def _pow2_quotient(n: Column, shift: int, scale: int, half_even: bool) -> Column:
+    """q = round(n * 10**scale / 2**shift) for 0 <= n < 2**63 / 10**scale.
+
+    Larger ``n`` is clamped to 0 before multiplying: callers branch such
+    values elsewhere, but common-subexpression elimination may evaluate this
+    expression for every row."""
+    limit = (1 << 63) // 10**scale
+    t = F.when(n < F.lit(limit), n).otherwise(F.lit(0).cast("long")) * F.lit(10**scale)
+    q0 = F.shiftright(t, shift)
+    r = t.bitwiseAND(F.lit((1 << shift) - 1))
+    half = F.lit(1 << (shift - 1))
+    tie_up = (q0.bitwiseAND(F.lit(1)) == 1) if half_even else F.lit(True)
+    bump = (r > half) | ((r == half) & tie_up)
+    return q0 + F.when(bump, F.lit(1)).otherwise(F.lit(0))
 
 
 def _fixed2(q: Column) -> Column:
     """Render integer hundredths ``q`` (>= 0) as ``'<int>.<2 digits>'``."""
-    whole = F.floor(q / 100).cast("string")
-    frac = F.lpad((q % 100).cast("int").cast("string"), 2, "0")
-    return F.concat(whole, F.lit("."), frac)
+    return F.concat(
+        (q / F.lit(100)).cast("long").cast("string"),
+        F.lit("."),
+        F.lpad((q % F.lit(100)).cast("string"), 2, "0"),
+    )
+
+
+# From this many bytes on, n * 100 no longer fits a long; such sizes
+# (>= 64 PiB) are formatted from the double value, as Python does after
+# ``float(size)``.
+_HUGE = 1 << 56
 
 
+@reusable
 def format_size(size) -> Column:
     """Human-readable size: ``0 B`` for null/0, ``n B`` below 1 KiB, else
-    two decimals in KB..PB with ties to even (Python ``'.2f'``).
-
-    The unit index is picked once, so a single quotient is evaluated per row
-    (keeps the generated code small)."""
+    two decimals in KB..PB with ties to even (Python ``'.2f'``)."""
     n = as_col(size).cast("long")
-    k = F.lit(len(SIZE_UNITS) - 1)
-    for i in range(len(SIZE_UNITS) - 2, 0, -1):
-        k = F.when(n < F.lit(BYTES_IN_KB ** (i + 1)), F.lit(i)).otherwise(k)
-    den = F.pow(F.lit(float(BYTES_IN_KB)), k).cast("long")
-    unit = F.element_at(F.array(*[F.lit(u) for u in SIZE_UNITS[1:]]), k)
-    rendered = F.concat(_fixed2(_scaled_quotient(n, den, 2, half_even=True)), F.lit(" "), unit)
-    return (
-        F.when(n.isNull() | (n == 0), F.lit("0 B"))
-        .when(n < F.lit(BYTES_IN_KB), F.concat(n.cast("string"), F.lit(" B")))
-        .otherwise(rendered)
+    expr = F.when(n.isNull() | (n == 0), F.lit("0 B")).when(
+        n < F.lit(BYTES_IN_KB), F.concat(n.cast("string"), F.lit(" B"))
     )
+    last = len(SIZE_UNITS) - 1
+    for k in range(1, last + 1):
+        rendered = F.concat(_fixed2(_pow2_quotient(n, 10 * k, 2, half_even=True)), F.lit(" " + SIZE_UNITS[k]))
+        limit = BYTES_IN_KB ** (k + 1) if k < last else _HUGE
+        expr = expr.when(n < F.lit(limit), rendered)
+    huge = F.format_string("%.2f PB", F.bround(n.cast("double") / F.lit(float(BYTES_IN_KB**last)), 2))
+    return expr.otherwise(huge)
 
 
+@reusable
 def bytes_to(size, unit: str) -> Column:
     """Bytes → KB/MB/GB/TB as a double (exact: division by a power of two)."""
-    factor = {"KB": BYTES_IN_KB, "MB": BYTES_IN_MB, "GB": BYTES_IN_GB, "TB": BYTES_IN_TB}[unit]
-    return as_col(size).cast("double") / F.lit(float(factor))
+    return as_col(size).cast("double") / F.lit(float(1 << _SHIFT[unit]))
 
 
+@reusable
 def rounded_units(size, unit: str, scale: int) -> Column:
-    """``ROUND(size / unit, scale)`` (ties away from zero) computed exactly
-    from the byte count; per-row values take the exact double fast path."""
-    factor = {"KB": BYTES_IN_KB, "MB": BYTES_IN_MB, "GB": BYTES_IN_GB, "TB": BYTES_IN_TB}[unit]
+    """``ROUND(size / unit, scale)`` (ties away from zero), exact, per row.
+    Sizes too large for long arithmetic (over ~900 TiB at four decimals)
+    take the decimal path."""
+    shift = _SHIFT[unit]
     n = as_col(size).cast("long")
-    q = _scaled_quotient(F.abs(n), factor, scale, half_even=False)
-    signed = F.when(n < 0, -q).otherwise(q)
-    return signed.cast("double") / F.lit(float(10**scale))
+    mag = F.abs(n)
+    fast = _pow2_quotient(mag, shift, scale, half_even=False).cast("double") / F.lit(float(10**scale))
+    slow = round_ratio(mag, F.lit(1 << shift), scale)
+    q = F.when(mag < F.lit((1 << 63) // 10**scale), fast).otherwise(slow)
+    return F.when(n < 0, -q).otherwise(q)
 
 
+@reusable
 def format_gb(size) -> Column:
     """Dashboard GB label: Python ``f'{bytes / 1024**3:,.2f} GB'``
     (comma thousands, ties to even); null → ``0.00 GB``."""
-    n = F.coalesce(as_col(size).cast("long"), F.lit(0))
-    q = _scaled_quotient(F.abs(n), BYTES_IN_GB, 2, half_even=True)
-    whole = F.format_number(F.floor(q / 100).cast("long"), 0)
-    frac = F.lpad((q % 100).cast("int").cast("string"), 2, "0")
+    n = F.coalesce(as_col(size).cast("long"), F.lit(0).cast("long"))
+    mag = F.abs(n)
+    q_fast = _pow2_quotient(mag, 30, 2, half_even=True)
+    q = F.when(mag < F.lit(_HUGE), q_fast).otherwise(
+        (round_ratio(mag, F.lit(BYTES_IN_GB), 2, half_even=True) * F.lit(100.0)).cast("long")
+    )
+    whole = F.format_number((q / F.lit(100)).cast("long"), 0)
+    frac = F.lpad((q % F.lit(100)).cast("string"), 2, "0")
     sign = F.when(n < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(sign, whole, F.lit("."), frac, F.lit(" GB"))
 
 
+@reusable
 def format_count(value) -> Column:
     """Integer with '.' as thousands separator (``f'{int(v):,}'`` then ','→'.');
     null → '0'."""
@@ -149,6 +157,7 @@ def format_count(value) -> Column:
     return F.translate(F.format_number(truncated, 0), ",", ".")
 
 
+@reusable
 def mb_to_bytes(value) -> Column:
     """Megabytes (number or text) → bytes, rounded half to even; bad → null."""
     mb = as_col(value).try_cast("double")

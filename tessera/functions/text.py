@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.common import as_col, py_strip
+from tessera.functions.common import reusable, as_col, py_strip
 
 # Labels the reports use for missing names and extensions.
 NO_NAME = "(sem nome)"
@@ -18,12 +18,14 @@ TRUTHY_VALUES = ["1", "true", "yes", "y", "sim"]
 LABEL_MAX_CHARS = 32
 
 
+@reusable
 def clean_text(value, default: str = "") -> Column:
     """``fillna(default).astype(str).str.strip()`` — null → default, then
     strip; a blank string stays blank."""
     return py_strip(F.coalesce(as_col(value).cast("string"), F.lit(default)))
 
 
+@reusable
 def label_or_default(value, label: str = NO_EXTENSION) -> Column:
     """``COALESCE(NULLIF(x, ''), label)``."""
     v = as_col(value)
@@ -40,6 +42,7 @@ def is_true_text(value) -> Column:
     return F.coalesce(F.lower(py_strip(as_col(value))) == F.lit("true"), F.lit(False))
 
 
+@reusable
 def report_int(value) -> Column:
     """Usage-report integer: strip, drop ',' thousands separators,
     ``int(float(x))`` (truncate toward zero); blank or bad → 0."""
@@ -61,6 +64,7 @@ def to_int_or_null(value) -> Column:
     return as_col(value).try_cast("long")
 
 
+@reusable
 def shorten_label(value, max_chars: int = LABEL_MAX_CHARS) -> Column:
     """Chart label: null/'' → '(sem nome)'; strip; longer than ``max_chars``
     → first ``max_chars - 1`` characters + '...'."""

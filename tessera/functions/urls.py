@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.common import as_col, py_strip, rtrim_chars
+from tessera.functions.common import reusable, as_col, py_strip, rtrim_chars
 from tessera.functions.text import NO_NAME
 
 # URL pieces as Python's ``urlsplit`` sees them: an optional scheme, an
@@ -20,6 +20,7 @@ _PATH_RE = r"^(?://[^/?#]*)?([^?#]*)"
 ROOT_MARKER = "root:"
 
 
+@reusable
 def normalize_url(value) -> Column:
     """trim, lower-case, drop trailing '/'; null → ''."""
     v = F.lower(py_strip(F.coalesce(as_col(value), F.lit(""))))
@@ -30,20 +31,24 @@ def _after_scheme(url: Column) -> Column:
     return F.regexp_replace(url, _SCHEME_RE, "")
 
 
+@reusable
 def url_netloc(value) -> Column:
     return F.regexp_extract(_after_scheme(as_col(value)), _NETLOC_RE, 1)
 
 
+@reusable
 def url_path(value) -> Column:
     return F.regexp_extract(_after_scheme(as_col(value)), _PATH_RE, 1)
 
 
+@reusable
 def last_path_segment(value) -> Column:
     """``urlparse(url).path.rstrip('/').split('/')[-1]``."""
     path = rtrim_chars(url_path(value), "/")
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+@reusable
 def display_site_name(site_name, site_url) -> Column:
     """Name unless blank or containing ',', else the last URL path segment,
     else the URL host, else the name, else '(sem nome)'."""
@@ -62,6 +67,7 @@ def display_site_name(site_name, site_url) -> Column:
     )
 
 
+@reusable
 def site_id_variants(value) -> Column:
     """Lower-cased whole id followed by each non-blank ','-part, distinct,
     first occurrence kept; null/blank → empty array."""
@@ -71,6 +77,7 @@ def site_id_variants(value) -> Column:
     return F.when(v == "", F.array().cast("array<string>")).otherwise(variants)
 
 
+@reusable
 def full_path(parent_path, name) -> Column:
     """``rstrip(parent, '/') + '/' + name`` or just ``name`` without parent."""
     p = as_col(parent_path)

@@ -1,10 +1,17 @@
 """Join helpers.
 
-Broadcasting is only ever requested for a side whose size has been checked:
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows of the candidate
-(a bounded job) and hints a broadcast only when it fits.  Otherwise the
-plan is left to Catalyst and AQE, which pick sort-merge or shuffle-hash and
-may still convert to a broadcast at runtime from measured shuffle sizes.
+Two size checks guard every broadcast:
+
+* by default (``lookup_join`` without ``max_broadcast_rows``) the decision
+  is Spark's: Catalyst broadcasts a side whose estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold``, and AQE converts a sort-merge
+  join to a broadcast only when the *measured* shuffle output of that side
+  is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those
+  thresholds the join stays a shuffle join (AQE splits skewed partitions).
+* ``broadcast_if_small`` / ``max_broadcast_rows`` counts at most
+  ``max_rows + 1`` rows of the candidate (a bounded job) and hints a
+  broadcast only when it fits — for callers that want the hint regardless
+  of estimates.
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ def lookup_join(
     lookup: DataFrame,
     on,
     how: str = "left",
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join a (possibly huge, possibly skewed) fact table to a lookup table.
 

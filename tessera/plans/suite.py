@@ -18,6 +18,22 @@ from tessera.sources import testdata as td
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
+_PLANS: dict = {}
+
+
+def shared_plan(name: str, spark: SparkSession, sf_dir: str, build):
+    """Build a lazy DataFrame (or dict of them) once per session and data
+    folder.  Only plans are shared — every action still executes them in
+    full; nothing here holds computed or checkpointed data."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
+def catalog(spark: SparkSession, sf_dir: str):
+    return shared_plan("catalog", spark, sf_dir, lambda: td.catalog(spark, sf_dir))
+
 
 def register(name: str):
     def deco(fn: QueryFn) -> QueryFn:
@@ -30,9 +46,12 @@ def register(name: str):
 # --------------------------------------------------------------------------- lakehouse
 
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    cat = td.catalog(spark, sf_dir)
-    bronze = lh.build_bronze(cat.sites, cat.drives, cat.items, flatten=False)
-    return lh.build_silver(bronze, td.AS_OF)
+    def build():
+        cat = catalog(spark, sf_dir)
+        bronze = lh.build_bronze(cat.sites, cat.drives, cat.items, flatten=False)
+        return lh.build_silver(bronze, td.AS_OF)
+
+    return shared_plan("silver", spark, sf_dir, build)
 
 
 @register("storage_kpis")
@@ -73,14 +92,15 @@ from tessera.plans import reports as rp  # noqa: E402
 
 
 def inventory_df(spark: SparkSession, sf_dir: str, rollup: bool = False) -> DataFrame:
-    cat = td.catalog(spark, sf_dir)
-    items = recalculate_folders(cat.items) if rollup else cat.items
-    return inv_plan.inventory(items, cat.sites, cat.drives)
+    cat = catalog(spark, sf_dir)
+    if rollup:  # runs the rollup's checkpointed iterations: never shared
+        return inv_plan.inventory(recalculate_folders(cat.items), cat.sites, cat.drives)
+    return shared_plan("inventory", spark, sf_dir, lambda: inv_plan.inventory(cat.items, cat.sites, cat.drives))
 
 
 @register("folder_rollup")
 def q_folder_rollup(spark, sf_dir):
-    cat = td.catalog(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
     totals = folder_totals(cat.items)
     paths = cat.items.filter("item_type = 'folder'").select("drive_id", "id", "full_path")
     from tessera.functions import format_size
@@ -240,8 +260,11 @@ from tessera.schemas import PRIORITY_COLUMNS  # noqa: E402
 
 
 def priority_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the distributed rank checkpoints its sorted input: never shared
     t = td.Tables(spark, sf_dir)
-    return pr.prioritize(td.usage_report(t), td.site_list(t))
+    report = shared_plan("usage_report", spark, sf_dir, lambda: td.usage_report(t))
+    sites = shared_plan("site_list", spark, sf_dir, lambda: td.site_list(t))
+    return pr.prioritize(report, sites)
 
 
 def dashboard_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,14 +330,14 @@ def q_sync_counts(spark, sf_dir):
 @register("catalog_stats")
 def q_catalog_stats(spark, sf_dir):
     t = td.Tables(spark, sf_dir)
-    cat = td.catalog(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
     return cg.catalog_stats(cat.sites, cat.drives, cat.items, td.errors(t), sync_from_pages(td.page_log(t)))
 
 
 @register("export_summary")
 def q_export_summary(spark, sf_dir):
     t = td.Tables(spark, sf_dir)
-    cat = td.catalog(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
     return cg.summary(cat.sites, cat.drives, cat.items, td.errors(t))
 
 
@@ -326,14 +349,14 @@ from tessera.plans import urls as ur  # noqa: E402
 
 def audit_df(spark, sf_dir):
     t = td.Tables(spark, sf_dir)
-    cat = td.catalog(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
     collected = au.collected_per_site(cat.sites, cat.drives, cat.items)
     return au.audit_sites(au.expected_sites(td.expected_usage(t)), collected)
 
 
 @register("collected_per_site")
 def q_collected(spark, sf_dir):
-    cat = td.catalog(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
     return au.collected_per_site(cat.sites, cat.drives, cat.items)
 
 
@@ -353,7 +376,7 @@ def metrics_df(spark, sf_dir):
 
 @register("storage_metrics_report")
 def q_metrics_report(spark, sf_dir):
-    return au.metrics_report(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites)
+    return au.metrics_report(metrics_df(spark, sf_dir), catalog(spark, sf_dir).sites)
 
 
 @register("storage_ingest_counts")
@@ -363,12 +386,12 @@ def q_ingest_counts(spark, sf_dir):
 
 @register("version_kpis")
 def q_version_kpis(spark, sf_dir):
-    return au.version_kpis(au.ok_metrics(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites))
+    return au.version_kpis(au.ok_metrics(metrics_df(spark, sf_dir), catalog(spark, sf_dir).sites))
 
 
 @register("version_table")
 def q_version_table(spark, sf_dir):
-    return au.version_table(au.ok_metrics(metrics_df(spark, sf_dir), td.catalog(spark, sf_dir).sites))
+    return au.version_table(au.ok_metrics(metrics_df(spark, sf_dir), catalog(spark, sf_dir).sites))
 
 
 @register("page_urls")
