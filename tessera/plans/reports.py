@@ -43,9 +43,16 @@ DASH_TOP_EXTENSIONS = 20
 DASH_UNUSED_SAMPLE = 100
 DASH_CHART_TOP = 10
 
-IS_FILE = F.col("tipo_item") == "file"
-IS_FOLDER = F.col("tipo_item") == "folder"
-FILE_BYTES = F.when(IS_FILE, F.col("tamanho_bytes")).otherwise(F.lit(0))
+def _is_file() -> Column:
+    return F.col("tipo_item") == "file"
+
+
+def _is_folder() -> Column:
+    return F.col("tipo_item") == "folder"
+
+
+def _file_bytes() -> Column:
+    return F.when(_is_file(), F.col("tamanho_bytes")).otherwise(F.lit(0))
 
 
 def filter_sites(df: DataFrame, sites: Sequence[str] | DataFrame | None, column: str = "site_name", empty_means_all: bool = True) -> DataFrame:
@@ -82,9 +89,9 @@ def client_site_summary(inv: DataFrame) -> DataFrame:
         inv.groupBy("site_name", "site_url")
         .agg(
             F.countDistinct("biblioteca").alias("Bibliotecas"),
-            F.count_if(IS_FILE).alias("Arquivos"),
-            F.count_if(IS_FOLDER).alias("Pastas"),
-            _sum_long(FILE_BYTES).alias("_bytes"),
+            F.count_if(_is_file()).alias("Arquivos"),
+            F.count_if(_is_folder()).alias("Pastas"),
+            _sum_long(_file_bytes()).alias("_bytes"),
             F.max("data_modificacao").alias("Ultima modificacao identificada"),
         )
         .select(
@@ -100,7 +107,7 @@ def client_site_summary(inv: DataFrame) -> DataFrame:
 def client_extension_summary(inv: DataFrame) -> DataFrame:
     n_sized = F.count("tamanho_bytes")
     return (
-        inv.filter(IS_FILE)
+        inv.filter(_is_file())
         .groupBy(_ext_label().alias("Extensao"))
         .agg(
             F.count(F.lit(1)).alias("Arquivos"),
@@ -133,7 +140,7 @@ def client_largest_files(inv: DataFrame, limit: int = CLIENT_TOP_FILES) -> DataF
     """Top-k by size: TakeOrderedAndProject keeps k rows per task, then
     merges, so no task sees more than its own input plus k rows."""
     return (
-        _file_brief(inv.filter(IS_FILE))
+        _file_brief(inv.filter(_is_file()))
         .orderBy(F.desc_nulls_last("tamanho_bytes"), "id_item")
         .limit(limit)
         .drop("tamanho_bytes", "id_item")
@@ -143,7 +150,7 @@ def client_largest_files(inv: DataFrame, limit: int = CLIENT_TOP_FILES) -> DataF
 def client_old_files(inv: DataFrame, as_of, old_file_days: int = OLD_FILE_DAYS, limit: int = CLIENT_TOP_FILES) -> DataFrame:
     cutoff = F.date_sub(F.lit(as_of).cast("date"), old_file_days)
     return (
-        _file_brief(inv.filter(IS_FILE & _older_than("data_modificacao", cutoff)))
+        _file_brief(inv.filter(_is_file() & _older_than("data_modificacao", cutoff)))
         .orderBy(F.desc_nulls_last("tamanho_bytes"), "id_item")
         .limit(limit)
         .drop("tamanho_bytes", "id_item")
@@ -153,7 +160,7 @@ def client_old_files(inv: DataFrame, as_of, old_file_days: int = OLD_FILE_DAYS,
 def client_file_list(inv: DataFrame) -> DataFrame:
     """Every file, sorted by site, library, path (nulls last)."""
     return (
-        inv.filter(IS_FILE)
+        inv.filter(_is_file())
         .select(
             F.col("site_name").alias("Site"), F.col("site_url").alias("URL do site"),
             F.col("biblioteca").alias("Biblioteca"), F.col("caminho_completo_da_pasta").alias("Pasta"),
@@ -189,9 +196,9 @@ def profile_sites(inv: DataFrame) -> DataFrame:
         inv.groupBy("site_name", "site_url", "tenant_site")
         .agg(
             F.countDistinct("biblioteca").alias("bibliotecas"),
-            F.count_if(IS_FILE).alias("arquivos"),
-            F.count_if(IS_FOLDER).alias("pastas"),
-            _sum_long(FILE_BYTES).alias("total_bytes_arquivos"),
+            F.count_if(_is_file()).alias("arquivos"),
+            F.count_if(_is_folder()).alias("pastas"),
+            _sum_long(_file_bytes()).alias("total_bytes_arquivos"),
         )
         .withColumn("total_gb_arquivos", round_ratio(F.col("total_bytes_arquivos"), BYTES_IN_GB, 2))
         .orderBy(F.desc_nulls_last("total_bytes_arquivos"), F.asc_nulls_last("site_name"), "site_url")
@@ -201,12 +208,12 @@ def profile_sites(inv: DataFrame) -> DataFrame:
 def profile_totals(inv: DataFrame) -> DataFrame:
     return inv.agg(
         F.count(F.lit(1)).alias("total_linhas"),
-        F.count_if(IS_FILE).alias("arquivos"),
-        F.count_if(IS_FOLDER).alias("pastas"),
+        F.count_if(_is_file()).alias("arquivos"),
+        F.count_if(_is_folder()).alias("pastas"),
         F.countDistinct("site_url").alias("sites"),
         F.countDistinct("id_drive").alias("drives"),
         F.countDistinct("biblioteca").alias("bibliotecas"),
-        F.sum(FILE_BYTES).cast("long").alias("total_bytes_arquivos"),
+        F.sum(_file_bytes()).cast("long").alias("total_bytes_arquivos"),
         F.min("data_modificacao").alias("menor_data_modificacao"),
         F.max("data_modificacao").alias("maior_data_modificacao"),
     )
@@ -230,7 +237,7 @@ PROFILE_SAMPLE_COLUMNS = [
 def profile_latest_files(inv: DataFrame, limit: int = PROFILE_LATEST, columns: Sequence[str] | None = None) -> DataFrame:
     cols = list(columns) if columns else PROFILE_SAMPLE_COLUMNS
     return (
-        inv.filter(IS_FILE)
+        inv.filter(_is_file())
         .orderBy(F.desc_nulls_last("data_modificacao"), "id_drive", "id_item")
         .limit(limit)
         .select(*cols)
@@ -243,7 +250,7 @@ def profile_sample(inv: DataFrame, limit: int = PROFILE_SAMPLE) -> DataFrame:
 
 def profile_extensions(inv: DataFrame, limit: int = PROFILE_TOP) -> DataFrame:
     return (
-        inv.filter(IS_FILE)
+        inv.filter(_is_file())
         .groupBy(_ext_label().alias("extensao"))
         .agg(F.count(F.lit(1)).alias("arquivos"), F.sum("tamanho_bytes").cast("long").alias("total_bytes"))
         .withColumn("total_gb", F.when(F.col("total_bytes").isNotNull(), round_ratio(F.col("total_bytes"), BYTES_IN_GB, 2)))
@@ -254,7 +261,7 @@ def profile_extensions(inv: DataFrame, limit: int = PROFILE_TOP) -> DataFrame:
 
 def profile_libraries(inv: DataFrame, limit: int = PROFILE_TOP) -> DataFrame:
     return (
-        inv.filter(IS_FILE)
+        inv.filter(_is_file())
         .groupBy("site_name", "site_url", "biblioteca")
         .agg(F.count(F.lit(1)).alias("arquivos"), F.sum("tamanho_bytes").cast("long").alias("total_bytes"))
         .withColumn("total_gb", F.when(F.col("total_bytes").isNotNull(), round_ratio(F.col("total_bytes"), BYTES_IN_GB, 2)))
@@ -265,7 +272,7 @@ def profile_libraries(inv: DataFrame, limit: int = PROFILE_TOP) -> DataFrame:
 
 def profile_folders(inv: DataFrame, limit: int = PROFILE_TOP) -> DataFrame:
     return (
-        inv.filter(IS_FOLDER)
+        inv.filter(_is_folder())
         .orderBy(F.desc_nulls_last("volume_total_pasta_bytes"), "id_drive", "id_item")
         .limit(limit)
         .select(
@@ -286,7 +293,7 @@ def _blank(c: str) -> Column:
 
 
 def profile_missing(inv: DataFrame) -> DataFrame:
-    return inv.filter(IS_FILE).agg(
+    return inv.filter(_is_file()).agg(
         F.count(F.lit(1)).alias("arquivos"),
         F.count_if(_blank("data_ultimo_uso_acesso")).alias("sem_ultimo_acesso"),
         F.count_if(_blank("data_modificacao")).alias("sem_data_modificacao"),
@@ -311,9 +318,9 @@ def dash_overview(inv: DataFrame, sites=None) -> DataFrame:
     return df.agg(
         F.countDistinct("site_url").alias("sites"),
         F.countDistinct("biblioteca").alias("libraries"),
-        F.count_if(IS_FILE).alias("files"),
-        F.count_if(IS_FOLDER).alias("folders"),
-        _sum_long(FILE_BYTES).alias("total_bytes"),
+        F.count_if(_is_file()).alias("files"),
+        F.count_if(_is_folder()).alias("folders"),
+        _sum_long(_file_bytes()).alias("total_bytes"),
     )
 
 
@@ -321,7 +328,7 @@ def dash_top_sites(inv: DataFrame, sites=None, limit: int = DASH_TOP_SITES) -> D
     df = filter_sites(inv, sites)
     return (
         df.groupBy("site_name", "site_url")
-        .agg(F.count_if(IS_FILE).alias("file_count"), _sum_long(FILE_BYTES).alias("storage_bytes"))
+        .agg(F.count_if(_is_file()).alias("file_count"), _sum_long(_file_bytes()).alias("storage_bytes"))
         .orderBy(F.desc("storage_bytes"), F.asc_nulls_last("site_name"), F.asc_nulls_last("site_url"))
         .limit(limit)
         .withColumn("storage_gb", bytes_to("storage_bytes", "GB"))
@@ -329,7 +336,7 @@ def dash_top_sites(inv: DataFrame, sites=None, limit: int = DASH_TOP_SITES) -> D
 
 
 def dash_top_extensions(inv: DataFrame, sites=None, limit: int = DASH_TOP_EXTENSIONS) -> DataFrame:
-    df = filter_sites(inv.filter(IS_FILE), sites)
+    df = filter_sites(inv.filter(_is_file()), sites)
     return (
         df.groupBy(_ext_label().alias("extension"))
         .agg(F.count(F.lit(1)).alias("file_count"), _sum_long(F.col("tamanho_bytes")).alias("storage_bytes"))
@@ -360,7 +367,7 @@ def unused_cutoff(as_of) -> Column:
 
 
 def _unused(inv: DataFrame, as_of, sites) -> DataFrame:
-    return filter_sites(inv.filter(IS_FILE & _older_than("data_modificacao", unused_cutoff(as_of))), sites)
+    return filter_sites(inv.filter(_is_file() & _older_than("data_modificacao", unused_cutoff(as_of))), sites)
 
 
 def dash_unused_by_site(inv: DataFrame, as_of, sites=None, limit: int = DASH_TOP_SITES) -> DataFrame:
@@ -390,11 +397,11 @@ def dash_unused_kpis(inv: DataFrame, as_of, sites=None) -> DataFrame:
     """Unused bytes/files and their share of all file bytes, over every row
     (not just the listed top sites), in one aggregation pass."""
     df = filter_sites(inv, sites)
-    old = IS_FILE & _older_than("data_modificacao", unused_cutoff(as_of))
+    old = _is_file() & _older_than("data_modificacao", unused_cutoff(as_of))
     agg = df.agg(
         _sum_long(F.when(old, F.col("tamanho_bytes")).otherwise(F.lit(0))).alias("unused_bytes"),
         F.count_if(old).alias("unused_files"),
-        _sum_long(FILE_BYTES).alias("total_bytes"),
+        _sum_long(_file_bytes()).alias("total_bytes"),
     )
     return agg.select(
         "unused_bytes", "unused_files",

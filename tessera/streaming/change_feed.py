@@ -56,7 +56,8 @@ class VersionedTable:
         v = self.current_version()
         if v is None:
             return None
-        return self.spark.read.schema(self.schema).parquet(f"{self.base}/v={v}")
+        reader = self.spark.read.schema(self.schema) if self.schema is not None else self.spark.read
+        return reader.parquet(f"{self.base}/v={v}")
 
     def committed(self, version: int) -> bool:
         commits = self._commits()
