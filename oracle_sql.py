@@ -806,3 +806,40 @@ SELECT file_id, drive_id, site_id, site_name, site_url, drive_name, drive_type,
        modified_at, CAST(modified_at AS DATE) AS modified_date, last_accessed_at, days_since_modified, usage_status, web_url,
        status, collected_at
 FROM silver_files2"""
+
+
+# --------------------------------------------------------------------------- site id resolution
+
+RESOLVE = """
+req AS (
+  SELECT trim(CASE WHEN c_custkey % 5 = 0 THEN 'h.example,sc' || CAST(c_custkey AS VARCHAR) || ',' || CAST(c_custkey AS VARCHAR)
+                   WHEN c_custkey % 4 = 0 THEN upper('SID-' || CAST(c_custkey AS VARCHAR))
+                   ELSE CAST(c_custkey AS VARCHAR) END) AS site_id
+  FROM customer
+),
+sl AS (
+  SELECT 'h.example,sc' || CAST(c_custkey AS VARCHAR) || ',' || CAST(c_custkey AS VARCHAR) AS id,
+         'sid-' || CAST(c_custkey AS VARCHAR) AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
+  FROM customer WHERE c_custkey % 3 <> 0
+),
+rkeys AS (
+  SELECT k, max(id) AS resolved_site_id FROM (
+    SELECT id, lower(id) AS k FROM sl
+    UNION ALL SELECT id, lower(sp1) FROM sl
+    UNION ALL SELECT id, lower(sp2) FROM sl
+    UNION ALL SELECT id, unnest(string_split(lower(id), ',')) FROM sl
+  ) WHERE k IS NOT NULL AND k <> '' GROUP BY k
+),
+direct AS (SELECT r.site_id, r.site_id AS resolved_site_id FROM req r WHERE r.site_id <> '' AND r.site_id IN (SELECT id FROM sl)),
+mapped AS (
+  SELECT r.site_id, k.resolved_site_id FROM req r LEFT JOIN rkeys k ON k.k = lower(r.site_id)
+  WHERE r.site_id <> '' AND r.site_id NOT IN (SELECT id FROM sl)
+)"""
+
+QUERIES["site_id_resolution"] = with_(RESOLVE) + """
+SELECT * FROM direct UNION ALL SELECT * FROM mapped WHERE resolved_site_id IS NOT NULL"""
+
+QUERIES["site_id_errors"] = with_(RESOLVE) + """
+SELECT 'site' AS entity_type, site_id AS entity_id, site_id, 'resolve_site_id' AS operation, 404 AS status_code,
+       'Site ID nao encontrado no Graph: ' || site_id AS message, false AS retryable
+FROM mapped WHERE resolved_site_id IS NULL"""

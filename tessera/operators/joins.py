@@ -50,3 +50,22 @@ def lookup_join(
     if max_broadcast_rows is not None:
         lookup = broadcast_if_small(lookup, max_broadcast_rows)
     return fact.join(lookup, on, how)
+
+
+def upsert_by_key(old: DataFrame | None, new: DataFrame, key, keep_old: list[str] | None = None) -> DataFrame:
+    """Insert-or-replace by ``key``: rows of ``new`` replace rows of ``old``
+    with the same key, except for ``keep_old`` columns (e.g. the first
+    ``discovered_at``), which keep the old value when there was one.
+
+    ``new`` is de-duplicated per key beforehand by the caller's rule (the
+    last write of a batch wins, see ``operators.dedup.latest_per_key``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if old is None:
+        return new
+    keep_old = [c for c in (keep_old or []) if c in old.columns]
+    kept = old.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_old])
+    untouched = old.join(new.select(*keys), keys, "left_anti")
+    replaced = new.join(kept, keys, "left")
+    for c in keep_old:
+        replaced = replaced.withColumn(c, F.coalesce(F.col(f"_old_{c}"), F.col(c))).drop(f"_old_{c}")
+    return untouched.unionByName(replaced.select(*old.columns), allowMissingColumns=True)

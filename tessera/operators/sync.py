@@ -214,3 +214,12 @@ def apply_failures(state: DataFrame, errors: DataFrame) -> DataFrame:
             for c in SYNC_COLUMNS
         ]
     )
+
+
+def clear_items(items: DataFrame, site_ids=None) -> DataFrame:
+    """Items kept after a checkpoint reset with ``clear_items``: those of
+    the site set go (``None`` = every site, empty set = none)."""
+    if site_ids is None:
+        return items.limit(0)
+    ids = list(site_ids)
+    return items.filter(~F.col("site_id").isin(ids) | F.col("site_id").isNull()) if ids else items

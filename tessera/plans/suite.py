@@ -426,3 +426,33 @@ def q_silver_drives(spark, sf_dir):
 @register("silver_files")
 def q_silver_files(spark, sf_dir):
     return silver(spark, sf_dir)["files"]
+
+
+# --------------------------------------------------------------------------- site id resolution
+
+from tessera.plans import sites as st  # noqa: E402
+
+
+def _requested_ids(spark, sf_dir):
+    """Requested ids: each usage-report site id, in upper case for every
+    fourth customer and as the composite id for every fifth."""
+    c = td.Tables(spark, sf_dir).customer
+    k = F.col("c_custkey").cast("string")
+    rid = (
+        F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit(td.HOST + ",sc"), k, F.lit(","), k))
+        .when(F.col("c_custkey") % 4 == 0, F.upper(F.concat(F.lit("SID-"), k)))
+        .otherwise(k)
+    )
+    return c.select(rid.alias("site_id"))
+
+
+@register("site_id_resolution")
+def q_site_id_resolution(spark, sf_dir):
+    resolved, _ = st.resolve_site_ids(_requested_ids(spark, sf_dir), td.site_list(td.Tables(spark, sf_dir)))
+    return resolved
+
+
+@register("site_id_errors")
+def q_site_id_errors(spark, sf_dir):
+    _, errors = st.resolve_site_ids(_requested_ids(spark, sf_dir), td.site_list(td.Tables(spark, sf_dir)))
+    return errors

@@ -31,15 +31,16 @@ def distinct_ids(ids: DataFrame) -> DataFrame:
 
 
 def read_storage_metric_results(spark: SparkSession, path: str) -> DataFrame:
-    """Collector output: a JSON array or a single object, BOM tolerated.
-    ``multiLine`` reads either form; numbers may be text."""
-    return (
-        spark.read.option("multiLine", True)
-        .option("encoding", "UTF-8")
-        .option("primitivesAsString", True)
-        .schema(STORAGE_METRIC_RESULT)
-        .json(path)
+    """Collector output files: each a JSON array of results or a single
+    result object, with or without a BOM; numbers may be text.  A file is
+    one document, so each is parsed whole (one row per file)."""
+    text = spark.read.text(path, wholetext=True).select(
+        py_strip(F.regexp_replace(F.col("value"), "^" + BOM, "")).alias("doc")
     )
+    as_list = F.from_json(F.col("doc"), T.ArrayType(STORAGE_METRIC_RESULT))
+    as_one = F.array(F.from_json(F.col("doc"), STORAGE_METRIC_RESULT))
+    results = F.when(F.col("doc").startswith("["), as_list).otherwise(as_one)
+    return text.select(F.explode(results).alias("r")).select("r.*")
 
 
 def read_site_priority(spark: SparkSession, path: str) -> DataFrame:
