@@ -173,7 +173,7 @@ silver_files AS (
          f.mime_type, coalesce(f.size_bytes, 0) AS size_bytes,
          TRY_CAST(f.created_at AS TIMESTAMP) AS created_at, TRY_CAST(f.modified_at AS TIMESTAMP) AS modified_at,
          TRY_CAST(f.last_accessed_at AS TIMESTAMP) AS last_accessed_at,
-         date_diff('day', CAST(TRY_CAST(f.modified_at AS TIMESTAMP) AS DATE), AS_OF) AS days_since_modified,
+         CAST(date_diff('day', CAST(TRY_CAST(f.modified_at AS TIMESTAMP) AS DATE), AS_OF) AS INTEGER) AS days_since_modified,
          f.web_url, f.status, TRY_CAST(f.collected_at AS TIMESTAMP) AS collected_at
   FROM items f LEFT JOIN silver_sites s ON s.site_id = f.site_id LEFT JOIN silver_drives d ON d.drive_id = f.drive_id
   WHERE f.item_type = 'file' AND coalesce(f.status, '') <> 'deleted'
@@ -843,3 +843,24 @@ QUERIES["site_id_errors"] = with_(RESOLVE) + """
 SELECT 'site' AS entity_type, site_id AS entity_id, site_id, 'resolve_site_id' AS operation, 404 AS status_code,
        'Site ID nao encontrado no Graph: ' || site_id AS message, false AS retryable
 FROM mapped WHERE resolved_site_id IS NULL"""
+
+
+# --------------------------------------------------------------------------- result types
+
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
+QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}

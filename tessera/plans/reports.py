@@ -417,7 +417,7 @@ def site_chart(ranked: DataFrame, value_col: str = "storage_bytes", limit: int =
     w = Window.orderBy(F.desc(value_col), F.asc_nulls_last("site_name"), F.asc_nulls_last("site_url"))
     return top.select(
         "*",
-        F.row_number().over(w).alias("rank"),
+        F.row_number().over(w).cast("long").alias("rank"),
         display_site_name("site_name", "site_url").alias("site_display_name"),
     ).withColumn(
         "site_label", F.format_string("%02d. %s", F.col("rank"), shorten_label("site_display_name"))

@@ -29,6 +29,23 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _spark_family(t: str) -> str:
+    return {
+        "bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "double": "float64",
+        "float": "float32", "string": "string", "boolean": "bool", "date": "date", "timestamp": "timestamp",
+        "timestamp_ntz": "timestamp",
+    }.get(t, t)
+
+
+def _duck_family(t: str) -> str:
+    t = t.upper()
+    return {
+        "BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+        "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp",
+        "NUMBER": "number", "STRING": "string", "DATETIME": "timestamp",
+    }.get(t, t)
+
+
 def _norm(v):
     if v is None:
         return None
@@ -76,6 +93,11 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose: bool = True) -> di
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
         return res
+    s_types = {f.name: _spark_family(f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {c[0]: _duck_family(str(c[1])) for c in cur.description}
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+    if bad_types:
+        res["types"] = bad_types
     a, b = _rows(s_cols, s_recs), _rows(d_cols, d_recs)
     if a == b:
         res["status"] = "match"
