@@ -98,18 +98,31 @@ _HUGE = 1 << 56
 @reusable
 def format_size(size) -> Column:
     """Human-readable size: ``0 B`` for null/0, ``n B`` below 1 KiB, else
-    two decimals in KB..PB with ties to even (Python ``'.2f'``)."""
+    two decimals in KB..PB with ties to even (Python ``'.2f'``).
+
+    One quotient per row: the unit index k is chosen first and the shift
+    ``10 * k`` is a per-row value, which keeps the generated code small."""
     n = as_col(size).cast("long")
-    expr = F.when(n.isNull() | (n == 0), F.lit("0 B")).when(
-        n < F.lit(BYTES_IN_KB), F.concat(n.cast("string"), F.lit(" B"))
-    )
     last = len(SIZE_UNITS) - 1
-    for k in range(1, last + 1):
-        rendered = F.concat(_fixed2(_pow2_quotient(n, 10 * k, 2, half_even=True)), F.lit(" " + SIZE_UNITS[k]))
-        limit = BYTES_IN_KB ** (k + 1) if k < last else _HUGE
-        expr = expr.when(n < F.lit(limit), rendered)
-    huge = F.format_string("%.2f PB", F.bround(n.cast("double") / F.lit(float(BYTES_IN_KB**last)), 2))
-    return expr.otherwise(huge)
+    k = F.lit(last)
+    for i in range(last - 1, 0, -1):
+        k = F.when(n < F.lit(BYTES_IN_KB ** (i + 1)), F.lit(i)).otherwise(k)
+    shift = k * F.lit(10)
+    one = F.lit(1).cast("long")
+    t = F.when(n < F.lit(_HUGE), n).otherwise(F.lit(0).cast("long")) * F.lit(100)
+    q0 = F.call_function("shiftright", t, shift)
+    r = t.bitwiseAND(F.call_function("shiftleft", one, shift) - one)
+    half = F.call_function("shiftleft", one, shift - F.lit(1))
+    bump = (r > half) | ((r == half) & (q0.bitwiseAND(one) == one))
+    q = q0 + F.when(bump, one).otherwise(F.lit(0).cast("long"))
+    unit = F.element_at(F.array(*[F.lit(" " + u) for u in SIZE_UNITS[1:]]), k)
+    pb = F.bround(n.cast("double") / F.lit(float(BYTES_IN_KB**last)), 2)
+    return (
+        F.when(n.isNull() | (n == 0), F.lit("0 B"))
+        .when(n < F.lit(BYTES_IN_KB), F.concat(n.cast("string"), F.lit(" B")))
+        .when(n >= F.lit(_HUGE), F.concat(pb.cast("decimal(38,2)").cast("string"), F.lit(" PB")))
+        .otherwise(F.concat(_fixed2(q), unit))
+    )
 
 
 @reusable

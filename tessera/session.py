@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # a generated method above HotSpot's 8000-byte JIT limit would run
+    # interpreted; let Spark split/fall back instead (wide projections)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # broadcast thresholds: estimated (static) and measured (AQE) sizes
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
