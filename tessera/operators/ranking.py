@@ -6,6 +6,10 @@ normal distributed sort), counts rows per sorted partition (one small row
 per partition), turns the counts into offsets, and adds each row's index
 inside its partition.  The sorted rows are checkpointed first so partition
 ids and in-partition order are fixed when the counts are taken.
+
+A set proven small by a bounded count (``SMALL_RANK_ROWS``) takes one
+ordered window instead: the size check is the guard that keeps a single
+task's share bounded.
 """
 
 from __future__ import annotations
@@ -17,8 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+# Inputs proven (by a bounded count) to hold at most this many rows are
+# ranked with one ordered window: a single task over a checked, small set.
+SMALL_RANK_ROWS = 200_000
+
+
+def global_positions(
+    df: DataFrame, order: Sequence[Column], name: str = "rank", small_rows: int | None = SMALL_RANK_ROWS
+) -> DataFrame:
     """Add ``name`` = 1..n following ``order`` (which should be a total order)."""
+    if small_rows is not None:
+        from tessera.operators.joins import fits
+
+        if fits(df, small_rows):
+            return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     staged = (
         df.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())

@@ -67,8 +67,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     on the first (key) column is deterministic on retry without the sort a
     round-robin repartition needs.  Large inputs already have many splits
     and are untouched, so this never adds a shuffle at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    if splits < target:
         return df.repartition(target, F.col(df.columns[0]))
     return df
 

@@ -68,6 +68,8 @@ def test_url_enrichment_and_tiers(spark):
 
 def test_global_positions_equals_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 1000).alias("v"), F.col("id").alias("k")).repartition(7)
-    got = global_positions(df, [F.desc("v"), F.asc("k")], "rank")
+    got = global_positions(df, [F.desc("v"), F.asc("k")], "rank", small_rows=None)
+    small = global_positions(df, [F.desc("v"), F.asc("k")], "rank")
+    assert sorted((r.k, r.rank) for r in small.collect()) == sorted((r.k, r.rank) for r in got.collect())
     ref = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("v"), F.asc("k"))))
     assert sorted((r.k, r.rank) for r in got.collect()) == sorted((r.k, r.rank) for r in ref.collect())
