@@ -55,7 +55,7 @@ def prioritize_sites(
 ) -> dict:
     """Rank the usage report, write every output and return the summary."""
     report = pr.read_usage_report(spark, report_csv)
-    sk.copy_raw_text(spark, report_csv, f"{output_dir.rstrip('/')}/sharepoint_site_usage_detail_raw")
+    sk.copy_raw_text(spark, report_csv, f"{output_dir.rstrip('/')}/site_usage_detail_raw")
     priority = pr.prioritize(report, site_list, **thresholds).persist()
     try:
         paths = sk.write_priority(priority, output_dir, PRIORITY_COLUMNS)

@@ -10,11 +10,11 @@ from tessera.functions import py_strip
 
 def resolution_keys(site_list: DataFrame) -> DataFrame:
     """Every key a requested id may match, lower-cased: the whole id, each
-    ','-part, and the SharePoint site / collection / web ids.  A key several
+    ','-part, and the alternate site / collection / web ids.  A key several
     sites claim keeps the last site by id (the last write of the map)."""
     lid = F.lower(F.col("id"))
     keys = F.array_union(
-        F.array(lid, F.lower(F.col("sharepoint_site_id")), F.lower(F.col("sharepoint_site_collection_id")), F.lower(F.col("sharepoint_web_id"))),
+        F.array(lid, F.lower(F.col("alt_site_id")), F.lower(F.col("alt_collection_id")), F.lower(F.col("alt_web_id"))),
         F.split(lid, ","),
     )
     x = site_list.select("id", F.explode(keys).alias("k")).filter(F.col("k").isNotNull() & (F.col("k") != ""))
@@ -28,8 +28,8 @@ def resolve_site_ids(requested: DataFrame, site_list: DataFrame) -> tuple[DataFr
     up among the keys above.  Unresolved ids become error rows (404, not
     retryable), as the discovery step records them.
     """
-    if "sharepoint_web_id" not in site_list.columns:
-        site_list = site_list.withColumn("sharepoint_web_id", F.lit(None).cast("string"))
+    if "alt_web_id" not in site_list.columns:
+        site_list = site_list.withColumn("alt_web_id", F.lit(None).cast("string"))
     req = requested.select(py_strip(F.col("site_id")).alias("site_id")).filter(F.col("site_id") != "")
     direct = req.join(site_list.select(F.col("id").alias("site_id")), "site_id", "left_semi").withColumn(
         "resolved_site_id", F.col("site_id")

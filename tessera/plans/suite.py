@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 
 from tessera.plans import lakehouse as lh
 from tessera.sources import testdata as td
+from tessera.operators.hierarchy import folder_totals, recalculate_folders
+from tessera.plans import inventory as inv_plan
+from tessera.plans import reports as rp
+from tessera.plans import priority as pr
+from tessera.schemas import PRIORITY_COLUMNS
+from tessera.operators.changes import apply_changes
+from tessera.operators.sync import sync_from_pages
+from tessera.plans import catalog as cg
+from tessera.plans import audit as au
+from tessera.plans import urls as ur
+from tessera.plans import sites as st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -86,9 +97,6 @@ def q_archive_candidates(spark, sf_dir):
 
 # --------------------------------------------------------------------------- hierarchy & inventory
 
-from tessera.operators.hierarchy import folder_totals, recalculate_folders  # noqa: E402
-from tessera.plans import inventory as inv_plan  # noqa: E402
-from tessera.plans import reports as rp  # noqa: E402
 
 
 def inventory_df(spark: SparkSession, sf_dir: str, rollup: bool = False) -> DataFrame:
@@ -255,8 +263,6 @@ def q_gold_totals(spark, sf_dir):
 
 # --------------------------------------------------------------------------- site priority
 
-from tessera.plans import priority as pr  # noqa: E402
-from tessera.schemas import PRIORITY_COLUMNS  # noqa: E402
 
 
 def priority_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,9 +310,6 @@ def q_inactive_priority(spark, sf_dir):
 
 # --------------------------------------------------------------------------- change feed, sync state, catalogue stats
 
-from tessera.operators.changes import apply_changes  # noqa: E402
-from tessera.operators.sync import sync_from_pages  # noqa: E402
-from tessera.plans import catalog as cg  # noqa: E402
 
 APPLIED_COLUMNS = ["drive_id", "id", "site_id", "name", "size_bytes", "formatted_size", "modified_at", "status", "collected_at", "raw_json"]
 
@@ -343,8 +346,6 @@ def q_export_summary(spark, sf_dir):
 
 # --------------------------------------------------------------------------- audit, storage metrics, URLs, layers
 
-from tessera.plans import audit as au  # noqa: E402
-from tessera.plans import urls as ur  # noqa: E402
 
 
 def audit_df(spark, sf_dir):
@@ -430,7 +431,6 @@ def q_silver_files(spark, sf_dir):
 
 # --------------------------------------------------------------------------- site id resolution
 
-from tessera.plans import sites as st  # noqa: E402
 
 
 def _requested_ids(spark, sf_dir):

@@ -328,14 +328,14 @@ def usage_report(t: Tables) -> DataFrame:
 
 def site_list(t: Tables) -> DataFrame:
     """The tenant's site list: composite ids ``host,sc<k>,<k>`` for two of
-    every three customers, with SharePoint ids and a catalogue URL."""
+    every three customers, with alternate ids and a catalogue URL."""
     k = F.col("c_custkey")
     return t.customer.filter(k % 3 != 0).select(
         F.concat(F.lit(HOST + ",sc"), k.cast("string"), F.lit(","), k.cast("string")).alias("id"),
         F.col("c_name").alias("name"),
         F.concat(F.lit(SITE_URL_PREFIX + "cat-"), k.cast("string")).alias("web_url"),
-        F.concat(F.lit("sid-"), k.cast("string")).alias("sharepoint_site_id"),
-        F.concat(F.lit("col-"), F.col("c_nationkey").cast("string")).alias("sharepoint_site_collection_id"),
+        F.concat(F.lit("sid-"), k.cast("string")).alias("alt_site_id"),
+        F.concat(F.lit("col-"), F.col("c_nationkey").cast("string")).alias("alt_collection_id"),
     )
 
 

@@ -54,7 +54,7 @@ def test_url_enrichment_and_tiers(spark):
     rep = pr.read_usage_report(spark, write(CSV_A))
     sites = spark.createDataFrame(
         [("host,gA,S2", "https://x/sites/b", None, None)],
-        "id string, web_url string, sharepoint_site_id string, sharepoint_site_collection_id string",
+        "id string, web_url string, alt_site_id string, alt_collection_id string",
     )
     out = {r.site_id: r for r in pr.prioritize(rep, sites, over_1tb=4000, over_500gb=3000, over_100gb=2000).collect()}
     assert out["s2"].site_url == "https://x/sites/b"  # last id part matches
