@@ -6,10 +6,12 @@ read as a file stream.  Each micro-batch is applied with ``foreachBatch``:
 1. the batch's pages → change records (item JSON parsed with a fixed schema);
 2. ``apply_changes`` merges them into the current items snapshot, touching
    only the batch's keys;
-3. the new snapshot is written as a new version folder and then committed by
-   appending its version number to a small log table — readers always take
-   the newest committed version, so a half-written version is never read
-   and the folder being read is never overwritten;
+3. only the hash buckets (of ``drive_id``) that the batch touches are read,
+   merged and written as a new version folder, then committed by appending
+   ``(version, bucket)`` rows to a small log table — readers take each
+   bucket's newest committed version, so a half-written version is never
+   read, the folder being read is never overwritten, and untouched buckets
+   cost nothing;
 4. the drive sync state is folded from the batch's page log the same way.
 
 The stream's own checkpoint (offsets) lives in the shared checkpoint folder;
@@ -30,14 +32,31 @@ from tessera.session import ensure_checkpoint_dir
 from tessera.sources.change_pages import page_changes, page_log, read_pages_stream
 
 
-class VersionedTable:
-    """Snapshots under ``<base>/v=<n>``; ``<base>/_commits`` lists the
-    committed versions."""
+DEFAULT_BUCKETS = 64
+
+
+def bucket_of(col: str = "drive_id", buckets: int = DEFAULT_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
-    def __init__(self, spark: SparkSession, base: str, schema):
+
+class VersionedTable:
+    """Versioned, bucketed snapshots.
+
+    Rows live under ``<base>/v=<n>/_bucket=<b>`` (bucket = hash of
+    ``bucket_col``); ``<base>/_commits`` holds ``(version, bucket)`` for every
+    bucket a version rewrote.  The current table is, per bucket, its newest
+    committed version — so a batch rewrites only the buckets its keys touch,
+    a half-written version is never read, and no folder being read is
+    overwritten.  Only the bucket→version map (at most ``buckets`` rows)
+    reaches the driver.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, schema, bucket_col: str = "drive_id", buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
+        self.bucket_col = bucket_col
+        self.buckets = buckets
 
     def _commits(self) -> DataFrame | None:
         try:
@@ -52,34 +71,63 @@ class VersionedTable:
         row = commits.agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
-    def read(self) -> DataFrame | None:
-        v = self.current_version()
-        if v is None:
+    def _current_paths(self, only_buckets: list[int] | None = None) -> list[str]:
+        commits = self._commits()
+        if commits is None:
+            return []
+        if only_buckets is not None:
+            commits = commits.filter(F.col("bucket").isin(only_buckets))
+        latest = commits.groupBy("bucket").agg(F.max("version").alias("version")).collect()
+        return [f"{self.base}/v={r['version']}/_bucket={r['bucket']}" for r in latest]
+
+    def read(self, only_buckets: list[int] | None = None) -> DataFrame | None:
+        paths = self._current_paths(only_buckets)
+        if not paths:
             return None
         reader = self.spark.read.schema(self.schema) if self.schema is not None else self.spark.read
-        return reader.parquet(f"{self.base}/v={v}")
+        return reader.parquet(*paths)
 
     def committed(self, version: int) -> bool:
         commits = self._commits()
         return commits is not None and commits.filter(F.col("version") == version).limit(1).count() > 0
 
-    def commit(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/v={version}")
-        self.spark.createDataFrame([(version,)], "version long").write.mode("append").parquet(f"{self.base}/_commits")
+    def commit(self, df: DataFrame, version: int, touched: list[int]) -> None:
+        """Write the rows of the touched buckets as ``version`` and commit
+        the buckets that were written.  (Deletes are soft, so a touched
+        bucket with no rows never held any and needs no commit record.)"""
+        path = f"{self.base}/v={version}"
+        out = df.withColumn("_bucket", bucket_of(self.bucket_col, self.buckets))
+        out.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        try:
+            written = [r[0] for r in self.spark.read.parquet(path).select("_bucket").distinct().collect()]
+        except AnalysisException:  # nothing written at all
+            written = []
+        rows = [(version, int(b)) for b in written if int(b) in set(touched)]
+        if rows:
+            self.spark.createDataFrame(rows, "version long, bucket int").write.mode("append").parquet(f"{self.base}/_commits")
+
+
+def _touched_buckets(df: DataFrame, col: str, buckets: int) -> list[int]:
+    """Buckets hit by a batch (at most ``buckets`` values)."""
+    return sorted(r["b"] for r in df.select(bucket_of(col, buckets).alias("b")).distinct().collect())
 
 
 def apply_pages(spark: SparkSession, pages: DataFrame, items: VersionedTable, sync: VersionedTable, version: int) -> None:
-    """Apply one batch of landed pages (a static DataFrame)."""
+    """Apply one batch of landed pages (a static DataFrame): only the
+    buckets of the drives in the batch are read, merged and rewritten."""
     if items.committed(version):
         return
     pages = pages.persist()
     try:
-        state = items.read()
+        touched = _touched_buckets(pages, "drive_id", items.buckets)
+        if not touched:
+            return
+        state = items.read(touched)
         changes = page_changes(pages, state)
         new_items = apply_changes(state, changes).select(*ITEM_COLUMNS)
-        items.commit(new_items, version)
-        new_sync = sync_from_pages(page_log(pages), sync.read())
-        sync.commit(new_sync, version)
+        items.commit(new_items, version, touched)
+        new_sync = sync_from_pages(page_log(pages), sync.read(touched))
+        sync.commit(new_sync, version, touched)
     finally:
         pages.unpersist()
 
