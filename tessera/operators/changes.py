@@ -27,6 +27,10 @@ from tessera.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from tessera.schemas import ITEM_KEY, ITEM_ROLLUP_COLUMNS, ITEMS
 
 ORDER_FIELDS = ["page_seq", "is_tombstone", "row_idx"]
+# Optional state columns: the order key of the change that produced a row.
+# With them, a change that arrives late but is older than the row loses, so
+# pages may be applied in any arrival order.
+STATE_ORDER = ["_last_page_seq", "_last_is_tombstone", "_last_row_idx"]
 ITEM_COLUMNS = [f.name for f in ITEMS.fields]
 PAYLOAD_COLUMNS = [c for c in ITEM_COLUMNS if c not in ITEM_KEY + ITEM_ROLLUP_COLUMNS + ["collected_at"]]
 
@@ -46,6 +50,11 @@ def _conform(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _types(columns: list[str]):
+    types = {f.name: f.dataType for f in ITEMS.fields}
+    return [(c, types[c]) for c in columns]
+
+
 def affected_keys(changes: DataFrame) -> DataFrame:
     return changes.select(*ITEM_KEY).distinct()
 
@@ -71,12 +80,17 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
     cols = ITEM_KEY + PAYLOAD_COLUMNS + ["collected_at", "_has", "_prior", "_ord", "_tomb"] + ITEM_ROLLUP_COLUMNS
     union = new.select(*cols)
     if state is not None:
-        old = _conform(state, ITEM_COLUMNS).select(
-            *ITEM_KEY, *PAYLOAD_COLUMNS, "collected_at",
+        has_order = all(c in state.columns for c in STATE_ORDER)
+        prior_ord = (
+            _order(F.coalesce(F.col("_last_page_seq"), F.lit(-1)), F.lit(0), F.coalesce(F.col("_last_row_idx"), F.lit(-1)))
+            if has_order
+            else _order(F.lit(-1), F.lit(0), F.lit(-1))
+        )
+        old = state.select(
+            *[(F.col(c) if c in state.columns else F.lit(None)).cast(t).alias(c) for c, t in _types(ITEM_COLUMNS)],
             F.lit(True).alias("_has"), F.lit(True).alias("_prior"),
-            _order(F.lit(-1), F.lit(0), F.lit(-1)).alias("_ord"),
+            prior_ord.alias("_ord"),
             F.lit(False).alias("_tomb"),
-            *ITEM_ROLLUP_COLUMNS,
         )
         union = old.select(*cols).unionByName(union)
 
@@ -87,6 +101,7 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
         F.max(F.when(F.col("_tomb"), F.col("_ord"))).alias("_dead"),
         F.max_by(payload, up_ord).alias("_p"),
         F.max_by(F.col("collected_at"), F.col("_ord")).alias("collected_at"),
+        F.max(F.col("_ord")).alias("_last"),
         *[F.max(F.when(F.col("_prior"), F.col(c))).alias(c) for c in ITEM_ROLLUP_COLUMNS],
     )
     live = agg.filter(F.col("_up").isNotNull())
@@ -105,7 +120,12 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
             out.append(F.col(c))
         else:
             out.append(F.col(f"_p.{c}").alias(c))
-    return live.select(*out)
+    return live.select(
+        *out,
+        F.col("_last.page_seq").alias("_last_page_seq"),
+        F.col("_last.is_tombstone").alias("_last_is_tombstone"),
+        F.col("_last.row_idx").alias("_last_row_idx"),
+    )
 
 
 def apply_changes(state: DataFrame | None, changes: DataFrame, max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -123,4 +143,11 @@ def apply_changes(state: DataFrame | None, changes: DataFrame, max_broadcast_key
     touched = state.join(keys, ITEM_KEY, "left_semi")
     untouched = state.join(keys, ITEM_KEY, "left_anti")
     merged = merge_changes(touched, changes)
-    return _conform(untouched, ITEM_COLUMNS).unionByName(merged)
+    carried = list(STATE_ORDER)
+    untouched = untouched.select(
+        *[F.col(c).cast(t) for c, t in _types([c for c in ITEM_COLUMNS if c in untouched.columns])],
+        *[F.lit(None).cast(dict(_types(ITEM_COLUMNS))[c]).alias(c) for c in ITEM_COLUMNS if c not in untouched.columns],
+        *[(F.col(c) if c in state.columns else F.lit(None)).cast("long" if c != "_last_is_tombstone" else "int").alias(c) for c in carried],
+    )
+    merged = merged.select(*untouched.columns)
+    return untouched.unionByName(merged)

@@ -42,9 +42,10 @@ def _in_scope(site_ids, column: str = "site_id"):
     return F.col(column).isin(ids) if ids else F.lit(False)
 
 
-def _conform(df: DataFrame) -> DataFrame:
+def _conform(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     types = {f.name: f.dataType for f in DRIVE_SYNC_STATE.fields}
-    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in SYNC_COLUMNS])
+    cols = [(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in SYNC_COLUMNS]
+    return df.select(*cols, *[F.col(c) for c in (extra or [])])
 
 
 def empty_state(spark) -> DataFrame:
@@ -75,12 +76,18 @@ def sync_from_pages(page_log: DataFrame, state: DataFrame | None = None) -> Data
         broken.alias("n_broken"),
         done.alias("n_done"),
         F.col("p.collected_at").alias("n_at"),
+        F.col("p.page_seq").alias("n_page_seq_src"),
     )
     if state is None:
         state = empty_state(page_log.sparkSession)
-    s = _conform(state)
+    last_seq = F.col("_last_page_seq").cast("long") if "_last_page_seq" in state.columns else F.lit(None).cast("long")
+    s = _conform(state.withColumn("_last_page_seq_kept", last_seq), extra=["_last_page_seq_kept"]).withColumnRenamed(
+        "_last_page_seq_kept", "_last_page_seq"
+    )
+    new = new.withColumn("n_page_seq", F.col("n_page_seq_src"))
     j = s.join(new, "drive_id", "full_outer")
-    has_new = F.col("n_status").isNotNull()
+    # a page older than the drive's last applied page (late arrival) changes nothing
+    has_new = F.col("n_status").isNotNull() & (F.col("_last_page_seq").isNull() | (F.col("n_page_seq") > F.col("_last_page_seq")))
 
     def pick(new_col, old_col):
         return F.when(has_new, new_col).otherwise(F.col(old_col))
@@ -99,9 +106,15 @@ def sync_from_pages(page_log: DataFrame, state: DataFrame | None = None) -> Data
         pick(F.col("n_at"), "updated_at").alias("updated_at"),
         F.col("last_started_at"),
         pick(F.when(F.col("n_done"), F.col("n_at")).otherwise(F.col("last_completed_at")), "last_completed_at").alias("last_completed_at"),
+        F.when(has_new, F.col("n_page_seq")).otherwise(F.col("_last_page_seq")).alias("_last_page_seq"),
     )
 
 
+def sync_state_columns(df: DataFrame) -> DataFrame:
+    """The public sync-state columns (drops the bookkeeping column)."""
+    return df.select(*SYNC_COLUMNS)
+
+
 def prepare(state: DataFrame, drives: DataFrame, now: str, reset_completed: bool = False, site_ids=None) -> DataFrame:
     """Register drives without a state row as pending, send interrupted
     drives back to pending, and optionally re-queue completed ones."""

@@ -20,7 +20,7 @@ from tessera.plans import reports as rp
 from tessera.plans import priority as pr
 from tessera.schemas import PRIORITY_COLUMNS
 from tessera.operators.changes import apply_changes
-from tessera.operators.sync import sync_from_pages
+from tessera.operators.sync import sync_from_pages, sync_state_columns
 from tessera.plans import catalog as cg
 from tessera.plans import audit as au
 from tessera.plans import urls as ur
@@ -322,7 +322,7 @@ def q_apply_changes(spark, sf_dir):
 
 @register("sync_state")
 def q_sync_state(spark, sf_dir):
-    return sync_from_pages(td.page_log(td.Tables(spark, sf_dir)))
+    return sync_state_columns(sync_from_pages(td.page_log(td.Tables(spark, sf_dir))))
 
 
 @register("sync_status_counts")

@@ -24,8 +24,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.operators.changes import ITEM_COLUMNS, apply_changes
+from tessera.operators.changes import ITEM_COLUMNS, STATE_ORDER, apply_changes
 from tessera.operators.sync import sync_from_pages
 from tessera.schemas import DRIVE_SYNC_STATE, ITEMS
 from tessera.session import ensure_checkpoint_dir
@@ -34,6 +35,18 @@ from tessera.sources.change_pages import page_changes, page_log, read_pages_stre
 
 DEFAULT_BUCKETS = 64
 
+# Stored tables carry the order of the last applied change / page, so
+# pages landing out of order are still applied in page order.
+STORED_ITEMS = T.StructType(
+    ITEMS.fields
+    + [
+        T.StructField("_last_page_seq", T.LongType()),
+        T.StructField("_last_is_tombstone", T.IntegerType()),
+        T.StructField("_last_row_idx", T.LongType()),
+    ]
+)
+STORED_SYNC = T.StructType(DRIVE_SYNC_STATE.fields + [T.StructField("_last_page_seq", T.LongType())])
+
 
 def bucket_of(col: str = "drive_id", buckets: int = DEFAULT_BUCKETS):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
@@ -124,7 +137,7 @@ def apply_pages(spark: SparkSession, pages: DataFrame, items: VersionedTable, sy
             return
         state = items.read(touched)
         changes = page_changes(pages, state)
-        new_items = apply_changes(state, changes).select(*ITEM_COLUMNS)
+        new_items = apply_changes(state, changes).select(*ITEM_COLUMNS, *STATE_ORDER)
         items.commit(new_items, version, touched)
         new_sync = sync_from_pages(page_log(pages), sync.read(touched))
         sync.commit(new_sync, version, touched)
@@ -142,8 +155,8 @@ def start(
 ):
     """Start the change-feed stream; returns the ``StreamingQuery``."""
     base = store_path.rstrip("/")
-    items = VersionedTable(spark, f"{base}/items", ITEMS)
-    sync = VersionedTable(spark, f"{base}/drive_sync_state", DRIVE_SYNC_STATE)
+    items = VersionedTable(spark, f"{base}/items", STORED_ITEMS)
+    sync = VersionedTable(spark, f"{base}/drive_sync_state", STORED_SYNC)
     if checkpoint_location is None:
         checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-change-feed"
 
@@ -164,6 +177,6 @@ def run_batch(spark: SparkSession, landing_path: str, store_path: str, version:
     from tessera.sources.change_pages import read_pages
 
     base = store_path.rstrip("/")
-    items = VersionedTable(spark, f"{base}/items", ITEMS)
-    sync = VersionedTable(spark, f"{base}/drive_sync_state", DRIVE_SYNC_STATE)
+    items = VersionedTable(spark, f"{base}/items", STORED_ITEMS)
+    sync = VersionedTable(spark, f"{base}/drive_sync_state", STORED_SYNC)
     apply_pages(spark, read_pages(spark, landing_path), items, sync, version)
