@@ -87,3 +87,14 @@ def test_recalculate_keeps_files_and_deleted_folders(spark):
             assert r.folder_total_size_formatted is not None
         else:
             assert (r.file_count, r.folder_total_size_bytes) == (None, None)
+
+
+def test_hot_folder_rollup(spark):
+    """One folder holds most files (a hot key) — totals stay exact."""
+    rows = [dict(id="root", drive_id="d", parent_id=None, item_type="folder", size_bytes=0, status="ok"),
+            dict(id="hot", drive_id="d", parent_id="root", item_type="folder", size_bytes=0, status="ok"),
+            dict(id="cold", drive_id="d", parent_id="root", item_type="folder", size_bytes=0, status="ok")]
+    rows += [dict(id=f"h{i}", drive_id="d", parent_id="hot", item_type="file", size_bytes=i, status="ok") for i in range(3000)]
+    rows += [dict(id=f"c{i}", drive_id="d", parent_id="cold", item_type="file", size_bytes=1, status="ok") for i in range(10)]
+    got = {r.id: (r.file_count, r.folder_total_size_bytes) for r in folder_totals(frame(spark, rows)).collect()}
+    assert got == {"root": (3010, sum(range(3000)) + 10), "hot": (3000, sum(range(3000))), "cold": (10, 10)}

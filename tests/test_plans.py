@@ -28,3 +28,27 @@ def test_deleted_filter_and_pruning_reach_scan(spark):
     scan = [line for line in text.splitlines() if "FileScan parquet" in line and "lineitem" in line][0]
     assert "l_tax" in scan and "DataFilters" in scan          # deleted rows filtered at the scan
     assert "l_comment" not in scan and "l_discount" not in scan  # unused columns not read
+
+
+def test_aggregations_are_partial_before_the_shuffle(spark):
+    """A hot key (one site holding most rows) is absorbed map-side."""
+    text = plan_text(entry.queries()["storage_kpis"](spark, SF))
+    assert "partial_sum" in text and "partial_count" in text
+
+
+def test_distributed_rank_has_no_single_partition_window(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.ranking import global_positions
+
+    df = spark.range(0, 1000).select((F.col("id") % 7).alias("v"), "id")
+    ranked = global_positions(df, [F.desc("v"), F.asc("id")], small_rows=None)
+    text = plan_text(ranked)
+    # the only single-partition step is the running sum over the
+    # per-partition counts (one row per partition), never over the rows
+    assert "row_number" not in text
+
+
+def test_change_merge_has_no_window(spark):
+    text = plan_text(entry.queries()["apply_changes"](spark, SF))
+    assert "Window" not in text and "partial_max_by" in text
