@@ -864,3 +864,9 @@ def _bigint_count_if(sql: str) -> str:
 
 
 QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}
+
+QUERIES["version_chart"] = MET + f"""
+SELECT site_id, site_name, site_url, version_count, version_size_bytes, {gb('version_size_bytes')} AS version_gb,
+       {shorten('site_name')} AS site_label
+FROM okm ORDER BY version_size_bytes DESC NULLS LAST, site_id LIMIT 10"""
+QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}

@@ -456,3 +456,8 @@ def q_site_id_resolution(spark, sf_dir):
 def q_site_id_errors(spark, sf_dir):
     _, errors = st.resolve_site_ids(_requested_ids(spark, sf_dir), td.site_list(td.Tables(spark, sf_dir)))
     return errors
+
+
+@register("version_chart")
+def q_version_chart(spark, sf_dir):
+    return au.version_chart(au.ok_metrics(metrics_df(spark, sf_dir), catalog(spark, sf_dir).sites))
