@@ -172,11 +172,17 @@ def start(
     return writer.start()
 
 
-def run_batch(spark: SparkSession, landing_path: str, store_path: str, version: int = 0) -> None:
-    """The same application without a stream (all landed pages at once)."""
+def run_batch(spark: SparkSession, landing_path: str, store_path: str, version: int | None = None) -> int:
+    """The same application without a stream (all landed pages at once),
+    committed as the next free version (a store is meant to be fed either by
+    the stream, whose versions are its epoch ids, or by batch runs)."""
     from tessera.sources.change_pages import read_pages
 
     base = store_path.rstrip("/")
     items = VersionedTable(spark, f"{base}/items", STORED_ITEMS)
     sync = VersionedTable(spark, f"{base}/drive_sync_state", STORED_SYNC)
+    if version is None:
+        current = items.current_version()
+        version = 0 if current is None else current + 1
     apply_pages(spark, read_pages(spark, landing_path), items, sync, version)
+    return version
