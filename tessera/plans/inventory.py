@@ -3,6 +3,7 @@ ordered by site URL, library and path, written as Parquet parts."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,5 +42,12 @@ def export_inventory(
     """
     if recalculate:
         items = recalculate_folders(items)
-    inv = inventory(items, sites, drives).orderBy(*[F.col(c).asc_nulls_first() for c in EXPORT_ORDER])
-    return write_inventory(inv, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size)
+    # The range sort samples its input before shuffling it; keeping the
+    # joined rows (memory, spilling to disk, recomputable on executor loss)
+    # saves running the joins twice.
+    rows = inventory(items, sites, drives).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        inv = rows.orderBy(*[F.col(c).asc_nulls_first() for c in EXPORT_ORDER])
+        return write_inventory(inv, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size)
+    finally:
+        rows.unpersist()
