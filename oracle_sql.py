@@ -870,3 +870,57 @@ SELECT site_id, site_name, site_url, version_count, version_size_bytes, {gb('ver
        {shorten('site_name')} AS site_label
 FROM okm ORDER BY version_size_bytes DESC NULLS LAST, site_id LIMIT 10"""
 QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}
+
+
+# --------------------------------------------------------------------------- sync-state transitions
+
+SYNC_DRIVES = """
+users AS (SELECT DISTINCT user_id FROM events),
+sync_drives AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, CAST(user_id % 20 AS VARCHAR) AS site_id, 'lib-' || CAST(user_id AS VARCHAR) AS name FROM users
+  UNION ALL
+  SELECT CAST(user_id + 1000000 AS VARCHAR), CAST((user_id + 1000000) % 20 AS VARCHAR), 'lib-' || CAST(user_id + 1000000 AS VARCHAR)
+  FROM users WHERE user_id % 7 = 0
+)"""
+
+QUERIES["sync_prepared"] = with_(PAGES, SYNC_DRIVES) + """
+SELECT drive_id, site_id, library_name, mode,
+       CASE WHEN status IN ('in_progress', 'done') THEN 'pending' ELSE status END AS status,
+       attempts, next_link, delta_link,
+       CASE WHEN status = 'in_progress' THEN coalesce(last_error, 'Retomado apos interrupcao')
+            WHEN status = 'done' THEN NULL ELSE last_error END AS last_error,
+       created_at,
+       CASE WHEN status IN ('in_progress', 'done') THEN '2025-01-01T00:00:00Z' ELSE updated_at END AS updated_at,
+       last_started_at, last_completed_at
+FROM sync
+UNION ALL
+SELECT d.id, d.site_id, d.name, CAST(NULL AS VARCHAR), 'pending', CAST(0 AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CAST(NULL AS VARCHAR), '2025-01-01T00:00:00Z', '2025-01-01T00:00:00Z', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM sync_drives d WHERE d.id NOT IN (SELECT drive_id FROM sync)"""
+
+NEXT_ERRORS = f"""
+nerr AS (
+  SELECT event_id AS id, CAST(user_id AS VARCHAR) AS drive_id,
+         ([401, 403, 404, 410, 423, 429, 503])[event_id % 7 + 1] AS status_code,
+         'error ' || CAST(event_id AS VARCHAR) AS message,
+         {iso('ts + INTERVAL 1 YEAR')} AS created_at
+  FROM events WHERE event_type = 'error'
+),
+lasterr AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY created_at DESC, id DESC) AS rn FROM nerr) WHERE rn = 1
+)"""
+
+QUERIES["sync_after_failures"] = with_(PAGES, NEXT_ERRORS) + """
+SELECT s.drive_id, s.site_id, s.library_name, s.mode,
+       CASE WHEN e.drive_id IS NULL OR NOT (s.updated_at IS NULL OR e.created_at > s.updated_at) THEN s.status
+            WHEN e.status_code = 410 THEN 'pending'
+            WHEN e.status_code IN (401, 403, 404) THEN 'failed' ELSE 'pending' END AS status,
+       s.attempts,
+       CASE WHEN e.drive_id IS NOT NULL AND (s.updated_at IS NULL OR e.created_at > s.updated_at) AND e.status_code = 410 THEN NULL ELSE s.next_link END AS next_link,
+       CASE WHEN e.drive_id IS NOT NULL AND (s.updated_at IS NULL OR e.created_at > s.updated_at) AND e.status_code = 410 THEN NULL ELSE s.delta_link END AS delta_link,
+       CASE WHEN e.drive_id IS NOT NULL AND (s.updated_at IS NULL OR e.created_at > s.updated_at) THEN substr(e.message, 1, 2000) ELSE s.last_error END AS last_error,
+       s.created_at,
+       CASE WHEN e.drive_id IS NOT NULL AND (s.updated_at IS NULL OR e.created_at > s.updated_at) THEN e.created_at ELSE s.updated_at END AS updated_at,
+       s.last_started_at, s.last_completed_at
+FROM sync s LEFT JOIN lasterr e ON e.drive_id = s.drive_id"""
+QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}

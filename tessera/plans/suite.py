@@ -20,7 +20,7 @@ from tessera.plans import reports as rp
 from tessera.plans import priority as pr
 from tessera.schemas import PRIORITY_COLUMNS
 from tessera.operators.changes import apply_changes
-from tessera.operators.sync import sync_from_pages, sync_state_columns
+from tessera.operators.sync import apply_failures, prepare, sync_from_pages, sync_state_columns
 from tessera.plans import catalog as cg
 from tessera.plans import audit as au
 from tessera.plans import urls as ur
@@ -461,3 +461,23 @@ def q_site_id_errors(spark, sf_dir):
 @register("version_chart")
 def q_version_chart(spark, sf_dir):
     return au.version_chart(au.ok_metrics(metrics_df(spark, sf_dir), catalog(spark, sf_dir).sites))
+
+
+# --------------------------------------------------------------------------- sync-state transitions
+
+
+# Fixed value: the time stamp the transition queries record.
+TRANSITION_AT = "2025-01-01T00:00:00Z"
+
+
+@register("sync_prepared")
+def q_sync_prepared(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    state = sync_from_pages(td.page_log(t))
+    return sync_state_columns(prepare(state, td.sync_drives(t), TRANSITION_AT, reset_completed=True))
+
+
+@register("sync_after_failures")
+def q_sync_after_failures(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    return sync_state_columns(apply_failures(sync_from_pages(td.page_log(t)), td.next_run_errors(t)))

@@ -453,3 +453,25 @@ def storage_metric_results(t: Tables) -> DataFrame:
         F.when(failed, null).otherwise(F.col("version_bytes").cast("string")).alias("version_size_bytes"),
         F.when(failed, F.lit("Access denied")).otherwise(null).alias("message"),
     )
+
+
+def sync_drives(t: Tables) -> DataFrame:
+    """Drives known to the catalogue for the sync tests: every event user,
+    plus a never-synced twin (``1000000 + user_id``) for every seventh user."""
+    users = t.events.select(F.col("user_id")).distinct()
+    twins = users.filter(F.col("user_id") % 7 == 0).select((F.col("user_id") + 1000000).alias("user_id"))
+    d = users.unionByName(twins)
+    return d.select(
+        F.col("user_id").cast("string").alias("id"),
+        (F.col("user_id") % 20).cast("string").alias("site_id"),
+        F.concat(F.lit("lib-"), F.col("user_id").cast("string")).alias("name"),
+    )
+
+
+def next_run_errors(t: Tables) -> DataFrame:
+    """The error rows as a later sync run would record them (one year after
+    the events), so they are newer than every landed page."""
+    e = errors(t)
+    later = iso_utc(F.col("ts") + F.expr("INTERVAL 1 YEAR"))
+    ts = t.events.filter(F.col("event_type") == "error").select(F.col("event_id").alias("id"), "ts")
+    return e.join(ts, "id").withColumn("created_at", later).withColumn("updated_at", later).drop("ts")
