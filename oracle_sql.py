@@ -924,3 +924,10 @@ SELECT s.drive_id, s.site_id, s.library_name, s.mode,
        s.last_started_at, s.last_completed_at
 FROM sync s LEFT JOIN lasterr e ON e.drive_id = s.drive_id"""
 QUERIES = {name: _bigint_count_if(sql) for name, sql in QUERIES.items()}
+
+QUERIES["reset_site_counts"] = with_(SITES, DRIVES, ITEMS, PAGES, ERRORS) + """
+SELECT (SELECT count(*) FROM sites WHERE id = '7') AS sites,
+       (SELECT count(*) FROM drives WHERE site_id = '7') AS drives,
+       (SELECT count(*) FROM items WHERE site_id = '7') AS items,
+       (SELECT count(*) FROM sync WHERE site_id = '7') AS drive_sync_state,
+       (SELECT count(*) FROM errs WHERE site_id = '7') AS errors"""

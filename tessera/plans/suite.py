@@ -481,3 +481,21 @@ def q_sync_prepared(spark, sf_dir):
 def q_sync_after_failures(spark, sf_dir):
     t = td.Tables(spark, sf_dir)
     return sync_state_columns(apply_failures(sync_from_pages(td.page_log(t)), td.next_run_errors(t)))
+
+
+# Fixed value: the site the reset query clears.
+RESET_SITE_ID = "7"
+
+
+@register("reset_site_counts")
+def q_reset_site_counts(spark, sf_dir):
+    from tessera.operators.sync import reset_site
+
+    t = td.Tables(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
+    tables = {
+        "sites": cat.sites, "drives": cat.drives, "items": cat.items,
+        "drive_sync_state": sync_state_columns(sync_from_pages(td.page_log(t))), "errors": td.errors(t),
+    }
+    _, counts = reset_site(tables, RESET_SITE_ID, TRANSITION_AT)
+    return counts
