@@ -931,3 +931,18 @@ SELECT (SELECT count(*) FROM sites WHERE id = '7') AS sites,
        (SELECT count(*) FROM items WHERE site_id = '7') AS items,
        (SELECT count(*) FROM sync WHERE site_id = '7') AS drive_sync_state,
        (SELECT count(*) FROM errs WHERE site_id = '7') AS errors"""
+
+QUERIES["drive_roots"] = with_(SITES, DRIVES, ITEMS) + """
+SELECT drive_id, arg_max(full_path, collected_at) AS root_path
+FROM items WHERE parent_id IS NULL AND item_type = 'folder' AND status <> 'deleted' GROUP BY drive_id"""
+
+QUERIES["bronze_files"] = with_(SITES, DRIVES, ITEMS) + """
+SELECT id AS file_id, drive_id, site_id, library_name, parent_id, parent_path, full_path, name AS file_name, item_type,
+       extension, mime_type, size_bytes, formatted_size, created_at, modified_at, last_accessed_at, file_count,
+       folder_total_size_bytes, folder_total_size_formatted, web_url, status, collected_at, CAST(NULL AS VARCHAR) AS raw_json
+FROM items WHERE item_type = 'file'"""
+
+QUERIES["bronze_drives"] = with_(SITES, DRIVES) + """
+SELECT id AS drive_id, site_id, name AS drive_name, drive_type, web_url AS drive_url, discovered_at, processed_at,
+       CAST(NULL AS VARCHAR) AS raw_json
+FROM drives"""

@@ -499,3 +499,20 @@ def q_reset_site_counts(spark, sf_dir):
     }
     _, counts = reset_site(tables, RESET_SITE_ID, TRANSITION_AT)
     return counts
+
+
+@register("drive_roots")
+def q_drive_roots(spark, sf_dir):
+    from tessera.sources.change_pages import drive_root_paths
+
+    return drive_root_paths(catalog(spark, sf_dir).items).withColumnRenamed("_root_path", "root_path")
+
+
+@register("bronze_files")
+def q_bronze_files(spark, sf_dir):
+    return lh.bronze_files(catalog(spark, sf_dir).items)
+
+
+@register("bronze_drives")
+def q_bronze_drives(spark, sf_dir):
+    return lh.bronze_drives(catalog(spark, sf_dir).drives)
