@@ -72,3 +72,19 @@ def write_inventory(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
         "part_files": int(parts),
         "rows_per_file": rows_per_file,
     }
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> None:
+    """Write ``df`` as a bucketed, sorted Parquet table (external, at
+    ``path`` on shared storage).  Tables bucketed on the same key with the
+    same bucket count join bucket by bucket, without shuffling either side
+    — e.g. items and drives on ``drive_id`` for the export and the silver
+    joins when drives are too large to broadcast."""
+    (
+        df.write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
