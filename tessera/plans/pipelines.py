@@ -87,7 +87,7 @@ def audit(
     path = f"{output_dir.rstrip('/')}/site_collection_audit.csv"
     rows = rows.persist()
     try:
-        sk.write_csv(rows, path, sep=",")
+        sk.write_csv(rows, path, sep=",", bom=True)
         summary = sk.summary_dict(au.audit_rollup(rows))
     finally:
         rows.unpersist()

@@ -13,8 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True) -> None:
-    """Quoted CSV (``"`` quote and escape), header, UTF-8."""
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, bom: bool = False) -> None:
+    """Quoted CSV (``"`` quote and escape), header, UTF-8.  With ``bom`` the
+    header line starts with a byte-order mark (UTF-8-with-BOM readers such
+    as spreadsheet tools expect it); it is carried by the first column name,
+    so every part file's header has it."""
+    if bom and header and df.columns:
+        df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     (
         df.write.mode("overwrite")
         .option("header", header)
@@ -47,7 +55,7 @@ def write_priority(priority: DataFrame, output_dir: str, columns: list[str]) ->
         "json": f"{base}/site_priority.json",
         "json_by_tier": f"{base}/site_priority_groups",
     }
-    write_csv(ranked.select(*columns), paths["site_priority_csv"], sep=",")
+    write_csv(ranked.select(*columns), paths["site_priority_csv"], sep=",", bom=True)
     ids = ranked.filter(F.col("site_id") != "")
     ids.select("site_id").write.mode("overwrite").text(paths["ids"])
     ids.select("tier", "site_id").write.mode("overwrite").partitionBy("tier").text(paths["ids_by_tier"])

@@ -129,3 +129,18 @@ def test_upsert_keeps_discovered_at(spark):
     new = spark.createDataFrame([("1", "A", "t1"), ("3", "c", "t1")], "id string, name string, discovered_at string")
     got = {r.id: (r.name, r.discovered_at) for r in upsert_by_key(old, new, "id", ["discovered_at"]).collect()}
     assert got == {"1": ("A", "t0"), "2": ("b", "t0"), "3": ("c", "t1")}
+
+
+def test_bom_csv_round_trip(spark):
+    import glob
+
+    from tessera.sinks.reports import write_csv
+
+    d = tmpdir()
+    df = spark.createDataFrame([(1, "a")], "rank long, site_id string")
+    write_csv(df.coalesce(1), os.path.join(d, "out"), sep=",", bom=True)
+    part = glob.glob(os.path.join(d, "out", "part-*"))[0]
+    with open(part, "rb") as f:
+        assert f.read(3) == b"\xef\xbb\xbf"
+    back = fs.read_site_priority(spark, os.path.join(d, "out"))
+    assert back.columns[:2] == ["rank", "site_id"] and back.first().rank == 1
