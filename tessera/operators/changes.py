@@ -59,7 +59,7 @@ def affected_keys(changes: DataFrame) -> DataFrame:
     return changes.select(*ITEM_KEY).distinct()
 
 
-def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
+def merge_changes(state: DataFrame | None, changes: DataFrame, keep_ghosts: bool = False) -> DataFrame:
     """Merged rows for the keys present in ``state`` ∪ ``changes``.
 
     ``changes`` holds change records: item columns (tombstones may leave
@@ -82,15 +82,21 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
     if state is not None:
         has_order = all(c in state.columns for c in STATE_ORDER)
         prior_ord = (
-            _order(F.coalesce(F.col("_last_page_seq"), F.lit(-1)), F.lit(0), F.coalesce(F.col("_last_row_idx"), F.lit(-1)))
+            _order(
+                F.coalesce(F.col("_last_page_seq"), F.lit(-1)),
+                F.coalesce(F.col("_last_is_tombstone"), F.lit(0)),
+                F.coalesce(F.col("_last_row_idx"), F.lit(-1)),
+            )
             if has_order
             else _order(F.lit(-1), F.lit(0), F.lit(-1))
         )
+        # a ghost (a remembered tombstone of a never-seen item) acts as a tombstone
+        ghost = F.coalesce(F.col("_ghost"), F.lit(False)) if "_ghost" in state.columns else F.lit(False)
         old = state.select(
             *[(F.col(c) if c in state.columns else F.lit(None)).cast(t).alias(c) for c, t in _types(ITEM_COLUMNS)],
             F.lit(True).alias("_has"), F.lit(True).alias("_prior"),
             prior_ord.alias("_ord"),
-            F.lit(False).alias("_tomb"),
+            ghost.alias("_tomb"),
         )
         union = old.select(*cols).unionByName(union)
 
@@ -104,8 +110,9 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
         F.max(F.col("_ord")).alias("_last"),
         *[F.max(F.when(F.col("_prior"), F.col(c))).alias(c) for c in ITEM_ROLLUP_COLUMNS],
     )
-    live = agg.filter(F.col("_up").isNotNull())
-    deleted = F.col("_dead").isNotNull() & (F.col("_dead") > F.col("_up"))
+    is_ghost = F.col("_up").isNull()
+    live = agg.filter(F.col("_up").isNotNull() | (F.lit(keep_ghosts) & F.col("_dead").isNotNull()))
+    deleted = is_ghost | (F.col("_dead").isNotNull() & (F.col("_dead") > F.col("_up")))
     out = []
     for c in ITEM_COLUMNS:
         if c in ITEM_KEY or c == "collected_at":
@@ -125,29 +132,37 @@ def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
         F.col("_last.page_seq").alias("_last_page_seq"),
         F.col("_last.is_tombstone").alias("_last_is_tombstone"),
         F.col("_last.row_idx").alias("_last_row_idx"),
+        is_ghost.alias("_ghost"),
     )
 
 
-def apply_changes(state: DataFrame | None, changes: DataFrame, max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def apply_changes(
+    state: DataFrame | None, changes: DataFrame, max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS, keep_ghosts: bool = False
+) -> DataFrame:
     """The new items table after applying ``changes`` to ``state``.
 
+    With ``keep_ghosts`` a tombstone for an item not (yet) known is kept as
+    a hidden row (``_ghost``), so an older upsert of it that arrives later
+    is still deleted — needed when pages can land out of order.
+
     The batch's key set is broadcast when its size is checked to be small;
     then the big state is only scanned (semi/anti join), never shuffled for
     untouched keys.
     """
     if state is None:
-        return merge_changes(None, changes)
+        return merge_changes(None, changes, keep_ghosts)
     keys = affected_keys(changes.filter(F.col("id").isNotNull()))
     if fits(keys, max_broadcast_keys):
         keys = F.broadcast(keys)
     touched = state.join(keys, ITEM_KEY, "left_semi")
     untouched = state.join(keys, ITEM_KEY, "left_anti")
-    merged = merge_changes(touched, changes)
+    merged = merge_changes(touched, changes, keep_ghosts)
     carried = list(STATE_ORDER)
     untouched = untouched.select(
         *[F.col(c).cast(t) for c, t in _types([c for c in ITEM_COLUMNS if c in untouched.columns])],
         *[F.lit(None).cast(dict(_types(ITEM_COLUMNS))[c]).alias(c) for c in ITEM_COLUMNS if c not in untouched.columns],
         *[(F.col(c) if c in state.columns else F.lit(None)).cast("long" if c != "_last_is_tombstone" else "int").alias(c) for c in carried],
+        (F.coalesce(F.col("_ghost"), F.lit(False)) if "_ghost" in state.columns else F.lit(False)).alias("_ghost"),
     )
     merged = merged.select(*untouched.columns)
     return untouched.unionByName(merged)

@@ -43,6 +43,7 @@ STORED_ITEMS = T.StructType(
         T.StructField("_last_page_seq", T.LongType()),
         T.StructField("_last_is_tombstone", T.IntegerType()),
         T.StructField("_last_row_idx", T.LongType()),
+        T.StructField("_ghost", T.BooleanType()),
     ]
 )
 STORED_SYNC = T.StructType(DRIVE_SYNC_STATE.fields + [T.StructField("_last_page_seq", T.LongType())])
@@ -137,7 +138,7 @@ def apply_pages(spark: SparkSession, pages: DataFrame, items: VersionedTable, sy
             return
         state = items.read(touched)
         changes = page_changes(pages, state)
-        new_items = apply_changes(state, changes).select(*ITEM_COLUMNS, *STATE_ORDER)
+        new_items = apply_changes(state, changes, keep_ghosts=True).select(*ITEM_COLUMNS, *STATE_ORDER, "_ghost")
         items.commit(new_items, version, touched)
         new_sync = sync_from_pages(page_log(pages), sync.read(touched))
         sync.commit(new_sync, version, touched)
@@ -172,6 +173,16 @@ def start(
     return writer.start()
 
 
+def current_items(spark: SparkSession, store_path: str) -> DataFrame | None:
+    """The public items table of a change-feed store (no remembered
+    tombstones, no bookkeeping columns)."""
+    items = VersionedTable(spark, f"{store_path.rstrip('/')}/items", STORED_ITEMS)
+    df = items.read()
+    if df is None:
+        return None
+    return df.filter(~F.coalesce(F.col("_ghost"), F.lit(False))).select(*ITEM_COLUMNS)
+
+
 def run_batch(spark: SparkSession, landing_path: str, store_path: str, version: int | None = None) -> int:
     """The same application without a stream (all landed pages at once),
     committed as the next free version (a store is meant to be fed either by

@@ -89,3 +89,28 @@ def test_one_page_per_batch_equals_batch(spark):
     assert got["a"].status == "ok" and got["x"].status == "deleted" and got["z"].status == "ok"
     # the prefix depends on whether the root was stored before the page ran
     assert got["a"].full_path.endswith("/Folder/report.PDF") and got["b"].full_path.endswith("/Folder/.bashrc")
+
+
+def test_pages_landing_in_reverse_order(spark):
+    """Newest page first (file times reversed): the stored state must still
+    equal in-order application."""
+    base = tempfile.mkdtemp(prefix="tessera-feed-")
+    landing = os.path.join(base, "landing")
+    seq = [
+        page("d9", 1, [{"id": "p", "name": "v1.txt", "size": 1}], nxt="n2"),
+        page("d9", 2, [{"id": "p", "deleted": {}}], nxt="n3"),
+        page("d9", 3, [{"id": "p", "name": "v3.txt", "size": 3}, {"id": "q", "name": "q.txt", "size": 4}], nxt="n4"),
+        page("d9", 4, [{"id": "q", "deleted": {}}], delta="dl"),
+    ]
+    landed(landing, seq)
+    now = 2_000_000_000
+    for i in range(len(seq)):
+        t = now - i * 100  # page 0 newest on disk → processed last
+        os.utime(os.path.join(landing, f"page-{i:04d}.json"), (t, t))
+    q = cf.start(spark, landing, os.path.join(base, "stream"), os.path.join(base, "ckpt"), max_files_per_trigger=1)
+    q.awaitTermination(300)
+    got = {r.id: r for r in cf.VersionedTable(spark, os.path.join(base, "stream", "items"), None).read().collect()}
+    assert (got["p"].name, got["p"].size_bytes, got["p"].status) == ("v3.txt", 3, "ok")
+    assert got["q"].status == "deleted"
+    sync = cf.VersionedTable(spark, os.path.join(base, "stream", "drive_sync_state"), None).read().first()
+    assert (sync.status, sync.delta_link) == ("done", "dl")
