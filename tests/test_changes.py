@@ -112,3 +112,25 @@ def test_sync_state_transitions(spark):
     assert (f["d1"].status, f["d1"].delta_link, f["d1"].last_error) == ("pending", None, "expired")
     assert f["d2"].status == "failed"
     assert f["d3"].status == "pending" and f["d3"].last_error != "busy"  # older than the last step
+
+
+def test_site_filter_modes_and_clear_items(spark):
+    from tessera.operators.sync import clear_items
+    from tessera.plans.catalog import pending_count
+    from tessera.plans.reports import filter_sites
+
+    state = spark.createDataFrame(
+        [("d1", "s1", "pending"), ("d2", "s2", "pending"), ("d3", "s1", "done")], "drive_id string, site_id string, status string"
+    )
+    assert pending_count(state).first().pending == 2
+    assert pending_count(state, []).first().pending == 0  # empty set → nothing
+    assert pending_count(state, ["s1"]).first().pending == 1
+    inv = spark.createDataFrame([("a",), ("b",)], "site_name string")
+    assert filter_sites(inv, []).count() == 2  # dashboard: empty selection = all sites
+    assert filter_sites(inv, None).count() == 2 and filter_sites(inv, ["a"]).count() == 1
+    assert filter_sites(inv, [], empty_means_all=False).count() == 0
+    assert filter_sites(inv, spark.createDataFrame([("b",)], "n string")).count() == 1
+    items = spark.createDataFrame([("i1", "s1"), ("i2", "s2")], "id string, site_id string")
+    assert clear_items(items, None).count() == 0
+    assert [r.id for r in clear_items(items, ["s1"]).collect()] == ["i2"]
+    assert clear_items(items, []).count() == 2
