@@ -144,3 +144,20 @@ def test_bom_csv_round_trip(spark):
         assert f.read(3) == b"\xef\xbb\xbf"
     back = fs.read_site_priority(spark, os.path.join(d, "out"))
     assert back.columns[:2] == ["rank", "site_id"] and back.first().rank == 1
+
+
+def test_stats_variants(spark):
+    from tessera.operators.sync import sync_from_pages
+
+    t = td.Tables(spark, SF)
+    cat = catalog(spark, SF)
+    errs = td.errors(t)
+    sync = sync_from_pages(td.page_log(t))
+    full = cg.catalog_stats(cat.sites, cat.drives, cat.items, errs, sync).first()
+    cheap = cg.catalog_stats(cat.sites, cat.drives, cat.items, errs, sync, include_inventory_totals=False).first()
+    assert (cheap.files, cheap.folders, cheap.total_bytes, cheap.total_formatted) == (0, 0, 0, "0 B")
+    assert (cheap.sites, cheap.open_errors, cheap.blocked_sites) == (full.sites, full.open_errors, full.blocked_sites)
+    summary = pl.summary(cat.sites, cat.drives, cat.items, errs)
+    blocked = errs.filter("status_code = 423").count()
+    assert summary["open_errors"] == full.open_errors + blocked  # the export summary counts 423 as open
+    assert summary["files"] == full.files and summary["total_formatted"] == full.total_formatted
