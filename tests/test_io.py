@@ -161,3 +161,22 @@ def test_stats_variants(spark):
     blocked = errs.filter("status_code = 423").count()
     assert summary["open_errors"] == full.open_errors + blocked  # the export summary counts 423 as open
     assert summary["files"] == full.files and summary["total_formatted"] == full.total_formatted
+
+
+def test_lakehouse_layers_alone(spark):
+    import pytest
+
+    from tessera.plans import lakehouse as lh
+    from tessera.sinks.parquet import read_layer
+
+    d = tmpdir()
+    cat = catalog(spark, SF)
+    with pytest.raises(ValueError):
+        lh.build_lakehouse(spark, cat, d, td.AS_OF, "platinum")
+    assert read_layer(spark, os.path.join(d, "silver", "files.parquet")).count() == 0  # missing → empty
+    lh.build_lakehouse(spark, cat, d, td.AS_OF, "bronze")
+    lh.build_lakehouse(spark, cat, d, td.AS_OF, "silver")
+    gold = lh.build_lakehouse(spark, cat, d, td.AS_OF, "gold")["gold"]
+    assert set(gold) == set(lh.GOLD_TABLES)
+    kpis = spark.read.parquet(gold["storage_kpis"]["file"])
+    assert kpis.count() == gold["storage_kpis"]["rows"] > 0
