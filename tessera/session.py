@@ -7,8 +7,10 @@ unset (local tests) do we pick a private temporary folder.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,8 +58,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors (once per application), so
+    that functions run in tasks can import it wherever the workers start."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tessera-src-"), "tessera_src.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tessera", os.path.relpath(path, here)))
+    sc.addPyFile(archive)
+    sc._tessera_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting one only where none is given."""
+    """Return the checkpoint folder.  Only a local session, as in tests, gets
+    one of its own; a cluster must name a shared one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -69,6 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
