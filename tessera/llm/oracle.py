@@ -26,4 +26,37 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGIN
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
-SQL = {"op9_decontaminate": OP9}
+OP1 = f"""
+WITH lines AS (
+  SELECT r, doc_id, unnest(range(1, len(l) + 1)) AS p, unnest(l) AS line
+  FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+),
+keyed AS (
+  SELECT *, trim({_LOWER.format(c="line")}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM lines
+),
+repeated AS (
+  SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+),
+marked AS (SELECT keyed.*, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM keyed LEFT JOIN repeated USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+t AS (SELECT vec_id, unnest(range(1, len(q) + 1)) AS d, unnest(q) AS w FROM v),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.w * b.w) AS BIGINT) AS score
+  FROM t a JOIN t b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY ALL
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+SQL = {"op1_line_dedup": OP1, "op3_topk_search": OP3, "op9_decontaminate": OP9}

@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import decontam, token_counts
+from tessera.llm import decontam, line_dedup, mixing, token_counts, topk
 from tessera.llm.common import table
 
+#: target weights of the production mix: the large crawl is held to a fifth
+#: of the blocks, the other sources share the rest alike
+MIX_WEIGHTS = {"src0": 5.0, **{f"src{k}": 1.0 for k in range(1, 20)}}
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), MIX_WEIGHTS)
+
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -22,6 +39,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op3_topk_search": op3_topk_search,
+    "op6_mix_sources": op6_mix_sources,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
 }
