@@ -59,4 +59,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
-SQL = {"op1_line_dedup": OP1, "op3_topk_search": OP3, "op9_decontaminate": OP9}
+_OP5_WORDS = "regexp_extract_all(" + _LOWER.format(c="text") + r", '[^\x20\x09-\x0D]+')"
+
+OP5 = f"""
+WITH RECURSIVE d AS (SELECT DISTINCT doc_id, {_OP5_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(id, other) AS (SELECT a, b FROM l UNION SELECT reach.id, l.b FROM reach JOIN l ON l.a = reach.other)
+SELECT documents.doc_id, coalesce(any_value(n.n), 0) AS n_shingles,
+  least(documents.doc_id, coalesce(min(other), documents.doc_id)) AS component_id
+FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN reach ON reach.id = documents.doc_id
+GROUP BY documents.doc_id
+"""
+
+SQL = {"op5_ngram_join": OP5, "op1_line_dedup": OP1, "op3_topk_search": OP3, "op9_decontaminate": OP9}
