@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, line_dedup, mixing, ngram_join, token_counts, topk
+from tessera.llm import decontam, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
 from tessera.llm.common import table
 
 #: target weights of the production mix: the large crawl is held to a fifth
@@ -21,6 +21,10 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_topk_search": op3_topk_search,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op6_mix_sources": op6_mix_sources,
     "op9_decontaminate": op9_decontaminate,
