@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
+from tessera.llm import decontam, html_extract, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
 from tessera.llm.common import table
 
 #: target weights of the production mix: the large crawl is held to a fifth
@@ -33,6 +33,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), MIX_WEIGHTS)
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op6_mix_sources": op6_mix_sources,
+    "op7_html_extract": op7_html_extract,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
 }
