@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, html_extract, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
+from tessera.llm import decontam, html_extract, importance, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
 from tessera.llm.common import table
 
 #: target weights of the production mix: the large crawl is held to a fifth
@@ -37,6 +37,10 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op8_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_mix_sources": op6_mix_sources,
     "op7_html_extract": op7_html_extract,
+    "op8_importance_resample": op8_importance_resample,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
 }
