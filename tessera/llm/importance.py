@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import column, map_batches, map_columns, mix64, staged, utf8
-from tessera.llm.ngram_join import _HASHES
+from tessera.llm.words import word_hashes
 
 BUCKETS = 1 << 14
 SAMPLE = 20_000
@@ -37,24 +37,21 @@ BINS = 4_096
 SEED = 17
 
 
-def features(text: bytes | None, buckets: int = BUCKETS) -> np.ndarray:
-    """The buckets of a text's words and word pairs."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    pairs = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-    return (np.concatenate([mix64(h), pairs]) % np.uint64(buckets)).astype(np.int64)
+def features(texts: list[bytes | None], buckets: int = BUCKETS) -> list[np.ndarray]:
+    """For each text the buckets of its words and word pairs."""
+    out = []
+    for h in word_hashes(texts):
+        pairs = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+        out.append((np.concatenate([h, pairs]) % np.uint64(buckets)).astype(np.int64))
+    return out
 
 
 def _counts(texts: DataFrame, buckets: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(buckets, np.int64)
         for b in batches:
-            for t in utf8(b, "text"):
-                f = features(t, buckets)
-                if len(f):
-                    total += np.bincount(f, minlength=buckets)
+            for f in features(utf8(b, "text"), buckets):
+                total += np.bincount(f, minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["bucket", "n"])
 
@@ -113,7 +110,7 @@ def resample(
 
     def run(b: pa.RecordBatch):
         ratio = shared.value
-        return [pa.array([float(ratio[features(t, buckets)].sum()) for t in utf8(b, "text")], pa.float64())]
+        return [pa.array([float(ratio[f].sum()) for f in features(utf8(b, "text"), buckets)], pa.float64())]
 
     chance = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), "text"))
     u = (F.shiftrightunsigned(chance, 11).cast("double") + 0.5) / float(2**53)

@@ -36,50 +36,65 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.common import column, map_batches, mix64, staged, utf8
 from tessera.llm.graph import components
+from tessera.llm.words import word_hashes
 
 SHINGLE = 5
 PERCENT = 75
 GROUP_SIZE = 64
 #: tokens counted together when looking for frequent ones
 COUNT_WINDOW = 1 << 21
-#: a token found so often within a window is put late in the order
-FREQUENT = 4
+#: a token counted so often in all (windows where it is found once apart) is
+#: put late in the order
+FREQUENT = 8
 #: frequent tokens broadcast at most (8 bytes each)
 MAX_FREQUENT = 1 << 20
 #: a bucket of rare tokens with more classes makes its token frequent
 LARGE_BUCKET = 256
+#: queries of a group that one task compares
+QUERIES_A_TASK = 256
+#: bits for each wanted set in the bitmap that tasks get, and all its bits at
+#: most (8 MB)
+BITMAP, MAX_BITMAP = 16, 1 << 26
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+_PLACES = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
-_HASHES = _WordHashes()
-
-
-def shingles(text: bytes | None, k: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's word k-grams."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    k = min(k, len(words))
-    h = np.full(len(ids) - k + 1, k, dtype=np.uint64)
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    h = np.full(len(words) - k + 1, k, dtype=np.uint64)
     for j in range(k):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + len(h)])
-    h.sort()
-    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+        h += words[j : j + len(h)] * _PLACES[j]
+    return mix64(h)
+
+
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its word 5-grams."""
+    words = word_hashes(texts)
+    sizes = np.array([len(w) for w in words], np.int64)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    whole = np.concatenate(words) if words else np.zeros(0, np.uint64)
+    grams = _grams(whole, SHINGLE) if len(whole) >= SHINGLE else np.zeros(0, np.uint64)
+    out = []
+    for k, n in enumerate(sizes):
+        if n >= SHINGLE:
+            h = np.sort(grams[at[k] : at[k] + n - SHINGLE + 1])
+            h = h[np.concatenate(([True], h[1:] != h[:-1]))]
+        elif n:
+            h = _grams(words[k], int(n))
+        else:
+            h = np.zeros(0, np.uint64)
+        out.append(h)
+    return out
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    return shingle_sets([text])[0]
 
 
 def prefix_length(n: int) -> int:
@@ -116,14 +131,13 @@ def _sketch(docs: DataFrame) -> DataFrame:
 
         def often():
             t, c = np.unique(np.concatenate(held), return_counts=True)
-            t, c = t[c >= FREQUENT], c[c >= FREQUENT]
+            t, c = t[c > 1], c[c > 1]
             none = pa.nulls(len(t), pa.int64())
             return pa.RecordBatch.from_arrays([none, none, _long(t), none, pa.array(c, pa.int64())], names)
 
         for b in batches:
             n, d1, d2 = [], [], []
-            for text in utf8(b, "text"):
-                tokens = shingles(text)
+            for tokens in shingle_sets(utf8(b, "text")):
                 x, y = _digest(tokens)
                 n.append(len(tokens)), d1.append(x), d2.append(y)
                 if len(tokens) and x not in seen:
@@ -147,16 +161,15 @@ def _sketch(docs: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray, bins: int) -> DataFrame:
-    """(bin, tokens, sids): the prefix tokens of a batch's distinct sets that
-    fall into a bin, packed."""
+    """(bin, tokens, sids, sizes): the prefix tokens of a batch's distinct
+    sets that fall into a bin, packed."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         late, seen = shared.value, set()
         for b in batches:
-            held, sids = [], []
-            for text in utf8(b, "text"):
-                tokens = shingles(text)
+            held, sids, sizes = [], [], []
+            for tokens in shingle_sets(utf8(b, "text")):
                 if not len(tokens):
                     continue
                 sid = _digest(tokens)[0]
@@ -176,28 +189,31 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, bins: int) -> DataFrame:
                     first = tokens[:p]
                 held.append(first)
                 sids.append(np.full(len(first), sid, np.int64))
+                sizes.append(np.full(len(first), len(tokens), np.int32))
             if not held:
                 continue
-            t, s = np.concatenate(held), np.concatenate(sids)
+            t, s, z = np.concatenate(held), np.concatenate(sids), np.concatenate(sizes)
             of = (mix64(t) % np.uint64(bins)).astype(np.int64)
             order = np.argsort(of, kind="stable")
-            t, s, of = t[order], s[order], of[order]
+            t, s, z, of = t[order], s[order], z[order], of[order]
             cut = [0, *(np.flatnonzero(np.diff(of)) + 1), len(of)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(of[cut[:-1]], pa.int64()),
                     pa.array([t[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary()),
                     pa.array([s[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary()),
+                    pa.array([z[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary()),
                 ],
-                ["bin", "tokens", "sids"],
+                ["bin", "tokens", "sids", "sizes"],
             )
 
-    return map_batches(docs.select("text"), run, "bin long, tokens binary, sids binary")
+    return map_batches(docs.select("text"), run, "bin long, tokens binary, sids binary, sizes binary")
 
 
 def _buckets(packed: DataFrame) -> DataFrame:
-    """(token, sid, leader, size) of the tokens that two or more sets share;
-    the leader is the bucket's smallest sid."""
+    """(token, sid, n, leader, leader_n, size) of the tokens that two or more
+    sets share; the leader is the bucket's smallest sid."""
+    names = ["token", "sid", "n", "leader", "leader_n", "size"]
 
     def run(batches):
         now, held = None, []
@@ -205,167 +221,164 @@ def _buckets(packed: DataFrame) -> DataFrame:
         def done():
             if not held:
                 return
-            t = np.concatenate([np.frombuffer(x, np.int64) for x, _ in held])
-            s = np.concatenate([np.frombuffer(x, np.int64) for _, x in held])
+            t, s, n = (np.concatenate([np.frombuffer(h[k], kind) for h in held]) for k, kind in enumerate((np.int64, np.int64, np.int32)))
             order = np.lexsort((s, t))
-            t, s = t[order], s[order]
+            t, s, n = t[order], s[order], n[order]
             new = np.concatenate(([True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
-            t, s = t[new], s[new]
+            t, s, n = t[new], s[new], n[new].astype(np.int64)
             start = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
             size = np.diff(np.concatenate((start, [len(t)])))
-            each, lead = np.repeat(size, size), np.repeat(s[start], size)
+            each, first = np.repeat(size, size), np.repeat(start, size)
             keep = each > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep], pa.int64()) for x in (t, s, lead, each)], ["token", "sid", "leader", "size"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (t, s, n, s[first], n[first], each)], names)
 
         for b in batches:
-            of, t, s = column(b, "bin").to_pylist(), column(b, "tokens").to_pylist(), column(b, "sids").to_pylist()
-            for k, x, y in zip(of, t, s):
+            rows = zip(*(column(b, c).to_pylist() for c in ("bin", "tokens", "sids", "sizes")))
+            for k, *arrays in rows:
                 if k != now:
                     yield from done()
                     now, held = k, []
-                held.append((x, y))
+                held.append(arrays)
         yield from done()
 
     rows = packed.repartition("bin").sortWithinPartitions("bin")
-    return map_batches(rows, run, "token long, sid long, leader long, size long")
+    return map_batches(rows, run, "token long, sid long, n long, leader long, leader_n long, size long")
 
 
 # -- 3 and 4: comparisons ------------------------------------------------------
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) of the wanted sets, from the texts of their documents."""
-    of = classes.join(wanted, classes["d1"] == wanted["sid"], "left_semi").select("d1", F.col("rep").alias("__rep"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("__doc"), "text").join(of, F.col("__doc") == F.col("__rep")).select("d1", "text")
+def _can_link(n: Column, m: Column) -> Column:
+    return (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT)
 
-    def run(batches):
-        for b in batches:
-            sid, tokens = [], []
-            for want, text in zip(column(b, "d1").to_pylist(), utf8(b, "text")):
-                t = shingles(text)
-                if _digest(t)[0] == want:  # a doc_id can have rows with other texts
-                    sid.append(want), tokens.append(t.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(tokens, pa.binary())], ["sid", "tokens"])
-
-    return map_batches(texts, run, "sid long, tokens binary").dropDuplicates(["sid"])
 
+def _common_needed(n: Column, m: Column) -> Column:
+    """The prefix tokens that sets of n and m tokens that link surely share:
+    their intersection, less what can lie behind the prefixes."""
+    both = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    behind = F.ceil(F.greatest(n, m) * PERCENT / 100) - 1
+    return F.greatest(both - behind, F.lit(1))
 
-def _stars(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): each class and the leader that it shares most tokens with,
-    where they link."""
-    met = buckets.filter("sid <> leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = met.groupBy("sid").agg(F.max(F.struct("n", "leader")).alias("x")).select("sid", F.col("x.leader").alias("leader"))
-    both = best.join(sets.withColumnRenamed("tokens", "x"), "sid").join(
-        sets.select(F.col("sid").alias("leader"), F.col("tokens").alias("y")), "leader"
-    )
 
-    def run(batches):
-        for b in batches:
-            same = [
-                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                for x, y in zip(column(b, "x").to_pylist(), column(b, "y").to_pylist())
-            ]
-            same = pa.array(same, pa.bool_())
-            yield pa.RecordBatch.from_arrays([column(b, "sid").filter(same), column(b, "leader").filter(same)], ["a", "b"])
-
-    return map_batches(both, run, "a long, b long")
-
-
-def _groups(stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """(sid, gid, label): a star dealt into groups of about GROUP_SIZE, by the
-    hash of the member."""
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP_SIZE))
-    dealt = labels.join(sizes, "label").select(F.col("node").alias("sid"), F.xxhash64("label", part).alias("gid"), "label")
-    return sets.select("sid").join(dealt, "sid", "left").select(
-        "sid", F.coalesce("gid", "sid").alias("gid"), F.coalesce("label", "sid").alias("label")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, tokens) of the wanted sets.  Tasks send the sets that hit a
+    bitmap of the wanted (of ``BITMAP`` bits a set, ``MAX_BITMAP`` at most),
+    and a join drops the few others."""
+    wanted = staged(wanted.distinct(), "wanted")
+    bits = min(MAX_BITMAP, 1 << max(10, int(wanted.count() * BITMAP).bit_length()))
+    slots = wanted.select(F.pmod("sid", F.lit(bits)).alias("slot")).groupBy(F.floor(F.col("slot") / 8).alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(slot % 8 as int))")).alias("mask")
     )
-
-
-def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """(sid, gid) distinct: classes and groups of other components that they
-    share a prefix token with; of two groups the one with fewer classes in the
-    bucket asks."""
-    placed = buckets.select("token", "sid").join(groups, "sid")
-    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    rows = placed.join(mixed.select("token"), "token", "left_semi").repartition("token").sortWithinPartitions("token", "gid")
+    bitmap = np.zeros(bits // 8, np.uint8)
+    packed = slots.toPandas()  # MAX_BITMAP / 8 rows at most
+    bitmap[packed["byte"].to_numpy(np.int64)] = packed["mask"].to_numpy(np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        token, held = None, []
-
-        def ask():
-            sid, gid, label = (np.concatenate([h[k] for h in held]) for k in range(3))
-            start = np.flatnonzero(np.concatenate(([True], gid[1:] != gid[:-1])))
-            size = np.diff(np.concatenate((start, [len(gid)])))
-            order = np.argsort(size, kind="stable")  # small groups ask large ones
-            start, size = start[order], size[order]
-            out_s, out_g = [], []
-            for k in range(len(start) - 1):
-                own = sid[start[k] : start[k] + size[k]]
-                other = start[k + 1 :][label[start[k + 1 :]] != label[start[k]]]
-                out_s.append(np.repeat(own, len(other)))
-                out_g.append(np.tile(gid[other], len(own)))
-                if sum(map(len, out_s)) > 100_000:
-                    yield pack(out_s, out_g)
-                    out_s, out_g = [], []
-            if out_s:
-                yield pack(out_s, out_g)
-
-        def pack(s, g):
-            pairs = np.unique(np.stack([np.concatenate(s), np.concatenate(g)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["sid", "gid"])
-
+        seen: set[int] = set()
         for b in batches:
-            of = column(b, "token").to_numpy()
-            cols = [column(b, c).to_numpy() for c in ("sid", "gid", "label")]
-            cut = [0, *(np.flatnonzero(np.diff(of)) + 1), len(of)]
-            for lo, hi in zip(cut, cut[1:]):
-                if hi == lo:
-                    continue
-                if of[lo] != token:
-                    if held:
-                        yield from ask()
-                    token, held = of[lo], []
-                held.append([c[lo:hi] for c in cols])
-        if held:
-            yield from ask()
-
-    return map_batches(rows, run, "sid long, gid long").distinct()
-
-
-def _open(queries: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links of the queries with members of the groups that pass the
-    bound on the matrix."""
-    members = (
-        groups.join(queries.select("gid").distinct(), "gid", "left_semi").join(sets, "sid")
-        .groupBy("gid").agg(F.collect_list(F.struct("sid", "tokens")).alias("members"))  # about GROUP_SIZE
+            sids, tokens = [], []
+            for t in shingle_sets(utf8(b, "text")):
+                sid = _digest(t)[0]
+                slot = sid % bits
+                if len(t) and sid not in seen and shared.value[slot >> 3] >> (slot & 7) & 1:
+                    if len(seen) > 1_000_000:
+                        seen.clear()
+                    seen.add(sid)
+                    sids.append(sid), tokens.append(t.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(tokens, pa.binary())], ["sid", "tokens"])
+
+    rows = map_batches(docs.select("text"), run, "sid long, tokens binary")
+    return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+
+
+def _open(queries: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links of queries (sid, gid) with members (sid, gid) of their
+    groups, where the bound on the group's union lets them be opened.  A
+    group with many queries is dealt to several tasks."""
+    sets = staged(_sets(docs, queries.select("sid").unionByName(members.select("sid"))), "sets")
+    parts = queries.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).alias("parts"))
+    heads = (
+        members.join(parts, "gid").join(sets, "sid")
+        .select("gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "sid", "tokens")
     )
-    asked = queries.join(sets, "sid").repartition("gid").join(members, "gid").sortWithinPartitions("gid")
-    slim = asked.select("gid", "sid", "tokens", "members")
+    asked = (
+        queries.join(parts, "gid").join(sets, "sid")
+        .select("gid", F.pmod(F.xxhash64("sid"), F.col("parts")).alias("part"), F.lit(1).alias("kind"), "sid", "tokens")
+    )
+    rows = heads.unionByName(asked).repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "sid")
 
     def run(batches):
-        gid, names, rows, union = None, [], [], None
+        now, names, held, union = None, [], [], None
         for b in batches:
-            held = column(b, "members")
             out_a, out_b = [], []
-            for k, (g, sid, t) in enumerate(zip(column(b, "gid").to_pylist(), column(b, "sid").to_pylist(), column(b, "tokens").to_pylist())):
-                if g != gid:
-                    gid, m = g, held[k].as_py()
-                    names = [x["sid"] for x in m]
-                    rows = [np.frombuffer(x["tokens"], np.uint64) for x in m]
-                    union = np.unique(np.concatenate(rows))
-                q = np.frombuffer(t, np.uint64)
+            for g, part, kind, sid, tokens in zip(*(column(b, c).to_pylist() for c in ("gid", "part", "kind", "sid", "tokens"))):
+                if (g, part) != now:
+                    now, names, held, union = (g, part), [], [], None
+                q = np.frombuffer(tokens, np.uint64)
+                if kind == 0:
+                    names.append(sid), held.append(q)
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate(held))
                 at = np.minimum(np.searchsorted(union, q), len(union) - 1)
                 if 100 * int((union[at] == q).sum()) < PERCENT * len(q):
                     continue  # the bound: the group stays closed
-                for name, row in zip(names, rows):
-                    if linked(q, row):
+                for name, member in zip(names, held):
+                    if name != sid and linked(q, member):
                         out_a.append(sid), out_b.append(name)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return map_batches(slim, run, "a long, b long")
+    return map_batches(rows, run, "a long, b long")
+
+
+def _stars(buckets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): each class and the leader that it shares most tokens with,
+    where they link."""
+    met = buckets.filter("sid <> leader").groupBy("sid", "leader").agg(
+        F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("leader_n").alias("m")
+    ).filter(_can_link(F.col("n"), F.col("m")) & (F.col("c") >= _common_needed(F.col("n"), F.col("m"))))
+    best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x"))
+    queries = staged(best.select("sid", F.col("x.leader").alias("gid")), "leaders")
+    return _open(queries, queries.select(F.col("gid").alias("sid"), "gid").distinct(), docs)
+
+
+def _groups(labels: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(sid, n, gid, label, members) of every class with a bucket: a star is
+    dealt into groups of about GROUP_SIZE by the hash of the member, any other
+    class is a group of its own."""
+    stars = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP_SIZE))
+    dealt = labels.join(stars, "label").select(F.col("node").alias("sid"), F.xxhash64("label", part).alias("gid"), "label", "members")
+    return sizes.join(dealt, "sid", "left").select(
+        "sid", "n", F.coalesce("gid", "sid").alias("gid"), F.coalesce("label", "sid").alias("label"), F.coalesce("members", F.lit(1)).alias("members")
+    )
+
+
+def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sid, gid): classes and groups of other components that may hold a
+    link of theirs.  A row of the token-group matrix is a prefix token of a
+    group, with the sizes of the group's classes that hold it; a class meets
+    the rows of its own prefix tokens, and their number bounds the overlap.
+    Of two groups the one of the smaller star asks."""
+    placed = buckets.select("token", "sid").join(groups, "sid")
+    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+    placed = staged(placed.join(mixed, "token", "left_semi"), "placed")
+    matrix = placed.groupBy("token", "gid").agg(
+        F.first("label").alias("g_label"), F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi")
+    )
+    asks = placed.withColumnRenamed("gid", "own")
+    first = (F.col("members") < F.col("g_members")) | (F.col("members") == F.col("g_members")) & (F.col("own") < F.col("gid"))
+    near = (F.col("hi") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("lo") * PERCENT)
+    met = asks.join(matrix, "token").filter((F.col("label") != F.col("g_label")) & first & near)
+    shared = met.groupBy("sid", "gid").agg(
+        F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    # the bound is lowest at an end of the sizes that can link
+    lo = F.greatest("lo", F.ceil(F.col("n") * PERCENT / 100))
+    hi = F.least("hi", F.floor(F.col("n") * 100 / PERCENT))
+    needed = F.least(_common_needed(F.col("n"), lo), _common_needed(F.col("n"), hi))
+    return shared.filter(F.col("c") >= needed).select("sid", "gid")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -379,7 +392,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     length = F.col("n") + 1 - F.ceil(F.col("n") * PERCENT / 100)
     total = classes.agg(F.sum(length)).first()[0] or 0
     bins = max(1, int(total**0.5 / 8))
-    counted = sketch.filter("often is not null").groupBy("d1").agg(F.sum("often").alias("c"))
+    counted = sketch.filter("often is not null").groupBy("d1").agg(F.sum("often").alias("c")).filter(F.col("c") >= FREQUENT)
     top = counted.orderBy(F.desc("c"), "d1").limit(MAX_FREQUENT).select("d1").toPandas()["d1"].to_numpy(np.int64)
     frequent = np.sort(top.view(np.uint64))
     while True:
@@ -391,11 +404,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not len(more):
             break
         frequent = np.union1d(frequent, more)  # a better order, and once more
-    sets = staged(_sets(docs, classes, buckets.select("sid").distinct()), "sets")
-    stars = staged(_stars(buckets, sets), "stars")
-    groups = staged(_groups(stars, components(stars), sets), "groups")
+    sizes = buckets.groupBy("sid").agg(F.first("n").alias("n"))
+    stars = staged(_stars(buckets, docs), "stars")
+    groups = staged(_groups(components(stars), sizes), "groups")
     queries = staged(_queries(buckets, groups), "group-queries")
-    links = staged(_open(queries, groups, sets), "links")
+    opened = groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("sid", "gid")
+    links = staged(_open(queries, opened, docs), "links")
     labels = components(stars.unionByName(links))
     named = classes.join(labels, classes["d1"] == labels["node"], "left").select(
         "d1", "d2", "rep", F.coalesce("label", "d1").alias("label")

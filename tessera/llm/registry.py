@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, html_extract, importance, line_dedup, mixing, ngram_join, token_counts, topk, toxicity
+from tessera.llm import decontam, html_extract, importance, line_dedup, mixing, ngram_join, pii, token_counts, topk, toxicity
 from tessera.llm.common import table
 
 #: target weights of the production mix: the large crawl is held to a fifth
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -56,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_topk_search": op3_topk_search,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
