@@ -227,19 +227,21 @@ def remove(
 
 
 def _cut(text: bytes | None, w: WindowSet) -> bytes | None:
+    """The text without its hit words and the separators between them."""
     n, spans, _ = w.scan(text)
     if not spans:
         return text
-    hit, keep, at = _mark(n, spans), [], 0
+    hit, keep = _mark(n, spans), []
     flat = text.lower().translate(_SEP)
-    start = 0
+    start = at = 0
     for k in range(n):
-        while flat[at : at + 1] == b" ":
+        while flat[at] == 0x20:
             at += 1
         end = flat.find(b" ", at)
         end = len(flat) if end < 0 else end
         if hit[k]:
-            keep.append(text[start:at])
+            if not (k and hit[k - 1]):
+                keep.append(text[start:at])
             start = end
         at = end
     return b"".join([*keep, text[start:]])

@@ -176,9 +176,12 @@ def _name(kind: Column, norm: Column, seed: Column, attempt: Column) -> Column:
     return F.when(attempt > 0, F.concat(out, more)).otherwise(out)
 
 
-def _canonical(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+def _seed(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
+
+
+def _canonical(kind: Column, norm: Column, attempt: Column, seed: Column) -> Column:
     """The surrogate of a value's normal form."""
-    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
     octets = F.concat_ws(".", F.lit("10"), *(_draw(seed, F.lit(k), 256).cast("string") for k in range(3)))
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     labels = F.substring_index(domain, ".", 1)
@@ -209,24 +212,34 @@ def _poured(kind: Column, value: Column, canonical: Column) -> Column:
     return F.when(kind.isin("card", "phone", "ssn", "iban"), spread).when(kind.startswith("name"), name).otherwise(canonical)
 
 
+def _with(column: str, name: str, of) -> Column:
+    """An array of structs with one more field, a function of the struct.
+    Step by step no expression is written out more than once."""
+    return F.transform(column, lambda p: p.withField(name, of(p)))
+
+
 def _found(docs: DataFrame) -> DataFrame:
-    """``docs`` with __tail (the text after the last match) and __parts."""
+    """``docs`` with __parts, the array of (lit, kind, value, norm) up to the
+    last match, null without one, and __tail, the text after it."""
     held = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    parts = F.flatten(
-        F.transform(F.arrays_zip(F.col("__ents").alias("e"), F.slice("__segs", F.lit(1), F.size("__ents")).alias("s")), lambda x: _pieces(x["e"], x["s"]))
-    )
+    pairs = F.arrays_zip(F.col("__ents").alias("e"), F.slice("__segs", F.lit(1), F.size("__ents")).alias("s"))
     return (
         docs.withColumn("__ents", held)
         .withColumn("__segs", F.when(F.size("__ents") > 0, F.split("text", PATTERN, -1)))
-        .withColumn("__parts", F.when(F.size("__ents") > 0, parts))
+        .withColumn("__parts", F.when(F.size("__ents") > 0, F.flatten(F.transform(pairs, lambda x: _pieces(x["e"], x["s"])))))
         .withColumn("__tail", F.element_at("__segs", -1))
         .drop("__ents", "__segs")
+        .withColumn("__parts", _with("__parts", "norm", lambda p: _norm(p["kind"], p["value"])))
     )
 
 
 def collisions(values: DataFrame, key: str) -> DataFrame:
     """(kind, norm) of the values (kind, norm, attempt) that must draw again."""
-    drawn = values.withColumn("sur", _canonical(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+    drawn = staged(
+        values.withColumn("seed", _seed(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+        .withColumn("sur", _canonical(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("seed"))).drop("seed"),
+        "pii-drawn",
+    )
     shared = drawn.groupBy("kind", "sur").agg(F.min("norm").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = drawn.join(shared, ["kind", "sur"]).filter("norm <> first").select("kind", "norm")
     real = drawn.join(values.select("kind", F.col("norm").alias("sur")), ["kind", "sur"], "left_semi").select("kind", "norm")
@@ -235,10 +248,9 @@ def collisions(values: DataFrame, key: str) -> DataFrame:
 
 def attempts(found: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, norm, attempt) of the distinct values, free of collisions."""
-    part = F.col("p.value")
     values = (
         found.select(F.explode("__parts").alias("p"))
-        .select(F.col("p.kind").alias("kind"), _norm(F.col("p.kind"), part).alias("norm"))
+        .select(F.col("p.kind").alias("kind"), F.col("p.norm").alias("norm"))
         .distinct().withColumn("attempt", F.lit(0))
     )
     while True:
@@ -262,7 +274,7 @@ def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     uses = (
         _found(docs.select("text")).filter("__parts is not null")
         .select(*text_key, F.explode("__parts").alias("p"))
-        .select("__t1", "__t2", F.col("p.kind").alias("kind"), _norm(F.col("p.kind"), F.col("p.value")).alias("norm"))
+        .select("__t1", "__t2", F.col("p.kind").alias("kind"), F.col("p.norm").alias("norm"))
         .distinct().join(redrawn, ["kind", "norm"])
         .groupBy("__t1", "__t2")
         .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), "attempt"))).alias("__again"))
@@ -271,17 +283,24 @@ def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         staged(uses, "pii-exceptions"), (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2")), "left"
     )
 
-    def replaced(p):
-        norm = _norm(p["kind"], p["value"])
-        again = F.coalesce(F.try_element_at("__again", F.concat_ws("\x1f", p["kind"], norm)), F.lit(0))
-        return F.concat(p["lit"], _poured(p["kind"], p["value"], _canonical(p["kind"], norm, again, key)))
-
-    new = F.concat(F.array_join(F.transform("__parts", replaced), ""), F.col("__tail"))
+    def attempt(p):
+        again = F.try_element_at("__again", F.concat_ws("\x1f", p["kind"], p["norm"]))
+        return F.coalesce(again, F.lit(0))
+
+    steps = {
+        "attempt": attempt,
+        "seed": lambda p: _seed(p["kind"], p["norm"], p["attempt"], key),
+        "canonical": lambda p: _canonical(p["kind"], p["norm"], p["attempt"], p["seed"]),
+        "new": lambda p: F.concat(p["lit"], _poured(p["kind"], p["value"], p["canonical"])),
+    }
+    out = _found(joined)
+    for name, step in steps.items():
+        out = out.withColumn("__parts", _with("__parts", name, step))
+    new = F.concat(F.array_join(F.transform("__parts", lambda p: p["new"]), ""), F.col("__tail"))
     kinds = F.array_sort(F.array_distinct(F.transform("__parts", lambda p: p["kind"])))
     names = [c for c in docs.columns if c not in ("n_entities", "kinds")]
     return (
-        _found(joined)
-        .withColumn("n_entities", F.coalesce(F.size("__parts"), F.lit(0)).cast("long"))
+        out.withColumn("n_entities", F.coalesce(F.size("__parts"), F.lit(0)).cast("long"))
         .withColumn("n_entities", F.greatest("n_entities", F.lit(0)))
         .withColumn("kinds", F.coalesce(kinds, F.array().cast("array<string>")))
         .withColumn("text", F.when(F.col("__parts").isNotNull(), new).otherwise(F.col("text")))
