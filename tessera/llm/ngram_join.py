@@ -93,6 +93,12 @@ def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     return out
 
 
+def _sets_of(texts: list[bytes | None], slice_: int = 256):
+    """The shingle sets of a batch's texts, a slice at a time."""
+    for k in range(0, len(texts), slice_):
+        yield from shingle_sets(texts[k : k + slice_])
+
+
 def shingles(text: bytes | None) -> np.ndarray:
     return shingle_sets([text])[0]
 
@@ -137,7 +143,7 @@ def _sketch(docs: DataFrame) -> DataFrame:
 
         for b in batches:
             n, d1, d2 = [], [], []
-            for tokens in shingle_sets(utf8(b, "text")):
+            for tokens in _sets_of(utf8(b, "text")):
                 x, y = _digest(tokens)
                 n.append(len(tokens)), d1.append(x), d2.append(y)
                 if len(tokens) and x not in seen:
@@ -169,7 +175,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, bins: int) -> DataFrame:
         late, seen = shared.value, set()
         for b in batches:
             held, sids, sizes = [], [], []
-            for tokens in shingle_sets(utf8(b, "text")):
+            for tokens in _sets_of(utf8(b, "text")):
                 if not len(tokens):
                     continue
                 sid = _digest(tokens)[0]
@@ -278,7 +284,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         seen: set[int] = set()
         for b in batches:
             sids, tokens = [], []
-            for t in shingle_sets(utf8(b, "text")):
+            for t in _sets_of(utf8(b, "text")):
                 sid = _digest(t)[0]
                 slot = sid % bits
                 if len(t) and sid not in seen and shared.value[slot >> 3] >> (slot & 7) & 1:
@@ -293,8 +299,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _open(queries: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): links of queries (sid, gid) with members (sid, gid) of their
-    groups, where the bound on the group's union lets them be opened.  A
+    """(a, b): one link of each query (sid, gid) with a member (sid, gid) of
+    its group, where there is one and the bound on the group's union lets it
+    be opened; members are connected already, so one link joins them all.  A
     group with many queries is dealt to several tasks."""
     sets = staged(_sets(docs, queries.select("sid").unionByName(members.select("sid"))), "sets")
     parts = queries.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).alias("parts"))
@@ -327,6 +334,7 @@ def _open(queries: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
                 for name, member in zip(names, held):
                     if name != sid and linked(q, member):
                         out_a.append(sid), out_b.append(name)
+                        break  # the group's members are in one component
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return map_batches(rows, run, "a long, b long")
