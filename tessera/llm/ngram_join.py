@@ -58,6 +58,8 @@ MAX_FREQUENT = 1 << 20
 LARGE_BUCKET = 256
 #: queries of a group that one task compares
 QUERIES_A_TASK = 256
+#: how many times more groups a class may ask in each further round
+MORE = 16
 #: bits for each wanted set in the bitmap that tasks get, and all its bits at
 #: most (8 MB)
 BITMAP, MAX_BITMAP = 16, 1 << 26
@@ -298,12 +300,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
 
-def _open(queries: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+def _open(queries: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): one link of each query (sid, gid) with a member (sid, gid) of
     its group, where there is one and the bound on the group's union lets it
     be opened; members are connected already, so one link joins them all.  A
     group with many queries is dealt to several tasks."""
-    sets = staged(_sets(docs, queries.select("sid").unionByName(members.select("sid"))), "sets")
     parts = queries.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).alias("parts"))
     heads = (
         members.join(parts, "gid").join(sets, "sid")
@@ -348,7 +349,9 @@ def _stars(buckets: DataFrame, docs: DataFrame) -> DataFrame:
     ).filter(_can_link(F.col("n"), F.col("m")) & (F.col("c") >= _common_needed(F.col("n"), F.col("m"))))
     best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x"))
     queries = staged(best.select("sid", F.col("x.leader").alias("gid")), "leaders")
-    return _open(queries, queries.select(F.col("gid").alias("sid"), "gid").distinct(), docs)
+    leaders = queries.select(F.col("gid").alias("sid"), "gid").distinct()
+    sets = staged(_sets(docs, queries.select("sid").unionByName(leaders.select("sid"))), "sets")
+    return _open(queries, leaders, sets)
 
 
 def _groups(labels: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -386,7 +389,32 @@ def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     lo = F.greatest("lo", F.ceil(F.col("n") * PERCENT / 100))
     hi = F.least("hi", F.floor(F.col("n") * 100 / PERCENT))
     needed = F.least(_common_needed(F.col("n"), lo), _common_needed(F.col("n"), hi))
-    return shared.filter(F.col("c") >= needed).select("sid", "gid")
+    return shared.filter(F.col("c") >= needed).select("sid", "gid", "c")
+
+
+def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links that, with the stars, connect all that links connect.
+    Each class first asks the group that it shares most tokens with, then its
+    next ``MORE`` ones, and so on to its last; before each round go the
+    queries on groups that earlier rounds brought into the class's component.
+    In a crowd of near copies the first round leaves few to ask."""
+    opened = groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("sid", "gid")
+    best = Window.partitionBy("sid").orderBy(F.desc("c"), "gid")
+    reps = opened.groupBy("gid").agg(F.min("sid").alias("rep"))
+    left = staged(queries.withColumn("place", F.row_number().over(best)).join(reps, "gid"), "asks")
+    sets = staged(_sets(docs, left.select("sid").unionByName(opened.select("sid"))), "sets")
+    last = left.agg(F.max("place")).first()[0] or 0
+    links, done, upto = stars, 0, 1
+    while done < last:
+        of = components(links)
+        now = left.filter((F.col("place") > done) & (F.col("place") <= upto))
+        for end in ("sid", "rep"):
+            named = of.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+            now = now.join(named, end, "left").withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
+        now = staged(now.filter("sid_label <> rep_label").select("sid", "gid"), "asked")
+        links = links.unionByName(staged(_open(now, opened, sets), "links"))
+        done, upto = upto, upto * MORE
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -416,9 +444,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = staged(_stars(buckets, docs), "stars")
     groups = staged(_groups(components(stars), sizes), "groups")
     queries = staged(_queries(buckets, groups), "group-queries")
-    opened = groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("sid", "gid")
-    links = staged(_open(queries, opened, docs), "links")
-    labels = components(stars.unionByName(links))
+    labels = components(_rounds(queries, groups, stars, docs))
     named = classes.join(labels, classes["d1"] == labels["node"], "left").select(
         "d1", "d2", "rep", F.coalesce("label", "d1").alias("label")
     )
