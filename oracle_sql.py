@@ -495,10 +495,10 @@ rep AS (
   WHERE c.c_custkey % 13 <> 0
 ),
 site_list AS (
-  SELECT 'h.example,sc' || CAST(c_custkey AS VARCHAR) || ',' || CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
-         'https://h.example/sites/cat-' || CAST(c_custkey AS VARCHAR) AS web_url,
-         'sid-' || CAST(c_custkey AS VARCHAR) AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
-  FROM customer WHERE c_custkey % 3 <> 0
+  SELECT 'h.example,sc' || k || ',' || k AS id, c_name AS name,
+         'https://h.example/sites/cat-' || k AS web_url,
+         'sid-' || k AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
+  FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE '' END || CAST(c_custkey AS VARCHAR) AS k FROM customer) AS named
 ),
 url_keys AS (
   SELECT id, web_url, 0 AS pos, lower(id) AS k FROM site_list
@@ -818,9 +818,9 @@ req AS (
   FROM customer
 ),
 sl AS (
-  SELECT 'h.example,sc' || CAST(c_custkey AS VARCHAR) || ',' || CAST(c_custkey AS VARCHAR) AS id,
-         'sid-' || CAST(c_custkey AS VARCHAR) AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
-  FROM customer WHERE c_custkey % 3 <> 0
+  SELECT 'h.example,sc' || k || ',' || k AS id,
+         'sid-' || k AS sp1, 'col-' || CAST(c_nationkey AS VARCHAR) AS sp2
+  FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE '' END || CAST(c_custkey AS VARCHAR) AS k FROM customer) AS named
 ),
 rkeys AS (
   SELECT k, max(id) AS resolved_site_id FROM (
@@ -946,3 +946,10 @@ QUERIES["bronze_drives"] = with_(SITES, DRIVES) + """
 SELECT id AS drive_id, site_id, name AS drive_name, drive_type, web_url AS drive_url, discovered_at, processed_at,
        CAST(NULL AS VARCHAR) AS raw_json
 FROM drives"""
+
+QUERIES["apply_changes_incremental"] = QUERIES["apply_changes"]
+QUERIES["pending_count"] = with_(PAGES) + "SELECT count(*) AS pending FROM sync WHERE status = 'pending'"
+QUERIES["run_outcome"] = f"""
+SELECT CASE WHEN (SELECT open_errors FROM ({QUERIES["catalog_stats"]}) AS s) > 0
+              OR (SELECT count(*) FROM ({QUERIES["sync_status_counts"]}) AS c WHERE status IN ('failed', 'in_progress')) > 0
+            THEN 'completed_with_errors' ELSE 'completed' END AS outcome"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,22 +38,3 @@ def rtrim_chars(value, chars: str) -> Column:
 
 def ltrim_chars(value, chars: str) -> Column:
     return F.ltrim(as_col(value), F.lit(chars))
-
-
-def reusable(fn):
-    """Memoise a Column builder called with plain (hashable, non-Column)
-    arguments such as column names.  Column expressions are immutable and
-    can be shared by any number of DataFrames; reusing them saves the many
-    driver→JVM calls it takes to build a large expression."""
-    cached = functools.lru_cache(maxsize=512)(fn)
-
-    @functools.wraps(fn)
-    def wrapper(*args, **kwargs):
-        try:
-            if any(isinstance(a, Column) for a in args) or any(isinstance(v, Column) for v in kwargs.values()):
-                return fn(*args, **kwargs)
-            return cached(*args, **kwargs)
-        except TypeError:  # unhashable argument
-            return fn(*args, **kwargs)
-
-    return wrapper

@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from tessera.schemas import ITEM_KEY, ITEM_ROLLUP_COLUMNS, ITEMS
 
 ORDER_FIELDS = ["page_seq", "is_tombstone", "row_idx"]
@@ -136,24 +135,19 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, keep_ghosts: bool
     )
 
 
-def apply_changes(
-    state: DataFrame | None, changes: DataFrame, max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS, keep_ghosts: bool = False
-) -> DataFrame:
+def apply_changes(state: DataFrame | None, changes: DataFrame, keep_ghosts: bool = False) -> DataFrame:
     """The new items table after applying ``changes`` to ``state``.
 
     With ``keep_ghosts`` a tombstone for an item not (yet) known is kept as
     a hidden row (``_ghost``), so an older upsert of it that arrives later
     is still deleted — needed when pages can land out of order.
 
-    The batch's key set is broadcast when its size is checked to be small;
-    then the big state is only scanned (semi/anti join), never shuffled for
-    untouched keys.
+    Untouched state rows only meet the batch's key set (semi/anti join); when
+    that set is under Spark's broadcast limits the state is scanned in place.
     """
     if state is None:
         return merge_changes(None, changes, keep_ghosts)
     keys = affected_keys(changes.filter(F.col("id").isNotNull()))
-    if fits(keys, max_broadcast_keys):
-        keys = F.broadcast(keys)
     touched = state.join(keys, ITEM_KEY, "left_semi")
     untouched = state.join(keys, ITEM_KEY, "left_anti")
     merged = merge_changes(touched, changes, keep_ghosts)

@@ -7,22 +7,22 @@ count.  Links are the ``(drive_id, parent_id)`` pointers, not text paths.
 
 Plan: files are pre-aggregated per parent folder (map-side partial
 aggregation, so a folder holding a third of all files costs nothing extra).
-Then per-folder partial sums move one level up per iteration along the
-live child→parent edges and are re-aggregated per parent, so the frontier
-never exceeds the number of folders.  Each level is one job that attaches
-the folders' live parents, checkpoints the level to the shared checkpoint
-folder (short lineage, survives executor loss) and counts, on the way
-(``observe``), the rows that still have a parent; the loop ends when none
-does — depth + 2 jobs in all.  (Unrolling several levels into one plan was
-measured slower: the plan grows quadratically with the depth.)
+Then pointers double: each folder holds the sum over its nearest ``2**k``
+levels and a pointer to its ancestor ``2**k`` levels up.  A round adds to
+every folder the sums of those folders whose pointer names it and squares the
+pointers, so a tree of depth d takes ``log2(d) + 1`` rounds of folder-sized
+joins.  Each round is written to the shared checkpoint folder.  Pointers that
+still move when no tree of that many folders could be so deep lie on a cycle,
+which is reported.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import format_size
+from tessera.session import work_path
 
 KEY = ["drive_id", "folder_id"]
 
@@ -31,59 +31,58 @@ def _live(items: DataFrame) -> DataFrame:
     return items.filter(F.col("status") != "deleted")
 
 
-def folder_totals(items: DataFrame, max_levels: int = 100_000) -> DataFrame:
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def folder_totals(items: DataFrame) -> DataFrame:
     """``(drive_id, id, file_count, folder_total_size_bytes)`` for every live
-    folder (zeros when it holds nothing)."""
+    folder (zeros when it holds nothing).  A cycle of parent pointers raises
+    ``ValueError`` with one of its folders."""
     live = _live(items)
     folders = live.filter(F.col("item_type") == "folder").select("drive_id", F.col("id").alias("folder_id"), "parent_id")
-    folder_keys = folders.select(*KEY)
-    # live child folder → live parent folder (one row per child at most)
-    edges = (
-        folders.select("drive_id", F.col("folder_id").alias("child_id"), F.col("parent_id").alias("folder_id"))
-        .filter(F.col("folder_id").isNotNull())
-        .join(folder_keys, KEY, "left_semi")
-        .withColumnRenamed("folder_id", "parent_id")
-        .withColumnRenamed("child_id", "folder_id")
-    ).checkpoint()
-
-    def settle(level: DataFrame, i: int):
-        """Attach each row's live parent and checkpoint; the same job counts
-        the rows that still have somewhere to go."""
-        obs = Observation(f"rollup_level_{i}")
-        done = (
-            level.join(edges, KEY, "left")
-            .observe(obs, F.count_if(F.col("parent_id").isNotNull()).alias("moving"))
-            .checkpoint()
-        )
-        return done, int(obs.get.get("moving") or 0)
-
     direct = (
         live.filter(F.col("item_type") == "file")
         .groupBy("drive_id", F.col("parent_id").alias("folder_id"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size_bytes").alias("b"))
-        .join(folder_keys, KEY, "left_semi")
     )
-    level, moving = settle(direct, 0)
-    levels = [level]
-    for i in range(1, max_levels):
-        if not moving:
+    parents = folders.select("drive_id", F.col("folder_id").alias("up"))
+    nodes = (
+        folders.withColumnRenamed("parent_id", "up")
+        .join(parents.withColumn("_live", F.lit(True)), ["drive_id", "up"], "left")
+        .withColumn("up", F.when(F.col("_live"), F.col("up")))
+        .join(direct, KEY, "left")
+        .select(*KEY, "up", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("b", F.lit(0)).alias("b"))
+    )
+    nodes = _staged(nodes, "rollup")
+    count = nodes.count()
+    for _ in range(count.bit_length() + 1):
+        moving = nodes.filter(F.col("up").isNotNull())
+        if moving.limit(1).count() == 0:
             break
-        up = (
-            level.filter(F.col("parent_id").isNotNull())
-            .groupBy("drive_id", F.col("parent_id").alias("folder_id"))
-            .agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+        gain = moving.groupBy("drive_id", F.col("up").alias("folder_id")).agg(F.sum("n").alias("dn"), F.sum("b").alias("db"))
+        far = nodes.select("drive_id", F.col("folder_id").alias("up"), F.col("up").alias("far"))
+        nodes = _staged(
+            nodes.join(gain, KEY, "left").join(far, ["drive_id", "up"], "left").select(
+                *KEY,
+                F.col("far").alias("up"),
+                (F.col("n") + F.coalesce("dn", F.lit(0))).cast("long").alias("n"),
+                (F.col("b") + F.coalesce("db", F.lit(0))).cast("long").alias("b"),
+            ),
+            "rollup",
         )
-        level, moving = settle(up, i)
-        levels.append(level)
-    acc = levels[0].select(*KEY, "n", "b")
-    for lv in levels[1:]:
-        acc = acc.unionByName(lv.select(*KEY, "n", "b"))
-    totals = acc.groupBy(*KEY).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-    return folder_keys.join(totals, KEY, "left").select(
+    else:
+        stuck = nodes.filter(F.col("up").isNotNull()).orderBy(*KEY).first()
+        if stuck is not None:
+            raise ValueError(f"folder {stuck['folder_id']!r} of drive {stuck['drive_id']!r} lies below a cycle of parents")
+    return nodes.select(
         "drive_id",
         F.col("folder_id").alias("id"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("file_count"),
-        F.coalesce(F.col("b"), F.lit(0)).cast("long").alias("folder_total_size_bytes"),
+        F.col("n").cast("long").alias("file_count"),
+        F.col("b").cast("long").alias("folder_total_size_bytes"),
     )
 
 

@@ -1,17 +1,10 @@
 """Join helpers.
 
-Two size checks guard every broadcast:
-
-* by default (``lookup_join`` without ``max_broadcast_rows``) the decision
-  is Spark's: Catalyst broadcasts a side whose estimated size is under
-  ``spark.sql.autoBroadcastJoinThreshold``, and AQE converts a sort-merge
-  join to a broadcast only when the *measured* shuffle output of that side
-  is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those
-  thresholds the join stays a shuffle join (AQE splits skewed partitions).
-* ``broadcast_if_small`` / ``max_broadcast_rows`` counts at most
-  ``max_rows + 1`` rows of the candidate (a bounded job) and hints a
-  broadcast only when it fits — for callers that want the hint regardless
-  of estimates.
+No broadcast is hinted here: Catalyst broadcasts a side whose estimated size
+is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE turns a sort-merge
+join into a broadcast only when the measured shuffle output of that side is
+under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those byte
+limits the join stays a shuffle join, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -19,36 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup sides up to this many rows are broadcast (a site or drive row is a
-# few hundred bytes, so this stays well under executor memory).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on,
-    how: str = "left",
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Join a (possibly huge, possibly skewed) fact table to a lookup table.
 
-    A lookup of checked size is broadcast, so a hot key on the fact side never
-    concentrates in one task; a large lookup falls back to a shuffle join where
-    AQE's skew handling splits hot partitions.
-    """
-    if max_broadcast_rows is not None:
-        lookup = broadcast_if_small(lookup, max_broadcast_rows)
+def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a (possibly huge, possibly skewed) fact table to a lookup table."""
     return fact.join(lookup, on, how)
 
 

@@ -25,21 +25,26 @@ EXPIRED_MESSAGE = "Delta token expirado/invalido. Proxima tentativa fara carga c
 NO_LINK_MESSAGE = "Resposta delta sem @odata.nextLink nem @odata.deltaLink"
 
 
+def _site_ids(spark, site_ids: Iterable[str] | DataFrame) -> DataFrame:
+    if isinstance(site_ids, DataFrame):
+        return site_ids.select(F.col(site_ids.columns[0]).cast("string").alias("_site")).distinct()
+    return spark.createDataFrame([(s,) for s in sorted(set(site_ids))], "_site string")
+
+
 def _site_filter(df: DataFrame, site_ids: Iterable[str] | DataFrame | None, column: str = "site_id") -> DataFrame:
     """``None`` → all rows, empty → none, else the listed sites."""
     if site_ids is None:
         return df
-    if isinstance(site_ids, DataFrame):
-        return df.join(site_ids.select(F.col(site_ids.columns[0]).alias(column)).distinct(), column, "left_semi")
-    ids = list(site_ids)
-    return df.filter(F.col(column).isin(ids)) if ids else df.limit(0)
+    return df.join(_site_ids(df.sparkSession, site_ids), F.col(column) == F.col("_site"), "left_semi")
 
 
-def _in_scope(site_ids, column: str = "site_id"):
+def _with_scope(df: DataFrame, site_ids: Iterable[str] | DataFrame | None, column: str = "site_id") -> DataFrame:
+    """``df`` with ``_scope``: whether the row's site is among ``site_ids``."""
     if site_ids is None:
-        return F.lit(True)
-    ids = list(site_ids)
-    return F.col(column).isin(ids) if ids else F.lit(False)
+        return df.withColumn("_scope", F.lit(True))
+    listed = _site_ids(df.sparkSession, site_ids).withColumn("_scope", F.lit(True))
+    joined = df.join(listed, F.col(column) == F.col("_site"), "left").drop("_site")
+    return joined.withColumn("_scope", F.coalesce("_scope", F.lit(False)))
 
 
 def _conform(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -118,8 +123,8 @@ def sync_state_columns(df: DataFrame) -> DataFrame:
 def prepare(state: DataFrame, drives: DataFrame, now: str, reset_completed: bool = False, site_ids=None) -> DataFrame:
     """Register drives without a state row as pending, send interrupted
     drives back to pending, and optionally re-queue completed ones."""
-    scope = _in_scope(site_ids)
-    s = _conform(state)
+    s = _with_scope(_conform(state), site_ids)
+    scope = F.col("_scope")
     status = (
         F.when(scope & (F.col("status") == IN_PROGRESS), F.lit(PENDING))
         .when(scope & F.lit(reset_completed) & (F.col("status") == DONE), F.lit(PENDING))
@@ -133,7 +138,7 @@ def prepare(state: DataFrame, drives: DataFrame, now: str, reset_completed: bool
     touched = scope & ((F.col("status") == IN_PROGRESS) | (F.lit(reset_completed) & (F.col("status") == DONE)))
     updated = s.withColumn("last_error", last_error).withColumn(
         "updated_at", F.when(touched, F.lit(now)).otherwise(F.col("updated_at"))
-    ).withColumn("status", status)
+    ).withColumn("status", status).drop("_scope")
     missing = _site_filter(drives, site_ids).join(
         s.select(F.col("drive_id").alias("id")), "id", "left_anti"
     ).select(
@@ -146,8 +151,8 @@ def prepare(state: DataFrame, drives: DataFrame, now: str, reset_completed: bool
 
 def reset(state: DataFrame, now: str, site_ids=None) -> DataFrame:
     """Forget checkpoints: pending, no links, no error."""
-    scope = _in_scope(site_ids)
-    s = _conform(state)
+    s = _with_scope(_conform(state), site_ids)
+    scope = F.col("_scope")
     cols = {
         "status": F.lit(PENDING), "next_link": F.lit(None), "delta_link": F.lit(None),
         "last_error": F.lit(None), "updated_at": F.lit(now),

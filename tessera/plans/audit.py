@@ -173,10 +173,6 @@ def version_table(ok: DataFrame) -> DataFrame:
     )
 
 
-def version_gb(bytes_col) -> F.Column:
-    return bytes_to(bytes_col, "GB")
-
-
 def version_chart(ok: DataFrame, limit: int = 10) -> DataFrame:
     """Top sites by version space for the chart: GB and a 32-char label."""
     from tessera.functions import shorten_label

@@ -3,13 +3,13 @@ ordered by site URL, library and path, written as Parquet parts."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import lookup_join
 from tessera.operators.hierarchy import recalculate_folders
 from tessera.schemas import INVENTORY_COLUMNS
+from tessera.session import work_path
 from tessera.sinks.parquet import CHUNK_SIZE, ROWS_PER_FILE, write_inventory
 
 EXPORT_ORDER = ["site_url", "biblioteca", "caminho_item"]
@@ -42,12 +42,11 @@ def export_inventory(
     """
     if recalculate:
         items = recalculate_folders(items)
-    # The range sort samples its input before shuffling it; keeping the
-    # joined rows (memory, spilling to disk, recomputable on executor loss)
-    # saves running the joins twice.
-    rows = inventory(items, sites, drives).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        inv = rows.orderBy(*[F.col(c).asc_nulls_first() for c in EXPORT_ORDER])
-        return write_inventory(inv, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size)
-    finally:
-        rows.unpersist()
+    # The range sort samples its input before shuffling it; the joined rows
+    # are a table on shared storage, so the joins run once and a lost executor
+    # costs nothing.
+    path = work_path(items.sparkSession, "inventory")
+    inventory(items, sites, drives).write.parquet(path)
+    rows = items.sparkSession.read.parquet(path)
+    inv = rows.orderBy(*[F.col(c).asc_nulls_first() for c in EXPORT_ORDER])
+    return write_inventory(inv, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size)

@@ -16,7 +16,10 @@ from tessera.plans import lakehouse as lh
 from tessera.plans import priority as pr
 from tessera.plans import reports as rp
 from tessera.plans.inventory import export_inventory
-from tessera.schemas import PRIORITY_COLUMNS
+from tessera.operators.dedup import latest_per_key
+from tessera.operators.joins import upsert_by_key
+from tessera.schemas import PRIORITY_COLUMNS, SITE_STORAGE_METRICS, Catalog
+from tessera.sinks.parquet import table_exists
 from tessera.sinks import reports as sk
 from tessera.sources.files import read_site_priority, read_storage_metric_results
 
@@ -33,8 +36,6 @@ def export(
     recalculate_folders: bool = False,
 ) -> dict:
     """Inventory Parquet export followed by the full lakehouse build."""
-    from tessera.sources.testdata import Catalog
-
     result = export_inventory(items, sites, drives, output_dir, rows_per_file, recalculate=recalculate_folders)
     result["lakehouse"] = lh.build_lakehouse(spark, Catalog(sites, drives, items), data_dir, as_of, "all")
     return result
@@ -96,28 +97,26 @@ def audit(
 
 
 def storage_metrics(spark: SparkSession, results_json: str, store_path: str, collected_at: str) -> dict:
-    """Ingest collector results into ``site_storage_metrics`` (upsert by
-    site id: the newest collection wins) and count ok / failed."""
+    """Ingest collector results into ``site_storage_metrics`` and count ok /
+    failed.  The store is a folder of generations, each a whole table: a new
+    one holds the old rows with this collection's upserted by site id (the
+    last write of a site wins), and readers take the newest complete one."""
     new = au.metric_rows(read_storage_metric_results(spark, results_json), collected_at)
-    try:
-        old = spark.read.parquet(store_path)
-        merged = old.join(new.select("site_id"), "site_id", "left_anti").unionByName(new)
-    except Exception:  # noqa: BLE001 - first run, no table yet
-        merged = new
-    tmp = f"{store_path.rstrip('/')}_next"
-    merged.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(store_path)
+    base = store_path.rstrip("/")
+    old, generation = read_storage_metrics(spark, base)
+    last = latest_per_key(new.withColumn("_row", F.monotonically_increasing_id()), "site_id", [F.col("_row")]).drop("_row")
+    upsert_by_key(old, last, "site_id").write.mode("overwrite").parquet(f"{base}/generation={generation + 1}")
     return sk.summary_dict(au.ingest_counts(new))
 
 
-def summary(sites: DataFrame, drives: DataFrame, items: DataFrame, errors: DataFrame) -> dict:
-    return sk.summary_dict(cg.summary(sites, drives, items, errors))
-
-
-def site_filter_pending(sync_state: DataFrame, site_ids=None) -> int:
-    row = cg.pending_count(sync_state, site_ids).first()
-    return int(row["pending"]) if row else 0
+def read_storage_metrics(spark: SparkSession, store_path: str) -> tuple[DataFrame | None, int]:
+    """The newest generation of the metric store and its number (None and -1
+    before the first)."""
+    base, n = store_path.rstrip("/"), -1
+    while table_exists(spark, f"{base}/generation={n + 1}/_SUCCESS"):
+        n += 1
+    return (None, -1) if n < 0 else (spark.read.schema(SITE_STORAGE_METRICS).parquet(f"{base}/generation={n}"), n)
 
 
-def newest_first(df: DataFrame, col: str) -> DataFrame:
-    return df.orderBy(F.desc(col))
+def summary(sites: DataFrame, drives: DataFrame, items: DataFrame, errors: DataFrame) -> dict:
+    return sk.summary_dict(cg.summary(sites, drives, items, errors))

@@ -431,7 +431,3 @@ def gold_totals(storage_kpis: DataFrame) -> DataFrame:
         F.sum("total_files").alias("files"),
         F.sum("archive_candidate_gb").alias("archive_candidate_gb"),
     )
-
-
-def format_file_total(total_bytes: Column) -> Column:
-    return format_size(total_bytes)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import py_strip
 
@@ -59,12 +60,14 @@ def combine_id_lists(*lists: DataFrame) -> DataFrame:
     each source's positions follow the previous ones; each id once, at its
     first position."""
     out = None
-    offset = 0
     for i, ids in enumerate(lists):
-        part = ids.select("id", (F.col("pos") + F.lit(offset)).alias("pos")) if "pos" in ids.columns else ids.select(
-            "id", (F.monotonically_increasing_id() + F.lit(offset)).alias("pos")
-        )
-        offset += 1 << 50
+        known = ids.schema["pos"].dataType if "pos" in ids.columns else None
+        if isinstance(known, T.StructType):  # a place in files
+            file, block, row = (F.col(f"pos.{c}") for c in ("file", "block", "row"))
+        else:
+            file, block, row = F.lit(""), F.lit(0), F.col("pos") if known else F.monotonically_increasing_id()
+        pos = F.struct(F.lit(i).alias("list"), file.alias("file"), block.cast("long").alias("block"), row.cast("long").alias("row"))
+        part = ids.select("id", pos.alias("pos"))
         out = part if out is None else out.unionByName(part)
     return out.groupBy("id").agg(F.min("pos").alias("pos")).orderBy("pos")
 

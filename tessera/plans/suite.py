@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.classify import run_outcome
 from tessera.plans import lakehouse as lh
 from tessera.sources import testdata as td
 from tessera.operators.hierarchy import folder_totals, recalculate_folders
@@ -29,21 +30,8 @@ from tessera.plans import sites as st
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
-_PLANS: dict = {}
-
-
-def shared_plan(name: str, spark: SparkSession, sf_dir: str, build):
-    """Build a lazy DataFrame (or dict of them) once per session and data
-    folder.  Only plans are shared — every action still executes them in
-    full; nothing here holds computed or checkpointed data."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def catalog(spark: SparkSession, sf_dir: str):
-    return shared_plan("catalog", spark, sf_dir, lambda: td.catalog(spark, sf_dir))
+    return td.catalog(spark, sf_dir)
 
 
 def register(name: str):
@@ -62,7 +50,7 @@ def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         bronze = lh.build_bronze(cat.sites, cat.drives, cat.items, flatten=False)
         return lh.build_silver(bronze, td.AS_OF)
 
-    return shared_plan("silver", spark, sf_dir, build)
+    return build()
 
 
 @register("storage_kpis")
@@ -103,7 +91,7 @@ def inventory_df(spark: SparkSession, sf_dir: str, rollup: bool = False) -> Data
     cat = catalog(spark, sf_dir)
     if rollup:  # runs the rollup's checkpointed iterations: never shared
         return inv_plan.inventory(recalculate_folders(cat.items), cat.sites, cat.drives)
-    return shared_plan("inventory", spark, sf_dir, lambda: inv_plan.inventory(cat.items, cat.sites, cat.drives))
+    return inv_plan.inventory(cat.items, cat.sites, cat.drives)
 
 
 @register("folder_rollup")
@@ -268,8 +256,8 @@ def q_gold_totals(spark, sf_dir):
 def priority_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the distributed rank checkpoints its sorted input: never shared
     t = td.Tables(spark, sf_dir)
-    report = shared_plan("usage_report", spark, sf_dir, lambda: td.usage_report(t))
-    sites = shared_plan("site_list", spark, sf_dir, lambda: td.site_list(t))
+    report = td.usage_report(t)
+    sites = td.site_list(t)
     return pr.prioritize(report, sites)
 
 
@@ -320,6 +308,35 @@ def q_apply_changes(spark, sf_dir):
     return apply_changes(None, td.change_records(t)).select(*APPLIED_COLUMNS)
 
 
+@register("apply_changes_incremental")
+def q_apply_changes_incremental(spark, sf_dir):
+    """The pages up to the middle one as stored state, the later ones as a
+    batch merged into it: the same table as from all pages at once."""
+    changes = td.change_records(td.Tables(spark, sf_dir))
+    middle = (changes.agg(F.max("page_seq")).first()[0] or 0) // 2
+    state = apply_changes(None, changes.filter(F.col("page_seq") <= middle), keep_ghosts=True)
+    merged = apply_changes(state, changes.filter(F.col("page_seq") > middle), keep_ghosts=True)
+    return merged.filter("not _ghost").select(*APPLIED_COLUMNS)
+
+
+@register("pending_count")
+def q_pending_count(spark, sf_dir):
+    return cg.pending_count(sync_from_pages(td.page_log(td.Tables(spark, sf_dir))))
+
+
+@register("run_outcome")
+def q_run_outcome(spark, sf_dir):
+    t = td.Tables(spark, sf_dir)
+    cat = catalog(spark, sf_dir)
+    sync = sync_from_pages(td.page_log(t))
+    stats = cg.catalog_stats(cat.sites, cat.drives, cat.items, td.errors(t), sync)
+    none = F.lit(0).cast("long")
+    states = sync.agg(F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "in_progress").alias("moving"))
+    both = stats.select("open_errors", none.alias("failed"), none.alias("moving")).unionByName(states.withColumn("open_errors", none))
+    total = both.agg(*(F.sum(c).alias(c) for c in ("open_errors", "failed", "moving")))
+    return total.select(run_outcome("open_errors", "failed", "moving").alias("outcome"))
+
+
 @register("sync_state")
 def q_sync_state(spark, sf_dir):
     return sync_state_columns(sync_from_pages(td.page_log(td.Tables(spark, sf_dir))))

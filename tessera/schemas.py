@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 S, L, I, B = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType()
@@ -107,3 +110,12 @@ PRIORITY_COLUMNS = [
     "storage_allocated_bytes", "storage_allocated_formatted", "root_web_template",
     "report_refresh_date", "report_period",
 ]
+
+
+@dataclass(frozen=True)
+class Catalog:
+    """The catalogue tables one pipeline run works on."""
+
+    sites: DataFrame
+    drives: DataFrame
+    items: DataFrame

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from tessera.functions import format_size
 
@@ -15,15 +14,18 @@ ROWS_PER_FILE = 1_000_000
 CHUNK_SIZE = 10_000
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system it lies on."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a layer table; a missing table reads as an empty frame."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        df = reader.parquet(path)
-        df.inputFiles()
-        return df
-    except AnalysisException:
+    if not table_exists(spark, path):
         return spark.createDataFrame([], schema or T.StructType([]))
+    return spark.read.parquet(path)
 
 
 def write_layer(df: DataFrame, path: str, name: str = "table") -> dict:

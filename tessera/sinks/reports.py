@@ -29,6 +29,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, bom
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .csv(path)
     )

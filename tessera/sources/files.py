@@ -3,7 +3,7 @@ layer tables and per-tenant inventory workspaces."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,35 @@ from tessera.sinks.parquet import read_layer  # noqa: F401  (re-exported)
 BOM = "﻿"
 
 
+def file_order() -> Column:
+    """The place of a row read from files: file, block, and the row's id,
+    which ascends within a block."""
+    at = F.col("_metadata")
+    return F.struct(at["file_path"].alias("file"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def read_quoted_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header as text columns: ``"`` quotes, a doubled quote inside
+    stands for one, quoted values may hold line breaks, blanks stay."""
+    return (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("encoding", "UTF-8")
+        .csv(path)
+    )
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """One id per line: trimmed, BOM dropped, blank and '#' lines skipped;
     ``pos`` keeps the file order (for order-preserving de-duplication)."""
     lines = spark.read.text(path).select(
         py_strip(F.regexp_replace(F.col("value"), "^" + BOM, "")).alias("id"),
-        F.monotonically_increasing_id().alias("pos"),
+        file_order().alias("pos"),
     )
     return lines.filter((F.col("id") != "") & ~F.col("id").startswith("#"))
 
@@ -46,7 +69,7 @@ def read_storage_metric_results(spark: SparkSession, path: str) -> DataFrame:
 def read_site_priority(spark: SparkSession, path: str) -> DataFrame:
     """A ranked site list written by the priority sink, read back with types
     (dates parsed, a GB column added)."""
-    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    df = read_quoted_csv(spark, path)
     first = df.columns[0]
     if first.startswith(BOM):
         df = df.withColumnRenamed(first, first.lstrip(BOM))

@@ -12,12 +12,11 @@ grows with them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import format_size, full_path, iso_utc
+from tessera.schemas import Catalog
 
 # The evaluation date standing in for "today" (later than
 # every ship date in the test data) and the catalogue's fixed timestamps.
@@ -41,40 +40,8 @@ TABLES = [
 ]
 
 
-# Tables whose scans feed the wide pipelines.
-FACT_TABLES = {"lineitem", "events"}
-
-
-_TABLE_CACHE: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's DataFrame (the plan, not data), reused within a session so
-    repeated queries skip file listing and footer reads."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    df = _TABLE_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        if name in FACT_TABLES:
-            df = ensure_parallelism(df)
-        _TABLE_CACHE[key] = df
-    return df
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores
-    (e.g. one unsplittable row group) across all cores.  Hash partitioning
-    on the first (key) column is deterministic on retry without the sort a
-    round-robin repartition needs.  Large inputs already have many splits
-    and are untouched, so this never adds a shuffle at scale."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        return df
-    if splits < target:
-        return df.repartition(target, F.col(df.columns[0]))
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
@@ -272,15 +239,6 @@ def items(t: Tables) -> DataFrame:
     return file_items(t).unionByName(folder_items(t))
 
 
-@dataclass
-class Catalog:
-    """The catalogue tables one pipeline run works on."""
-
-    sites: DataFrame
-    drives: DataFrame
-    items: DataFrame
-
-
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     t = Tables(spark, sf_dir)
     return Catalog(sites=sites(t), drives=drives(t), items=items(t))
@@ -327,14 +285,16 @@ def usage_report(t: Tables) -> DataFrame:
 
 
 def site_list(t: Tables) -> DataFrame:
-    """The tenant's site list: composite ids ``host,sc<k>,<k>`` for two of
-    every three customers, with alternate ids and a catalogue URL."""
-    k = F.col("c_custkey")
-    return t.customer.filter(k % 3 != 0).select(
-        F.concat(F.lit(HOST + ",sc"), k.cast("string"), F.lit(","), k.cast("string")).alias("id"),
+    """The tenant's site list: composite ids ``host,sc<k>,<k>``, alternate ids
+    and a catalogue URL.  Every third customer is listed under keys ``x<k>``
+    that no report or request names."""
+    key = F.col("c_custkey")
+    k = F.concat(F.when(key % 3 == 0, F.lit("x")).otherwise(F.lit("")), key.cast("string"))
+    return t.customer.select(
+        F.concat(F.lit(HOST + ",sc"), k, F.lit(","), k).alias("id"),
         F.col("c_name").alias("name"),
-        F.concat(F.lit(SITE_URL_PREFIX + "cat-"), k.cast("string")).alias("web_url"),
-        F.concat(F.lit("sid-"), k.cast("string")).alias("alt_site_id"),
+        F.concat(F.lit(SITE_URL_PREFIX + "cat-"), k).alias("web_url"),
+        F.concat(F.lit("sid-"), k).alias("alt_site_id"),
         F.concat(F.lit("col-"), F.col("c_nationkey").cast("string")).alias("alt_collection_id"),
     )
 

@@ -1,149 +1,42 @@
 """Change feed with Structured Streaming.
 
 Landed change pages (JSON lines, see ``tessera.sources.change_pages``) are
-read as a file stream.  Each micro-batch is applied with ``foreachBatch``:
-
-1. the batch's pages → change records (item JSON parsed with a fixed schema);
-2. ``apply_changes`` merges them into the current items snapshot, touching
-   only the batch's keys;
-3. only the hash buckets (of ``drive_id``) that the batch touches are read,
-   merged and written as a new version folder, then committed by appending
-   ``(version, bucket)`` rows to a small log table — readers take each
-   bucket's newest committed version, so a half-written version is never
-   read, the folder being read is never overwritten, and untouched buckets
-   cost nothing;
-4. the drive sync state is folded from the batch's page log the same way.
-
-The stream's own checkpoint (offsets) lives in the shared checkpoint folder;
-a re-run epoch after a failure finds its version already committed and is
-skipped, so replays are idempotent.
+read as a file stream and appended, as they are, to the store's page log: one
+folder for each (query, epoch), written by Spark's own Parquet writer.  A
+replayed epoch overwrites its own folder and no other, and a new checkpoint
+is a new query, so neither can skip or mix pages.
+
+Items and drive sync state are both folds over that one log, so they always
+agree and no crash can leave one without the other.  The folds take the
+latest change by page order, not by arrival, so pages may land in any order,
+in any batches, and more than once.  Within a drive ``page_seq`` must grow
+from page to page over all runs; it is the order.
+
+Item paths are rooted at the library for all pages alike, so they do not
+depend on which pages shared a batch.
+
+``compact`` is an ordinary batch job that writes the folded tables.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tessera.operators.changes import ITEM_COLUMNS, STATE_ORDER, apply_changes
-from tessera.operators.sync import sync_from_pages
-from tessera.schemas import DRIVE_SYNC_STATE, ITEMS
-from tessera.session import ensure_checkpoint_dir
-from tessera.sources.change_pages import page_changes, page_log, read_pages_stream
-
-
-DEFAULT_BUCKETS = 64
-
-# Stored tables carry the order of the last applied change / page, so
-# pages landing out of order are still applied in page order.
-STORED_ITEMS = T.StructType(
-    ITEMS.fields
-    + [
-        T.StructField("_last_page_seq", T.LongType()),
-        T.StructField("_last_is_tombstone", T.IntegerType()),
-        T.StructField("_last_row_idx", T.LongType()),
-        T.StructField("_ghost", T.BooleanType()),
-    ]
-)
-STORED_SYNC = T.StructType(DRIVE_SYNC_STATE.fields + [T.StructField("_last_page_seq", T.LongType())])
-
-
-def bucket_of(col: str = "drive_id", buckets: int = DEFAULT_BUCKETS):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
-
-
-class VersionedTable:
-    """Versioned, bucketed snapshots.
-
-    Rows live under ``<base>/v=<n>/_bucket=<b>`` (bucket = hash of
-    ``bucket_col``); ``<base>/_commits`` holds ``(version, bucket)`` for every
-    bucket a version rewrote.  The current table is, per bucket, its newest
-    committed version — so a batch rewrites only the buckets its keys touch,
-    a half-written version is never read, and no folder being read is
-    overwritten.  Only the bucket→version map (at most ``buckets`` rows)
-    reaches the driver.
-    """
-
-    def __init__(self, spark: SparkSession, base: str, schema, bucket_col: str = "drive_id", buckets: int = DEFAULT_BUCKETS):
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.schema = schema
-        self.bucket_col = bucket_col
-        self.buckets = buckets
-
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.base}/_commits")
-        except AnalysisException:
-            return None
-
-    def current_version(self) -> int | None:
-        commits = self._commits()
-        if commits is None:
-            return None
-        row = commits.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
-
-    def _current_paths(self, only_buckets: list[int] | None = None) -> list[str]:
-        commits = self._commits()
-        if commits is None:
-            return []
-        if only_buckets is not None:
-            commits = commits.filter(F.col("bucket").isin(only_buckets))
-        latest = commits.groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        return [f"{self.base}/v={r['version']}/_bucket={r['bucket']}" for r in latest]
-
-    def read(self, only_buckets: list[int] | None = None) -> DataFrame | None:
-        paths = self._current_paths(only_buckets)
-        if not paths:
-            return None
-        reader = self.spark.read.schema(self.schema) if self.schema is not None else self.spark.read
-        return reader.parquet(*paths)
-
-    def committed(self, version: int) -> bool:
-        commits = self._commits()
-        return commits is not None and commits.filter(F.col("version") == version).limit(1).count() > 0
-
-    def commit(self, df: DataFrame, version: int, touched: list[int]) -> None:
-        """Write the rows of the touched buckets as ``version`` and commit
-        the buckets that were written.  (Deletes are soft, so a touched
-        bucket with no rows never held any and needs no commit record.)"""
-        path = f"{self.base}/v={version}"
-        out = df.withColumn("_bucket", bucket_of(self.bucket_col, self.buckets))
-        out.write.mode("overwrite").partitionBy("_bucket").parquet(path)
-        try:
-            written = [r[0] for r in self.spark.read.parquet(path).select("_bucket").distinct().collect()]
-        except AnalysisException:  # nothing written at all
-            written = []
-        rows = [(version, int(b)) for b in written if int(b) in set(touched)]
-        if rows:
-            self.spark.createDataFrame(rows, "version long, bucket int").write.mode("append").parquet(f"{self.base}/_commits")
-
-
-def _touched_buckets(df: DataFrame, col: str, buckets: int) -> list[int]:
-    """Buckets hit by a batch (at most ``buckets`` values)."""
-    return sorted(r["b"] for r in df.select(bucket_of(col, buckets).alias("b")).distinct().collect())
-
-
-def apply_pages(spark: SparkSession, pages: DataFrame, items: VersionedTable, sync: VersionedTable, version: int) -> None:
-    """Apply one batch of landed pages (a static DataFrame): only the
-    buckets of the drives in the batch are read, merged and rewritten."""
-    if items.committed(version):
-        return
-    pages = pages.persist()
-    try:
-        touched = _touched_buckets(pages, "drive_id", items.buckets)
-        if not touched:
-            return
-        state = items.read(touched)
-        changes = page_changes(pages, state)
-        new_items = apply_changes(state, changes, keep_ghosts=True).select(*ITEM_COLUMNS, *STATE_ORDER, "_ghost")
-        items.commit(new_items, version, touched)
-        new_sync = sync_from_pages(page_log(pages), sync.read(touched))
-        sync.commit(new_sync, version, touched)
-    finally:
-        pages.unpersist()
+
+from tessera.operators.changes import ITEM_COLUMNS, apply_changes
+from tessera.operators.sync import sync_from_pages, sync_state_columns
+from tessera.sinks.parquet import table_exists
+from tessera.sources.change_pages import LANDED_PAGE, page_changes, page_log, read_pages, read_pages_stream
+
+
+def _log(store_path: str) -> str:
+    return f"{store_path.rstrip('/')}/pages"
+
+
+def append_pages(pages: DataFrame, store_path: str, query: str, epoch: int) -> None:
+    """Append a batch of landed pages to the log; the same (query, epoch)
+    again replaces what it wrote."""
+    pages.write.mode("overwrite").parquet(f"{_log(store_path)}/query={query}/epoch={epoch}")
 
 
 def start(
@@ -154,46 +47,52 @@ def start(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ):
-    """Start the change-feed stream; returns the ``StreamingQuery``."""
-    base = store_path.rstrip("/")
-    items = VersionedTable(spark, f"{base}/items", STORED_ITEMS)
-    sync = VersionedTable(spark, f"{base}/drive_sync_state", STORED_SYNC)
-    if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-change-feed"
+    """Start the change-feed stream; returns the ``StreamingQuery``.  The
+    checkpoint belongs to one store: it lies in the store unless given."""
 
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        apply_pages(batch.sparkSession, batch, items, sync, int(epoch_id))
+    def on_batch(batch: DataFrame, epoch: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        append_pages(batch, store_path, query, int(epoch))
 
     writer = (
         read_pages_stream(spark, landing_path, max_files_per_trigger)
         .writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint_location)
+        .option("checkpointLocation", checkpoint_location or f"{store_path.rstrip('/')}/_checkpoint")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def current_items(spark: SparkSession, store_path: str) -> DataFrame | None:
-    """The public items table of a change-feed store (no remembered
-    tombstones, no bookkeeping columns)."""
-    items = VersionedTable(spark, f"{store_path.rstrip('/')}/items", STORED_ITEMS)
-    df = items.read()
-    if df is None:
-        return None
-    return df.filter(~F.coalesce(F.col("_ghost"), F.lit(False))).select(*ITEM_COLUMNS)
-
-
-def run_batch(spark: SparkSession, landing_path: str, store_path: str, version: int | None = None) -> int:
-    """The same application without a stream (all landed pages at once),
-    committed as the next free version (a store is meant to be fed either by
-    the stream, whose versions are its epoch ids, or by batch runs)."""
-    from tessera.sources.change_pages import read_pages
-
-    base = store_path.rstrip("/")
-    items = VersionedTable(spark, f"{base}/items", STORED_ITEMS)
-    sync = VersionedTable(spark, f"{base}/drive_sync_state", STORED_SYNC)
-    if version is None:
-        current = items.current_version()
-        version = 0 if current is None else current + 1
-    apply_pages(spark, read_pages(spark, landing_path), items, sync, version)
-    return version
+def run_batch(spark: SparkSession, landing_path: str, store_path: str) -> None:
+    """Append all landed pages at once, without a stream."""
+    append_pages(read_pages(spark, landing_path), store_path, "batch", 0)
+
+
+def stored_pages(spark: SparkSession, store_path: str) -> DataFrame:
+    """Every page of the log (re-read pages are there again)."""
+    if not table_exists(spark, _log(store_path)):
+        return spark.createDataFrame([], LANDED_PAGE)
+    return spark.read.schema(LANDED_PAGE).option("recursiveFileLookup", True).parquet(_log(store_path))
+
+
+def current_items(spark: SparkSession, store_path: str) -> DataFrame:
+    """The items table: the fold of all changes in the log."""
+    return apply_changes(None, page_changes(stored_pages(spark, store_path))).select(*ITEM_COLUMNS)
+
+
+def current_sync_state(spark: SparkSession, store_path: str) -> DataFrame:
+    """The drive sync state: the fold of all pages in the log."""
+    return sync_state_columns(sync_from_pages(page_log(stored_pages(spark, store_path))))
+
+
+def processed_drives(drives: DataFrame, sync_state: DataFrame) -> DataFrame:
+    """``drives`` with processed_at set where the sync state is done."""
+    done = sync_state.filter("status = 'done'").select(F.col("drive_id").alias("id"), F.col("last_completed_at").alias("_at"))
+    columns = [F.coalesce("_at", "processed_at").alias(c) if c == "processed_at" else F.col(c) for c in drives.columns]
+    return drives.join(done, "id", "left").select(*columns)
+
+
+def compact(spark: SparkSession, store_path: str, target: str) -> None:
+    """Write the folded tables to ``target`` (a folder of the caller's)."""
+    current_items(spark, store_path).write.parquet(f"{target.rstrip('/')}/items")
+    current_sync_state(spark, store_path).write.parquet(f"{target.rstrip('/')}/drive_sync_state")

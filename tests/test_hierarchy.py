@@ -98,3 +98,37 @@ def test_hot_folder_rollup(spark):
     rows += [dict(id=f"c{i}", drive_id="d", parent_id="cold", item_type="file", size_bytes=1, status="ok") for i in range(10)]
     got = {r.id: (r.file_count, r.folder_total_size_bytes) for r in folder_totals(frame(spark, rows)).collect()}
     assert got == {"root": (3010, sum(range(3000)) + 10), "hot": (3000, sum(range(3000))), "cold": (10, 10)}
+
+
+def _folder(i, parent):
+    return ("d", str(i), None if parent is None else str(parent), "folder", "ok", 0)
+
+
+ITEM = "drive_id string, id string, parent_id string, item_type string, status string, size_bytes long"
+
+
+def test_deep_chain_is_exact(spark):
+    rows = [_folder(i, i - 1 if i else None) for i in range(70)] + [("d", "f", "69", "file", "ok", 5)]
+    got = {int(r.id): (r.file_count, r.folder_total_size_bytes) for r in folder_totals(spark.createDataFrame(rows, ITEM)).collect()}
+    assert got == dict.fromkeys(range(70), (1, 5))
+
+
+def test_a_cycle_of_parents_is_reported(spark):
+    import pytest
+
+    rows = [_folder(1, 2), _folder(2, 3), _folder(3, 1), _folder(4, 1), _folder(5, None), ("d", "f", "1", "file", "ok", 5)]
+    with pytest.raises(ValueError, match="cycle"):
+        folder_totals(spark.createDataFrame(rows, ITEM))
+
+
+def test_site_sets_may_be_frames(spark):
+    from tessera.operators.sync import prepare, reset
+    from tessera.schemas import DRIVE_SYNC_STATE
+
+    state = spark.createDataFrame([], DRIVE_SYNC_STATE)
+    drives = spark.createDataFrame([("a", "s1", "n"), ("b", "s2", "n")], "id string, site_id string, name string")
+    wanted = spark.createDataFrame([("s1",)], "site string")
+    ready = prepare(state, drives, "t", site_ids=wanted)
+    assert [r.drive_id for r in ready.collect()] == ["a"]
+    assert [r.updated_at for r in reset(ready, "u", site_ids=wanted).collect()] == ["u"]
+    assert [r.updated_at for r in reset(ready, "u", site_ids=[]).collect()] == ["t"]

@@ -180,3 +180,52 @@ def test_lakehouse_layers_alone(spark):
     assert set(gold) == set(lh.GOLD_TABLES)
     kpis = spark.read.parquet(gold["storage_kpis"]["file"])
     assert kpis.count() == gold["storage_kpis"]["rows"] > 0
+
+
+def test_quoted_csv_round_trip(spark, tmp_path):
+    from tessera.sinks.reports import write_csv
+    from tessera.sources.files import read_quoted_csv
+
+    rows = [('Ann "A", Ltd', "two\nlines", "  blanks  "), ("back\\slash", None, 'say ""'), ("ç;é", "a,b", "x")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    for sep in (",",):
+        write_csv(df, str(tmp_path / "out.csv"), sep=sep, bom=True)
+        got = read_quoted_csv(spark, str(tmp_path / "out.csv"))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_usage_report_with_quotes_and_line_breaks(spark, tmp_path):
+    from tessera.plans import priority as pr
+
+    path = tmp_path / "report.csv"
+    path.write_text('\ufeffSite Id,Site URL,Owner Display Name,Storage Used (Byte)\n1,u1,"Ann ""A"", Ltd",70\n2,u2,"two\nlines",90\n', encoding="utf-8")
+    rows = pr.parse_usage_report(pr.read_usage_report(spark, str(path))).collect()
+    assert [(r.site_id, r.owner, r.storage_used_bytes) for r in rows] == [("1", 'Ann "A", Ltd', 70), ("2", "two\nlines", 90)]
+
+
+def test_metric_upsert_keeps_one_row_a_site(spark, tmp_path):
+    import json
+
+    from tessera.plans import pipelines as pl
+
+    def results(name, *rows):
+        (tmp_path / name).write_text(json.dumps([{"site_id": s, "site_url": "u", "status": "ok", "storage_used_mb": mb} for s, mb in rows]))
+        return str(tmp_path / name)
+
+    store = str(tmp_path / "store")
+    pl.storage_metrics(spark, results("a.json", ("1", "1"), ("1", "2"), ("2", "5")), store, "t1")
+    pl.storage_metrics(spark, results("b.json", ("2", "7")), store, "t2")
+    table, generation = pl.read_storage_metrics(spark, store)
+    assert generation == 1
+    assert sorted((r.site_id, r.storage_used_bytes >> 20, r.collected_at) for r in table.collect()) == [("1", 2, "t1"), ("2", 7, "t2")]
+
+
+def test_missing_layers_build_typed_empty_tables(spark, tmp_path):
+    from tessera.plans import lakehouse as lh
+
+    base = str(tmp_path / "lake")
+    out = lh.build_lakehouse(spark, None, base, "2001-12-01", "silver")
+    assert {n: x["rows"] for n, x in out["silver"].items()} == dict.fromkeys(lh.SILVER_TABLES, 0)
+    out = lh.build_lakehouse(spark, None, str(tmp_path / "lake2"), "2001-12-01", "gold")
+    assert {n: x["rows"] for n, x in out["gold"].items()} == dict.fromkeys(lh.GOLD_TABLES, 0)
+    assert spark.read.parquet(out["gold"]["storage_kpis"]["file"]).columns

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import broadcast_if_small, fits, keep_one, latest_per_key, lookup_join
+from tessera.operators import keep_one, latest_per_key
 from tessera.operators.flatten import flatten_json_column
 
 
@@ -10,24 +10,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_size_checked_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        fact = spark.range(0, 1000).withColumn("k", F.col("id") % 10)
-        small = spark.range(0, 10).withColumnRenamed("id", "k")
-        assert fits(small, 10) and not fits(small, 9)
-        hinted = lookup_join(fact, small, "k", "inner", max_broadcast_rows=100)
-        assert "BroadcastHashJoin" in plan(hinted)
-        not_hinted = lookup_join(fact, small, "k", "inner", max_broadcast_rows=5)
-        assert "BroadcastHashJoin" not in plan(not_hinted)
-        assert hinted.count() == not_hinted.count() == 1000
-        assert "Broadcast" not in plan(fact.join(broadcast_if_small(small, 5), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
-
-
 def test_keep_one_is_deterministic(spark):
     a = spark.createDataFrame([("k", "b", 2), ("k", "a", 1), ("j", "z", 0)], "key string, v string, n int")
     b = a.orderBy(F.desc("v")).repartition(3)

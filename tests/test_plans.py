@@ -42,7 +42,7 @@ def test_distributed_rank_has_no_single_partition_window(spark):
     from tessera.operators.ranking import global_positions
 
     df = spark.range(0, 1000).select((F.col("id") % 7).alias("v"), "id")
-    ranked = global_positions(df, [F.desc("v"), F.asc("id")], small_rows=None)
+    ranked = global_positions(df, [F.desc("v"), F.asc("id")])
     text = plan_text(ranked)
     # the only single-partition step is the running sum over the
     # per-partition counts (one row per partition), never over the rows

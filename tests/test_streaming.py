@@ -5,7 +5,6 @@ import json
 import os
 import tempfile
 
-from tessera.operators.changes import ITEM_COLUMNS
 from tessera.streaming import change_feed as cf
 
 
@@ -39,56 +38,81 @@ PAGES = [
 ]
 
 
-def test_stream_equals_batch_and_is_idempotent(spark):
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def both(spark, store):
+    return rows_of(cf.current_items(spark, store)), rows_of(cf.current_sync_state(spark, store))
+
+
+def run(spark, landing, store, checkpoint=None, files=None):
+    cf.start(spark, landing, store, checkpoint, max_files_per_trigger=files).awaitTermination(300)
+
+
+MORE = PAGES + [
+    page("d2", 2, [{"id": "y", "name": "y.docx", "size": 9}, {"id": "x", "deleted": {}}], delta="dl2"),
+    page("d3", 1, [{"id": "z", "name": "z", "size": 1}], delta="dl3"),
+    page("d1", 3, [{"id": "a", "name": "report.PDF", "size": 11, "parentReference": {"id": "f1", "path": "/drive/root:/Folder"}}], delta="dl4"),
+]
+
+
+def test_one_page_per_batch_equals_one_batch_on_all_columns(spark):
     base = tempfile.mkdtemp(prefix="tessera-feed-")
-    landing = os.path.join(base, "landing")
-    landed(landing, PAGES)
-    cf.run_batch(spark, landing, os.path.join(base, "batch"))
-    q = cf.start(spark, landing, os.path.join(base, "stream"), os.path.join(base, "ckpt"))
-    q.awaitTermination(120)
-    store = cf.VersionedTable(spark, os.path.join(base, "stream", "items"), None)
-    batch = cf.VersionedTable(spark, os.path.join(base, "batch", "items"), None)
-    s_rows = sorted(tuple(r) for r in store.read().select(*ITEM_COLUMNS).drop("collected_at").collect())
-    b_rows = sorted(tuple(r) for r in batch.read().select(*ITEM_COLUMNS).drop("collected_at").collect())
-    assert s_rows == b_rows
-    items = {r.id: r for r in batch.read().collect()}
-    assert set(items) == {"root", "f1", "a", "b", "x"}
-    assert items["a"].status == "deleted" and items["b"].extension is None
-    assert items["f1"].full_path == "Docs/Folder" and items["a"].full_path == "Docs/Folder/report.PDF"
-    assert items["x"].item_type == "folder" and items["root"].parent_id is None
-    sync = {r.drive_id: r.status for r in cf.VersionedTable(spark, os.path.join(base, "batch", "drive_sync_state"), None).read().collect()}
-    assert sync == {"d1": "done", "d2": "in_progress"}
-    v = store.current_version()
-    q2 = cf.start(spark, landing, os.path.join(base, "stream"), os.path.join(base, "ckpt"))
-    q2.awaitTermination(120)
-    assert store.current_version() == v  # nothing new: no new version
-
-
-def test_one_page_per_batch_equals_batch(spark):
+    landing, batch, stream = (os.path.join(base, x) for x in ("landing", "batch", "stream"))
+    landed(landing, MORE)
+    cf.run_batch(spark, landing, batch)
+    run(spark, landing, stream, files=1)
+    want = both(spark, batch)
+    assert both(spark, stream) == want
+    got = {r.id: r for r in cf.current_items(spark, stream).collect()}
+    assert set(got) == {"root", "f1", "a", "b", "x", "y", "z"}
+    assert got["a"].status == "ok" and got["x"].status == "deleted" and got["b"].extension is None
+    assert got["f1"].full_path == "Docs/Folder" and got["a"].full_path == "Docs/Folder/report.PDF"
+    run(spark, landing, stream)  # nothing new
+    assert both(spark, stream) == want
+    cf.compact(spark, stream, os.path.join(base, "compact"))
+    assert rows_of(spark.read.parquet(os.path.join(base, "compact", "items"))) == want[0]
+
+
+def test_fresh_checkpoint_on_an_old_store_loses_nothing(spark):
     base = tempfile.mkdtemp(prefix="tessera-feed-")
-    landing = os.path.join(base, "landing")
-    more = PAGES + [
-        page("d2", 2, [{"id": "y", "name": "y.docx", "size": 9}, {"id": "x", "deleted": {}}], delta="dl2"),
-        page("d3", 1, [{"id": "z", "name": "z", "size": 1}], delta="dl3"),
-        page("d1", 3, [{"id": "a", "name": "report.PDF", "size": 11, "parentReference": {"id": "f1", "path": "/drive/root:/Folder"}}], delta="dl4"),
-    ]
-    landed(landing, more)
+    landing, store = os.path.join(base, "landing"), os.path.join(base, "store")
+    landed(landing, MORE[:1])
+    run(spark, landing, store, os.path.join(base, "c1"))
+    landed(landing, MORE)
+    run(spark, landing, store, os.path.join(base, "c2"))
     cf.run_batch(spark, landing, os.path.join(base, "batch"))
-    q = cf.start(spark, landing, os.path.join(base, "stream"), os.path.join(base, "ckpt"), max_files_per_trigger=1)
-    q.awaitTermination(300)
-    store = cf.VersionedTable(spark, os.path.join(base, "stream", "items"), None)
-    assert store.current_version() == len(more) - 1  # one version per page
-    # Paths differ by design: a drive's first run roots paths at the library
-    # name, later runs at the stored root folder's path (the reference's
-    # behaviour); every other column must agree.
-    cols = [c for c in ITEM_COLUMNS if c not in ("collected_at", "parent_path", "full_path")]
-    s_rows = sorted(tuple(r) for r in store.read().select(*cols).collect())
-    b_rows = sorted(tuple(r) for r in cf.VersionedTable(spark, os.path.join(base, "batch", "items"), None).read().select(*cols).collect())
-    assert s_rows == b_rows
-    got = {r.id: r for r in store.read().collect()}
-    assert got["a"].status == "ok" and got["x"].status == "deleted" and got["z"].status == "ok"
-    # the prefix depends on whether the root was stored before the page ran
-    assert got["a"].full_path.endswith("/Folder/report.PDF") and got["b"].full_path.endswith("/Folder/.bashrc")
+    assert both(spark, store) == both(spark, os.path.join(base, "batch"))
+
+
+def test_crash_before_and_after_the_write_and_two_stores(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="tessera-feed-")
+    landing, one, two = (os.path.join(base, x) for x in ("landing", "one", "two"))
+    landed(landing, MORE)
+    write = cf.append_pages
+    for step in ("before", "after"):
+
+        def fail(pages, store, query, epoch, step=step):
+            if step == "after":
+                write(pages, store, query, epoch)
+            raise RuntimeError("crash")
+
+        monkeypatch.setattr(cf, "append_pages", fail)
+        try:
+            run(spark, landing, one)
+        except Exception:  # noqa: BLE001 - the crash
+            pass
+        monkeypatch.setattr(cf, "append_pages", write)
+    run(spark, landing, one)
+    run(spark, landing, two)
+    assert both(spark, one) == both(spark, two) and both(spark, one)[0]
+
+
+def test_done_drives_are_processed(spark):
+    drives = spark.createDataFrame([("d1", None), ("d2", None)], "id string, processed_at string")
+    sync = spark.createDataFrame([("d1", "done", "t1"), ("d2", "pending", None)], "drive_id string, status string, last_completed_at string")
+    assert rows_of(cf.processed_drives(drives, sync)) == [("d1", "t1"), ("d2", None)]
 
 
 def test_pages_landing_in_reverse_order(spark):
@@ -109,8 +133,8 @@ def test_pages_landing_in_reverse_order(spark):
         os.utime(os.path.join(landing, f"page-{i:04d}.json"), (t, t))
     q = cf.start(spark, landing, os.path.join(base, "stream"), os.path.join(base, "ckpt"), max_files_per_trigger=1)
     q.awaitTermination(300)
-    got = {r.id: r for r in cf.VersionedTable(spark, os.path.join(base, "stream", "items"), None).read().collect()}
+    got = {r.id: r for r in cf.current_items(spark, os.path.join(base, "stream")).collect()}
     assert (got["p"].name, got["p"].size_bytes, got["p"].status) == ("v3.txt", 3, "ok")
     assert got["q"].status == "deleted"
-    sync = cf.VersionedTable(spark, os.path.join(base, "stream", "drive_sync_state"), None).read().first()
+    sync = cf.current_sync_state(spark, os.path.join(base, "stream")).first()
     assert (sync.status, sync.delta_link) == ("done", "dl")
