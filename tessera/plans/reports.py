@@ -84,15 +84,29 @@ def _sum_long(c: Column) -> Column:
 
 # --------------------------------------------------------------------------- client report
 
+def by_library(inv: DataFrame) -> DataFrame:
+    """The inventory summed per site, library and drive: one pass with partial
+    sums.  Distinct counts are then taken on these few rows, so no inventory
+    row is copied once for each distinct column."""
+    return inv.groupBy("site_name", "site_url", "biblioteca", "id_drive").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(_is_file()).alias("_files"),
+        F.count_if(_is_folder()).alias("_folders"),
+        F.sum(_file_bytes()).alias("_bytes"),
+        F.min("data_modificacao").alias("_first"),
+        F.max("data_modificacao").alias("_last"),
+    )
+
+
 def client_site_summary(inv: DataFrame) -> DataFrame:
     return (
-        inv.groupBy("site_name", "site_url")
+        by_library(inv).groupBy("site_name", "site_url")
         .agg(
             F.countDistinct("biblioteca").alias("Bibliotecas"),
-            F.count_if(_is_file()).alias("Arquivos"),
-            F.count_if(_is_folder()).alias("Pastas"),
-            _sum_long(_file_bytes()).alias("_bytes"),
-            F.max("data_modificacao").alias("Ultima modificacao identificada"),
+            F.sum("_files").alias("Arquivos"),
+            F.sum("_folders").alias("Pastas"),
+            _sum_long(F.col("_bytes")).alias("_bytes"),
+            F.max("_last").alias("Ultima modificacao identificada"),
         )
         .select(
             F.col("site_name").alias("Site"), F.col("site_url").alias("URL do site"),
@@ -206,16 +220,16 @@ def profile_sites(inv: DataFrame) -> DataFrame:
 
 
 def profile_totals(inv: DataFrame) -> DataFrame:
-    return inv.agg(
-        F.count(F.lit(1)).alias("total_linhas"),
-        F.count_if(_is_file()).alias("arquivos"),
-        F.count_if(_is_folder()).alias("pastas"),
+    return by_library(inv).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_linhas"),
+        F.coalesce(F.sum("_files"), F.lit(0)).alias("arquivos"),
+        F.coalesce(F.sum("_folders"), F.lit(0)).alias("pastas"),
         F.countDistinct("site_url").alias("sites"),
         F.countDistinct("id_drive").alias("drives"),
         F.countDistinct("biblioteca").alias("bibliotecas"),
-        F.sum(_file_bytes()).cast("long").alias("total_bytes_arquivos"),
-        F.min("data_modificacao").alias("menor_data_modificacao"),
-        F.max("data_modificacao").alias("maior_data_modificacao"),
+        F.sum("_bytes").cast("long").alias("total_bytes_arquivos"),
+        F.min("_first").alias("menor_data_modificacao"),
+        F.max("_last").alias("maior_data_modificacao"),
     )
 
 
@@ -314,13 +328,15 @@ def dash_site_names(inv: DataFrame) -> DataFrame:
 
 
 def dash_overview(inv: DataFrame, sites=None) -> DataFrame:
-    df = filter_sites(inv, sites)
-    return df.agg(
+    per_library = filter_sites(inv, sites).groupBy("site_url", "biblioteca").agg(
+        F.count_if(_is_file()).alias("_files"), F.count_if(_is_folder()).alias("_folders"), F.sum(_file_bytes()).alias("_bytes")
+    )
+    return per_library.agg(
         F.countDistinct("site_url").alias("sites"),
         F.countDistinct("biblioteca").alias("libraries"),
-        F.count_if(_is_file()).alias("files"),
-        F.count_if(_is_folder()).alias("folders"),
-        _sum_long(_file_bytes()).alias("total_bytes"),
+        _sum_long(F.col("_files")).alias("files"),
+        _sum_long(F.col("_folders")).alias("folders"),
+        _sum_long(F.col("_bytes")).alias("total_bytes"),
     )
 
 
