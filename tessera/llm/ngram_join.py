@@ -59,7 +59,7 @@ LARGE_BUCKET = 256
 #: queries of a group that one task compares
 QUERIES_A_TASK = 256
 #: how many times more groups a class may ask in each further round
-MORE = 16
+MORE = 64
 #: bits for each wanted set in the bitmap that tasks get, and all its bits at
 #: most (8 MB)
 BITMAP, MAX_BITMAP = 16, 1 << 26
@@ -392,9 +392,9 @@ def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return shared.filter(F.col("c") >= needed).select("sid", "gid", "c")
 
 
-def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): links that, with the stars, connect all that links connect.
-    Each class first asks the group that it shares most tokens with, then its
+def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, label): the components of all links; ``labels`` are those of the
+    stars.  Each class first asks the group that it shares most tokens with, then its
     next ``MORE`` ones, and so on to its last; before each round go the
     queries on groups that earlier rounds brought into the class's component.
     In a crowd of near copies the first round leaves few to ask."""
@@ -406,15 +406,17 @@ def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, docs: DataF
     last = left.agg(F.max("place")).first()[0] or 0
     links, done, upto = stars, 0, 1
     while done < last:
-        of = components(links)
         now = left.filter((F.col("place") > done) & (F.col("place") <= upto))
         for end in ("sid", "rep"):
-            named = of.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+            named = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
             now = now.join(named, end, "left").withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
         now = staged(now.filter("sid_label <> rep_label").select("sid", "gid"), "asked")
-        links = links.unionByName(staged(_open(now, opened, sets), "links"))
+        found = staged(_open(now, opened, sets), "links")
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            labels = components(links)
         done, upto = upto, upto * MORE
-    return links
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -442,9 +444,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         frequent = np.union1d(frequent, more)  # a better order, and once more
     sizes = buckets.groupBy("sid").agg(F.first("n").alias("n"))
     stars = staged(_stars(buckets, docs), "stars")
-    groups = staged(_groups(components(stars), sizes), "groups")
+    labels = components(stars)
+    groups = staged(_groups(labels, sizes), "groups")
     queries = staged(_queries(buckets, groups), "group-queries")
-    labels = components(_rounds(queries, groups, stars, docs))
+    labels = _rounds(queries, groups, stars, labels, docs)
     named = classes.join(labels, classes["d1"] == labels["node"], "left").select(
         "d1", "d2", "rep", F.coalesce("label", "d1").alias("label")
     )
