@@ -39,10 +39,13 @@ _TITLES_F = "Mrs|Ms|Miss|Madam|Frau|Fr|Madame|Mme|Mademoiselle|Señora|Sra|Doña
 _TITLES_N = "Dr|Prof|Professor"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 _EDGE = r"(?<![A-Za-z0-9._%+@-])"
+_NAME = (
+    rf"(?=[MSHDFPг])\b(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\b\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
+)
 #: one alternation, the most specific first; each starts at a word's start
 PATTERN = "|".join(
     [
-        _SECRET + r"[^\s\"']{6,128}",
+        r"(?=[pPtTsSaA])" + _SECRET + r"[^\s\"']{6,128}",
         _EDGE + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
         r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
         r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -50,7 +53,7 @@ PATTERN = "|".join(
         r"(?<![\d.+-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
         r"(?<![\d.+-])\d{3}-\d{2}-\d{4}(?![\d-])",
         r"(?<![\d.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])",
-        rf"\b(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\b\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+        _NAME,
     ]
 )
 
@@ -221,7 +224,11 @@ def _with(column: str, name: str, of) -> Column:
 def _found(docs: DataFrame) -> DataFrame:
     """``docs`` with __parts, the array of (lit, kind, value, norm) up to the
     last match, null without one, and __tail, the text after it."""
-    held = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
+    # without a digit, @, = or : and without a key's prefix only names can match
+    other = F.col("text").rlike("[0-9@=:]") | F.col("text").contains("AKIA") | F.col("text").contains("ASIA")
+    held = F.when(other, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(
+        F.regexp_extract_all("text", F.lit(_NAME), F.lit(0))
+    )
     pairs = F.arrays_zip(F.col("__ents").alias("e"), F.slice("__segs", F.lit(1), F.size("__ents")).alias("s"))
     return (
         docs.withColumn("__ents", held)
