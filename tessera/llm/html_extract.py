@@ -14,13 +14,14 @@
    same on each page, 1 what always differs.  A node's composite importance
    is (1 - G**n) * node importance + G**n * the mean of its children's and
    contents' importances, n being the number of its children.
-3. A page loses its branches of low composite importance, the blocks whose
-   very text most pages of the host repeat, and the branches that name
-   themselves: menus, headers, footers, sidebars, notices, adverts, forms and
-   reader comments.  Where a page marks its article (``article``, ``main``)
+3. A page loses its branches of low composite importance (the node, its
+   contents and every node below), the blocks whose very text most pages of
+   the host repeat, and the branches that name themselves: menus, headers,
+   footers, sidebars, notices, adverts, forms and reader comments.  Where a page marks its article (``article``, ``main``)
    what lies outside is no main text.
 
-Nodes on fewer than ``MIN_PAGES`` different pages of a host are not judged.
+Nodes on fewer than ``MIN_PAGES`` different pages of a host are not judged,
+and with text in them they keep the branches they are in from being low.
 What is kept of a host is a row for each judged node, not for each page.
 
 Defined results: a null html is an empty page, its text is empty; a null or
@@ -234,37 +235,53 @@ def _tree(facts: DataFrame) -> DataFrame:
     importance = entropy.select(
         "host", "node", "kind", "n", ((F.log("m") - F.col("s") / F.col("m")) / F.log("m")).alias("h")
     )
-    parents = facts.filter("parent is not null").groupBy("host", "node").agg(F.min("parent").alias("parent"))
-    nodes = importance.join(parents, ["host", "node"], "left")
+    # each node's parent, the pages that hold it, and whether it holds anything
+    places = facts.groupBy("host", "node").agg(
+        F.min("parent").alias("parent"), F.count("parent").alias("held"), F.count("value").alias("filled")
+    )
+    rare = places.filter((F.col("held") < MIN_PAGES) & (F.col("filled") > 0) & F.col("parent").isNotNull())
+    rare = rare.select("host", F.col("parent").alias("node"), F.lit(True).alias("open")).distinct()
+    # pandas makes a long column with nulls a float one, which rounds: the root is its own parent
+    nodes = (
+        importance.join(places.select("host", "node", "parent"), ["host", "node"])
+        .join(rare, ["host", "node"], "left")
+        .withColumns({"parent": F.coalesce("parent", "node"), "open": F.coalesce("open", F.lit(False)), "n": F.coalesce("n", F.lit(0))})
+    )
     common = per.filter(F.col("kind") == _CONTENT).join(pages, "host").filter(
         (F.col("pages") >= MIN_PAGES) & (F.col("c") > F.col("pages") * REPEATED)
     )
     repeated = common.groupBy("host").agg(F.collect_list(F.struct("node", "value")).alias("repeated"))  # few: each on most pages
 
     def composite(pdf: pd.DataFrame) -> pd.DataFrame:
-        style, content, inner, width = {}, {}, {}, {}
+        style, content, inner, width, opened = {}, {}, {}, {}, set()
         for r in pdf.itertuples():
             (style if r.kind == _STYLE else content)[r.node] = r.h
             if r.kind == _STYLE:
-                width[r.node] = 0 if pd.isna(r.n) else int(r.n)
-            if not pd.isna(r.parent):
-                inner.setdefault(int(r.parent), set()).add(r.node)
+                width[r.node] = r.n
+            if r.open:
+                opened.add(r.node)
+            if r.parent != r.node:
+                inner.setdefault(r.parent, set()).add(r.node)
         known: dict[int, float] = {}
+        low: set[int] = set()
         todo = [n for n in {*style, *content}]
         while todo:  # children first, without recursion
             node = todo[-1]
-            waiting = [c for c in inner.get(node, ()) if c not in known]
+            below = inner.get(node, ())
+            waiting = [c for c in below if c not in known]
             if waiting and node not in known:
                 known.setdefault(node, -1.0)
                 todo += waiting
                 continue
             todo.pop()
-            parts = [known[c] for c in inner.get(node, ()) if known[c] >= 0]
+            parts = [known[c] for c in below if known[c] >= 0]
             parts += [content[node]] if node in content else []
             mean = sum(parts) / len(parts) if parts else 1.0
             g = GAMMA ** width.get(node, 0)
             known[node] = (1 - g) * style.get(node, mean) + g * mean
-        low = [int(n) for n, x in known.items() if 0 <= x < LOW]
+            if known[node] < LOW and content.get(node, 0.0) < LOW and node not in opened and low.issuperset(below):
+                low.add(node)
+        low = sorted(int(n) for n in low)
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "low": [low]})
 
     ship_package(facts.sparkSession)

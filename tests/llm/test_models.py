@@ -129,6 +129,27 @@ def test_style_tree_drops_what_a_site_repeats(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def kept_of_site(spark, page, n=40):
+    rows = [(k, f"https://tree.example/{k}", page(k)) for k in range(n)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in html_extract.extract(df).orderBy("page_id").collect()]
+
+
+def test_a_constant_label_does_not_cut_the_paragraphs_beside_it(spark):
+    rare = lambda k: f"<p id=only{k}>Note {k}</p>"  # noqa: E731  a node of its own on each page
+    got = kept_of_site(spark, lambda k: f"<div class=post>By staff<p>story {k} it is</p></div><div class=y>Notes{rare(k)}</div>")
+    assert got == [f"story {k} it is\nNote {k}" for k in range(40)]
+
+
+def test_a_nested_repeated_branch_is_cut_as_a_branch(spark):
+    def page(k):
+        stamp = f"<p class=z>{'Sold out' if k == 7 else ''}</p>"  # empty on all pages but one
+        menu = f"<div class=a><div class=b><div class=c><p>Buy our mugs</p>{stamp}</div></div></div>"
+        return f"<body>{menu}<div class=a><p>We sell</p></div><div class=x><p>Story {k} of many</p></div><div class=w><p>Ships</p></div></body>"
+
+    assert kept_of_site(spark, page) == [f"Story {k} of many" for k in range(40)]
+
+
 # -- top-k search --------------------------------------------------------------
 
 
