@@ -45,7 +45,7 @@ _NAME = (
 #: one alternation, the most specific first; each starts at a word's start
 PATTERN = "|".join(
     [
-        r"(?=[pPtTsSaA])" + _SECRET + r"[^\s\"']{6,128}",
+        r"(?=[pPtTsSaA])" + _SECRET + r"[^\s\"']{6,}+",
         _EDGE + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
         r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
         r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",

@@ -245,6 +245,18 @@ def test_collisions_are_drawn_again(spark):
     assert not set(got) & set(names)
 
 
+def test_long_secrets_go_as_a_whole(spark):
+    rnd = random.Random(3)
+    start = "".join(rnd.choice("abcdefgh0123") for _ in range(128))
+    long = [start + "".join(rnd.choice("abcdefghijkl0123456789") for _ in range(872)) for _ in range(2)]
+    df = spark.createDataFrame([(k, f"a token={x} b") for k, x in enumerate(long)], "doc_id long, text string")
+    got = [r.text for r in pii.surrogates(df).orderBy("doc_id").collect()]
+    for x, y in zip(long, got):
+        assert len(y) == len(f"a token={x} b") and y.startswith("a token=") and y.endswith(" b")
+        assert not any(x[i : i + 12] in y for i in range(len(x) - 11))
+    assert got[0][8:136] != got[1][8:136]  # no surrogate of a part
+
+
 def test_surrogates_run_no_python(spark):
     plan = pii.surrogates(spark.createDataFrame([(1, "Mr Kim")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
