@@ -268,6 +268,15 @@ def _common_needed(n: Column, m: Column) -> Column:
     return F.greatest(both - behind, F.lit(1))
 
 
+def _needed_of_sizes(n: Column, lo: Column, hi: Column) -> Column:
+    """The least ``_common_needed`` of n and any size from lo to hi.  Up to n
+    it does not fall as the size grows; beyond, the two ceilings make it go up
+    and down by one while it falls by 9/28 a token, so it is lowest at one of
+    the last six sizes (PERCENT is 75)."""
+    last = [F.greatest(hi - k, lo) for k in range(6)]
+    return F.least(*(_common_needed(n, m) for m in (lo, *last)))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sid, tokens) of the wanted sets.  Tasks send the sets that hit a
     bitmap of the wanted (of ``BITMAP`` bits a set, ``MAX_BITMAP`` at most),
@@ -385,11 +394,10 @@ def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     shared = met.groupBy("sid", "gid").agg(
         F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    # the bound is lowest at an end of the sizes that can link
+    # the sizes that can link
     lo = F.greatest("lo", F.ceil(F.col("n") * PERCENT / 100))
     hi = F.least("hi", F.floor(F.col("n") * 100 / PERCENT))
-    needed = F.least(_common_needed(F.col("n"), lo), _common_needed(F.col("n"), hi))
-    return shared.filter(F.col("c") >= needed).select("sid", "gid", "c")
+    return shared.filter(F.col("c") >= _needed_of_sizes(F.col("n"), lo, hi)).select("sid", "gid", "c")
 
 
 def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:

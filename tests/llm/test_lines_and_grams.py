@@ -122,6 +122,24 @@ def test_components_equal_brute_force(spark, monkeypatch, seed):
     assert got == brute_components(rows)
 
 
+def test_the_bound_of_a_group_is_the_least_of_its_sizes(spark):
+    def needed(n, m):
+        return max(-(-(n + m) * 75 // 175) - -(-max(n, m) * 75 // 100) + 1, 1)
+
+    want = {}
+    for n in range(1, 121):
+        sizes = range(-(-n * 75 // 100), n * 100 // 75 + 1)
+        for lo in sizes:
+            least = needed(n, lo)
+            for hi in range(lo, sizes[-1] + 1):
+                least = min(least, needed(n, hi))
+                want[n, lo, hi] = least
+    assert [needed(37, m) for m in (45, 47, 48)] == [3, 1, 2] and want[37, 45, 48] == 1  # not the least of the ends
+    df = spark.createDataFrame(list(want), "n long, lo long, hi long")
+    got = df.select("n", "lo", "hi", ngram_join._needed_of_sizes(df["n"], df["lo"], df["hi"]).alias("x")).collect()
+    assert {(r.n, r.lo, r.hi): r.x for r in got} == want
+
+
 def test_components_of_odd_rows(odd, none):
     rows = ngram_join.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
