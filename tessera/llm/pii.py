@@ -2,7 +2,8 @@
 
 Detected: e-mail addresses, IPv4 addresses, payment cards, IBANs, US social
 security numbers, phone numbers, cloud access keys, secrets that follow their
-name (``password=``, ``token = "``), and personal names after a title.
+name (``password=``, ``token = "``), and personal names after one or more
+titles: any number of initials and capitalised words, with their particles.
 
 Each detected value is replaced by a surrogate drawn from a keyed hash of its
 kind and normal form, so the same value gets the same surrogate everywhere
@@ -11,8 +12,9 @@ looks: letters stay letters of their script and case, digits digits, marks
 where they are; cards keep their issuer digit and a valid check digit, phones
 their country code, keys their prefix; e-mail domains end in ``.example`` and
 addresses lie in 10.0.0.0/8, which nobody owns.  A given name is replaced by
-one of the gender that the title tells and of its script, a family name by
-one of its script.
+one of the gender that the title tells and of its script, an initial by the
+first letter of such a name, and a family name, the last word with its
+particles, by one of its script.
 
 Collision check: over all distinct values, two values of a kind with one
 surrogate, or a surrogate that is itself a value of the corpus, are found by
@@ -39,9 +41,14 @@ _TITLES_F = "Mrs|Ms|Miss|Madam|Frau|Fr|Madame|Mme|Mademoiselle|Señora|Sra|Doña
 _TITLES_N = "Dr|Prof|Professor"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 _EDGE = r"(?<![A-Za-z0-9._%+@-])"
-_NAME = (
-    rf"(?=[MSHDFPг])\b(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\b\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
-)
+_TITLE = rf"(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\b\.? (?:(?:{_TITLES_N})\b\.? (?=\p{{L}}))*+"
+_PARTICLES = "de|del|della|delle|dei|degli|di|da|das|do|dos|du|des|la|las|le|les|los|lo|el|al|ben|bin|bint|ibn|abu|von|vom|van|der|den|het|ter|ten|zu|zum|zur|y|e|af|av"
+_INITIAL = r"\p{Lu}(?![\p{L}\p{M}'’-])\.?"
+_WORD = r"(?:\p{Ll}{1,4}['’-])?\p{Lu}[\p{L}\p{M}'’-]++"
+_FAMILY = rf"(?:(?:{_PARTICLES}) )*+{_WORD}"
+#: possessive throughout: linear, and no recursion over a long row of words
+_GIVENS = rf"(?:{_INITIAL}(?: |(?<=\.)-? ?))*+"
+_NAME = rf"(?=[MSHDFPг])\b{_TITLE}{_GIVENS}{_FAMILY}(?: {_GIVENS}{_FAMILY})*+"
 #: one alternation, the most specific first; each starts at a word's start
 PATTERN = "|".join(
     [
@@ -73,9 +80,9 @@ _LOWERS = "abcdefghijklmnopqrstuvwxyz"
 _CYRILLIC = "абвгдежзийклмнопрстуфхцчшщэюя"
 
 
-def _title_of(lit: Column) -> Column:
-    last = F.regexp_extract(lit, rf"({_TITLES_M}|{_TITLES_F}|{_TITLES_N})\.? $", 1)
-    return F.when(last.rlike(f"^({_TITLES_M})$"), "m").when(last.rlike(f"^({_TITLES_F})$"), "f").otherwise("u")
+def _title_of(titles: Column) -> Column:
+    """The gender that the first title tells."""
+    return F.when(titles.rlike(rf"^({_TITLES_M})\b"), "m").when(titles.rlike(rf"^({_TITLES_F})\b"), "f").otherwise("u")
 
 
 def _pieces(entity: Column, before: Column) -> Column:
@@ -83,12 +90,22 @@ def _pieces(entity: Column, before: Column) -> Column:
     def piece(lit, kind, value):
         return F.struct(lit.alias("lit"), kind.alias("kind"), value.alias("value"))
 
-    name = rf"^((?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\.? )(\S+)(?: (\S+))?$"
-    title, first, second = (F.regexp_extract(entity, name, k) for k in (1, 2, 3))
-    named = F.when(
-        F.length(second) > 0,
-        F.array(piece(F.concat(before, title), F.concat(F.lit("name_"), _title_of(title)), first), piece(F.lit(" "), F.lit("name_s"), second)),
-    ).otherwise(F.array(piece(F.concat(before, title), F.lit("name_s"), first)))
+    title = F.regexp_extract(entity, f"^{_TITLE}(?=\\p{{L}})", 0)
+    # initials and words, and what stands between them; step by step, so that no name is read once a word
+    token = f"{_FAMILY}|{_INITIAL}"
+    read = F.transform(
+        F.array(F.struct(title.alias("title"), F.substr(entity, F.length(title) + 1).alias("rest"))),
+        lambda h: F.struct(
+            F.concat(before, h["title"]).alias("lit"), F.concat(F.lit("name_"), _title_of(h["title"])).alias("given"),
+            F.regexp_extract_all(h["rest"], F.lit(token), F.lit(0)).alias("t"), F.split(h["rest"], token, -1).alias("b"),
+        ),
+    )
+    named = F.flatten(F.transform(read, lambda h: F.transform(
+        F.arrays_zip(h["t"].alias("t"), F.slice(h["b"], F.lit(1), F.size(h["t"])).alias("b")),
+        lambda x, i: piece(
+            F.when(i == 0, h["lit"]).otherwise(x["b"]), F.when(i == F.size(h["t"]) - 1, F.lit("name_s")).otherwise(h["given"]), x["t"]
+        ),
+    )))
     secret = F.regexp_extract(entity, f"^({_SECRET})", 1)
     kind = (
         F.when(entity.contains("@"), "email")
@@ -111,7 +128,8 @@ def _norm(kind: Column, value: Column) -> Column:
         F.when(kind == "phone", F.regexp_extract(F.regexp_replace(value, "[^0-9]", ""), "([0-9]{1,10})$", 1))
         .when(kind.isin("card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
-        .when((kind == "email") | kind.startswith("name"), F.lower(value))
+        .when(kind == "email", F.lower(value))
+        .when(kind.startswith("name"), F.regexp_replace(F.lower(value), "[.]$", ""))
         .otherwise(value)
     )
 
@@ -211,7 +229,12 @@ def _poured(kind: Column, value: Column, canonical: Column) -> Column:
         return F.when(c.rlike("[A-Za-z0-9]") & (n > 0), F.substring(canonical, n, F.lit(1))).otherwise(c)
 
     spread = F.array_join(F.transform(F.split(value, ""), at), "")
-    name = F.when(F.upper(value) == value, F.upper(canonical)).otherwise(F.initcap(canonical))
+    initial = F.concat(F.upper(F.substring(canonical, 1, 1)), F.when(value.endswith("."), ".").otherwise(""))
+    name = (
+        F.when(value.rlike(r"^\p{Lu}\.?$"), initial)
+        .when(F.upper(value) == value, F.upper(canonical))
+        .otherwise(F.initcap(canonical))
+    )
     return F.when(kind.isin("card", "phone", "ssn", "iban"), spread).when(kind.startswith("name"), name).otherwise(canonical)
 
 

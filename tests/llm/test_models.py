@@ -257,6 +257,30 @@ def test_long_secrets_go_as_a_whole(spark):
     assert got[0][8:136] != got[1][8:136]  # no surrogate of a part
 
 
+def test_names_of_many_words(spark):
+    names = {
+        "Dr. Anna Maria Keller": 3, "Mr. Juan Carlos de la Vega": 3, "Mr. J. Smith": 2, "Prof. A. B. Weber": 3, "Mr. J.R.R. Tolkien": 4,
+        "Frau Prof. Dr. Eva Klein": 2, "Mrs. Keller": 1, "Mr. Don Draper": 2, "Mr. John Q Public": 3, "Ms. Ann d'Arcy O'Neill-Weber": 3,
+        "г-жа И. П. Сидорова": 3, "Mr. de la Vega": 1,
+    }
+    rows = [(k, f"we met {x} there, Sir.") for k, x in enumerate(names)]
+    rows += [(90, "Mr. " + "Long Name " * 2_000), (91, "Mr. A said. Dr. no. Prof. Dr. is"), (92, "Ms. Keller and Mr Peter Keller")]
+    got = {r.doc_id: r for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (name, n) in enumerate(names.items()):
+        text = got[k].text
+        assert got[k].n_entities == n and text.startswith("we met " + name.split()[0] + " ") and text.endswith(" there, Sir."), text
+        assert not any(len(w) > 2 and w not in ("Frau", "Prof.", "Dr.", "Mr.", "Ms.", "Mrs.", "г-жа") and w in text for w in name.split()), text
+    words = got[0].text.split()
+    assert words[3].lower() in pii._NAMES["latin", "u"].lower().split() and words[5].strip(",").lower() in pii._NAMES["latin", "s"].lower().split()
+    assert got[2].text.split()[3][1:] == "." and len(got[2].text.split()) == 7 and got[4].text.split()[3].count(".") == 3
+    assert got[5].text.split()[2:5] == ["Frau", "Prof.", "Dr."]
+    assert got[5].text.split()[5].lower() in pii._NAMES["latin", "f"].lower().split()
+    assert got[1].text.split()[5].strip(",") == got[11].text.split()[3].strip(",")  # one family, one surrogate
+    assert got[6].text.split()[3].strip(",") == words[5].strip(",") == got[92].text.split()[1] == got[92].text.split()[-1]
+    assert got[90].n_entities == 4_000 and "Long" not in got[90].text and "Name" not in got[90].text
+    assert got[91].text == rows[-2][1]
+
+
 def test_surrogates_run_no_python(spark):
     plan = pii.surrogates(spark.createDataFrame([(1, "Mr Kim")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
