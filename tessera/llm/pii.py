@@ -9,7 +9,7 @@ Each detected value is replaced by a surrogate drawn from a keyed hash of its
 kind and normal form, so the same value gets the same surrogate everywhere
 and nobody without the key can go back.  The surrogate keeps the type and the
 looks: letters stay letters of their script and case, digits digits, marks
-where they are; cards keep their issuer digit and a valid check digit, phones
+where they are, those before an address too; cards keep their issuer digit and a valid check digit, phones
 their country code, keys their prefix; e-mail domains end in ``.example`` and
 addresses lie in 10.0.0.0/8, which nobody owns.  A given name is replaced by
 one of the gender that the title tells and of its script, an initial by the
@@ -40,7 +40,12 @@ _TITLES_M = "Mr|Sir|Herr|Hr|Monsieur|Señor|Sr|Don|г-н|господин"
 _TITLES_F = "Mrs|Ms|Miss|Madam|Frau|Fr|Madame|Mme|Mademoiselle|Señora|Sra|Doña|г-жа|госпожа"
 _TITLES_N = "Dr|Prof|Professor"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
-_EDGE = r"(?<![A-Za-z0-9._%+@-])"
+#: marks and percent escapes before an address, which stay
+_LEAD = r"(?:%[0-7][0-9A-Fa-f]|[._%+-])*+"
+#: a run is read once, from its start or from the end of the match before
+_EMAIL = rf"(?:(?<![A-Za-z0-9._%+-])|\G){_LEAD}[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+#: groups of four, the last of any length or with a short fifth; 4-6-5, 4-6-4; 6-13
+_CARD = r"(?:\d{4}(?:[ -]?\d{4}){2}[ -]?(?:\d{4}[ -]\d{1,3}|\d{1,7})|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13})"
 _TITLE = rf"(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\b\.? (?:(?:{_TITLES_N})\b\.? (?=\p{{L}}))*+"
 _PARTICLES = "de|del|della|delle|dei|degli|di|da|das|do|dos|du|des|la|las|le|les|los|lo|el|al|ben|bin|bint|ibn|abu|von|vom|van|der|den|het|ter|ten|zu|zum|zur|y|e|af|av"
 _INITIAL = r"\p{Lu}(?![\p{L}\p{M}'’-])\.?"
@@ -53,11 +58,11 @@ _NAME = rf"(?=[MSHDFPг])\b{_TITLE}{_GIVENS}{_FAMILY}(?: {_GIVENS}{_FAMILY})*+"
 PATTERN = "|".join(
     [
         r"(?=[pPtTsSaA])" + _SECRET + r"[^\s\"']{6,}+",
-        _EDGE + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
+        _EMAIL,
         r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
         r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
         r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)",
-        r"(?<![\d.+-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
+        rf"(?<![\d.+-]){_CARD}(?![\d-])",
         r"(?<![\d.+-])\d{3}-\d{2}-\d{4}(?![\d-])",
         r"(?<![\d.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])",
         _NAME,
@@ -107,19 +112,21 @@ def _pieces(entity: Column, before: Column) -> Column:
         ),
     )))
     secret = F.regexp_extract(entity, f"^({_SECRET})", 1)
+    mail = entity.contains("@")
+    lead = F.when(mail, F.regexp_extract(entity, f"^{_LEAD}", 0)).otherwise("")
     kind = (
-        F.when(entity.contains("@"), "email")
+        F.when(mail, "email")
         .when(entity.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$"), "cloud_key")
         .when(entity.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban")
         .when(entity.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(entity.rlike(r"^\d{4}([ -]?\d{4}){2}[ -]?\d{1,7}$"), "card")
+        .when(entity.rlike(f"^{_CARD}$"), "card")
         .otherwise("phone")
     )
     return (
         F.when(F.length(secret) > 0, F.array(piece(F.concat(before, secret), F.lit("secret"), F.substr(entity, F.length(secret) + 1))))
         .when(F.length(title) > 0, named)
-        .otherwise(F.array(piece(before, kind, entity)))
+        .otherwise(F.array(piece(F.concat(before, lead), kind, F.substr(entity, F.length(lead) + 1))))
     )
 
 

@@ -281,6 +281,29 @@ def test_names_of_many_words(spark):
     assert got[91].text == rows[-2][1]
 
 
+def test_addresses_and_cards_in_print_forms(spark):
+    long = "q" * 90
+    forms = [
+        "-ann@x.org", "_ann@x.org_", ".ann@x.org", "+ann@x.org", "%ann@x.org", "mailto:%20ann@x.org", "10.1.1.1-ann@x.org",
+        f"<{long}@x.org>", "@ann@x.org", "3782 822463 10005", "3782-822463-10005", "6212 3456 7890 1234 567", "6212-3456-7890-1234-567",
+        "6212345678901234567", "621234 5678901234567", "3056 930902 5904", "4111 1111 1111 1111",
+    ]
+    rows = [(k, f"see {x} now") for k, x in enumerate(forms)] + [(90, "a-b." * 100_000), (91, "ann@x.org")]
+    got = {r.doc_id: r for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = {x: got[k].text[4:-4] for k, x in enumerate(forms)}
+    for k, (x, y) in enumerate(new.items()):
+        assert got[k].n_entities == 1 and got[k].kinds == ["email" if k < 9 else "card"], (x, y)
+        assert not any(part in y for part in ("ann@", long, "x.org")) and x != y, (x, y)
+        if k >= 9:  # laid out alike, every group replaced
+            assert [c.isdigit() for c in x] == [c.isdigit() for c in y] and x[0] == y[0] and x[4:] != y[4:], (x, y)
+    ann = got[91].text
+    assert [new[x] for x in forms[:6]] == ["-" + ann, f"_{ann}_", "." + ann, "+" + ann, "%" + ann, "mailto:%20" + ann]
+    assert new["@ann@x.org"] == "@" + ann
+    digits = lambda x: "".join(c for c in x if c.isdigit())
+    assert len({digits(new[x]) for x in forms[11:14]}) == 1 and len({digits(new[x]) for x in forms[9:11]}) == 1
+    assert got[90].n_entities == 0 and got[90].text == rows[-2][1]
+
+
 def test_surrogates_run_no_python(spark):
     plan = pii.surrogates(spark.createDataFrame([(1, "Mr Kim")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
