@@ -18,7 +18,14 @@
    contents and every node below), the blocks whose very text most pages of
    the host repeat, and the branches that name themselves: menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments.  Where a page marks its article (``article``, ``main``)
-   what lies outside is no main text.
+   what lies outside is no main text.  A name in a class or id (``sidebar``,
+   ``ads``) does not speak for the element where it says what a layout has
+   (``has-sidebar``, ``no-ads``), where the element holds ``main`` or the
+   page's only ``article`` while none is marked elsewhere, or where it holds
+   most of the text that neither the style tree nor a tag calls noise; then
+   the style tree decides, and the branches within are judged alike.  Reader
+   comments and related links may outgrow an article: those hold the main text
+   only where nothing else is left.
 
 Nodes on fewer than ``MIN_PAGES`` different pages of a host are not judged,
 and with text in them they keep the branches they are in from being low.
@@ -68,6 +75,11 @@ NOISE_WORDS = frozenset(
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended trending comment comments reply replies respondent disqus widget pagination pager skip legal copyright".split()
 )
+#: what may be longer than the article it follows
+FOLLOWERS = frozenset("related recommended trending comment comments reply replies respondent disqus".split())
+#: a class that says what a layout has or lacks: has-sidebar, layout-right-rail
+_LAYOUT = re.compile(r"(?:^|[^a-z])(?:has|have|with|without|no|not|hide|show|is|layout|columns?)[-_]|[-_](?:layout|open|enabled|disabled|active)$")
+_NAMED, _FOLLOWER = 1, 2
 #: elements that an opening tag of the key closes
 _CLOSES = {
     "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -86,19 +98,23 @@ def _hash(parent: int, sign: str) -> int:
 
 
 class Page:
-    """The blocks and nodes of a page.  blocks: (nodes from the root, noise,
-    in the marked article, text); styles: node -> children's signatures."""
+    """The blocks and nodes of a page.  blocks: (nodes from the root, noise by
+    tag or role, self-named elements from the root, how many of them are
+    around the marked article or None outside, text); children: node ->
+    children's signatures; named: kind of each self-named element; marks:
+    (tag, self-named elements around) of the marked articles."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[tuple[int, ...], bool, bool, str]] = []
+        self.blocks: list[tuple[tuple[int, ...], bool, tuple[int, ...], int | None, str]] = []
         self.children: dict[int, list[int]] = {}
-        self.has_main = False
+        self.named: list[int] = []
+        self.marks: list[tuple[str, tuple[int, ...]]] = []
         if source:
             self._read(source)
 
     def _read(self, source: str) -> None:
-        # open elements: tag, nodes from the root, noise, in article
-        stack: list[tuple[str, tuple[int, ...], bool, bool]] = [("#", (0,), False, False)]
+        # open elements: tag, nodes from the root, noise, self-named, around the article
+        stack: list[tuple[str, tuple[int, ...], bool, tuple[int, ...], int | None]] = [("#", (0,), False, (), None)]
         text: list[str] = []
 
         def flush(top):
@@ -106,12 +122,12 @@ class Page:
                 found = " ".join(html.unescape("".join(text)).split())
                 text.clear()
                 if found:
-                    self.blocks.append((top[1], top[2], top[3], found))
+                    self.blocks.append((*top[1:], found))
 
         def pop(at: int):
             while len(stack) > at:
                 top = stack[-1]
-                if top[0] in BLOCK or top[2] != stack[-2][2]:
+                if top[0] in BLOCK or top[2:4] != stack[-2][2:4]:
                     flush(top)
                 stack.pop()
 
@@ -158,39 +174,87 @@ class Page:
                     if stack[k][0] in _LISTS.get(tag, ()):
                         break
             above = stack[-1]
-            noise, sign = self._judge(tag, m[3], above)
+            noise, kind, sign = self._judge(tag, m[3], above)
             noise = noise or above[2]
-            if tag in BLOCK or noise != above[2]:
+            named = above[3]
+            if kind and not noise:
+                named = (*named, len(self.named))
+                self.named.append(kind)
+            if tag in BLOCK or (noise, named) != above[2:4]:
                 flush(above)
             nodes = above[1]
             if tag in BLOCK:
                 node = _hash(nodes[-1], sign)
                 self.children.setdefault(nodes[-1], []).append(node)
                 nodes = (*nodes, node)
-            in_main = above[3] or (tag in ("article", "main") and not noise)
-            self.has_main |= in_main
+            around = above[4]
+            if around is None and tag in ("article", "main") and not noise:
+                around = len(named)
+                self.marks.append((tag, named))
             if not m[3].endswith("/"):
-                stack.append((tag, nodes, noise, in_main))
+                stack.append((tag, nodes, noise, named, around))
         pop(1)
         flush(stack[0])
 
     @staticmethod
-    def _judge(tag: str, attributes: str, above) -> tuple[bool, str]:
+    def _judge(tag: str, attributes: str, above) -> tuple[bool, int, str]:
+        """(noise by tag or role, kind of the name or 0, signature)."""
+        header = tag == "header" and above[4] is None
         if not attributes:
-            return tag in NOISE_TAGS or tag == "header" and not above[3], tag
+            return tag in NOISE_TAGS or header, 0, tag
         found = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTR.findall(attributes)}
-        names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+        kind = 0
+        if tag not in ("html", "body", "article", "main"):
+            for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
+                said = NOISE_WORDS.intersection(_WORDS.findall(name))
+                if said and not _LAYOUT.search(name):
+                    kind = _FOLLOWER if kind != _NAMED and said <= FOLLOWERS else _NAMED
         noise = (
             tag in NOISE_TAGS
-            or tag == "header" and not above[3]
+            or header
             or found.get("role", "").lower() in NOISE_ROLES
             or "hidden" in found
             or found.get("aria-hidden", "").lower() == "true"
             or "display:none" in found.get("style", "").replace(" ", "").lower()
-            or tag not in ("html", "body", "article", "main") and not NOISE_WORDS.isdisjoint(_WORDS.findall(names))
         )
         sign = tag + "".join(sorted("." + x for x in found.get("class", "").split()))
-        return noise, f"{sign}#{found.get('id', '')}@{found.get('role', '')}"
+        return noise, kind, f"{sign}#{found.get('id', '')}@{found.get('role', '')}"
+
+    def main_blocks(self, low: set[int], repeated: set[tuple[int, int]]) -> list[str]:
+        """The texts of the blocks that are main text."""
+        told = []  # what the style tree and the tags leave
+        for nodes, noise, named, around, text in self.blocks:
+            if noise or not low.isdisjoint(nodes):
+                continue
+            if repeated and (nodes[-1], xxhash.xxh64_intdigest(text.encode()) - 2**63) in repeated:
+                continue
+            told.append((named, around, text))
+        lifted: set[int] = set()  # self-named elements that are no noise
+        while True:
+            marked = any(lifted.issuperset(named) for _, named in self.marks)
+            if not marked and self.marks:
+                mains = [named for tag, named in self.marks if tag == "main"]
+                only = [named for _, named in self.marks] if len(self.marks) == 1 else []
+                only = [named for named in only if all(self.named[k] == _NAMED for k in named)]
+                if mains or only:
+                    lifted.update((mains or only)[0])
+                    continue
+            total, left, weights = 0, 0, {}
+            kept = []
+            for named, around, text in told:
+                if marked and (around is None or not lifted.issuperset(named[:around])):
+                    continue
+                total += len(text)
+                outer = next((k for k in named if k not in lifted), None)
+                if outer is None:
+                    left += len(text)
+                    kept.append(text)
+                else:
+                    weights[outer] = weights.get(outer, 0) + len(text)
+            most = max(weights, key=weights.get, default=None)
+            if most is None or 2 * weights[most] <= total or self.named[most] == _FOLLOWER and left:
+                return kept
+            lifted.add(most)
 
 
 # -- the style tree of each host -----------------------------------------------
@@ -208,13 +272,14 @@ def _facts(pages: DataFrame) -> DataFrame:
             for url, source in zip(column(b, "url").to_pylist(), column(b, "html").to_pylist()):
                 page = Page(source)
                 host = host_of(url)
-                digest = xxhash.xxh64_intdigest("\n".join(x[3] for x in page.blocks if not x[1]).encode()) - 2**63
+                told = [main_text(page, set(), set()), *(x[4] for x in page.blocks if not x[1] and not x[2])]
+                digest = xxhash.xxh64_intdigest("\n".join(told).encode()) - 2**63
                 for node, children in page.children.items():
                     kinds = list(dict.fromkeys(children))  # repeated children are one style
                     style = xxhash.xxh64_intdigest(repr(kinds).encode()) - 2**63
                     out.add((host, digest, node, None, len(kinds), _STYLE, style))
                     out.update((host, digest, c, node, None, _STYLE, None) for c in kinds)
-                for nodes, _, _, text in page.blocks:
+                for nodes, *_, text in page.blocks:
                     out.add((host, digest, nodes[-1], None, None, _CONTENT, xxhash.xxh64_intdigest(text.encode()) - 2**63))
             cols = list(zip(*out)) if out else [[]] * 7
             types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
@@ -314,11 +379,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: Page, low: set[int], repeated: set[tuple[int, int]]) -> str:
-    kept = []
-    for nodes, noise, in_main, text in page.blocks:
-        if noise or page.has_main and not in_main or not low.isdisjoint(nodes):
-            continue
-        if repeated and (nodes[-1], xxhash.xxh64_intdigest(text.encode()) - 2**63) in repeated:
-            continue
-        kept.append(text)
-    return "\n".join(kept)
+    return "\n".join(page.main_blocks(low, repeated))

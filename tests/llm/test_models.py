@@ -129,6 +129,27 @@ def test_style_tree_drops_what_a_site_repeats(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["class='site has-sidebar' id=page", "class=content-with-sidebar", "class=no-ads", "class=layout-right-rail", "class=sidebar-page", "id=ad-frame"]
+)
+def test_a_wrapper_with_a_noise_word_keeps_its_page(wrapper):
+    main_text = lambda x: html_extract.main_text(html_extract.Page(x), set(), set())
+    side = "<div class=sidebar><p>Side</p></div><div class=footer>Foot</div>"
+    talk = "<div class=comments><article><p>" + "a long reply " * 20 + "</p></article></div>"
+    story = "<p>The story goes on for a while</p>"
+    assert main_text(f"<div {wrapper}><article>{story}</article>{side}</div>") == "The story goes on for a while"
+    assert main_text(f"<div {wrapper}><main>{story}{talk}</main>{side}{talk}</div>") == "The story goes on for a while"
+    assert main_text(f"<h1>Top</h1><div {wrapper}>{story}{side}{talk}</div>") == "Top\nThe story goes on for a while"
+    assert main_text("<p>A story</p><div class=related><article>Teaser one</article><article>Teaser two</article></div>") == "A story"
+
+
+def test_a_wrapped_site_has_a_style_tree(spark):
+    def page(k):
+        return f"<div class=sidebar-page><div class=m><p>Call us today</p></div><div class=x><p>Story {k} of many</p></div><div class=sidebar>Side {k % 2}</div></div>"
+
+    assert kept_of_site(spark, page) == [f"Story {k} of many" for k in range(40)]
+
+
 def kept_of_site(spark, page, n=40):
     rows = [(k, f"https://tree.example/{k}", page(k)) for k in range(n)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
