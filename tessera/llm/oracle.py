@@ -77,4 +77,70 @@ FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN reach ON rea
 GROUP BY documents.doc_id
 """
 
-SQL = {"op5_ngram_join": OP5, "op1_line_dedup": OP1, "op3_topk_search": OP3, "op9_decontaminate": OP9}
+_OP12_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_OP12_WORDS} AS w,
+    length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up
+  FROM documents
+),
+c AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT d.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * up > 3 * length(d.t),
+    regexp_matches(d.t, '[#$%&*|]'), coalesce(c.first_id < d.doc_id, false)] AS f
+  FROM d JOIN c ON c.t = d.t LEFT JOIN l ON l.doc_id = d.doc_id
+),
+cells AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+o AS (
+  SELECT [a, b, c, d, e] AS o
+  FROM range(1, 6) x1(a), range(1, 6) x2(b), range(1, 6) x3(c), range(1, 6) x4(d), range(1, 6) x5(e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5
+),
+s AS (SELECT o, step, o[step] AS own, o[1:step - 1] AS before FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, array_to_string([substr('ABCDE', CAST(x AS BIGINT), 1) for x in o], '') AS filter_order, step, own,
+    CASE WHEN len([x for x in before if f[x]]) = 0 THEN 1 ELSE 0 END AS alive,
+    CAST(f[own] AS INT) AS fails, CASE WHEN len([x for x in f if x]) = 1 THEN 1 ELSE 0 END AS once, n, good, toxic
+  FROM cells, s
+),
+g AS (
+  SELECT part, filter_order, step, own, sum(n * alive * (1 - fails)) AS kept, sum(n * alive * fails) AS removed,
+    sum(n * (1 - alive) * fails) AS redundant, sum(n * fails * once) AS unique_fails,
+    sum(good * alive * fails) AS good_lost, sum(toxic * alive * fails) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+k AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k
+),
+p AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM f
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+SQL = {"op12_filter_audit": OP12, "op13_fill_middle": OP13, "op5_ngram_join": OP5, "op1_line_dedup": OP1, "op3_topk_search": OP3, "op9_decontaminate": OP9}

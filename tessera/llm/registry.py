@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, html_extract, importance, line_dedup, mixing, ngram_join, pii, token_counts, topk, toxicity
+from tessera.llm import (
+    decontam, fill_middle, filter_audit, html_extract, importance, language, line_dedup, mixing, ngram_join, pii, token_counts, topk,
+    toxicity,
+)
 from tessera.llm.common import table
 
 #: target weights of the production mix: the large crawl is held to a fifth
@@ -58,6 +61,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
     return token_counts.count_tokens(docs, str(model_path)).drop("text")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -69,4 +84,7 @@ QUERIES = {
     "op8_importance_resample": op8_importance_resample,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op11_language_id": op11_language_id,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_middle": op13_fill_middle,
 }
