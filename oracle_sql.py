@@ -953,3 +953,7 @@ QUERIES["run_outcome"] = f"""
 SELECT CASE WHEN (SELECT open_errors FROM ({QUERIES["catalog_stats"]}) AS s) > 0
               OR (SELECT count(*) FROM ({QUERIES["sync_status_counts"]}) AS c WHERE status IN ('failed', 'in_progress')) > 0
             THEN 'completed_with_errors' ELSE 'completed' END AS outcome"""
+
+from oracle_feed_sql import feed_queries  # noqa: E402
+
+QUERIES |= feed_queries(with_, iso, fmt_size, PAGES)

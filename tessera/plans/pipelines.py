@@ -18,9 +18,11 @@ from tessera.plans import reports as rp
 from tessera.plans.inventory import export_inventory
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.joins import upsert_by_key
-from tessera.schemas import PRIORITY_COLUMNS, SITE_STORAGE_METRICS, Catalog
+from tessera.schemas import DRIVES, PRIORITY_COLUMNS, SITE_STORAGE_METRICS, SITES, Catalog
 from tessera.sinks.parquet import table_exists
+from tessera.sinks.published import PublishedTable
 from tessera.sinks import reports as sk
+from tessera.sources.change_pages import drive_records, site_records
 from tessera.sources.files import read_site_priority, read_storage_metric_results
 
 
@@ -120,3 +122,30 @@ def read_storage_metrics(spark: SparkSession, store_path: str) -> tuple[DataFram
 
 def summary(sites: DataFrame, drives: DataFrame, items: DataFrame, errors: DataFrame) -> dict:
     return sk.summary_dict(cg.summary(sites, drives, items, errors))
+
+
+def sites_table(spark: SparkSession, path: str, buckets: int = 16) -> PublishedTable:
+    return PublishedTable(spark, path, SITES, ["id"], buckets)
+
+
+def drives_table(spark: SparkSession, path: str, buckets: int = 64) -> PublishedTable:
+    return PublishedTable(spark, path, DRIVES, ["id"], buckets)
+
+
+def _upsert(table: PublishedTable, records: DataFrame, at: str) -> int:
+    """Insert or replace records with an id, of several with one id the last;
+    when a record was first found and last processed stays."""
+    rows = records.filter("id is not null").withColumn("_row", F.monotonically_increasing_id())
+    last = latest_per_key(rows, "id", [F.col("_row")]).drop("_row")
+    return table.merge(last.withColumns({"discovered_at": F.lit(at), "processed_at": F.lit(None).cast("string")}), ["discovered_at", "processed_at"])
+
+
+def upsert_sites(spark: SparkSession, site_json: DataFrame, path: str, at: str) -> int:
+    """Merge listed sites (``json``) into the published sites table."""
+    return _upsert(sites_table(spark, path), site_records(site_json), at)
+
+
+def upsert_drives(spark: SparkSession, drive_json: DataFrame, path: str, at: str) -> int:
+    """Merge listed drives (``site_id``, ``json``) into the published drives
+    table; ``operators.sync.prepare`` gives new ones their pending state."""
+    return _upsert(drives_table(spark, path), drive_records(drive_json), at)

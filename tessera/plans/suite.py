@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.classify import run_outcome
+from tessera.plans import feed_suite
 from tessera.plans import lakehouse as lh
 from tessera.sources import testdata as td
 from tessera.operators.hierarchy import folder_totals, recalculate_folders
@@ -28,7 +29,7 @@ from tessera.plans import urls as ur
 from tessera.plans import sites as st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, QueryFn] = {}
+REGISTRY: dict[str, QueryFn] = dict(feed_suite.QUERIES)
 
 def catalog(spark: SparkSession, sf_dir: str):
     return td.catalog(spark, sf_dir)

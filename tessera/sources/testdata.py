@@ -346,6 +346,58 @@ def page_log(t: Tables) -> DataFrame:
     )
 
 
+def landed_pages(t: Tables) -> DataFrame:
+    """The change pages as a collector lands them: the events of a drive with
+    the same hundreds of event ids are one page of items, as JSON text in
+    event order; the page's links are those of ``page_log``."""
+    e, n = t.events, F.col("event_id")
+    k = F.get_json_object(F.col("props"), "$.k")
+    ext = F.element_at(F.array(*[F.lit(x) for x in (".PDF", ".docx", "", ".tar.gz")]), (n % 4 + 1).cast("int"))
+    path = (
+        F.when(n % 4 == 1, F.lit("/drives/d"))
+        .when(n % 4 == 2, F.lit("/drive/root:"))
+        .when(n % 4 == 3, F.concat(F.lit("/drive/root:/dir-"), k, F.lit("/sub/")))
+    )
+    some = lambda c, *fields: F.when(c, F.struct(*fields))
+    item = F.struct(
+        k.alias("id"),
+        F.when(n % 11 != 0, F.concat(F.lit("item-"), k, ext)).alias("name"),
+        F.when(n % 13 != 0, F.floor(F.col("value") * 100).cast("long")).alias("size"),
+        some(n % 10 == 0, F.lit(1).alias("childCount")).alias("folder"),
+        some(n % 10 == 1, F.lit("oneNote").alias("type")).alias("package"),
+        some(n % 50 == 7, F.lit(True).alias("isRoot")).alias("root"),
+        some(F.col("event_type") == "error", F.lit("deleted").alias("state")).alias("deleted"),
+        some(n % 3 != 0, F.lit("application/x").alias("mimeType")).alias("file"),
+        F.struct((n % 17).cast("string").alias("id"), path.alias("path")).alias("parentReference"),
+        iso_utc(F.col("ts")).alias("lastModifiedDateTime"),
+        F.concat(F.lit("https://h.example/"), n.cast("string")).alias("webUrl"),
+    )
+    values = e.groupBy(F.col("user_id").cast("string").alias("drive_id"), F.floor(n / 100).cast("long").alias("page_seq")).agg(
+        F.sort_array(F.collect_list(F.struct(n.alias("n"), F.to_json(item).alias("json")))).alias("rows")  # 100 at most
+    )
+    return page_log(t).join(values, ["drive_id", "page_seq"]).select(
+        "drive_id", "site_id", "library_name", "page_seq", "collected_at",
+        F.struct(F.col("rows.json").alias("value"), F.col("next_link").alias("@odata.nextLink"), F.col("delta_link").alias("@odata.deltaLink")).alias("page"),
+    )
+
+
+def drive_events(t: Tables) -> DataFrame:
+    """Errors and claims of the drives, placed after the page of the same
+    hundreds of event ids: every error event is a failed request, and every
+    31st other event a worker's claim."""
+    from tessera.operators.events import CLAIM, conform, error_events
+
+    after = F.floor(F.col("id") / 100).cast("long")
+    failed = error_events(errors(t).withColumn("after_seq", after))
+    e = t.events.filter("event_type <> 'error' and event_id % 31 = 0")
+    claims = e.select(
+        F.col("user_id").cast("string").alias("drive_id"), (F.col("user_id") % 20).cast("string").alias("site_id"),
+        F.floor(F.col("event_id") / 100).cast("long").alias("seq"), F.col("event_id").alias("no"), F.lit(CLAIM).alias("kind"),
+        (F.col("event_id") % 7 + 1).cast("int").alias("attempt"), iso_utc(F.col("ts")).alias("at"),
+    )
+    return failed.unionByName(conform(claims))
+
+
 def errors(t: Tables) -> DataFrame:
     """Error rows from error events: status code by event id modulo 7,
     site = user_id % 20; drive sync errors."""

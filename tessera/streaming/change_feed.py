@@ -1,21 +1,17 @@
 """Change feed with Structured Streaming.
 
 Landed change pages (JSON lines, see ``tessera.sources.change_pages``) are
-read as a file stream and appended, as they are, to the store's page log: one
-folder for each (query, epoch), written by Spark's own Parquet writer.  A
+read as a file stream and appended, as they are, to the page log of a store
+(``tessera.streaming.feed_store``): one folder for each (query, epoch).  A
 replayed epoch overwrites its own folder and no other, and a new checkpoint
 is a new query, so neither can skip or mix pages.
 
-Items and drive sync state are both folds over that one log, so they always
-agree and no crash can leave one without the other.  The folds take the
-latest change by page order, not by arrival, so pages may land in any order,
-in any batches, and more than once.  Within a drive ``page_seq`` must grow
+Items and drive sync state are folds over that store; snapshots keep reading
+them from folding the whole log again.  Within a drive ``page_seq`` must grow
 from page to page over all runs; it is the order.
 
 Item paths are rooted at the library for all pages alike, so they do not
 depend on which pages shared a batch.
-
-``compact`` is an ordinary batch job that writes the folded tables.
 """
 
 from __future__ import annotations
@@ -23,20 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.changes import ITEM_COLUMNS, apply_changes
-from tessera.operators.sync import sync_from_pages, sync_state_columns
-from tessera.sinks.parquet import table_exists
-from tessera.sources.change_pages import LANDED_PAGE, page_changes, page_log, read_pages, read_pages_stream
-
-
-def _log(store_path: str) -> str:
-    return f"{store_path.rstrip('/')}/pages"
+from tessera.sources.change_pages import read_pages, read_pages_stream
+from tessera.streaming.feed_store import PAGES, FeedStore
 
 
 def append_pages(pages: DataFrame, store_path: str, query: str, epoch: int) -> None:
     """Append a batch of landed pages to the log; the same (query, epoch)
     again replaces what it wrote."""
-    pages.write.mode("overwrite").parquet(f"{_log(store_path)}/query={query}/epoch={epoch}")
+    FeedStore(pages.sparkSession, store_path).append(PAGES, pages, query, epoch)
 
 
 def start(
@@ -70,19 +60,32 @@ def run_batch(spark: SparkSession, landing_path: str, store_path: str) -> None:
 
 def stored_pages(spark: SparkSession, store_path: str) -> DataFrame:
     """Every page of the log (re-read pages are there again)."""
-    if not table_exists(spark, _log(store_path)):
-        return spark.createDataFrame([], LANDED_PAGE)
-    return spark.read.schema(LANDED_PAGE).option("recursiveFileLookup", True).parquet(_log(store_path))
+    return FeedStore(spark, store_path).all_pages()
 
 
-def current_items(spark: SparkSession, store_path: str) -> DataFrame:
-    """The items table: the fold of all changes in the log."""
-    return apply_changes(None, page_changes(stored_pages(spark, store_path))).select(*ITEM_COLUMNS)
+def current_items(spark: SparkSession, store_path: str, reconciled: bool = False) -> DataFrame:
+    """The items table: the last snapshot and the pages after it."""
+    return FeedStore(spark, store_path).items(reconciled)
 
 
 def current_sync_state(spark: SparkSession, store_path: str) -> DataFrame:
-    """The drive sync state: the fold of all pages in the log."""
-    return sync_state_columns(sync_from_pages(page_log(stored_pages(spark, store_path))))
+    """The drive sync state: pages, errors, claims and resets in one fold."""
+    return FeedStore(spark, store_path).sync_state()
+
+
+def current_errors(spark: SparkSession, store_path: str) -> DataFrame:
+    """The drive errors that no site reset has dropped."""
+    return FeedStore(spark, store_path).errors()
+
+
+def snapshot(spark: SparkSession, store_path: str) -> str:
+    """Fold the store's logs into a new snapshot; later reads start from it."""
+    return FeedStore(spark, store_path).write_snapshot()
+
+
+def reset_site(spark: SparkSession, store_path: str, site_id: str, at: str) -> dict[str, int]:
+    """Forget what the drives of a site brought so far, for good."""
+    return FeedStore(spark, store_path).reset_site(site_id, at)
 
 
 def processed_drives(drives: DataFrame, sync_state: DataFrame) -> DataFrame:
