@@ -53,13 +53,13 @@ counted AS (SELECT r.* FROM rec r LEFT JOIN fences f ON f.drive_id = r.drive_id
     errs = """
 errs AS (
   SELECT CAST(user_id AS VARCHAR) AS drive_id, CAST(user_id % 20 AS VARCHAR) AS site_id, CAST(floor(event_id / 100) AS BIGINT) AS seq, event_id AS no,
-         ([401, 403, 404, 410, 423, 429, 503])[event_id % 7 + 1] AS code, 'error ' || CAST(event_id AS VARCHAR) AS message, TS AS at
+         ([401, 403, 404, 410, 423, 429, 503])[event_id % 7 + 1] AS code, 'error ' || CAST(event_id AS VARCHAR) AS message, TS AS tm
   FROM events WHERE event_type = 'error'
 )""".replace("TS", iso("ts"))
     sync = f"""
 claims AS (
   SELECT CAST(user_id AS VARCHAR) AS drive_id, CAST(user_id % 20 AS VARCHAR) AS site_id, CAST(floor(event_id / 100) AS BIGINT) AS seq,
-         event_id AS no, CAST(event_id % 7 + 1 AS INTEGER) AS attempt, {iso('ts')} AS at
+         event_id AS no, CAST(event_id % 7 + 1 AS INTEGER) AS attempt, {iso('ts')} AS tm
   FROM events WHERE event_type <> 'error' AND event_id % 31 = 0
 ),
 known AS (
@@ -72,7 +72,7 @@ resets AS (
 ),
 -- o: order; then for each field a struct where the event sets it
 marks AS (
-  SELECT drive_id, page_seq * 3 * 10000000000 AS o, site_id, library_name AS lib, collected_at AS at,
+  SELECT drive_id, page_seq * 3 * 10000000000 AS o, site_id, library_name AS lib, collected_at AS tm,
          {{'v': CASE WHEN delta_link IS NOT NULL THEN 'done' WHEN next_link IS NOT NULL THEN 'in_progress' ELSE 'pending' END}} AS status,
          CASE WHEN next_link IS NOT NULL OR delta_link IS NOT NULL THEN {{'v': CASE WHEN delta_link IS NULL THEN next_link END}} END AS nl,
          CASE WHEN delta_link IS NOT NULL THEN {{'v': delta_link}} END AS dl,
@@ -82,13 +82,13 @@ marks AS (
          CAST(NULL AS STRUCT(v VARCHAR)) AS start_at, CAST(NULL AS STRUCT(v INTEGER)) AS att
   FROM plog
   UNION ALL
-  SELECT drive_id, (seq * 3 + 1) * 10000000000 + no, site_id, NULL, at,
+  SELECT drive_id, (seq * 3 + 1) * 10000000000 + no, site_id, NULL, tm,
          {{'v': CASE WHEN code IN (401, 403, 404) THEN 'failed' ELSE 'pending' END}},
          CASE WHEN code = 410 THEN {{'v': CAST(NULL AS VARCHAR)}} END, CASE WHEN code = 410 THEN {{'v': CAST(NULL AS VARCHAR)}} END,
          {{'v': CASE WHEN code = 410 THEN 'Delta token expirado/invalido. Proxima tentativa fara carga completa.' ELSE message END}}, NULL, NULL, NULL
   FROM errs
   UNION ALL
-  SELECT drive_id, (seq * 3 + 1) * 10000000000 + no, site_id, NULL, at, {{'v': 'in_progress'}}, NULL, NULL, NULL, NULL, {{'v': at}}, {{'v': attempt}}
+  SELECT drive_id, (seq * 3 + 1) * 10000000000 + no, site_id, NULL, tm, {{'v': 'in_progress'}}, NULL, NULL, NULL, NULL, {{'v': tm}}, {{'v': attempt}}
   FROM claims
   UNION ALL
   SELECT drive_id, (seq * 3 + 2) * 10000000000, site_id, NULL, '2024-12-31T00:00:00Z', {{'v': 'pending'}}, {{'v': NULL}}, {{'v': NULL}}, {{'v': NULL}},
@@ -100,7 +100,7 @@ marks AS (
 SELECT drive_id, arg_max(site_id, o) AS site_id, arg_max(lib, o) FILTER (WHERE lib IS NOT NULL) AS library_name, CAST(NULL AS VARCHAR) AS mode,
        (arg_max(status, o)).v AS status, coalesce((arg_max(att, o) FILTER (WHERE att IS NOT NULL)).v, 0) AS attempts,
        (arg_max(nl, o) FILTER (WHERE nl IS NOT NULL)).v AS next_link, (arg_max(dl, o) FILTER (WHERE dl IS NOT NULL)).v AS delta_link,
-       (arg_max(le, o) FILTER (WHERE le IS NOT NULL)).v AS last_error, arg_min(at, o) AS created_at, arg_max(at, o) AS updated_at,
+       (arg_max(le, o) FILTER (WHERE le IS NOT NULL)).v AS last_error, arg_min(tm, o) AS created_at, arg_max(tm, o) AS updated_at,
        (arg_max(start_at, o) FILTER (WHERE start_at IS NOT NULL)).v AS last_started_at,
        (arg_max(done_at, o) FILTER (WHERE done_at IS NOT NULL)).v AS last_completed_at
 FROM marks GROUP BY drive_id"""

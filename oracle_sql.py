@@ -956,4 +956,10 @@ SELECT CASE WHEN (SELECT open_errors FROM ({QUERIES["catalog_stats"]}) AS s) > 0
 
 from oracle_feed_sql import feed_queries  # noqa: E402
 
+from oracle_io_sql import io_queries  # noqa: E402
+
 QUERIES |= feed_queries(with_, iso, fmt_size, PAGES)
+QUERIES |= io_queries(
+    with_, iso, fmt_size, QUERIES,
+    {"sites": SITES, "drives": DRIVES, "items": ITEMS, "inventory": _inv("inv", "items"), "rollup": ROLLUP, "priority": PRI, "metrics": MET, "changes": CHANGES},
+)

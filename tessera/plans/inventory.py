@@ -13,6 +13,8 @@ from tessera.session import work_path
 from tessera.sinks.parquet import CHUNK_SIZE, ROWS_PER_FILE, write_inventory
 
 EXPORT_ORDER = ["site_url", "biblioteca", "caminho_item"]
+#: what tells rows of one path apart, so that the export order is total
+EXPORT_TIES = ["id_drive", "id_item"]
 
 
 def inventory(items: DataFrame, sites: DataFrame, drives: DataFrame) -> DataFrame:
@@ -48,5 +50,5 @@ def export_inventory(
     path = work_path(items.sparkSession, "inventory")
     inventory(items, sites, drives).write.parquet(path)
     rows = items.sparkSession.read.parquet(path)
-    inv = rows.orderBy(*[F.col(c).asc_nulls_first() for c in EXPORT_ORDER])
-    return write_inventory(inv, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size)
+    order = [F.col(c).asc_nulls_first() for c in EXPORT_ORDER + EXPORT_TIES]
+    return write_inventory(rows, f"{output_dir.rstrip('/')}/inventory_parquet", rows_per_file, chunk_size, order)

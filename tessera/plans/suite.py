@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.classify import run_outcome
-from tessera.plans import feed_suite
+from tessera.plans import feed_suite, io_suite
 from tessera.plans import lakehouse as lh
 from tessera.sources import testdata as td
 from tessera.operators.hierarchy import folder_totals, recalculate_folders
@@ -21,6 +21,7 @@ from tessera.plans import inventory as inv_plan
 from tessera.plans import reports as rp
 from tessera.plans import priority as pr
 from tessera.schemas import PRIORITY_COLUMNS
+from tessera.session import work_path
 from tessera.operators.changes import apply_changes
 from tessera.operators.sync import apply_failures, prepare, sync_from_pages, sync_state_columns
 from tessera.plans import catalog as cg
@@ -29,7 +30,7 @@ from tessera.plans import urls as ur
 from tessera.plans import sites as st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, QueryFn] = dict(feed_suite.QUERIES)
+REGISTRY: dict[str, QueryFn] = {**feed_suite.QUERIES, **io_suite.QUERIES}
 
 def catalog(spark: SparkSession, sf_dir: str):
     return td.catalog(spark, sf_dir)
@@ -88,10 +89,19 @@ def q_archive_candidates(spark, sf_dir):
 
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table on shared storage: what several passes read is made
+    once, as the catalogue's own tables are in production."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def inventory_df(spark: SparkSession, sf_dir: str, rollup: bool = False) -> DataFrame:
     cat = catalog(spark, sf_dir)
-    if rollup:  # runs the rollup's checkpointed iterations: never shared
-        return inv_plan.inventory(recalculate_folders(cat.items), cat.sites, cat.drives)
+    if rollup:  # the rollup, the pass-through and the sort's sample all read the items
+        items = _written(cat.items, "items")
+        return inv_plan.inventory(recalculate_folders(items), cat.sites, cat.drives)
     return inv_plan.inventory(cat.items, cat.sites, cat.drives)
 
 

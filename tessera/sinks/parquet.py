@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import format_size
+from tessera.operators.ranking import global_positions
 
 # The export's default rows per part and the floor it is
 # raised to.
@@ -44,15 +47,37 @@ def write_layer(df: DataFrame, path: str, name: str = "table") -> dict:
     return {"rows": int(obs.get.get("rows", 0)), "file": path}
 
 
-def write_inventory(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, chunk_size: int = CHUNK_SIZE) -> dict:
+def in_ordered_parts(df: DataFrame, order: Sequence[Column], rows_per_file: int) -> DataFrame:
+    """``df`` in partitions that hold whole parts of ``rows_per_file`` rows of
+    the given total order, ascending: written with ``maxRecordsPerFile``, every
+    part but the last has exactly that many rows and file names follow the
+    order.  A row's part comes from its global position; no task gets more than
+    its share of parts."""
+    placed = global_positions(df, order, "_position")
+    last = placed.agg(F.max("_position")).first()[0] or 0
+    part = F.floor((F.col("_position") - 1) / rows_per_file)
+    dealt = placed.withColumn("_part", part).repartitionByRange(max(1, -(-last // rows_per_file)), "_part")
+    return dealt.sortWithinPartitions("_position").drop("_part", "_position")
+
+
+def write_inventory(
+    df: DataFrame,
+    path: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    chunk_size: int = CHUNK_SIZE,
+    order: Sequence[Column] | None = None,
+) -> dict:
     """Export the inventory as Snappy Parquet parts.
 
-    ``maxRecordsPerFile`` caps each part; the rows are already range
-    partitioned by the export order, so parts follow that order.  Previous
-    parts are replaced (``overwrite``).  Totals come from ``observe`` metrics
-    gathered during the write, not from a second pass.
+    ``maxRecordsPerFile`` caps each part; with ``order`` (a total one) the parts
+    follow it and are all of that size but the last, else the rows stay in the
+    partitions that they come in.  Previous parts are replaced (``overwrite``).
+    Totals come from ``observe`` metrics gathered during the write, not from a
+    second pass.
     """
     rows_per_file = max(rows_per_file, chunk_size)
+    if order is not None:
+        df = in_ordered_parts(df, order, rows_per_file)
     obs = Observation("inventory_export")
     is_file = F.col("tipo_item") == "file"
     observed = df.observe(

@@ -99,9 +99,10 @@ class PublishedTable:
         """The table at a version (the newest one unless given)."""
         return self._read(self.manifest(version))
 
-    def overwrite(self, rows: DataFrame) -> int:
-        """Replace the table; returns the version published."""
-        version = self.version()
+    def overwrite(self, rows: DataFrame, version: int | None = None) -> int:
+        """Replace the table as it was at ``version`` (the newest one unless
+        given); returns the version published."""
+        version = self.version() if version is None else version
         return self._publish(version + 1, self._write(rows))
 
     def merge(self, rows: DataFrame, keep_old: list[str] | None = None, attempts: int = 5) -> int:

@@ -40,8 +40,22 @@ TABLES = [
 ]
 
 
+#: session setting: deal the line items, one row group in a small test table, to
+#: so many tasks by key.  Set by a caller (bench.py) that wants all cores; no
+#: size is tested, and results do not depend on it.
+SPREAD = "tessera.spread"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its plan (file listing, schema) is made once a session."""
+    path, spread = f"{sf_dir.rstrip('/')}/{name}.parquet", spark.conf.get(SPREAD, None)
+    known = spark.__dict__.setdefault("_tessera_tables", {})
+    if (path, spread) not in known:
+        df = spark.read.parquet(path)
+        if spread and name == "lineitem":
+            df = df.repartition(int(spread), "l_orderkey", "l_linenumber")
+        known[path, spread] = df
+    return known[path, spread]
 
 
 class Tables:

@@ -116,3 +116,43 @@ def test_newest_complete_run_of_each_tenant(spark):
     assert sorted(map(tuple, rows), key=str) == sorted([(ws.CURRENT_TENANT, 1, None), ("a", 2, None), ("b c", 6, "m")], key=str)
     assert ws.read_inventories(spark, []).columns == ["tenant"]
     assert [w.name for w in ws.discover(spark, f"{base}/nothing")] == [ws.CURRENT_TENANT]
+
+
+def test_stored_schema_only_widens(spark):
+    from tessera.operators import flatten_schema as fs
+
+    batches = [['{"a": 1, "b": {"c": "x"}, "E": true}', "no json"], ['{"a": 1.5, "b": 3, "e": 2}'], ['{"a": "t", "d": [1], "b": {"c": 2}}', None]]
+    frames = [spark.createDataFrame([(x,) for x in b], "raw_json string") for b in batches]
+    found = []
+    for order in ((0, 1, 2), (2, 1, 0)):
+        stored = fs.StoredSchema(spark, tempfile.mkdtemp(prefix="tessera-schema-"))
+        seen = set()
+        for k in order:
+            leaves = stored.widen(frames[k], "raw_json")
+            assert seen <= set(leaves)
+            seen = set(leaves)
+        found.append(stored.leaves())
+        assert stored.widen(frames[0], "raw_json") == found[-1] and stored.table.version() <= 3
+    assert found[0] == found[1] == {("a",): "string", ("b",): "json", ("b", "c"): "string", ("d",): "json", ("E",): "boolean", ("e",): "bigint"}
+    out = fs.flatten_with(frames[1], found[0])
+    assert out.columns == ["raw_json", "raw_E", "raw_a", "raw_b", "raw_b_c", "raw_d", [c for c in out.columns if c.startswith("raw_e__")][0]]
+    assert tuple(out.first())[1:] == (None, "1.5", "3", None, None, 2)
+    assert fs.wider("boolean", "bigint") == "string" and fs.wider("bigint", "double") == "double" and fs.wider("date", "json") == "json"
+
+
+def test_exact_parts_in_order(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from tessera.sinks.parquet import in_ordered_parts
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-parts-"), "out")
+    df = spark.range(1003).select((F.col("id") * 7919 % 1003).alias("k"), F.lit("hot").alias("site")).repartition(5)
+    parts = in_ordered_parts(df, [F.col("site"), F.col("k")], 100)
+    parts.write.option("maxRecordsPerFile", 100).parquet(path)
+    files = [pq.read_table(f)["k"].to_pylist() for f in sorted(glob.glob(f"{path}/part-*"))]
+    files = [f for f in files if f]
+    assert [len(f) for f in files] == [100] * 10 + [3] and [k for f in files for k in f] == list(range(1003))
+    assert in_ordered_parts(df.limit(0), [F.col("k")], 100).count() == 0
