@@ -7,27 +7,32 @@ components of the links; no link between different texts is lost.
 1. Equal sets are one class (128-bit digest), whatever their number.
 2. A set of n tokens can only link with one that shares a token of its
    prefix: its first n - ceil(0.75 n) + 1 tokens in one order for all.  The
-   order puts frequent tokens last (counted over all documents), the rest by
-   hash; any order is exact, this one keeps the buckets of a token small.
-3. Classes that share a prefix token are grouped: each is compared with the
-   bucket leader that it meets most often, and those that link form stars.
-   A star is a group of similar documents, dealt into groups of at most
-   ``GROUP_SIZE``.  Members of a star are in one component already.
-4. The token-group matrix: each group's union of tokens is stored.  A class
-   that shares a bucket with a group of another component is a query on it:
-   a link with any member needs at least ceil(0.75 n) of the query's tokens
-   in the union.  Only groups that reach it are opened, and the query is then
-   compared with the members themselves.
-
-Buckets in which all classes are in one component are dropped by a sum before
-any pair is made, so a large group of near copies costs a comparison with a
-leader for each member, not all pairs.
+   order goes from rare to frequent (counted over all documents, in powers of
+   two), then by hash; any order is exact, this one keeps a token's bucket
+   small.
+3. Classes that share a prefix token are grouped by similarity, whether they
+   link or not: each goes with the bucket leader that it meets most often, and
+   the followers of a leader are dealt, by size, into groups of about
+   ``GROUP_SIZE``.
+4. The token-group matrix: a row is a prefix token of a group, with the sizes
+   of the classes that hold it.  Two groups meet in the rows of a token; the
+   number of tokens in which they meet bounds the overlap of any two of their
+   classes, so with groups of g a passage held by m similar classes makes
+   (m / g)^2 rows, not m^2.
+5. Groups are opened inside, then against the group that they share most with,
+   then against the other groups left; before each step go the pairs of groups
+   that are in one component already.  An opened group is stored as its union
+   of tokens; a class of another group must find ceil(0.75 n) of its tokens in
+   the union before it is compared with the members.  A step's links join what
+   was apart, no more.
 
 Defined results: lower-casing is A-Z only, words are runs without
 ``[\\x20\\x09-\\x0D]``; a text with fewer words than a shingle is one shingle;
 a null, empty or blank text has no shingle, links with nothing and is its own
-component; repeated rows of a doc_id are equal documents; a null doc_id never
-names a component of others; an empty table gives an empty one.
+component; repeated rows of a doc_id are one document each, and copies of each
+other; a null doc_id never names a component of others; a very long text is
+one set, held by one task at a time; an empty table gives an empty one; only
+doc_id and text are read, and ``keep_one`` keeps every column as it is.
 """
 
 from __future__ import annotations
@@ -56,10 +61,12 @@ FREQUENT = 8
 MAX_FREQUENT = 1 << 20
 #: a bucket of rare tokens with more classes makes its token frequent
 LARGE_BUCKET = 256
-#: queries of a group that one task compares
-QUERIES_A_TASK = 256
-#: how many times more groups a class may ask in each further round
-MORE = 64
+#: prefix tokens that a class shares with its group's leader, at least
+LIKE = 2
+#: groups that one task compares with a group
+PAIRS_A_TASK = 16
+#: groups of large stars hold sizes within this factor
+SIZE_BAND = 1.06
 #: bits for each wanted set in the bitmap that tasks get, and all its bits at
 #: most (8 MB)
 BITMAP, MAX_BITMAP = 16, 1 << 26
@@ -168,13 +175,24 @@ def _sketch(docs: DataFrame) -> DataFrame:
 # -- 2: buckets of prefix tokens -----------------------------------------------
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray, bins: int) -> DataFrame:
+def prefix(tokens: np.ndarray, frequent: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The first tokens of a set, from rare to frequent."""
+    p = prefix_length(len(tokens))
+    if not len(frequent):
+        return tokens[:p]
+    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+    level = np.where(frequent[at] == tokens, levels[at], 0)
+    return tokens[np.argsort(level, kind="stable")[:p]]
+
+
+def _prefixes(docs: DataFrame, frequent: np.ndarray, levels: np.ndarray, bins: int) -> DataFrame:
     """(bin, tokens, sids, sizes): the prefix tokens of a batch's distinct
-    sets that fall into a bin, packed."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    sets that fall into a bin, packed; ``levels`` are those of the frequent
+    tokens, ascending by token."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, levels))
 
     def run(batches):
-        late, seen = shared.value, set()
+        known, seen = shared.value, set()
         for b in batches:
             held, sids, sizes = [], [], []
             for tokens in _sets_of(utf8(b, "text")):
@@ -186,15 +204,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, bins: int) -> DataFrame:
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(sid)
-                p = prefix_length(len(tokens))
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, tokens), len(late) - 1)
-                    is_late = late[at] == tokens
-                    first = tokens[~is_late][:p]
-                    if len(first) < p:
-                        first = np.concatenate([first, tokens[is_late][: p - len(first)]])
-                else:
-                    first = tokens[:p]
+                first = prefix(tokens, *known)
                 held.append(first)
                 sids.append(np.full(len(first), sid, np.int64))
                 sizes.append(np.full(len(first), len(tokens), np.int32))
@@ -268,13 +278,10 @@ def _common_needed(n: Column, m: Column) -> Column:
     return F.greatest(both - behind, F.lit(1))
 
 
-def _needed_of_sizes(n: Column, lo: Column, hi: Column) -> Column:
-    """The least ``_common_needed`` of n and any size from lo to hi.  Up to n
-    it does not fall as the size grows; beyond, the two ceilings make it go up
-    and down by one while it falls by 9/28 a token, so it is lowest at one of
-    the last six sizes (PERCENT is 75)."""
-    last = [F.greatest(hi - k, lo) for k in range(6)]
-    return F.least(*(_common_needed(n, m) for m in (lo, *last)))
+def _needed_of_groups(lo: Column, hi: Column) -> Column:
+    """No more than ``_common_needed`` of any sizes from lo to hi: for sizes
+    m <= n it is over 3 (n + m) / 7 - 3 n / 4 = (12 m - 9 n) / 28."""
+    return F.greatest(F.floor((lo * 12 - hi * 9) / 28) + 1, F.lit(1))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -309,122 +316,179 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
 
-def _open(queries: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): one link of each query (sid, gid) with a member (sid, gid) of
-    its group, where there is one and the bound on the group's union lets it
-    be opened; members are connected already, so one link joins them all.  A
-    group with many queries is dealt to several tasks."""
-    parts = queries.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERIES_A_TASK).alias("parts"))
-    heads = (
-        members.join(parts, "gid").join(sets, "sid")
-        .select("gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "sid", "tokens")
-    )
-    asked = (
-        queries.join(parts, "gid").join(sets, "sid")
-        .select("gid", F.pmod(F.xxhash64("sid"), F.col("parts")).alias("part"), F.lit(1).alias("kind"), "sid", "tokens")
-    )
+class Group:
+    """A group's sets as their union of tokens, ready to be queried."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(t) for t in sets])
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        self.union, self.of = np.unique(np.concatenate(sets), return_inverse=True)
+
+    def links(self, q: np.ndarray) -> np.ndarray:
+        """The members that link with a set, if the union lets it be opened."""
+        at = np.minimum(np.searchsorted(self.union, q), len(self.union) - 1)
+        hit = at[self.union[at] == q]
+        if 100 * len(hit) < PERCENT * len(q):
+            return np.zeros(0, np.int64)  # the bound: the group stays closed
+        found = np.zeros(len(self.union), bool)
+        found[hit] = True
+        both = np.add.reduceat(found[self.of], self.starts, dtype=np.int64)
+        return np.flatnonzero(100 * both >= PERCENT * (self.sizes + len(q) - both))
+
+
+class Forest:
+    """Says of each link whether it joins two trees."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
+
+
+def _inside(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between members of a group, a spanning forest of them."""
+    rows = groups.filter("members > 1").select("sid", "gid").join(sets, "sid").select("gid", "sid", "tokens")
+    rows = rows.repartition("gid").sortWithinPartitions("gid", "sid")
+
+    def run(batches):
+        now, names, held = None, [], []
+
+        def done():
+            out = []
+            if len(held) > 1:
+                group, forest = Group(held), Forest()
+                for name, q in zip(names, held):
+                    out += [(name, names[j]) for j in group.links(q) if names[j] > name and forest.join(name, names[j])]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            for g, sid, tokens in zip(*(column(b, c).to_pylist() for c in ("gid", "sid", "tokens"))):
+                if g != now:
+                    yield done()
+                    now, names, held = g, [], []
+                names.append(sid), held.append(np.frombuffer(tokens, np.uint64))
+        yield done()
+
+    return map_batches(rows, run, "a long, b long")
+
+
+def _across(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of pairs of groups (gid, other) with
+    ``groups`` (sid, gid, label): those that join components, in the eyes of a
+    task.  The classes of ``other`` are the queries on the group ``gid``,
+    whose union is built once a task; a group with many partners is dealt to
+    several tasks."""
+    parts = pairs.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts"))
+    part = F.pmod(F.xxhash64("other"), F.col("parts")).alias("part")
+    members = groups.join(sets, "sid").select("gid", "sid", "label", "tokens")
+    heads = members.join(parts, "gid").select(
+        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "sid", "label", "tokens"
+    )
+    asked = pairs.join(parts, "gid").select(F.col("gid").alias("base"), part, F.col("other").alias("gid")).join(members, "gid").select(
+        F.col("base").alias("gid"), "part", F.lit(1).alias("kind"), "sid", "label", "tokens"
+    )
     rows = heads.unionByName(asked).repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "sid")
 
     def run(batches):
-        now, names, held, union = None, [], [], None
+        now, names, labels, held, group, forest = None, [], [], [], None, None
         for b in batches:
-            out_a, out_b = [], []
-            for g, part, kind, sid, tokens in zip(*(column(b, c).to_pylist() for c in ("gid", "part", "kind", "sid", "tokens"))):
-                if (g, part) != now:
-                    now, names, held, union = (g, part), [], [], None
+            out = []
+            for g, p, kind, sid, label, tokens in zip(*(column(b, c).to_pylist() for c in ("gid", "part", "kind", "sid", "label", "tokens"))):
+                if (g, p) != now:
+                    now, names, labels, held, group, forest = (g, p), [], [], [], None, Forest()
                 q = np.frombuffer(tokens, np.uint64)
                 if kind == 0:
-                    names.append(sid), held.append(q)
+                    names.append(sid), labels.append(label), held.append(q)
                     continue
-                if union is None:
-                    union = np.unique(np.concatenate(held))
-                at = np.minimum(np.searchsorted(union, q), len(union) - 1)
-                if 100 * int((union[at] == q).sum()) < PERCENT * len(q):
-                    continue  # the bound: the group stays closed
-                for name, member in zip(names, held):
-                    if name != sid and linked(q, member):
-                        out_a.append(sid), out_b.append(name)
-                        break  # the group's members are in one component
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+                if group is None:
+                    group = Group(held)
+                if all(forest.root(x) == forest.root(label) for x in set(labels)):
+                    continue
+                out += [(sid, names[j]) for j in group.links(q) if forest.join(label, labels[j])]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return map_batches(rows, run, "a long, b long")
 
 
-def _stars(buckets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): each class and the leader that it shares most tokens with,
-    where they link."""
+def _groups(buckets: DataFrame) -> DataFrame:
+    """(sid, n, gid, members) of every class with a bucket.  A class follows
+    the leader that it shares most prefix tokens with, if these are at least
+    ``LIKE`` and a quarter of what a link needs, else itself; the followers of a leader are a group, or where they are many
+    several, of like sizes, dealt by hash."""
+    sizes = buckets.groupBy("sid").agg(F.first("n").alias("n"))
     met = buckets.filter("sid <> leader").groupBy("sid", "leader").agg(
         F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("leader_n").alias("m")
-    ).filter(_can_link(F.col("n"), F.col("m")) & (F.col("c") >= _common_needed(F.col("n"), F.col("m"))))
-    best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x"))
-    queries = staged(best.select("sid", F.col("x.leader").alias("gid")), "leaders")
-    leaders = queries.select(F.col("gid").alias("sid"), "gid").distinct()
-    sets = staged(_sets(docs, queries.select("sid").unionByName(leaders.select("sid"))), "sets")
-    return _open(queries, leaders, sets)
-
-
-def _groups(labels: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(sid, n, gid, label, members) of every class with a bucket: a star is
-    dealt into groups of about GROUP_SIZE by the hash of the member, any other
-    class is a group of its own."""
-    stars = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP_SIZE))
-    dealt = labels.join(stars, "label").select(F.col("node").alias("sid"), F.xxhash64("label", part).alias("gid"), "label", "members")
-    return sizes.join(dealt, "sid", "left").select(
-        "sid", "n", F.coalesce("gid", "sid").alias("gid"), F.coalesce("label", "sid").alias("label"), F.coalesce("members", F.lit(1)).alias("members")
+    ).filter(_can_link(F.col("n"), F.col("m")) & (F.col("c") >= LIKE) & (F.col("c") * 4 >= _common_needed(F.col("n"), F.col("m"))))
+    best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x")).select("sid", F.col("x.leader").alias("leader"))
+    of = sizes.join(best, "sid", "left").select("sid", "n", F.coalesce("leader", "sid").alias("leader"))
+    of = staged(of, "leaders")
+    stars = of.groupBy("leader").agg(F.count(F.lit(1)).alias("star"))
+    band = F.when(F.col("star") > GROUP_SIZE, F.floor(F.log(F.col("n").cast("double")) / float(np.log(SIZE_BAND)))).otherwise(-1)
+    banded = of.join(stars, "leader").select("sid", "n", "leader", band.alias("band"))
+    counts = banded.groupBy("leader", "band").agg(F.count(F.lit(1)).alias("like"))
+    part = F.pmod(F.xxhash64("sid"), F.ceil(F.col("like") / GROUP_SIZE))
+    dealt = banded.join(counts, ["leader", "band"]).select("sid", "n", F.xxhash64("leader", "band", part).alias("gid"))
+    dealt = staged(dealt, "dealt")
+    return dealt.join(dealt.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight")), "gid")
+
+
+def _group_pairs(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """(gid, other, c): pairs of groups that may hold a link, found in the
+    token-group matrix, with the number of prefix tokens in which they meet.
+    ``gid`` is the one with more tokens."""
+    placed = buckets.select("token", "sid").join(groups.select("sid", "n", "gid", "weight"), "sid")
+    matrix = placed.groupBy("token", "gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("weight").alias("weight"))
+    mixed = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    matrix = staged(matrix.join(mixed, "token", "left_semi"), "matrix")
+    other = matrix.select("token", *(F.col(c).alias(f"o_{c}") for c in ("gid", "lo", "hi", "weight")))
+    first = (F.col("weight") > F.col("o_weight")) | (F.col("weight") == F.col("o_weight")) & (F.col("gid") > F.col("o_gid"))
+    near = (F.col("hi") * 100 >= F.col("o_lo") * PERCENT) & (F.col("o_hi") * 100 >= F.col("lo") * PERCENT)
+    met = matrix.join(other, "token").filter(first & near)
+    shared = met.groupBy("gid", F.col("o_gid").alias("other")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("o_lo").alias("o_lo"), F.max("o_hi").alias("o_hi")
     )
+    return shared.filter(F.col("c") >= _needed_of_groups(F.least("lo", "o_lo"), F.greatest("hi", "o_hi"))).select("gid", "other", "c")
 
 
-def _queries(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """(sid, gid): classes and groups of other components that may hold a
-    link of theirs.  A row of the token-group matrix is a prefix token of a
-    group, with the sizes of the group's classes that hold it; a class meets
-    the rows of its own prefix tokens, and their number bounds the overlap.
-    Of two groups the one of the smaller star asks."""
-    placed = buckets.select("token", "sid").join(groups, "sid")
-    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    placed = staged(placed.join(mixed, "token", "left_semi"), "placed")
-    matrix = placed.groupBy("token", "gid").agg(
-        F.first("label").alias("g_label"), F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi")
-    )
-    asks = placed.withColumnRenamed("gid", "own")
-    first = (F.col("members") < F.col("g_members")) | (F.col("members") == F.col("g_members")) & (F.col("own") < F.col("gid"))
-    near = (F.col("hi") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("lo") * PERCENT)
-    met = asks.join(matrix, "token").filter((F.col("label") != F.col("g_label")) & first & near)
-    shared = met.groupBy("sid", "gid").agg(
-        F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
-    # the sizes that can link
-    lo = F.greatest("lo", F.ceil(F.col("n") * PERCENT / 100))
-    hi = F.least("hi", F.floor(F.col("n") * 100 / PERCENT))
-    return shared.filter(F.col("c") >= _needed_of_sizes(F.col("n"), lo, hi)).select("sid", "gid", "c")
-
-
-def _rounds(queries: DataFrame, groups: DataFrame, stars: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, label): the components of all links; ``labels`` are those of the
-    stars.  Each class first asks the group that it shares most tokens with, then its
-    next ``MORE`` ones, and so on to its last; before each round go the
-    queries on groups that earlier rounds brought into the class's component.
-    In a crowd of near copies the first round leaves few to ask."""
-    opened = groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("sid", "gid")
-    best = Window.partitionBy("sid").orderBy(F.desc("c"), "gid")
-    reps = opened.groupBy("gid").agg(F.min("sid").alias("rep"))
-    left = staged(queries.withColumn("place", F.row_number().over(best)).join(reps, "gid"), "asks")
-    sets = staged(_sets(docs, left.select("sid").unionByName(opened.select("sid"))), "sets")
-    last = left.agg(F.max("place")).first()[0] or 0
-    links, done, upto = stars, 0, 1
-    while done < last:
-        now = left.filter((F.col("place") > done) & (F.col("place") <= upto))
-        for end in ("sid", "rep"):
-            named = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
-            now = now.join(named, end, "left").withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
-        now = staged(now.filter("sid_label <> rep_label").select("sid", "gid"), "asked")
-        found = staged(_open(now, opened, sets), "links")
-        if found.limit(1).count():
-            links = links.unionByName(found)
-            labels = components(links)
-        done, upto = upto, upto * MORE
-    return labels
+def _labelled(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` with the label of each class's component so far."""
+    return groups.join(components(links).withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs of groups that are not wholly in one component."""
+    span = groups.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    joined = pairs.join(span, "gid").join(span.select(F.col("gid").alias("other"), F.col("lo").alias("o_lo"), F.col("hi").alias("o_hi")), "other")
+    return joined.filter("not (lo = hi and o_lo = o_hi and lo = o_lo)").select("gid", "other", "c")
+
+
+def _links(buckets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links whose components are those of all links."""
+    groups = staged(_groups(buckets), "groups")
+    pairs = staged(_group_pairs(buckets, groups), "group-pairs")
+    opened = pairs.select("gid").unionByName(pairs.select(F.col("other").alias("gid"))).distinct().withColumn("asks", F.lit(True))
+    wanted = groups.join(opened, "gid", "left").filter("members > 1 or asks").select("sid")
+    sets = staged(_sets(docs, wanted), "sets")
+    links = staged(_inside(groups, sets), "links")
+    either = pairs.select(F.col("gid").alias("g"), "gid", "other", "c").unionByName(pairs.select(F.col("other").alias("g"), "gid", "other", "c"))
+    best = either.groupBy("g").agg(F.max(F.struct("c", "gid", "other")).alias("x")).select("x.*").distinct()
+    for step in (best, pairs):
+        if not pairs.limit(1).count():
+            break
+        labelled = staged(_labelled(groups, links), "labelled")
+        left = staged(_apart(step.select("gid", "other", "c"), labelled), "left")
+        if left.limit(1).count():
+            links = staged(links.unionByName(_across(left.select("gid", "other"), labelled.select("sid", "gid", "label"), sets)), "links")
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -439,23 +503,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     total = classes.agg(F.sum(length)).first()[0] or 0
     bins = max(1, int(total**0.5 / 8))
     counted = sketch.filter("often is not null").groupBy("d1").agg(F.sum("often").alias("c")).filter(F.col("c") >= FREQUENT)
-    top = counted.orderBy(F.desc("c"), "d1").limit(MAX_FREQUENT).select("d1").toPandas()["d1"].to_numpy(np.int64)
-    frequent = np.sort(top.view(np.uint64))
+    top = counted.orderBy(F.desc("c"), "d1").limit(MAX_FREQUENT).toPandas()
+    known = dict(zip(top["d1"].to_numpy(np.int64).view(np.uint64).tolist(), top["c"].tolist()))
     while True:
-        buckets = staged(_buckets(_prefixes(docs, frequent, bins)), "buckets")
-        large = buckets.filter(F.col("size") > LARGE_BUCKET).select("token").distinct()
-        room = MAX_FREQUENT - len(frequent)
-        more = large.limit(max(0, room) + len(frequent)).toPandas()["token"].to_numpy(np.int64).view(np.uint64)
-        more = np.setdiff1d(more, frequent)[: max(0, room)]
-        if not len(more):
+        frequent = np.array(sorted(known), np.uint64)
+        levels = np.array([int(known[t]).bit_length() for t in frequent.tolist()], np.uint8)
+        buckets = staged(_buckets(_prefixes(docs, frequent, levels, bins)), "buckets")
+        large = buckets.filter(F.col("size") > LARGE_BUCKET).groupBy("token").agg(F.first("size").alias("c"))
+        room = MAX_FREQUENT - len(known)
+        found = large.orderBy(F.desc("c"), "token").limit(max(0, room) + len(known)).toPandas()
+        new = [(t, c) for t, c in zip(found["token"].to_numpy(np.int64).view(np.uint64).tolist(), found["c"].tolist()) if t not in known]
+        if not new[: max(0, room)]:
             break
-        frequent = np.union1d(frequent, more)  # a better order, and once more
-    sizes = buckets.groupBy("sid").agg(F.first("n").alias("n"))
-    stars = staged(_stars(buckets, docs), "stars")
-    labels = components(stars)
-    groups = staged(_groups(labels, sizes), "groups")
-    queries = staged(_queries(buckets, groups), "group-queries")
-    labels = _rounds(queries, groups, stars, labels, docs)
+        known.update(new[: max(0, room)])  # a better order, and once more
+    labels = components(_links(buckets, docs))
     named = classes.join(labels, classes["d1"] == labels["node"], "left").select(
         "d1", "d2", "rep", F.coalesce("label", "d1").alias("label")
     )

@@ -37,6 +37,20 @@ def brute_lines(rows):
     return Counter(out)
 
 
+def brute_kept(rows):
+    """The texts of rows (doc_id, text) without their repeated lines."""
+    held = defaultdict(set)
+    for d, t in rows:
+        if d is not None:
+            for x in (t or "").split("\n"):
+                if len(key(x)) >= 10:
+                    held[key(x)].add(d)
+    return [
+        t if t is None or d is None else "\n".join(x for x in t.split("\n") if len(held.get(key(x), ())) < 2 or min(held[key(x)]) == d)
+        for d, t in rows
+    ]
+
+
 def test_lines_of_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert Counter(tuple(r) for r in line_dedup.report(odd).collect()) == brute_lines(rows)
@@ -45,6 +59,14 @@ def test_lines_of_odd_rows(odd, none):
     assert line_dedup.report(none).count() == 0
 
 
+def test_clashing_columns_of_lines(spark):
+    line = "a line of two documents"
+    df = spark.createDataFrame([(1, line, "x", 7), (2, "own\n" + line, "y", 8)], "doc_id long, text string, th string, n_lines long")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "th", "n_lines", "n_dropped"]
+    assert sorted(map(tuple, out.collect())) == [(1, line, "x", 1, 0), (2, "own", "y", 2, 1)]
+
+
 def test_hot_lines_take_the_broadcast_and_cold_ones_the_shards(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHARD_LINES", 16)
     monkeypatch.setattr(line_dedup, "HOT_SHARE", 6)
@@ -60,7 +82,7 @@ def test_minimal_perfect_hash_is_a_bijection_and_rejects_strangers():
     h1[:50] = h1[0]  # equal halves
     index = line_dedup.ShardIndex.build(h1, h2, np.full(5000, 2), np.arange(5000))
     assert sorted(index.slots(h1, h2)) == list(range(5000))
-    member, keeper = line_dedup._unpack(*line_dedup._pack(index)).keeper(h1, h2)
+    member, keeper = line_dedup._unpack(line_dedup._pack(index)).keeper(h1, h2)
     assert member.all() and (keeper == np.arange(5000)).all()
     assert not index.keeper(*rnd.integers(-(2**62), 2**62, (2, 5000)))[0].any()
 
@@ -111,33 +133,50 @@ def near_copies(seed, groups=12, noise=30):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_components_equal_brute_force(spark, monkeypatch, seed):
+def crowd(seed, size=60):
+    """Near copies of one text, most pairs close to the threshold: few link."""
+    rnd = random.Random(seed)
+    base = ["w%d" % k for k in range(120)]
+    rows = []
+    for k in range(size):
+        text = list(base)
+        for at in rnd.sample(range(120), rnd.choice([3, 4, 5])):
+            text[at] = f"own{k}.{at}"
+        rows.append(" ".join(text))
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("rows", [near_copies(1), near_copies(2), crowd(4)])
+def test_components_equal_brute_force(spark, monkeypatch, rows):
     monkeypatch.setattr(ngram_join, "GROUP_SIZE", 4)
     monkeypatch.setattr(ngram_join, "LARGE_BUCKET", 8)
-    monkeypatch.setattr(ngram_join, "QUERIES_A_TASK", 3)
-    rows = near_copies(seed)
+    monkeypatch.setattr(ngram_join, "PAIRS_A_TASK", 3)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()}
     assert got == brute_components(rows)
 
 
-def test_the_bound_of_a_group_is_the_least_of_its_sizes(spark):
+def test_the_bound_of_groups_is_no_more_than_any_sizes_need(spark):
     def needed(n, m):
         return max(-(-(n + m) * 75 // 175) - -(-max(n, m) * 75 // 100) + 1, 1)
 
-    want = {}
-    for n in range(1, 121):
-        sizes = range(-(-n * 75 // 100), n * 100 // 75 + 1)
-        for lo in sizes:
-            least = needed(n, lo)
-            for hi in range(lo, sizes[-1] + 1):
-                least = min(least, needed(n, hi))
-                want[n, lo, hi] = least
-    assert [needed(37, m) for m in (45, 47, 48)] == [3, 1, 2] and want[37, 45, 48] == 1  # not the least of the ends
-    df = spark.createDataFrame(list(want), "n long, lo long, hi long")
-    got = df.select("n", "lo", "hi", ngram_join._needed_of_sizes(df["n"], df["lo"], df["hi"]).alias("x")).collect()
-    assert {(r.n, r.lo, r.hi): r.x for r in got} == want
+    df = spark.createDataFrame([(lo, hi) for lo in range(1, 150) for hi in range(lo, 150)], "lo long, hi long")
+    bound = {(r.lo, r.hi): r.x for r in df.select("lo", "hi", ngram_join._needed_of_groups(df["lo"], df["hi"]).alias("x")).collect()}
+    assert 10 <= bound[100, 100] <= needed(100, 100) and bound[100, 104] >= 9
+    for n in range(1, 150):
+        for m in range(n, min(149, n * 100 // 75) + 1):
+            for lo in range(max(1, n - 3), n + 1):
+                assert bound[lo, m] <= needed(n, m)
+
+
+def test_group_queries_find_the_links_and_forests_join_once():
+    rnd = np.random.default_rng(3)
+    sets = [np.unique(rnd.integers(0, 60, rnd.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
+    group = ngram_join.Group(sets[:20])
+    for q in sets:
+        assert group.links(q).tolist() == [j for j in range(20) if ngram_join.linked(q, sets[j])]
+    forest = ngram_join.Forest()
+    assert [forest.join(*e) for e in ((1, 2), (3, 4), (2, 1), (4, 1), (3, 2))] == [True, True, False, True, False]
 
 
 def test_components_of_odd_rows(odd, none):
@@ -188,18 +227,19 @@ def brute_hits(docs, items):
             for k in range(len(w) - len(win) + 1):
                 if tuple(w[k : k + len(win)]) == win:
                     hit.update(range(k, k + len(win)))
-                    found.add(item)
+                    found |= {item} - {"None"}
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return Counter(out)
 
 
-@pytest.mark.parametrize("max_windows", [1_000_000, 60])
-def test_hits_equal_brute_force(spark, max_windows):
+@pytest.mark.parametrize("max_windows, piece", [(1_000_000, 50_000), (60, 2)])
+def test_hits_equal_brute_force(spark, monkeypatch, max_windows, piece):
+    monkeypatch.setattr(decontam, "PIECE", piece)
     rnd = random.Random(3)
     vocab = "alpha Beta γάμμα d3 e f".split()
-    items = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 14)))) for i in range(12)] + [(99, None), (7, "alpha beta")]
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 14)))) for i in range(12)] + [(99, None), (7, "alpha beta"), (None, "of no id f e")]
     docs = [(d, "-".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 60))) + (items[d % 12][1] or "")) for d in range(40)]
-    docs += [(1, None), (2, ""), (3, "alpha, BETA!"), (3, "alpha, BETA!")]
+    docs += [(1, None), (2, ""), (3, "alpha, BETA!"), (3, "alpha, BETA!"), (41, "one of no id f e."), (None, "alpha beta")]
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert Counter(tuple(r) for r in decontam.report(df, bench, max_windows=max_windows).collect()) == brute_hits(docs, items)
 
