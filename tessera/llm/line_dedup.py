@@ -4,10 +4,10 @@ A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z
 lower-cased.  A key of at least ``min_chars`` characters found in two or more
 documents stays only in the smallest doc_id that holds it.
 
-1. Each line becomes 128 bits of hash; one aggregation (partial sums before
-   the shuffle, so a line in every document costs one row a task) gives each
-   distinct hash its number of lines, smallest and largest document.  Hashes
-   of one document only need no entry: no document loses them.
+1. Each line becomes 128 bits of hash, written once; one aggregation (partial
+   sums before the shuffle, so a line in every document costs one row a task)
+   gives each distinct hash its number of lines, smallest and largest document.
+   Hashes of one document only need no entry: no document loses them.
 2. The hashes are dealt to shards by value, as many as give each shard about
    ``SHARD_LINES`` lines.  In each shard a minimal perfect hash (levels of bit
    arrays; a key rests in the first level where no other key falls on its bit,
@@ -26,19 +26,22 @@ line's probes.
 Defined results: a null or empty text is one empty line; lines shorter than
 ``min_chars`` are never dropped; equal doc_ids are one document when counting
 and every row of a text gets the same lines dropped; rows with a null doc_id
-are returned unchanged; an empty table gives an empty one; extra columns ride
-along.
+are returned unchanged; a very long text is split whole, one text at a time;
+an empty table gives an empty one; extra columns ride along, but for those
+named ``n_lines`` or ``n_dropped``, which are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import SPACE, ascii_lower, column, map_batches, map_columns, mix64, staged
+from tessera.llm.common import SPACE, column, map_batches, map_columns, mix64, staged, utf8
 
 MIN_CHARS = 10
 SHARD_LINES = 16_384
@@ -109,35 +112,62 @@ class ShardIndex:
         return out
 
 
-_ARRAYS = "sizes binary, bits binary, fingerprints binary, counts binary, keepers binary"
-
+def _pack(x: ShardIndex) -> bytes:
+    """The index as one value: five lengths, then its arrays."""
+    arrays = [np.array(x.sizes, np.int64), np.packbits(x.bits), x.fingerprints, x.counts, x.keepers]
+    parts = [a.tobytes() for a in arrays]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
 
-def _pack(x: ShardIndex) -> list[bytes]:
-    sizes = np.array(x.sizes, np.int64).tobytes()
-    return [sizes, np.packbits(x.bits).tobytes(), x.fingerprints.tobytes(), x.counts.tobytes(), x.keepers.tobytes()]
 
-
-def _unpack(sizes: bytes, bits: bytes, fingerprints: bytes, counts: bytes, keepers: bytes) -> ShardIndex:
+def _unpack(packed: bytes) -> ShardIndex:
+    lengths = np.frombuffer(packed, np.int64, 5)
+    edges = 40 + np.concatenate(([0], np.cumsum(lengths)))
+    sizes, bits, *arrays = (packed[a:b] for a, b in zip(edges, edges[1:]))
     n = np.frombuffer(sizes, np.int64)
     flat = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(n.sum())).astype(bool)
-    as_ = np.frombuffer
-    return ShardIndex(n.tolist(), flat, as_(fingerprints, np.int64), as_(counts, np.uint32), as_(keepers, np.int64))
+    fingerprints, counts, keepers = (np.frombuffer(a, t) for a, t in zip(arrays, (np.int64, np.uint32, np.int64)))
+    return ShardIndex(n.tolist(), flat, fingerprints, counts, keepers)
 
 
 # -- the Spark jobs ------------------------------------------------------------
 
 
+_STRIP = SPACE.encode()
+_CONTINUED = bytes(range(0x80, 0xC0))
+
+
+def line_keys(text: bytes | None, min_chars: int) -> tuple[list[int], list[bytes]]:
+    """Numbers and keys of the lines that count."""
+    numbers, keys = [], []
+    for k, line in enumerate((text or b"").split(b"\n")):
+        key = line.strip(_STRIP).lower()  # of bytes: A-Z alone
+        if len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.translate(None, _CONTINUED)) >= min_chars):
+            numbers.append(k), keys.append(key)
+    return numbers, keys
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, text hash, line number and key hash of every line that counts."""
-    text = F.coalesce("text", F.lit(""))
-    key = F.btrim(ascii_lower(F.col("line")), F.lit(SPACE))
-    return (
-        docs.filter(F.col("doc_id").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-        .withColumn("key", key)
-        .filter(F.char_length("key") >= min_chars)
-        .select("doc_id", "th", "line_no", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
-    )
+
+    def run(batches):
+        for b in batches:
+            owners, numbers, digests = [], [], []
+            for row, text in enumerate(utf8(b, "text")):
+                at, keys = line_keys(text, min_chars)
+                owners.append(np.full(len(at), row)), numbers.extend(at)
+                digests.extend(hashlib.blake2b(k, digest_size=16).digest() for k in keys)
+            of = pa.array(np.concatenate(owners) if owners else np.zeros(0, np.int64))
+            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [column(b, "doc_id").take(of), column(b, "th").take(of), pa.array(numbers, pa.int32()),
+                 pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1]))],
+                ["doc_id", "th", "line_no", "h1", "h2"],
+            )
+
+    rows = docs.filter("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text"
+    )
+    return map_batches(rows, run, "doc_id long, th long, line_no int, h1 long, h2 long")
 
 
 def _build_shards(members: DataFrame) -> DataFrame:
@@ -148,10 +178,8 @@ def _build_shards(members: DataFrame) -> DataFrame:
             if shard is None:
                 return
             x = [np.concatenate([h[k] for h in held]) for k in range(4)]
-            packed = _pack(ShardIndex.build(*x))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int64()), *(pa.array([p], pa.binary()) for p in packed)],
-                ["shard", "sizes", "bits", "fingerprints", "counts", "keepers"],
+                [pa.array([shard], pa.int64()), pa.array([_pack(ShardIndex.build(*x))], pa.binary())], ["shard", "index"]
             )
 
         for b in batches:
@@ -167,19 +195,16 @@ def _build_shards(members: DataFrame) -> DataFrame:
         yield from done()
 
     rows = members.repartition("shard").sortWithinPartitions("shard")
-    return map_batches(rows, build, "shard long, " + _ARRAYS)
+    return map_batches(rows, build, "shard long, index binary")
 
 
 def _probe(lines: DataFrame, shards: DataFrame) -> DataFrame:
     """doc_id, th, line_no of the lines that their document loses."""
-    arrays = ["sizes", "bits", "fingerprints", "counts", "keepers"]
-    probes = lines.select("shard", F.lit(1).alias("kind"), "doc_id", "th", "line_no", "h1", "h2", *(F.lit(None).cast("binary").alias(a) for a in arrays))
+    probes = lines.select("shard", "doc_id", "th", "line_no", "h1", "h2", F.lit(None).cast("binary").alias("index"))
     none = F.lit(None).cast("long")
-    heads = shards.select(
-        "shard", F.lit(0).alias("kind"), none.alias("doc_id"), none.alias("th"), F.lit(None).cast("int").alias("line_no"),
-        none.alias("h1"), none.alias("h2"), *arrays,
-    )
-    rows = heads.unionByName(probes).repartition("shard").sortWithinPartitions("shard", "kind")
+    # a line number below all others puts a shard's arrays before its probes
+    heads = shards.select("shard", none.alias("doc_id"), none.alias("th"), F.lit(-1).alias("line_no"), none.alias("h1"), none.alias("h2"), "index")
+    rows = heads.unionByName(probes).repartition("shard").sortWithinPartitions("shard", "line_no")
 
     def probe(batches):
         shard, index = None, None
@@ -192,8 +217,8 @@ def _probe(lines: DataFrame, shards: DataFrame) -> DataFrame:
                 part = b.slice(lo, hi - lo)
                 if of[lo] != shard:
                     shard, index = of[lo], None
-                if column(part, "kind")[0].as_py() == 0:
-                    index = _unpack(*(column(part, a)[0].as_py() for a in arrays))
+                if column(part, "line_no")[0].as_py() < 0:
+                    index = _unpack(column(part, "index")[0].as_py())
                     part = part.slice(1)
                 if index is None or not part.num_rows:
                     continue  # a shard without repeated lines
@@ -209,7 +234,7 @@ def _probe(lines: DataFrame, shards: DataFrame) -> DataFrame:
 
 def find_dropped(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, th (hash of the text) and line_no of every line to drop."""
-    lines = _lines(docs, min_chars)
+    lines = staged(_lines(docs, min_chars), "lines")
     found = staged(
         lines.groupBy("h1", "h2").agg(
             F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("__last")
