@@ -11,7 +11,8 @@ components of the links; no link between different texts is lost.
    two), then by hash; any order is exact, this one keeps a token's bucket
    small.
 3. Classes that share a prefix token are grouped by similarity, whether they
-   link or not: each goes with the bucket leader that it meets most often, and
+   link or not: each goes with the bucket leader of about its size that it
+   meets most often, and
    the followers of a leader are dealt, by size, into groups of about
    ``GROUP_SIZE``.
 4. The token-group matrix: a row is a prefix token of a group, with the sizes
@@ -61,8 +62,8 @@ FREQUENT = 8
 MAX_FREQUENT = 1 << 20
 #: a bucket of rare tokens with more classes makes its token frequent
 LARGE_BUCKET = 256
-#: prefix tokens that a class shares with its group's leader, at least
-LIKE = 2
+#: sets follow a leader of a size within this factor
+LEADER_BAND = 1.15
 #: groups that one task compares with a group
 PAIRS_A_TASK = 16
 #: groups of large stars hold sizes within this factor
@@ -230,7 +231,8 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, levels: np.ndarray, bins: i
 
 def _buckets(packed: DataFrame) -> DataFrame:
     """(token, sid, n, leader, leader_n, size) of the tokens that two or more
-    sets share; the leader is the bucket's smallest sid."""
+    sets share; the leader is the smallest sid of the bucket's sets of about
+    the same size."""
     names = ["token", "sid", "n", "leader", "leader_n", "size"]
 
     def run(batches):
@@ -240,13 +242,16 @@ def _buckets(packed: DataFrame) -> DataFrame:
             if not held:
                 return
             t, s, n = (np.concatenate([np.frombuffer(h[k], kind) for h in held]) for k, kind in enumerate((np.int64, np.int64, np.int32)))
-            order = np.lexsort((s, t))
-            t, s, n = t[order], s[order], n[order]
+            band = np.floor(np.log(n) / np.log(LEADER_BAND)).astype(np.int64)
+            order = np.lexsort((s, band, t))
+            t, s, n, band = t[order], s[order], n[order], band[order]
             new = np.concatenate(([True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
-            t, s, n = t[new], s[new], n[new].astype(np.int64)
+            t, s, n, band = t[new], s[new], n[new].astype(np.int64), band[new]
             start = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
             size = np.diff(np.concatenate((start, [len(t)])))
-            each, first = np.repeat(size, size), np.repeat(start, size)
+            each = np.repeat(size, size)
+            led = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (band[1:] != band[:-1]))))
+            first = np.repeat(led, np.diff(np.concatenate((led, [len(t)]))))
             keep = each > 1
             yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (t, s, n, s[first], n[first], each)], names)
 
@@ -356,7 +361,7 @@ class Forest:
 
 def _inside(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links between members of a group, a spanning forest of them."""
-    rows = groups.filter("members > 1").select("sid", "gid").join(sets, "sid").select("gid", "sid", "tokens")
+    rows = groups.select("sid", "gid").join(sets, "sid").select("gid", "sid", "tokens")
     rows = rows.repartition("gid").sortWithinPartitions("gid", "sid")
 
     def run(batches):
@@ -421,13 +426,13 @@ def _across(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _groups(buckets: DataFrame) -> DataFrame:
     """(sid, n, gid, members) of every class with a bucket.  A class follows
-    the leader that it shares most prefix tokens with, if these are at least
-    ``LIKE`` and a quarter of what a link needs, else itself; the followers of a leader are a group, or where they are many
+    the leader of a size that can link that it shares most prefix tokens with,
+    else itself; the followers of a leader are a group, or where they are many
     several, of like sizes, dealt by hash."""
     sizes = buckets.groupBy("sid").agg(F.first("n").alias("n"))
     met = buckets.filter("sid <> leader").groupBy("sid", "leader").agg(
         F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("leader_n").alias("m")
-    ).filter(_can_link(F.col("n"), F.col("m")) & (F.col("c") >= LIKE) & (F.col("c") * 4 >= _common_needed(F.col("n"), F.col("m"))))
+    ).filter(_can_link(F.col("n"), F.col("m")))
     best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x")).select("sid", F.col("x.leader").alias("leader"))
     of = sizes.join(best, "sid", "left").select("sid", "n", F.coalesce("leader", "sid").alias("leader"))
     of = staged(of, "leaders")
@@ -441,14 +446,28 @@ def _groups(buckets: DataFrame) -> DataFrame:
     return dealt.join(dealt.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight")), "gid")
 
 
-def _group_pairs(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+def _matrix(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """The token-group matrix: a row for each prefix token of a group, with
+    the number and sizes of the classes that hold it."""
+    placed = buckets.select("token", "sid").join(groups.select("sid", "n", "gid", "weight"), "sid")
+    return placed.groupBy("token", "gid").agg(
+        F.count(F.lit(1)).alias("held"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("weight").alias("weight")
+    )
+
+
+def _own_pairs(matrix: DataFrame) -> DataFrame:
+    """(gid): groups that may hold a link inside: the prefix tokens that two
+    or more of their classes hold reach what a link needs."""
+    shared = matrix.filter("held > 1").groupBy("gid").agg(F.count(F.lit(1)).alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return shared.filter(F.col("c") >= _needed_of_groups(F.col("lo"), F.col("hi"))).select("gid")
+
+
+def _group_pairs(matrix: DataFrame) -> DataFrame:
     """(gid, other, c): pairs of groups that may hold a link, found in the
     token-group matrix, with the number of prefix tokens in which they meet.
     ``gid`` is the one with more tokens."""
-    placed = buckets.select("token", "sid").join(groups.select("sid", "n", "gid", "weight"), "sid")
-    matrix = placed.groupBy("token", "gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("weight").alias("weight"))
     mixed = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    matrix = staged(matrix.join(mixed, "token", "left_semi"), "matrix")
+    matrix = staged(matrix.join(mixed, "token", "left_semi"), "mixed")
     other = matrix.select("token", *(F.col(c).alias(f"o_{c}") for c in ("gid", "lo", "hi", "weight")))
     first = (F.col("weight") > F.col("o_weight")) | (F.col("weight") == F.col("o_weight")) & (F.col("gid") > F.col("o_gid"))
     near = (F.col("hi") * 100 >= F.col("o_lo") * PERCENT) & (F.col("o_hi") * 100 >= F.col("lo") * PERCENT)
@@ -474,11 +493,11 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def _links(buckets: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): links whose components are those of all links."""
     groups = staged(_groups(buckets), "groups")
-    pairs = staged(_group_pairs(buckets, groups), "group-pairs")
-    opened = pairs.select("gid").unionByName(pairs.select(F.col("other").alias("gid"))).distinct().withColumn("asks", F.lit(True))
-    wanted = groups.join(opened, "gid", "left").filter("members > 1 or asks").select("sid")
-    sets = staged(_sets(docs, wanted), "sets")
-    links = staged(_inside(groups, sets), "links")
+    matrix = staged(_matrix(buckets, groups), "matrix")
+    own, pairs = staged(_own_pairs(matrix), "own"), staged(_group_pairs(matrix), "group-pairs")
+    opened = own.unionByName(pairs.select("gid")).unionByName(pairs.select(F.col("other").alias("gid"))).distinct()
+    sets = staged(_sets(docs, groups.join(opened, "gid", "left_semi").select("sid")), "sets")
+    links = staged(_inside(groups.join(own, "gid", "left_semi"), sets), "links")
     either = pairs.select(F.col("gid").alias("g"), "gid", "other", "c").unionByName(pairs.select(F.col("other").alias("g"), "gid", "other", "c"))
     best = either.groupBy("g").agg(F.max(F.struct("c", "gid", "other")).alias("x")).select("x.*").distinct()
     for step in (best, pairs):
