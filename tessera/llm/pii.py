@@ -9,13 +9,20 @@ Each detected value is replaced by a surrogate drawn from a keyed hash of its
 kind and normal form, so the same value gets the same surrogate everywhere
 and nobody without the key can go back.  The surrogate keeps the type and the
 looks: letters stay letters of their script and case, digits digits, marks
-where they are, those before an address too; cards keep their issuer digit and a valid check digit, phones
+where they are, those before an address too; cards keep their issuer digit and
+a valid check digit, IBANs their country, the kinds of their characters and
+valid check digits (not the rules inside a country's account number), phones
 their country code, keys their prefix; e-mail domains end in ``.example`` and
 addresses lie in 10.0.0.0/8, which nobody owns.  A given name is replaced by
 one of the gender that the title tells and of its script, an initial by the
 first letter of such a name, and a family name, the last word with its
 particles, by one of its script.
 
+Later mentions: where a text has a name after a title, its family name gets
+the same surrogate wherever else the text has it as a word, and so do given
+names of the text before it ("Dr. Anna Keller came. Keller spoke; Anna Keller
+left.").  A given name alone stays, as any word may be one.
+
 Collision check: over all distinct values, two values of a kind with one
 surrogate, or a surrogate that is itself a value of the corpus, are found by
 aggregation and join; all but the smallest value draw again until none is
@@ -23,8 +30,10 @@ left.  Values that drew again are the exceptions that documents look up; all
 others are computed in place.
 
 Defined results: null texts stay null, empty ones empty; texts without a
-detected value stay byte for byte; repeated rows get equal results; extra
-columns ride along.
+detected value stay byte for byte; repeated rows get equal results; a very
+long text is read whole, in the task of its row; an empty table gives an empty
+one; extra columns ride along, but for those named ``n_entities`` or ``kinds``,
+which are replaced.
 """
 
 from __future__ import annotations
@@ -130,10 +139,19 @@ def _pieces(entity: Column, before: Column) -> Column:
     )
 
 
+#: The country codes of the numbering plan, as one pattern.
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
+
 def _norm(kind: Column, value: Column) -> Column:
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    # what follows the country code, or the 1 before an area code
+    national = F.when(value.startswith("+"), F.regexp_extract(digits, f"^{_COUNTRY}(.+)$", 1)).otherwise(
+        F.when(F.length(digits) == 11, F.substring(digits, 2, 10)).otherwise(digits)
+    )
     return (
-        F.when(kind == "phone", F.regexp_extract(F.regexp_replace(value, "[^0-9]", ""), "([0-9]{1,10})$", 1))
-        .when(kind.isin("card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
+        F.when(kind == "phone", national)
+        .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
         .when(kind == "email", F.lower(value))
         .when(kind.startswith("name"), F.regexp_replace(F.lower(value), "[.]$", ""))
@@ -190,6 +208,19 @@ def _card(norm: Column, seed: Column) -> Column:
     return F.concat(drawn, check.cast("string"))
 
 
+def _iban(norm: Column, seed: Column) -> Column:
+    """Country and drawn account characters under valid check digits: the
+    account, the country and 00, letters as 10 to 35, modulo 97."""
+    account = F.substr(_alike(norm, seed, F.expr("4")), F.lit(5))
+    country = F.substring(norm, 1, 2)
+
+    def step(acc, c):
+        return F.when(c.rlike("[0-9]"), (acc * 10 + c.try_cast("int")) % 97).otherwise((acc * 100 + F.ascii(c) - 55) % 97)
+
+    rest = F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), lambda acc, c: F.coalesce(step(acc, c), acc))
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
+
+
 def _name(kind: Column, norm: Column, seed: Column, attempt: Column) -> Column:
     script = F.when(norm.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
     out = F.lit(None).cast("string")
@@ -219,7 +250,7 @@ def _canonical(kind: Column, norm: Column, attempt: Column, seed: Column) -> Col
         .when(kind == "ip", octets)
         .when(kind == "card", _card(norm, seed))
         .when(kind == "phone", _alike(norm, seed))
-        .when(kind == "iban", _alike(norm, seed, F.expr("2")))
+        .when(kind == "iban", _iban(norm, seed))
         .when(kind == "cloud_key", _alike(norm, seed, F.expr("4")))
         .when(kind.startswith("name"), _name(kind, norm, seed, attempt))
         .otherwise(_alike(norm, seed))
@@ -228,7 +259,7 @@ def _canonical(kind: Column, norm: Column, attempt: Column, seed: Column) -> Col
 
 def _poured(kind: Column, value: Column, canonical: Column) -> Column:
     """A canonical surrogate in the format of the value found; the digits of a
-    phone number before the last ten, its country code, stay."""
+    phone number before its national part, its country code, stay."""
     before = F.length(F.regexp_replace(value, "[^A-Za-z0-9]", "")) - F.length(canonical)
 
     def at(c, i):
@@ -284,12 +315,9 @@ def collisions(values: DataFrame, key: str) -> DataFrame:
 
 
 def attempts(found: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, norm, attempt) of the distinct values, free of collisions."""
-    values = (
-        found.select(F.explode("__parts").alias("p"))
-        .select(F.col("p.kind").alias("kind"), F.col("p.norm").alias("norm"))
-        .distinct().withColumn("attempt", F.lit(0))
-    )
+    """(kind, norm, attempt) of the distinct values (kind, norm), free of
+    collisions."""
+    values = found.select("kind", "norm").distinct().withColumn("attempt", F.lit(0))
     while True:
         values = staged(values, "pii-values")
         again = staged(collisions(values, key), "pii-again")
@@ -300,19 +328,46 @@ def attempts(found: DataFrame, key: str = KEY) -> DataFrame:
         )
 
 
+_WORD_START, _WORD_END = r"(?<![\p{L}\p{M}\p{N}_'’-])", r"(?![\p{L}\p{M}\p{N}_]|[-’']\p{L}{2})"
+
+
+def _mentions(text: Column) -> Column:
+    """``text``, already with surrogates, where later mentions of the names in
+    __parts get theirs: given names before a family name of the text, then the
+    family names.  No surrogate is a value of the corpus, so none is replaced."""
+    names = F.filter("__parts", lambda p: p["kind"].startswith("name") & (F.length(p["value"]) > 2))
+    told = F.array_distinct(F.transform(names, lambda p: F.struct(
+        (p["kind"] == "name_s").alias("family"), F.regexp_extract(p["value"], rf"({_WORD})$", 1).alias("word"), p["poured"].alias("new")
+    )))
+    told = F.filter(told, lambda n: F.length(n["word"]) > 1)
+    particles = f"(?:(?:{_PARTICLES}) )*+"
+    words = lambda family: F.array_join(F.array_distinct(F.transform(F.filter(told, lambda n: n["family"] == family), lambda n: n["word"])), "|")
+    behind = F.concat(F.lit(r"(?= (?:(?:"), F.when(words(False) == "", F.lit("(?!)")).otherwise(words(False)), F.lit(rf"|{_INITIAL}) )*+{particles}(?:"), words(True), F.lit(f"){_WORD_END})"))
+    rules = F.transform(told, lambda n: F.struct(
+        (~n["family"]).alias("given"),
+        F.concat(F.lit(_WORD_START), F.when(n["family"], F.lit(particles)).otherwise(F.lit("")), n["word"], F.lit(_WORD_END), F.when(n["family"], F.lit("")).otherwise(behind)).alias("p"),
+        n["new"].alias("new"),
+    ))
+    first = F.concat(F.filter(rules, lambda r: r["given"]), F.filter(rules, lambda r: ~r["given"]))
+    replaced = F.aggregate(first, text, lambda acc, r: F.regexp_replace(acc, r["p"], r["new"]))
+    return F.when(F.size(told) > 0, replaced).otherwise(text)
+
+
 def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with ``text`` pseudonymised, and n_entities and kinds (sorted
     distinct kinds found)."""
-    found = _found(docs.select("text"))
-    values = attempts(found.filter("__parts is not null"), key)
-    redrawn = values.filter("attempt > 0")
-    # exceptions of each text that has any: kind and normal form to attempt
     text_key = [F.xxhash64("text").alias("__t1"), F.xxhash64(F.lit(1), "text").alias("__t2")]
-    uses = (
+    # the values of each text, read once for the collision check and its exceptions
+    found = staged(
         _found(docs.select("text")).filter("__parts is not null")
         .select(*text_key, F.explode("__parts").alias("p"))
-        .select("__t1", "__t2", F.col("p.kind").alias("kind"), F.col("p.norm").alias("norm"))
-        .distinct().join(redrawn, ["kind", "norm"])
+        .select("__t1", "__t2", F.col("p.kind").alias("kind"), F.col("p.norm").alias("norm")).distinct(),
+        "pii-found",
+    )
+    redrawn = attempts(found, key).filter("attempt > 0")
+    # exceptions of each text that has any: kind and normal form to attempt
+    uses = (
+        found.join(redrawn, ["kind", "norm"])
         .groupBy("__t1", "__t2")
         .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), "attempt"))).alias("__again"))
     )
@@ -324,16 +379,19 @@ def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         again = F.try_element_at("__again", F.concat_ws("\x1f", p["kind"], p["norm"]))
         return F.coalesce(again, F.lit(0))
 
+    # step by step, so that no expression is written out more than once
     steps = {
         "attempt": attempt,
         "seed": lambda p: _seed(p["kind"], p["norm"], p["attempt"], key),
         "canonical": lambda p: _canonical(p["kind"], p["norm"], p["attempt"], p["seed"]),
-        "new": lambda p: F.concat(p["lit"], _poured(p["kind"], p["value"], p["canonical"])),
+        "poured": lambda p: _poured(p["kind"], p["value"], p["canonical"]),
+        "new": lambda p: F.concat(p["lit"], p["poured"]),
     }
     out = _found(joined)
     for name, step in steps.items():
         out = out.withColumn("__parts", _with("__parts", name, step))
     new = F.concat(F.array_join(F.transform("__parts", lambda p: p["new"]), ""), F.col("__tail"))
+    new = _mentions(new)
     kinds = F.array_sort(F.array_distinct(F.transform("__parts", lambda p: p["kind"])))
     names = [c for c in docs.columns if c not in ("n_entities", "kinds")]
     return (
