@@ -8,20 +8,25 @@ document task maps its words to the benchmark's vocabulary, hashes each run
 of known words, looks the hash up and then verifies the words themselves, so
 a hash collision is never a hit.
 
-Size of what is broadcast: a set never holds more than ``MAX_WINDOWS``
-windows.  A larger benchmark is dealt into several sets by item, each
-applied in a pass of its own, and the passes' hits are united per document.
+Size of what is broadcast: a long item is cut into overlapping pieces of at
+most ``PIECE`` windows, and the pieces are dealt by hash into as many sets as
+give each half of ``MAX_WINDOWS``.  Each set is collected, broadcast and
+applied in a pass of its own before the next one is collected, and the passes'
+hits are united per document.
 
 Defined results: a null or empty text has no words, no hit and no item;
-a null benchmark text has no window; repeated items each count under their
-own id; repeated documents are each scanned; an empty benchmark hits
-nothing; extra columns ride along in ``remove``.
+a null benchmark text has no window; the windows of an item with a null
+item_id are hit like any other, but it is no item of the result; repeated
+items each count under their own id; repeated documents are each scanned, and
+very long ones whole; an empty benchmark hits nothing; extra columns ride
+along in ``remove``, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +40,8 @@ NGRAM = 10
 #: windows in one broadcast set: 8 bytes of hash, 4 bytes a word and the
 #: vocabulary, well under 150 MB
 MAX_WINDOWS = 1_000_000
+#: windows of one item that go into a set together
+PIECE = 50_000
 
 _SEP = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -47,7 +54,7 @@ def words(text: bytes | None) -> list[bytes]:
 class WindowSet:
     """The windows of some benchmark items, ready to scan documents with."""
 
-    def __init__(self, items: list[tuple[str, bytes | None]], ngram: int = NGRAM):
+    def __init__(self, items: list[tuple[str | None, bytes | None]], ngram: int = NGRAM):
         vocab: dict[bytes, int] = {}
         found: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
         for item, text in items:
@@ -61,7 +68,7 @@ class WindowSet:
             grams = np.array(list(windows), dtype=np.int32).reshape(len(windows), size)
             hashes = self._hash(grams.T)
             order = np.argsort(hashes, kind="stable")
-            owners = [sorted(x) for x in windows.values()]
+            owners = [sorted(i for i in x if i is not None) for x in windows.values()]
             self.by_size.append((size, hashes[order], grams[order], [owners[i] for i in order]))
 
     @staticmethod
@@ -107,18 +114,36 @@ def _mark(n: int, spans) -> np.ndarray:
     return np.cumsum(marks[:n]) > 0
 
 
-def window_sets(benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> list[WindowSet]:
-    """The benchmark's windows in sets of at most ``max_windows`` windows (one
-    item with more than that makes a set of its own)."""
-    rough = F.length("text")  # an upper bound of an item's windows
-    total = benchmark.agg(F.sum(rough)).first()[0] or 0
-    passes = max(1, -(-total // max_windows))
+def _pieces(benchmark: DataFrame, ngram: int) -> DataFrame:
+    """item and text, items of many words cut into pieces whose windows are
+    together those of the item."""
+
+    def run(batches):
+        for b in batches:
+            items, texts = [], []
+            for item, text in zip(column(b, "item").to_pylist(), column(b, "text").to_pylist()):
+                w = words(text)
+                for at in range(0, max(1, len(w) - ngram + 1), PIECE):
+                    items.append(item), texts.append(b" ".join(w[at : at + PIECE + ngram - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.binary())], ["item", "text"])
+
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
-    out = []
-    for k in range(passes):
-        part = rows if passes == 1 else rows.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == k)
-        out.append(WindowSet([(r["item"], r["text"]) for r in part.collect() if r["item"] is not None], ngram))
-    return out
+    return map_batches(rows, run, "item string, text binary")
+
+
+def window_sets(benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> tuple[int, Iterator[WindowSet]]:
+    """The number of sets that the benchmark's windows are dealt into, and the
+    sets, each collected when it is asked for."""
+    pieces = _pieces(benchmark, ngram)
+    total = pieces.agg(F.sum(F.length("text"))).first()[0] or 0  # over twice the number of windows
+    passes = max(1, -(-total // max_windows))
+
+    def sets():
+        for k in range(passes):
+            part = pieces if passes == 1 else pieces.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)
+            yield WindowSet([(r["item"], r["text"]) for r in part.collect()], ngram)
+
+    return passes, sets()
 
 
 _HITS = [
@@ -146,10 +171,10 @@ def _scan(docs: DataFrame, windows: WindowSet, text_col: str) -> DataFrame:
 def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """One row per document row: doc_id, n_words, hit_spans (start word and
     number of words of every window found) and hit_items."""
-    sets = window_sets(benchmark, ngram, max_windows)
+    passes, sets = window_sets(benchmark, ngram, max_windows)
     rows = docs.select("doc_id", "text")
-    if len(sets) == 1:
-        return _scan(rows, sets[0], "text").drop("text")
+    if passes == 1:
+        return _scan(rows, next(sets), "text").drop("text")
     # one pass per set; a document row is known by its id and text
     key = ["doc_id", "__h1", "__h2", "n_words"]
     parts = [
@@ -207,7 +232,10 @@ def remove(
     if how not in ("documents", "spans"):
         raise ValueError(f"how must be 'documents' or 'spans', not {how!r}")
     out = docs
-    for w in window_sets(benchmark, ngram, max_windows):
+    passes, sets = window_sets(benchmark, ngram, max_windows)
+    for n, w in enumerate(sets):
+        if n:
+            out = staged(out, "decontaminated")  # the pass before is done with its set
         shared = docs.sparkSession.sparkContext.broadcast(w)
         if how == "documents":
 

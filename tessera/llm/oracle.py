@@ -5,7 +5,7 @@ _LOWER = "translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 _OP9_WORDS = "regexp_extract_all(" + _LOWER.format(c="text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP9 = f"""
-WITH b AS (SELECT item_id, {_OP9_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH b AS (SELECT item_id, {_OP9_WORDS} AS w FROM benchmark),
 bw AS (
   SELECT item_id, least(10, len(w)) AS k, w[i:i + least(10, len(w)) - 1] AS g
   FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0
@@ -19,7 +19,7 @@ dw AS (
 ),
 hit AS (SELECT dw.r, dw.i, dw.k, grams.items FROM dw JOIN grams ON dw.k = grams.k AND dw.g = grams.g),
 hit_words AS (SELECT r, count(DISTINCT p) AS n FROM hit, unnest(range(i, i + k)) AS u(p) GROUP BY r),
-hit_items AS (SELECT r, list_sort(list_distinct(list(CAST(x AS VARCHAR)))) AS items FROM hit, unnest(items) AS u(x) GROUP BY r)
+hit_items AS (SELECT r, list_sort(list_distinct(list(CAST(x AS VARCHAR)))) AS items FROM hit, unnest(items) AS u(x) WHERE x IS NOT NULL GROUP BY r)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
@@ -45,17 +45,17 @@ FROM marked GROUP BY r, doc_id
 
 OP3 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
-t AS (SELECT vec_id, unnest(range(1, len(q) + 1)) AS d, unnest(q) AS w FROM v),
+t AS (SELECT k, vec_id, unnest(range(1, len(q) + 1)) AS d, unnest(q) AS w FROM v),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.w * b.w) AS BIGINT) AS score
-  FROM t a JOIN t b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY ALL
+  SELECT a.k AS q, a.vec_id AS query_id, b.k AS c, b.vec_id AS vec_id, CAST(sum(a.w * b.w) AS BIGINT) AS score
+  FROM t a JOIN t b ON a.d = b.d AND a.k <> b.k WHERE a.vec_id % 50 = 0 GROUP BY ALL
 ),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
