@@ -18,7 +18,8 @@
    contents and every node below), the blocks whose very text most pages of
    the host repeat, and the branches that name themselves: menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments.  Where a page marks its article (``article``, ``main``)
-   what lies outside is no main text.  A name in a class or id (``sidebar``,
+   what lies outside is no main text, and its own headings, paragraphs, lists and
+   tables stay however often the site repeats them.  A name in a class or id (``sidebar``,
    ``ads``) does not speak for the element where it says what a layout has
    (``has-sidebar``, ``no-ads``), where the element holds ``main`` or the
    page's only ``article`` while none is marked elsewhere, or where it holds
@@ -32,8 +33,10 @@ and with text in them they keep the branches they are in from being low.
 What is kept of a host is a row for each judged node, not for each page.
 
 Defined results: a null html is an empty page, its text is empty; a null or
-odd url belongs to the host '' ; equal rows are each extracted; an empty table
-gives an empty one; unclosed and stray tags are repaired as browsers do.
+odd url belongs to the host '' ; equal rows are each extracted; a very long
+page is read whole, in the task of its row; an empty table gives an empty one;
+unclosed and stray tags are repaired as browsers do; extra columns ride along,
+but for those named ``text`` or ``n_chars``, which are replaced.
 """
 
 from __future__ import annotations
@@ -65,6 +68,8 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: blocks of running text
+FLOW = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre table tbody thead tr td th figure figcaption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe svg math object audio video canvas xmp".split())
 NOISE_TAGS = frozenset("nav aside footer form button select option label input dialog menu head".split())
@@ -102,13 +107,16 @@ class Page:
     tag or role, self-named elements from the root, how many of them are
     around the marked article or None outside, text); children: node ->
     children's signatures; named: kind of each self-named element; marks:
-    (tag, self-named elements around) of the marked articles."""
+    (tag, self-named elements around) of the marked articles; flow: the nodes
+    of headings, paragraphs, list items and the like inside a marked article,
+    which have no containers of the site between them and it."""
 
     def __init__(self, source: str | None):
         self.blocks: list[tuple[tuple[int, ...], bool, tuple[int, ...], int | None, str]] = []
         self.children: dict[int, list[int]] = {}
         self.named: list[int] = []
         self.marks: list[tuple[str, tuple[int, ...]]] = []
+        self.flow: set[int] = set()
         if source:
             self._read(source)
 
@@ -185,6 +193,8 @@ class Page:
             nodes = above[1]
             if tag in BLOCK:
                 node = _hash(nodes[-1], sign)
+                if tag in FLOW and (above[0] in ("article", "main") or nodes[-1] in self.flow):
+                    self.flow.add(node)
                 self.children.setdefault(nodes[-1], []).append(node)
                 nodes = (*nodes, node)
             around = above[4]
@@ -224,9 +234,10 @@ class Page:
         """The texts of the blocks that are main text."""
         told = []  # what the style tree and the tags leave
         for nodes, noise, named, around, text in self.blocks:
-            if noise or not low.isdisjoint(nodes):
+            # what a marked article itself repeats on all pages is its own text
+            if noise or not low.isdisjoint(n for n in nodes if n not in self.flow):
                 continue
-            if repeated and (nodes[-1], xxhash.xxh64_intdigest(text.encode()) - 2**63) in repeated:
+            if repeated and nodes[-1] not in self.flow and (nodes[-1], xxhash.xxh64_intdigest(text.encode()) - 2**63) in repeated:
                 continue
             told.append((named, around, text))
         lifted: set[int] = set()  # self-named elements that are no noise
