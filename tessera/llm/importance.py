@@ -17,7 +17,8 @@ labelled texts, the lowest by hash of doc_id; the raw model has no bound.
 Defined results: null and empty texts have log weight 0; equal keys go to the
 smaller doc_id; rows equal in doc_id and text are taken or left together;
 without good labels both models are equal, and the sample is uniform; an
-empty table gives an empty one; extra columns are not read.
+empty table gives an empty one; very long texts are read whole, in the task of
+their row; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,8 +21,10 @@ over many tasks.
 
 Defined results: every row is placed, none twice; sources without a target
 weight, null sources among them, form one stream with weight
-``other_weight``; equal rows get their own places; an empty table gives an
-empty one; extra columns ride along.
+``other_weight``; equal rows get their own places, and rows with equal or null
+doc_ids follow each other in no set order; texts are carried, never read; an
+empty table gives an empty one; extra columns ride along, but for those that
+have the names of the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: the columns that tell a row's place
+PLACE = ["mix_stream", "mix_phase", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position"]
 BLOCK_SIZE = 64
 UNITS = 1_000
 BINS = 1_024
@@ -118,7 +122,7 @@ def mix(
     spark = docs.sparkSession
     named = whole_weights({**{f"={s}": w for s, w in weights.items()}, OTHER: other_weight}, units)
     labels = spark.createDataFrame([(s, f"={s}") for s in weights], "__source string, __name string")
-    columns = [c for c in docs.columns if not c.startswith("mix_")]
+    columns = [c for c in docs.columns if c not in PLACE]
     tied = F.xxhash64(F.lit(3), F.col(key))
     rows = (
         docs.select(*columns)
@@ -174,6 +178,4 @@ def mix(
         .withColumn("mix_position", F.col("mix_slot") * block_size + F.col("__no") % block_size - lost)
         .withColumn("mix_stream", F.regexp_replace("mix_stream", "^=", ""))
     )
-    return out.select(
-        *columns, "mix_stream", "mix_phase", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position"
-    )
+    return out.select(*columns, *PLACE)

@@ -21,7 +21,10 @@ map that is known up to its first and last fragment: (head, count between,
 tail).  These maps form a monoid; the chunks of one text compose by a
 balanced (parallel prefix) tree, and repeated words reuse their path's sum.
 
-Defined results: null and empty texts have 0 tokens; every row gets a row.
+Defined results: null and empty texts have 0 tokens; every row gets a row, rows
+that repeat a doc_id each their own; a very long text is counted whole, chunk
+by chunk; an empty table gives an empty one; extra columns ride along, but for
+those that have the names of the added ones, which are replaced.
 """
 
 from __future__ import annotations

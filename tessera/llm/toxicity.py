@@ -11,8 +11,7 @@ speech.  The clause one reads the classes of one clause and writes its match:
   of saying a reported one, each under its own weight;
 * the end of a sentence, a semicolon or a line break ends the clause.
 
-A document's score is a logistic function of its matches by pattern, never of
-isolated words.  Seed words are fixed below; further insult words and stems,
+A document's score is a logistic function of its matches by pattern.  Seed words are fixed below; further insult words and stems,
 and all weights, are learned from labelled training rows (at most ``SAMPLE``
 of each label, the lowest by hash of doc_id; near copies count once).
 Inputs of a score are the words of the text alone.
@@ -20,7 +19,14 @@ Inputs of a score are the words of the text alone.
 Defined results: null and empty texts score like a text without a match; rows
 with conflicting labels count as toxic; null labels, and labels without a
 document, teach nothing; without training rows the seed words and prior
-weights alone score.
+weights alone score; rows that repeat a doc_id are each scored by their own
+text; a very long text is scored whole, in the task of its row; an empty table
+gives an empty one; columns of the documents named ``score`` or ``predicted``
+are replaced by the result's, and ``reject`` keeps every column as it is.
+
+Bounds: ``SAMPLE`` labelled rows of each label, and of the terms learned from
+them the ``MAX_TERMS`` with the most evidence (the terms come from the bounded
+sample, so neither grows with the data).
 """
 
 from __future__ import annotations

@@ -72,6 +72,28 @@ def test_resampling_prefers_the_target_and_takes_k(spark):
     assert importance.resample(df.limit(0), lab).count() == 0
 
 
+def test_weights_and_selection_equal_the_exact_ratio(spark):
+    rnd = random.Random(8)
+    words = [["lorem", "ipsum", "dolor", "sit"], ["buy", "now", "cheap", "dolor"]]
+    docs = [(d, " ".join(rnd.choice(words[d % 3 > 0]) for _ in range(rnd.randint(0, 30)))) for d in range(90)] + [(90, None), (None, "buy now")]
+    labels = [(d, int(d % 3 == 0), 0) for d in range(60)] + [(3, 0, 0), (999, 1, 0), (None, 1, 0)]
+    df, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    buckets = 64
+    features = importance.features([(t or "").encode() for _, t in docs], buckets)
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    counts = np.zeros((2, buckets))
+    for (d, _), f in zip(docs, features):
+        np.add.at(counts[1], f, 1)
+        if d in good:
+            np.add.at(counts[0], f, 1)
+    ratio = np.log((counts[0] + 1) / (counts[0].sum() + buckets)) - np.log((counts[1] + 1) / (counts[1].sum() + buckets))
+    rows = importance.resample(df, lab, k=20, buckets=buckets).collect()
+    want = {d: float(ratio[f].sum()) for (d, _), f in zip(docs, features)}
+    assert len(rows) == len(docs) and all(abs(r.log_weight - want[r.doc_id]) < 1e-9 for r in rows)
+    best = sorted(rows, key=lambda r: (-r.key, r.doc_id if r.doc_id is not None else 2**63))[:20]
+    assert {r.doc_id for r in rows if r.selected} == {r.doc_id for r in best}
+
+
 def test_kth_largest_is_exact(spark, monkeypatch):
     monkeypatch.setattr(importance, "BINS", 8)
     rnd = random.Random(9)
@@ -171,6 +193,14 @@ def test_a_nested_repeated_branch_is_cut_as_a_branch(spark):
     assert kept_of_site(spark, page) == [f"Story {k} of many" for k in range(40)]
 
 
+def test_an_article_keeps_what_it_repeats(spark):
+    def page(k):
+        menu = "<div class=box><p>Buy our mugs</p></div>"
+        return f"<body>{menu}<article><h1>Title {k}</h1><h2>Summary</h2><p>story {k}</p><ul><li>Note</ul><div><p>Buy our mugs</p></div><p>Thank you for reading.</p></article>{menu}</body>"
+
+    assert kept_of_site(spark, page, 20) == [f"Title {k}\nSummary\nstory {k}\nNote\nThank you for reading." for k in range(20)]
+
+
 # -- top-k search --------------------------------------------------------------
 
 
@@ -180,14 +210,16 @@ def test_search_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(6)
     rows = [(i, [rnd.choice([0.0, 0.25, -0.5, 1.0]) for _ in range(rnd.choice([3, 4]))]) for i in range(120)]
     rows += [(200, None), (250, [1.0, None]), (300, [float("nan")]), (350, [float("inf")]), (400, []), (None, [1.0]), (50, rows[50][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    vec = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows[:120]} | {400: []}
+    rows += [(3, [1.0, 1.0, 1.0]), (3, [0.5, 1.0, 1.0]), (100, [1.0, -0.5])]  # rows that repeat an id are rows of their own
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, row int").repartition(3)
+    usable = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (0, 50, 100, 400):
-        s = sorted(((-sum(a * b for a, b in zip(vec[q], v)), i) for i, v in vec.items() if i != q))[:5]
-        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s)]
-    got = topk.search(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
-    assert [tuple(r) for r in got] == want
+    for at, (q, weights) in enumerate(usable):
+        if q % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(weights, v)), i) for j, (i, v) in enumerate(usable) if j != at)[:5]
+            want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s)]
+    got = topk.search(df, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
     assert topk.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
@@ -210,6 +242,13 @@ def test_period_stays_within_a_block():
         assert count == units
 
 
+def test_mix_keeps_columns_of_its_own_kind_of_name(spark):
+    df = spark.createDataFrame([(k, "s", k * 2, "old") for k in range(5)], "doc_id long, source string, mix_notes long, mix_slot string")
+    out = mixing.mix(df, {"s": 1.0})
+    assert out.columns == ["doc_id", "source", "mix_notes", *mixing.PLACE]
+    assert {(r.doc_id, r.mix_notes) for r in out.collect()} == {(k, k * 2) for k in range(5)}
+
+
 def test_mix_places_every_row(spark, odd, none):
     rows = [(i, f"t{i}", "abc"[min(2, i % 7 // 3)] if i % 11 else None, i) for i in range(500)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_slot long").unionByName(odd.withColumnRenamed("n_words", "mix_slot"))
@@ -325,6 +364,34 @@ def test_addresses_and_cards_in_print_forms(spark):
     assert got[90].n_entities == 0 and got[90].text == rows[-2][1]
 
 
+def test_later_mentions_get_the_same_surrogates(spark):
+    rows = [
+        (1, "Dr. Anna Keller came. Keller spoke; Anna Keller left. Anna B. Keller's bag, Kellerman, Anna, KELLER-Weber."),
+        (2, "Keller alone, Anna too"),
+        (3, "Mr. Juan de la Vega and Mrs. Eva Stein: de la Vega, Vega, Stein (Eva Stein)."),
+    ]
+    got = {r.doc_id: r for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    w = got[1].text.split()
+    given, family = w[1], w[2]
+    assert got[1].text == f"Dr. {given} {family} came. {family} spoke; {given} {family} left. {given} B. {family}'s bag, Kellerman, Anna, KELLER-Weber."
+    assert given != "Anna" and family != "Keller" and got[1].n_entities == 2
+    assert got[2].text == rows[1][1]
+    v = got[3].text.split()
+    assert got[3].text == f"Mr. {v[1]} {v[2]} and Mrs. {v[5]} {v[6][:-1]}: {v[2]}, {v[2]}, {v[6][:-1]} ({v[5]} {v[6][:-1]})." and "Vega" not in got[3].text
+
+
+def test_phones_keep_their_country_and_ibans_their_checks(spark):
+    rows = [(1, "+49 30 1234567"), (2, "+353 21 234 5678"), (3, "+7 495 123 45 67"), (4, "1-988-555-2485"), (5, "DE89 3704 0044 0532 0130 00"), (6, "GB82WEST12345698765432")]
+    got = {r.doc_id: r.text for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].split()[0] for k in (1, 2, 3)] == ["+49", "+353", "+7"] and got[4][:2] == "1-"
+    for k, text in rows:
+        assert got[k] != text and [c.isalnum() for c in got[k]] == [c.isalnum() for c in text]
+        assert [c.isdigit() for c in got[k]] == [c.isdigit() for c in text]
+    for k in (5, 6):
+        x = got[k].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 and x[:2] == rows[k - 1][1][:2]
+
+
 def test_surrogates_run_no_python(spark):
     plan = pii.surrogates(spark.createDataFrame([(1, "Mr Kim")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
