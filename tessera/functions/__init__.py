@@ -32,8 +32,10 @@ from tessera.functions.sizes import (  # noqa: F401
     format_gb,
     format_size,
     mb_to_bytes,
+    percent_of,
     round_ratio,
     rounded_units,
+    wide_sum,
 )
 from tessera.functions.text import (  # noqa: F401
     clean_text,

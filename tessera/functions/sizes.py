@@ -63,6 +63,19 @@ def round_ratio(num, den, scale: int = 2, half_even: bool = False) -> Column:
     return signed.cast("double") / F.lit(float(10**scale))
 
 
+def percent_of(part, whole, scale: int, half_even: bool = True) -> Column:
+    """``round_ratio`` of ``part * 100 / whole``; the product is taken in the
+    wide decimal, as a byte total over 2**63 / 100 (80 PiB) times 100 fits no long."""
+    return round_ratio(_wide(as_col(part)) * 100, whole, scale, half_even)
+
+
+def wide_sum(c: Column) -> Column:
+    """Sum of a long column as ``decimal(38,0)``, exact beyond 2**63: the upper
+    and lower 32 bits are summed as longs and put together once."""
+    high, low = F.sum(F.shiftright(c, 32)), F.sum(c.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return _wide(high) * F.lit(1 << 32) + _wide(low)
+
+
 def _pow2_quotient(n: Column, shift: int, scale: int, half_even: bool) -> Column:
     """q = round(n * 10**scale / 2**shift) for 0 <= n < 2**63 / 10**scale.
 

@@ -26,9 +26,11 @@ from tessera.functions import (
     format_size,
     label_or_default,
     parse_timestamp,
+    percent_of,
     round_ratio,
     rounded_units,
     shorten_label,
+    wide_sum,
 )
 from tessera.functions.sizes import BYTES_IN_GB, BYTES_IN_MB
 
@@ -417,11 +419,11 @@ def dash_unused_kpis(inv: DataFrame, as_of, sites=None) -> DataFrame:
     agg = df.agg(
         _sum_long(F.when(old, F.col("tamanho_bytes")).otherwise(F.lit(0))).alias("unused_bytes"),
         F.count_if(old).alias("unused_files"),
-        _sum_long(_file_bytes()).alias("total_bytes"),
+        wide_sum(_file_bytes().cast("long")).alias("total_bytes"),
     )
     return agg.select(
         "unused_bytes", "unused_files",
-        F.when(F.col("total_bytes") > 0, round_ratio(F.col("unused_bytes") * 100, F.col("total_bytes"), 2, half_even=True))
+        F.when(F.col("total_bytes") > 0, percent_of("unused_bytes", F.col("total_bytes"), 2))
         .otherwise(F.lit(0.0)).alias("unused_percent"),
     )
 
