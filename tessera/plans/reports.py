@@ -367,11 +367,11 @@ def dash_top_extensions(inv: DataFrame, sites=None, limit: int = DASH_TOP_EXTENS
 def dash_extension_table(top_extensions: DataFrame) -> DataFrame:
     """Share of the listed (top-k) extensions' total.  The window has no
     partition key but runs over the k-row result of the limit."""
-    total = F.sum("storage_bytes").over(Window.partitionBy())
+    total = F.sum(F.col("storage_bytes").cast("decimal(38,0)")).over(Window.partitionBy())
     return top_extensions.select(
         "extension",
         round_ratio(F.col("storage_bytes"), BYTES_IN_GB, 2, half_even=True).alias("storage_gb"),
-        F.when(total > 0, round_ratio(F.col("storage_bytes") * 100, total, 2, half_even=True))
+        F.when(total > 0, percent_of("storage_bytes", total, 2))
         .otherwise(F.lit(0.0)).alias("storage_percent"),
         "file_count",
         F.when(F.col("file_count") > 0, round_ratio(F.col("storage_bytes"), F.col("file_count") * F.lit(BYTES_IN_MB), 2, half_even=True))

@@ -19,3 +19,12 @@ def test_unused_share_of_large_totals(spark):
     got = rp.dash_unused_kpis(inv.unionByName(recent), "2001-12-01").first()
     assert (got.unused_bytes, got.unused_files, got.unused_percent) == (BIG, 1, 1.13)
     assert rp.dash_unused_kpis(inv.limit(0), "2001-12-01").first().asDict() == {"unused_bytes": 0, "unused_files": 0, "unused_percent": 0.0}
+
+
+def test_extension_shares_of_large_totals(spark):
+    top = spark.createDataFrame(
+        [("a", 1, BIG, 0.0), ("b", 3, 5 * 1024**6, 0.0), ("c", 2, 5 * 1024**6, 0.0)], "extension string, file_count long, storage_bytes long, storage_gb double"
+    )
+    got = {r.extension: r for r in rp.dash_extension_table(top).collect()}
+    assert [got[x].storage_percent for x in "abc"] == [1.16, 49.42, 49.42]
+    assert (got["a"].storage_gb, got["c"].avg_file_size_mb) == (BIG / 1024**3, 5 * 1024**6 / 2 / 1024**2)
