@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions.common import as_col
-from tessera.functions.sizes import BYTES_IN_GB, BYTES_IN_TB, round_ratio
+from tessera.functions.sizes import BYTES_IN_GB, BYTES_IN_TB, percent_of, round_ratio
 
 # Default tier thresholds (bytes) and tier names with labels.
 OVER_1TB_BYTES = BYTES_IN_TB
@@ -97,7 +97,7 @@ def version_percent(version_bytes, storage_bytes, scale: int = 1) -> Column:
     storage > 0."""
     v = as_col(version_bytes)
     s = as_col(storage_bytes)
-    return F.when(s > 0, round_ratio(v * 100, s, scale, half_even=True))
+    return F.when(s > 0, percent_of(v, s, scale))
 
 
 def audit_ratio(collected_bytes, expected_bytes, scale: int = 4) -> Column:

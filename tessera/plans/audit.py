@@ -18,6 +18,7 @@ from tessera.functions import (
     format_size,
     mb_to_bytes,
     normalize_url,
+    percent_of,
     round_ratio,
     to_int_or_null,
     version_percent,
@@ -152,7 +153,7 @@ def version_kpis(ok: DataFrame) -> DataFrame:
     )
     return agg.withColumn(
         "version_percent",
-        F.when(F.col("storage_used_bytes") != 0, round_ratio(F.col("version_size_bytes") * 100, F.col("storage_used_bytes"), 1, half_even=True))
+        F.when(F.col("storage_used_bytes") != 0, percent_of("version_size_bytes", F.col("storage_used_bytes"), 1))
         .otherwise(F.lit(0.0)),
     )
 

@@ -28,3 +28,13 @@ def test_extension_shares_of_large_totals(spark):
     got = {r.extension: r for r in rp.dash_extension_table(top).collect()}
     assert [got[x].storage_percent for x in "abc"] == [1.16, 49.42, 49.42]
     assert (got["a"].storage_gb, got["c"].avg_file_size_mb) == (BIG / 1024**3, 5 * 1024**6 / 2 / 1024**2)
+
+
+def test_version_shares_of_large_totals(spark):
+    ok = spark.createDataFrame(
+        [("a", BIG, 1, 2 * BIG), ("b", BIG, None, 4 * BIG), ("c", None, 5, None)], "site_id string, version_size_bytes long, version_count long, storage_used_bytes long"
+    )
+    got = au.version_kpis(ok).first()
+    assert (got.version_count, got.version_size_bytes, got.version_percent) == (6, 2 * BIG, 33.3)
+    share = ok.select(version_percent("version_size_bytes", "storage_used_bytes").alias("p")).collect()
+    assert [r.p for r in share] == [50.0, 25.0, None]
