@@ -61,8 +61,12 @@ def rebuild_paths(items: DataFrame) -> DataFrame:
     live = items.filter((F.col("item_type") == "folder") & (F.col("status") != "deleted"))
     folders = live.select("drive_id", F.col("id").alias("folder_id"), F.col("parent_id").alias("up"), "name", "parent_path", "full_path")
     parents = folders.select("drive_id", F.col("folder_id").alias("parent_id"), F.col("full_path").alias("_path"))
-    placed = items.join(parents, ["drive_id", "parent_id"], "left")
-    drives = _staged(placed.filter(_is_stale()).select("drive_id").distinct(), "stale-drives")
+    # whether a path follows from its own row's parent path needs no join, so
+    # the files of a folder meet it as one row, not one by one
+    own = F.col("full_path").eqNullSafe(full_path(F.col("parent_path"), F.col("name"))).alias("_own")
+    placed = items.select("drive_id", "parent_id", "parent_path", own).distinct().join(parents, ["drive_id", "parent_id"])
+    stale = F.col("_path").isNotNull() & ~(F.col("parent_path").eqNullSafe(F.col("_path")) & F.col("_own"))
+    drives = _staged(placed.filter(stale).select("drive_id").distinct(), "stale-drives")
     folders = folders.join(drives, "drive_id", "left_semi")
     up = folders.select("drive_id", F.col("folder_id").alias("up"), F.col("full_path").alias("_path"))
     folders = _staged(

@@ -35,3 +35,23 @@ def test_site_keys_are_sorted_in_dealt_pieces(spark):
         text = plan_text(lookup)
         assert text.count("Exchange") == 2 and text.rindex("Exchange") > text.rindex("Generate"), text
     assert pr.site_variant_lookup(sites).count() == 300 * 2 + 2 and pr.site_url_lookup(sites).count() == 300 + 3
+
+
+def test_files_of_a_folder_meet_it_once(spark, monkeypatch):
+    """The search for stale drives joins a row a folder, not a row a file."""
+    from tessera.operators import paths
+
+    folder = [("d", "T", None, "", "L", "L", "folder", "ok"), ("d", "A", "T", "L", "A", "L/A", "folder", "ok")]
+    files = [("d", f"f{k}", "A", "L/A", f"n{k}", f"L/A/n{k}", "file", "ok") for k in range(50)]
+    bad = [("e", "T", None, "", "L", "L", "folder", "ok"), ("e", "f", "T", "L", "n", "L/old", "file", "ok"), ("e", "g", "T", None, "m", None, "file", "ok")]
+    items = spark.createDataFrame(
+        folder + files + bad, "drive_id string, id string, parent_id string, parent_path string, name string, full_path string, item_type string, status string"
+    )
+    seen, staged = {}, paths._staged
+    monkeypatch.setattr(paths, "_staged", lambda df, name: seen.setdefault(name, df) and staged(df, name))
+    got = {(r.drive_id, r.id): (r.parent_path, r.full_path) for r in paths.rebuild_paths(items).collect()}
+    assert got["e", "f"] == ("L", "L/n") and got["e", "g"] == ("L", "L/m") and got["d", "f7"] == ("L/A", "L/A/n7")
+    text = seen["stale-drives"]._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join Inner")
+    assert "Aggregate [drive_id" in text[join:], text
+    assert [r.drive_id for r in seen["stale-drives"].collect()] == ["e"]
