@@ -55,3 +55,30 @@ def test_files_of_a_folder_meet_it_once(spark, monkeypatch):
     join = text.index("Join Inner")
     assert "Aggregate [drive_id" in text[join:], text
     assert [r.drive_id for r in seen["stale-drives"].collect()] == ["e"]
+
+
+def test_file_list_sorts_written_rows(spark):
+    """The sort's sample reads the joined rows again; they are not joined again."""
+    assert "Join" not in plan_text(entry.queries()["client_file_list"](spark, SF))
+
+
+def test_rollup_stages_only_what_it_reads(spark, monkeypatch):
+    from tessera.plans import io_suite
+
+    seen, staged = {}, io_suite._staged
+    monkeypatch.setattr(io_suite, "_staged", lambda df, name: seen.setdefault(name, df) and staged(df, name))
+    io_suite.rollup_updated(spark, SF)
+    assert {"formatted_size", "created_at", "web_url"}.isdisjoint(seen["items"].columns)
+
+
+def test_differing_rows_are_those_of_except_all(spark):
+    from tessera.plans import io_suite
+
+    given = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "x"), ("b", ""), ("c", "y")], "c0 string, c1 string")
+    back = spark.createDataFrame([("a", "x"), ("b", ""), ("d", "z"), ("d", "z")], "c0 string, c1 string")
+    got = io_suite._differing(given, back).first()
+    assert (got.n_rows, got.differing) == (4, given.exceptAll(back).count()) == (4, 3)
+    none = given.limit(0)
+    assert io_suite._differing(none, none).first().asDict() == {"n_rows": 0, "differing": 0}
+    text = plan_text(io_suite._differing(given, back))
+    assert "Generate" not in text
