@@ -173,24 +173,25 @@ def client_old_files(inv: DataFrame, as_of, old_file_days: int = OLD_FILE_DAYS,
     )
 
 
+def client_file_rows(inv: DataFrame) -> DataFrame:
+    """Every file, in no order."""
+    return inv.filter(_is_file()).select(
+        F.col("site_name").alias("Site"), F.col("site_url").alias("URL do site"),
+        F.col("biblioteca").alias("Biblioteca"), F.col("caminho_completo_da_pasta").alias("Pasta"),
+        F.col("nome_arquivo_ou_pasta").alias("Arquivo"), _ext_label().alias("Extensao"),
+        F.col("tipo_mime").alias("Tipo MIME"), F.col("tamanho_formatado").alias("Tamanho"),
+        rounded_units("tamanho_bytes", "MB", 2).alias("Tamanho MB"),
+        rounded_units("tamanho_bytes", "GB", 4).alias("Tamanho GB"),
+        F.col("data_criacao").alias("Criado em"), F.col("data_modificacao").alias("Modificado em"),
+        F.col("data_ultimo_uso_acesso").alias("Ultimo acesso/uso"),
+        F.col("caminho_item").alias("Caminho completo"), F.col("status_leitura").alias("Status da leitura"),
+    )
+
+
 def client_file_list(inv: DataFrame) -> DataFrame:
     """Every file, sorted by site, library, path (nulls last)."""
-    return (
-        inv.filter(_is_file())
-        .select(
-            F.col("site_name").alias("Site"), F.col("site_url").alias("URL do site"),
-            F.col("biblioteca").alias("Biblioteca"), F.col("caminho_completo_da_pasta").alias("Pasta"),
-            F.col("nome_arquivo_ou_pasta").alias("Arquivo"), _ext_label().alias("Extensao"),
-            F.col("tipo_mime").alias("Tipo MIME"), F.col("tamanho_formatado").alias("Tamanho"),
-            rounded_units("tamanho_bytes", "MB", 2).alias("Tamanho MB"),
-            rounded_units("tamanho_bytes", "GB", 4).alias("Tamanho GB"),
-            F.col("data_criacao").alias("Criado em"), F.col("data_modificacao").alias("Modificado em"),
-            F.col("data_ultimo_uso_acesso").alias("Ultimo acesso/uso"),
-            F.col("caminho_item").alias("Caminho completo"), F.col("status_leitura").alias("Status da leitura"),
-        )
-        .orderBy(
-            F.asc_nulls_last("Site"), F.asc_nulls_last("Biblioteca"), F.asc_nulls_last("Caminho completo")
-        )
+    return client_file_rows(inv).orderBy(
+        F.asc_nulls_last("Site"), F.asc_nulls_last("Biblioteca"), F.asc_nulls_last("Caminho completo")
     )
 
 
