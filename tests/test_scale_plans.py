@@ -82,3 +82,40 @@ def test_differing_rows_are_those_of_except_all(spark):
     assert io_suite._differing(none, none).first().asDict() == {"n_rows": 0, "differing": 0}
     text = plan_text(io_suite._differing(given, back))
     assert "Generate" not in text
+
+
+def test_extensions_are_looked_up_in_lower_case(spark):
+    """No ``lower`` a row when the items are made; the same text as ``lower``."""
+    from types import SimpleNamespace
+
+    from tessera.sources import testdata as td
+
+    brands = [(k, f"p{k}", f"Brand#{k}") for k in range(8)] + [(8, "p8", None)]
+    t = SimpleNamespace(
+        part=spark.createDataFrame(brands, "p_partkey long, p_name string, p_brand string"),
+        orders=spark.sql("select 1L o_orderkey, timestamp'1995-01-01' o_orderdate"),
+        supplier=spark.sql("select 1L s_suppkey, 0 s_nationkey"),
+        nation=spark.sql("select 0 n_nationkey, 0 n_regionkey"),
+        lineitem=spark.range(9).selectExpr(
+            "1L l_orderkey", "id l_partkey", "1L l_suppkey", "2 l_linenumber", "3D l_quantity", "7D l_extendedprice", "0.1D l_tax", "'A' l_returnflag", "timestamp'1996-01-01' l_shipdate"
+        ),
+    )
+    items = td.file_items(t)
+    assert "lower(" not in items._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.name: (r.extension, r.mime_type) for r in items.collect()}
+    assert got["p1.PDF"] == ("pdf", "application/pdf") and got["p0.docx"] == ("docx", "application/docx") and got["p2.png"] == ("png", "image/png")
+    assert got["p3.mp4"] == ("mp4", "video/mp4") and got["p7"] == (None, None) and len(got) == 9, sorted(got.items(), key=str)
+
+
+def test_small_export_parts_share_tasks(spark, monkeypatch):
+    """Tasks follow the rows, not the parts, and hold whole parts in order."""
+    from tessera.sinks import parquet as sink
+
+    df = spark.range(1003).select((F.col("id") * 7919 % 1003).alias("k")).repartition(5)
+    assert sink.in_ordered_parts(df, [F.col("k")], 10).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(sink, "ROWS_A_TASK", 250)
+    dealt = sink.in_ordered_parts(df, [F.col("k")], 100).rdd.map(lambda r: r.k).glom().collect()
+    assert dealt == [list(range(at, min(at + 200, 1003))) for at in range(0, 1003, 200)]
+    monkeypatch.setattr(sink, "PARTS_A_TASK", 3)
+    dealt = sink.in_ordered_parts(df, [F.col("k")], 10).rdd.map(lambda r: r.k).glom().collect()
+    assert dealt == [list(range(at, min(at + 30, 1003))) for at in range(0, 1003, 30)]
