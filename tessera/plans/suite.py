@@ -192,7 +192,9 @@ def q_profile_libs(spark, sf_dir):
 
 @register("profile_folders")
 def q_profile_folders(spark, sf_dir):
-    return rp.profile_folders(inventory_df(spark, sf_dir, rollup=True))
+    # only the rollup reads the files, and five of their columns: nothing is written first
+    cat = catalog(spark, sf_dir)
+    return rp.profile_folders(inv_plan.inventory(recalculate_folders(cat.items), cat.sites, cat.drives))
 
 
 @register("profile_missing")

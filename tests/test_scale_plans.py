@@ -119,3 +119,11 @@ def test_small_export_parts_share_tasks(spark, monkeypatch):
     monkeypatch.setattr(sink, "PARTS_A_TASK", 3)
     dealt = sink.in_ordered_parts(df, [F.col("k")], 10).rdd.map(lambda r: r.k).glom().collect()
     assert dealt == [list(range(at, min(at + 30, 1003))) for at in range(0, 1003, 30)]
+
+
+def test_profile_of_folders_writes_no_items(spark, monkeypatch):
+    from tessera.plans import suite
+
+    monkeypatch.setattr(suite, "_written", lambda df, name: (_ for _ in ()).throw(AssertionError(name)))
+    df = entry.queries()["profile_folders"](spark, SF)
+    assert "lineitem" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() > 0
