@@ -252,3 +252,29 @@ def test_removal(spark, odd, none):
     assert cut[4] == "a line  share, word for word" and cut[1] is None and cut[9] == "日本語 текст ñandú\u0000 end"
     assert decontam.report(none, bench).count() == 0
     assert decontam.report(odd, bench.limit(0)).filter("contaminated").count() == 0
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    import glob
+    import os
+    import tempfile
+    import time
+
+    from tessera.llm.common import FILE_CLEANUP, staged
+
+    base = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+
+    def files():
+        return set(glob.glob(f"{base}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+
+    was, before = spark.conf.get(FILE_CLEANUP, None), files()
+    counts = spark.range(20000, numPartitions=4).groupBy("id").count()
+    assert staged(counts, "counts").count() == 20000
+    for _ in range(50):
+        left = files() - before
+        if sum(os.path.getsize(f) for f in left if os.path.exists(f)) < 20000:
+            break
+        time.sleep(0.1)
+    else:
+        raise AssertionError(left)
+    assert spark.conf.get(FILE_CLEANUP, None) == was
