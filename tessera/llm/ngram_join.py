@@ -21,11 +21,14 @@ components of the links; no link between different texts is lost.
    classes, so with groups of g a passage held by m similar classes makes
    (m / g)^2 rows, not m^2.
 5. Groups are opened inside, then against the group that they share most with,
-   then against the other groups left; before each step go the pairs of groups
-   that are in one component already.  An opened group is stored as its union
+   then against the other groups left, each pair of groups once; before each
+   step go the pairs of groups that are in one component already.  An opened group is stored as its union
    of tokens; a class of another group must find ceil(0.75 n) of its tokens in
    the union before it is compared with the members.  A step's links join what
-   was apart, no more.
+   was apart, no more.  A pair of groups is first asked with short sets of two
+   bytes a token: these meet in as many tokens as the sets or more, so only
+   pairs that cannot link are left out, and whole sets are sent for the others
+   alone.
 
 Defined results: lower-casing is A-Z only, words are runs without
 ``[\\x20\\x09-\\x0D]``; a text with fewer words than a shingle is one shingle;
@@ -289,11 +292,18 @@ def _needed_of_groups(lo: Column, hi: Column) -> Column:
     return F.greatest(F.floor((lo * 12 - hi * 9) / 28) + 1, F.lit(1))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) of the wanted sets.  Tasks send the sets that hit a
-    bitmap of the wanted (of ``BITMAP`` bits a set, ``MAX_BITMAP`` at most),
-    and a join drops the few others."""
-    wanted = staged(wanted.distinct(), "wanted")
+def short(tokens: np.ndarray) -> np.ndarray:
+    """The first two bytes of each token of a set, repeats kept: a token that
+    two sets share is in both of their short sets."""
+    return (tokens >> np.uint64(48)).astype(np.uint16)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, shape=lambda tokens: tokens) -> DataFrame:
+    """(sid, tokens) of the wanted sets, with the other columns of ``wanted``,
+    which has a row for each sid; ``shape`` makes the tokens sent.  Tasks send the sets that hit a bitmap of
+    the wanted (of ``BITMAP`` bits a set, ``MAX_BITMAP`` at most), and a join
+    drops the few others."""
+    wanted = staged(wanted, "wanted")
     bits = min(MAX_BITMAP, 1 << max(10, int(wanted.count() * BITMAP).bit_length()))
     slots = wanted.select(F.pmod("sid", F.lit(bits)).alias("slot")).groupBy(F.floor(F.col("slot") / 8).alias("byte")).agg(
         F.bit_or(F.expr("shiftleft(1, cast(slot % 8 as int))")).alias("mask")
@@ -314,15 +324,16 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(sid)
-                    sids.append(sid), tokens.append(t.tobytes())
+                    sids.append(sid), tokens.append(shape(t).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(tokens, pa.binary())], ["sid", "tokens"])
 
     rows = map_batches(docs.select("text"), run, "sid long, tokens binary")
-    return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+    return rows.join(wanted, "sid").dropDuplicates(["sid"])
 
 
 class Group:
-    """A group's sets as their union of tokens, ready to be queried."""
+    """A group's sets as their union of tokens, ready to be queried.  Of short
+    sets, ``links`` has every member that may link, and others."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(t) for t in sets])
@@ -359,10 +370,10 @@ class Forest:
         return x != y
 
 
-def _inside(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links between members of a group, a spanning forest of them."""
-    rows = groups.select("sid", "gid").join(sets, "sid").select("gid", "sid", "tokens")
-    rows = rows.repartition("gid").sortWithinPartitions("gid", "sid")
+def _inside(sets: DataFrame) -> DataFrame:
+    """(a, b): links between members of a group, a spanning forest of them;
+    ``sets`` (gid, sid, tokens) holds whole groups."""
+    rows = sets.select("gid", "sid", "tokens").repartition("gid").sortWithinPartitions("gid", "sid")
 
     def run(batches):
         now, names, held = None, [], []
@@ -386,22 +397,55 @@ def _inside(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(rows, run, "a long, b long")
 
 
-def _across(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links between the classes of pairs of groups (gid, other) with
-    ``groups`` (sid, gid, label): those that join components, in the eyes of a
-    task.  The classes of ``other`` are the queries on the group ``gid``,
-    whose union is built once a task; a group with many partners is dealt to
-    several tasks."""
+def _sent(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(gid, part, kind, of, sid, label, tokens): the classes to compare for
+    pairs of groups (gid, other) with ``groups`` (sid, gid, label), a task's
+    rows together: the group ``gid`` (kind 0), then the classes of ``other``
+    (kind 1; ``of`` is the group of a class), the queries on it.  A group with
+    many partners is dealt to several tasks.  Where each class goes is found
+    without its tokens, which are joined to that last."""
     parts = pairs.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts"))
     part = F.pmod(F.xxhash64("other"), F.col("parts")).alias("part")
-    members = groups.join(sets, "sid").select("gid", "sid", "label", "tokens")
-    heads = members.join(parts, "gid").select(
-        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "sid", "label", "tokens"
-    )
-    asked = pairs.join(parts, "gid").select(F.col("gid").alias("base"), part, F.col("other").alias("gid")).join(members, "gid").select(
-        F.col("base").alias("gid"), "part", F.lit(1).alias("kind"), "sid", "label", "tokens"
+    heads = parts.select(
+        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("gid").alias("of")
     )
-    rows = heads.unionByName(asked).repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "sid")
+    asked = pairs.join(parts, "gid").select("gid", part, F.lit(1).alias("kind"), F.col("other").alias("of"))
+    members = groups.select(F.col("gid").alias("of"), "sid", "label")
+    sent = heads.unionByName(asked).join(members, "of").join(sets, "sid").select("gid", "part", "kind", "of", "sid", "label", "tokens")
+    return sent.repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "of", "sid")
+
+
+def _possible(pairs: DataFrame, groups: DataFrame, shorts: DataFrame) -> DataFrame:
+    """(gid, other): the pairs of groups that hold two classes whose short
+    sets meet in as many tokens as a link needs."""
+    rows = _sent(pairs, groups, shorts)
+
+    def run(batches):
+        now, held, group, done = None, [], None, None
+        for b in batches:
+            out = []
+            for g, p, kind, of, tokens in zip(*(column(b, c).to_pylist() for c in ("gid", "part", "kind", "of", "tokens"))):
+                if (g, p) != now:
+                    now, held, group, done = (g, p), [], None, None
+                q = np.frombuffer(tokens, np.uint16)
+                if kind == 0:
+                    held.append(q)
+                    continue
+                if group is None:
+                    group = Group(held)
+                if of != done and len(group.links(q)):
+                    done = of
+                    out.append((g, of))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["gid", "other"])
+
+    return map_batches(rows, run, "gid long, other long")
+
+
+def _across(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of pairs of groups (gid, other) with
+    ``groups`` (sid, gid, label): those that join components, in the eyes of a
+    task.  The union of the group ``gid`` is built once a task."""
+    rows = _sent(pairs, groups, sets)
 
     def run(batches):
         now, names, labels, held, group, forest = None, [], [], [], None, None
@@ -487,7 +531,13 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs of groups that are not wholly in one component."""
     span = groups.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     joined = pairs.join(span, "gid").join(span.select(F.col("gid").alias("other"), F.col("lo").alias("o_lo"), F.col("hi").alias("o_hi")), "other")
-    return joined.filter("not (lo = hi and o_lo = o_hi and lo = o_lo)").select("gid", "other", "c")
+    return joined.filter("not (lo = hi and o_lo = o_hi and lo = o_lo)").select("gid", "other")
+
+
+def _ends(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sid): the classes of the groups in pairs."""
+    ends = pairs.select("gid").unionByName(pairs.select(F.col("other").alias("gid")))
+    return groups.join(ends, "gid", "left_semi").select("sid")
 
 
 def _links(buckets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -495,18 +545,24 @@ def _links(buckets: DataFrame, docs: DataFrame) -> DataFrame:
     groups = staged(_groups(buckets), "groups")
     matrix = staged(_matrix(buckets, groups), "matrix")
     own, pairs = staged(_own_pairs(matrix), "own"), staged(_group_pairs(matrix), "group-pairs")
-    opened = own.unionByName(pairs.select("gid")).unionByName(pairs.select(F.col("other").alias("gid"))).distinct()
-    sets = staged(_sets(docs, groups.join(opened, "gid", "left_semi").select("sid")), "sets")
-    links = staged(_inside(groups.join(own, "gid", "left_semi"), sets), "links")
+    sets = staged(_sets(docs, groups.join(own, "gid", "left_semi").select("sid", "gid")), "sets")
+    links = staged(_inside(sets), "links")
     either = pairs.select(F.col("gid").alias("g"), "gid", "other", "c").unionByName(pairs.select(F.col("other").alias("g"), "gid", "other", "c"))
     best = either.groupBy("g").agg(F.max(F.struct("c", "gid", "other")).alias("x")).select("x.*").distinct()
-    for step in (best, pairs):
-        if not pairs.limit(1).count():
+    best = staged(best.select("gid", "other"), "best")
+    rest = pairs.select("gid", "other").join(best, ["gid", "other"], "left_anti")  # best ones are compared whole, no need to do it again
+    for step in (best, rest):
+        if not step.limit(1).count():
             break
-        labelled = staged(_labelled(groups, links), "labelled")
-        left = staged(_apart(step.select("gid", "other", "c"), labelled), "left")
+        labelled = staged(_labelled(groups, links).select("sid", "gid", "label"), "labelled")
+        left = staged(_apart(step, labelled), "left")
+        if not left.limit(1).count():
+            continue
+        shorts = staged(_sets(docs, _ends(left, labelled), short), "short-sets")
+        left = staged(_possible(left, labelled, shorts), "possible")
         if left.limit(1).count():
-            links = staged(links.unionByName(_across(left.select("gid", "other"), labelled.select("sid", "gid", "label"), sets)), "links")
+            sets = staged(_sets(docs, _ends(left, labelled)), "sets")
+            links = staged(links.unionByName(_across(left, labelled, sets)), "links")
     return links
 
 
