@@ -179,6 +179,40 @@ def test_group_queries_find_the_links_and_forests_join_once():
     assert [forest.join(*e) for e in ((1, 2), (3, 4), (2, 1), (4, 1), (3, 2))] == [True, True, False, True, False]
 
 
+def test_short_sets_keep_every_link():
+    rnd = np.random.default_rng(5)
+    for n in (1, 5, 60, 400):
+        base = rnd.integers(0, 1 << 63, n * 2).astype(np.uint64)
+        sets = [np.unique(np.concatenate((base[: n - k], base[n : n + k]))) for k in range(0, n, max(1, n // 20))]
+        group = ngram_join.Group([ngram_join.short(t) for t in sets])
+        for q in sets:
+            may = group.links(ngram_join.short(q)).tolist()
+            assert {j for j, t in enumerate(sets) if ngram_join.linked(q, t)} <= set(may)
+            assert n < 60 or len(may) < len(sets)
+
+
+def test_a_pair_of_groups_is_sent_whole_once_and_only_if_it_may_link(spark, monkeypatch):
+    pairs, across = [], ngram_join._across
+
+    def seen(left, *more):
+        pairs.extend((r.gid, r.other) for r in left.collect())
+        return across(left, *more)
+
+    monkeypatch.setattr(ngram_join, "_across", seen)
+    monkeypatch.setattr(ngram_join, "GROUP_SIZE", 4)
+    for rows in (near_copies(1), crowd(4)):
+        pairs.clear()
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()}
+        assert got == brute_components(rows)
+        assert len(pairs) == len(set(pairs))
+    pairs.clear()
+    shared = " ".join(f"s{k}" for k in range(60))  # one passage, no links
+    far = spark.createDataFrame([(k, shared + "".join(f" own{k}.{j}" for j in range(40))) for k in range(30)], "doc_id long, text string")
+    assert ngram_join.near_duplicates(far).filter("component_id <> doc_id").count() == 0
+    assert not pairs
+
+
 def test_components_of_odd_rows(odd, none):
     rows = ngram_join.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
