@@ -1,6 +1,6 @@
 """Join helpers.
 
-No broadcast is hinted here: Catalyst broadcasts a side whose estimated size
+``lookup_join`` and ``upsert_by_key`` hint no broadcast: Catalyst broadcasts a side whose estimated size
 is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE turns a sort-merge
 join into a broadcast only when the measured shuffle output of that side is
 under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those byte
@@ -18,6 +18,17 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left") -> Da
     return fact.join(lookup, on, how)
 
 
+#: rows of a lookup table that every executor may hold
+HELD_ROWS = 2_000_000
+
+
+def held(lookup: DataFrame) -> DataFrame:
+    """``lookup``, hinted for a broadcast unless it has more than ``HELD_ROWS``
+    rows.  For the joins of wide rows: Catalyst's estimate of a derived lookup
+    may lie far over its size, and then every wide row is shuffled to meet it."""
+    return F.broadcast(lookup) if lookup.count() <= HELD_ROWS else lookup
+
+
 def upsert_by_key(old: DataFrame | None, new: DataFrame, key, keep_old: list[str] | None = None) -> DataFrame:
     """Insert-or-replace by ``key``: rows of ``new`` replace rows of ``old``
     with the same key, except for ``keep_old`` columns (e.g. the first

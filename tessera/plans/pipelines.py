@@ -43,9 +43,9 @@ def export(
     return result
 
 
-def client_report(spark: SparkSession, inventory_path: str, output_dir: str, as_of, old_file_days: int = 365) -> dict:
+def client_report(spark: SparkSession, inventory_path: str, output_dir: str, as_of, old_file_days: int = 365, compression: str = "none") -> dict:
     inv = spark.read.parquet(inventory_path)
-    return sk.write_client_report(rp.client_report(inv, as_of, old_file_days), output_dir)
+    return sk.write_client_report(rp.client_report(inv, as_of, old_file_days), output_dir, compression)
 
 
 def prioritize_sites(

@@ -11,8 +11,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -104,3 +106,31 @@ def work_path(spark: SparkSession, name: str) -> str:
     tables written to cut lineage."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera-work/{name}-{uuid.uuid4().hex}"
+
+
+#: session setting: a query's shuffle files go as soon as it ends
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind: nothing reads
+    them once its table is whole, and those of the steps of a job would pile
+    up on the executors' disks."""
+    was = spark.conf.get(FILE_CLEANUP, None)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FILE_CLEANUP) if was is None else spark.conf.set(FILE_CLEANUP, was)
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back: what
+    several passes read is made once.  A table that only the job itself reads
+    is packed with zstd."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -12,15 +12,17 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import shuffles_dropped
 
 BOM = "\ufeff"
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, bom: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, bom: bool = False, compression: str = "none") -> None:
     """Quoted CSV (``"`` quote and escape), header, UTF-8.  With ``bom`` the
     header line starts with a byte-order mark (UTF-8-with-BOM readers such
     as spreadsheet tools expect it); it is carried by the first column name,
-    so every part file's header has it."""
+    so every part file's header has it.  ``compression`` packs each part file
+    (``gzip`` and others that Spark reads by the file's name)."""
     if bom and header and df.columns:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     (
@@ -32,15 +34,17 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, bom
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
+        .option("compression", compression)
         .csv(path)
     )
 
 
-def write_client_report(tables: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
+def write_client_report(tables: dict[str, DataFrame], output_dir: str, compression: str = "none") -> dict[str, str]:
     out = {}
     for stem, df in tables.items():
         path = f"{output_dir.rstrip('/')}/{stem}.csv"
-        write_csv(df, path, sep=";")
+        with shuffles_dropped(df.sparkSession):
+            write_csv(df, path, sep=";", compression=compression)
         out[stem] = path
     return out
 

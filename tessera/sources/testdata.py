@@ -144,8 +144,12 @@ def file_items(t: Tables) -> DataFrame:
     )
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    geo = _supplier_geo(t).withColumnRenamed("s_suppkey", "l_suppkey")
-    j = li.join(part, "l_partkey").join(orders, "l_orderkey").join(geo, "l_suppkey")
+    supplier = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nation = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    # the joins that may shuffle the line items come first, the part's texts
+    # after the orders; supplier and nation are joined one by one, as a join of
+    # the two is estimated at the product of their sizes and then shuffled to
+    j = li.join(orders, "l_orderkey").join(part, "l_partkey").join(supplier, "l_suppkey").join(nation, "s_nationkey")
 
     brand_no = F.substring_index(F.col("p_brand"), "#", -1).cast("int")
     ext, low = (F.element_at(F.array(*[F.lit(e) for e in each]), (brand_no % 8) + 1) for each in (BRAND_EXTENSIONS, LOWER_EXTENSIONS))

@@ -127,3 +127,70 @@ def test_profile_of_folders_writes_no_items(spark, monkeypatch):
     monkeypatch.setattr(suite, "_written", lambda df, name: (_ for _ in ()).throw(AssertionError(name)))
     df = entry.queries()["profile_folders"](spark, SF)
     assert "lineitem" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() > 0
+
+
+def test_equal_tables_are_compared_without_their_rows(spark, monkeypatch):
+    """Rows are summed up in buckets; only those of unequal buckets are compared
+    whole, and nulls, empty text and their places are told apart."""
+    from tessera.plans import io_suite
+
+    seen, staged = {}, io_suite._staged
+    monkeypatch.setattr(io_suite, "_staged", lambda df, name: seen.setdefault(name, staged(df, name)))
+    given = spark.createDataFrame([("a", "x"), ("a", "x"), (None, "y"), ("", "y"), ("y", None)], "c0 string, c1 string")
+    assert io_suite._differing(given, given.repartition(3)).first().asDict() == {"n_rows": 5, "differing": 0}
+    signs = [c for c in seen["row-sums"].columns if c not in ("_bucket", "_b")]
+    assert len(signs) == 5 and seen["row-sums"].filter(" or ".join(f"{c} <> 0" for c in signs)).count() == 0
+    seen.clear()
+    back = spark.createDataFrame([("a", "x"), ("y", None), ("y", None), (None, "y"), ("", "z")], "c0 string, c1 string")
+    got = io_suite._differing(given, back).first()
+    assert (got.n_rows, got.differing) == (5, given.exceptAll(back).count()) == (5, 2)
+
+
+def test_report_files_are_packed_and_leave_no_shuffle_files(spark, tmp_path):
+    import glob
+    import os
+    import tempfile
+    import time
+
+    from tessera.sinks.reports import write_client_report
+
+    base = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+    files = lambda: set(glob.glob(f"{base}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+    df = spark.range(2000).select(F.concat(F.lit("n;\"x\n"), F.col("id").cast("string")).alias("a"), "id").orderBy(F.desc("id"))
+    before = files()
+    path = write_client_report({"t": df}, str(tmp_path), "gzip")["t"]
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert glob.glob(f"{path}/*.csv.gz") and not glob.glob(f"{path}/*.csv")
+    back = spark.read.option("header", True).option("sep", ";").option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    assert back.exceptAll(df.select("a", F.col("id").cast("string"))).count() == 0 and back.count() == 2000
+    assert glob.glob(write_client_report({"p": df}, str(tmp_path))["p"] + "/*.csv")
+
+
+def test_line_items_are_not_shuffled_to_supplier_and_nation(spark):
+    """A join of two small tables is estimated at the product of their sizes;
+    one by one they are small."""
+    from tessera.sources import testdata as td
+
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "4000")
+    try:
+        text = plan_text(td.file_items(td.Tables(spark, SF)))
+    finally:
+        spark.conf.set(key, was)
+    assert "BroadcastHashJoin [l_suppkey" in text and "BroadcastHashJoin [s_nationkey" in text, text
+    assert "SortMergeJoin [l_orderkey" in text and "SortMergeJoin [l_suppkey" not in text, text
+
+
+def test_lookups_are_held_up_to_a_number_of_rows(spark, monkeypatch):
+    from tessera.operators import held, joins
+
+    one = spark.range(10)
+    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(held(one))
+    monkeypatch.setattr(joins, "HELD_ROWS", 9)
+    assert not hinted(held(one))
