@@ -194,3 +194,34 @@ def test_lookups_are_held_up_to_a_number_of_rows(spark, monkeypatch):
     assert hinted(held(one))
     monkeypatch.setattr(joins, "HELD_ROWS", 9)
     assert not hinted(held(one))
+
+
+def test_export_parts_shuffle_rows_once(spark, monkeypatch):
+    """The parts are cut at exact places, though a key repeats and is null,
+    without a checkpoint and with one shuffle of the rows."""
+    from pyspark.sql import DataFrame
+
+    from tessera.operators import ranking
+    from tessera.sinks import parquet as sink
+
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a: (_ for _ in ()).throw(AssertionError("checkpoint")))
+    monkeypatch.setattr(sink, "ROWS_A_TASK", 70)
+    k = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    df = spark.range(500).select(k.alias("k"), "id").repartition(4)
+    for sampled in (4, 0.01):  # stretches of a few rows, and one of all
+        monkeypatch.setattr(ranking, "SAMPLE_A_CUT", sampled)
+        dealt = sink.in_ordered_parts(df, [F.col("k")], 70)
+        assert plan_text(dealt).count("Exchange") == 1, plan_text(dealt)
+        parts = dealt.rdd.glom().collect()
+        assert [len(p) for p in parts] == [70] * 7 + [10]
+        got = [r.k for p in parts for r in p]
+        assert got == sorted(got, key=lambda x: (x is not None, x or "")) and sorted(r.id for p in parts for r in p) == list(range(500))
+
+
+def test_cut_keys_are_those_of_a_sort(spark):
+    from tessera.operators.ranking import cut_keys
+
+    keys = spark.range(1000).select(F.struct((F.col("id") * 7919 % 1000).alias("a"), F.lit(1).alias("b")).alias("key"))
+    for every in (1000, 999, 300, 250, 7):
+        bounds, n = cut_keys(keys, 1000, every)
+        assert [r.a for r in bounds.first()["keys"]] == list(range(every, 1000, every)) and n == len(range(every, 1000, every))
